@@ -1,0 +1,28 @@
+import pytest
+from pyspark.sql import SparkSession
+
+from typeferry.operators.scratch import scratch_table
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    builder = (
+        SparkSession.builder.master("local[8]")
+        .appName("typeferry-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
+        .config("spark.checkpoint.dir", str(folder / "shared"))
+    )
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def fresh(spark):
+    """Names of tables nobody has used."""
+    return lambda label="t": scratch_table(spark, label)

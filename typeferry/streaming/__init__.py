@@ -1,0 +1 @@
+"""Empty on purpose: tables are read, cast and written in batches only."""
