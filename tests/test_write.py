@@ -1,0 +1,360 @@
+"""Writers, merge, checks and the whole ingest, on frames."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from typeferry import (
+    FrameSource,
+    IngestConfig,
+    ingest,
+    merge_table,
+    preview,
+    reconcile,
+    row_count,
+    write_table,
+)
+from typeferry.operators.scratch import SCRATCH_DATABASE, landed
+from typeferry.operators.write import finish_swap, partition_columns
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def orders(spark):
+    return spark.read.parquet(f"{DATA}/orders.parquet")
+
+
+def rows(spark, table, *columns):
+    return sorted(map(tuple, spark.table(table).select(*(columns or ["*"])).collect()), key=str)
+
+
+def pairs(spark, *values):
+    return spark.createDataFrame(list(values), "k int, v string")
+
+
+def test_overwrite(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a"), (2, "b")), t)
+    write_table(pairs(spark, (3, "c")), t)
+    assert rows(spark, t) == [(3, "c")]
+    # Another schema, and a table made from itself.
+    write_table(spark.table(t).select("k", F.lit(1).alias("n")), t)
+    assert rows(spark, t) == [(3, 1)]
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t)
+    bad = pairs(spark, (2, "b")).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        write_table(bad, t)
+    assert rows(spark, t) == [(1, "a")]
+    write_table(pairs(spark, (2, "b")), t)
+    assert rows(spark, t) == [(2, "b")]
+
+
+def staged(spark, t):
+    return spark.sql(f"SHOW TABLES IN {SCRATCH_DATABASE} LIKE '{t.split('.')[1]}__staged*'").count()
+
+
+def test_swap_is_finished_by_the_next_run(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "old")), f"{t}__staged_2026_a", partition_by=["v"])
+    write_table(pairs(spark, (2, "new")), f"{t}__staged_2027_b", partition_by=["v"])
+    finish_swap(spark, t)
+    assert rows(spark, t) == [(2, "new")] and staged(spark, t) == 0
+    # Staged, but the old table was never dropped: the run did not count.
+    write_table(pairs(spark, (3, "x")), f"{t}__staged_2028_c")
+    write_table(pairs(spark, (4, "y")), t, "append")
+    assert rows(spark, t) == [(2, "new"), (4, "y")] and staged(spark, t) == 0
+
+
+def test_quoted_target(spark, fresh):
+    db, name = fresh().split(".")
+    for value in ("a", "b"):
+        write_table(pairs(spark, (1, value)), f"{db}.`{name}`")
+    assert rows(spark, f"{db}.`{name}`") == [(1, "b")]
+
+
+def test_overwrite_of_a_table_in_its_own_folder(spark, fresh, tmp_path):
+    t = fresh()
+    pairs(spark, (1, "a")).write.option("path", str(tmp_path / "own")).saveAsTable(t)
+    write_table(pairs(spark, (2, "b")), t)
+    assert rows(spark, t) == [(2, "b")]
+    assert spark.catalog.getTable(t).tableType == "EXTERNAL"
+    assert staged(spark, t) == 0
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 1
+
+
+def test_append(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t, "append")
+    write_table(pairs(spark, (2, "b")), t, "append")
+    assert rows(spark, t) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="column number"):
+        write_table(pairs(spark, (3, "c")).withColumn("x", F.lit(1)), t, "append")
+
+
+def test_other_modes(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t, "error")
+    write_table(pairs(spark, (2, "b")), t, "ignore")
+    assert rows(spark, t) == [(1, "a")]
+    for mode in ("error", "errorifexists", "default"):
+        with pytest.raises(Exception, match="already exists"):
+            write_table(pairs(spark, (2, "b")), t, mode)
+    with pytest.raises(ValueError, match="overwrite, append, merge"):
+        write_table(pairs(spark, (2, "b")), t, "upsert")
+
+
+def test_partitioned(spark, fresh, orders):
+    t = fresh()
+    write_table(orders, t, partition_by=["o_orderstatus"])
+    assert partition_columns(spark, t) == ["o_orderstatus"]
+    assert spark.table(t).columns[-1] == "o_orderstatus"
+    assert spark.table(t).count() == orders.count()
+    # Overwriting goes through a renamed table: its partitions must be found.
+    write_table(orders.filter("o_orderstatus <> 'F'"), t, partition_by=["o_orderstatus"])
+    assert {r[0] for r in spark.table(t).select("o_orderstatus").distinct().collect()} == {"O", "P"}
+    write_table(orders.filter("o_orderstatus = 'F'"), t, "append")
+    assert spark.table(t).count() == orders.count()
+    assert spark.table(t).exceptAll(orders.select(spark.table(t).columns)).isEmpty()
+
+
+def test_partition_values_keep_their_type(spark, fresh):
+    t = fresh()
+    write_table(spark.createDataFrame([(1, "007"), (2, None)], "k int, p string"), t,
+                partition_by=["p"])
+    assert rows(spark, t) == [(1, "007"), (2, None)]
+
+
+def test_bad_partition_columns(spark, fresh):
+    for columns in (["k", "v"], ["absent"]):
+        with pytest.raises(Exception):
+            write_table(pairs(spark, (1, "a")), fresh(), partition_by=columns)
+
+
+def test_heavy_partition_is_split(spark, fresh):
+    """A third of the rows in one partition value must not be one task's work."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.files.maxPartitionBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        t = fresh()
+        df = spark.range(0, 300_000, 1, 8).select(
+            "id",
+            F.when(F.col("id") % 3 == 0, "hot")
+            .otherwise((F.col("id") % 5).cast("string"))
+            .alias("p"),
+        )
+        write_table(df, t, partition_by=["p"])
+        written = spark.table(t).select("p", F.input_file_name().alias("f")).distinct()
+        files = {r.p: r["count"] for r in written.groupBy("p").count().collect()}
+        assert files["hot"] > 1, files
+        assert spark.table(t).count() == 300_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+# -- merge -----------------------------------------------------------------------------
+
+
+def brute_merge(target, source, keys):
+    """Plain nested loops over lists of dictionaries."""
+    def same(a, b):
+        return all(a[k] is not None and a[k] == b[k] for k in keys)
+
+    return [t for t in target if not any(same(s, t) for s in source)] + source
+
+
+CASES = {
+    "update and insert": ([(1, "a"), (2, "b")], [(2, "x"), (3, "y")]),
+    "null keys stay": ([(None, "a"), (1, "b")], [(None, "c"), (1, "d")]),
+    "repeated target keys": ([(1, "a"), (1, "b"), (2, "c")], [(1, "x")]),
+    "empty source": ([(1, "a")], []),
+    "empty target": ([], [(1, "a"), (None, "b"), (None, "c")]),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+@pytest.mark.parametrize("partition_by, keys", [([], ["k"]), (["p"], ["k"]), (["p"], ["k", "p"])])
+def test_merge(spark, fresh, case, partition_by, keys):
+    target, source = [
+        [{"k": k, "v": v, "p": None if k is None else k % 2} for k, v in side]
+        for side in CASES[case]
+    ]
+    schema = "k int, v string, p int"
+    t = fresh()
+    write_table(spark.createDataFrame(target, schema), t, partition_by=partition_by)
+    merge_table(spark.createDataFrame(source, schema), t, keys)
+    expected = brute_merge(target, source, keys)
+    assert rows(spark, t, "k", "v", "p") == sorted(
+        [(r["k"], r["v"], r["p"]) for r in expected], key=str
+    )
+    assert partition_columns(spark, t) == partition_by
+
+
+def test_merge_rewrites_only_the_touched_partitions(spark, fresh):
+    t = fresh()
+    df = spark.range(100).select("id", F.lit("old").alias("v"), (F.col("id") % 4).alias("p"))
+    write_table(df, t, partition_by=["p"])
+
+    def files():
+        found = spark.table(t).select("p", F.input_file_name().alias("f")).distinct().collect()
+        return {p: {r.f for r in found if r.p == p} for p in range(4)}
+
+    before = files()
+    merge_table(spark.createDataFrame([(2, "new", 2), (102, "new", 2)], "id long, v string, p long"),
+                t, ["id", "p"])
+    after = files()
+    assert [before[p] == after[p] for p in range(4)] == [True, True, False, True]
+    assert spark.table(t).count() == 101
+    assert spark.table(t).filter("v = 'new'").count() == 2
+
+
+def test_merge_refusals(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t)
+    with pytest.raises(ValueError, match="more than one source row"):
+        merge_table(pairs(spark, (2, "x"), (2, "y")), t, ["k"])
+    with pytest.raises(ValueError, match="needs key columns"):
+        merge_table(pairs(spark, (2, "x")), t, [])
+    with pytest.raises(ValueError, match="absent"):
+        merge_table(pairs(spark, (2, "x")), t, ["absent"])
+    with pytest.raises(ValueError, match="differ in columns"):
+        merge_table(pairs(spark, (2, "x")).withColumn("n", F.lit(1)), t, ["k"])
+    assert rows(spark, t) == [(1, "a")]
+
+
+def test_merge_into_a_missing_table_and_types(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t, "merge", keys=["k"])
+    assert rows(spark, t) == [(1, "a")]
+    wide = spark.createDataFrame([(2, "b")], "k long, v string")
+    write_table(wide, t, "merge", keys=["k"])
+    assert spark.table(t).schema["k"].dataType == T.IntegerType()
+    with pytest.raises(Exception, match="OVERFLOW"):
+        write_table(spark.createDataFrame([(2**40, "b")], "k long, v string"), t, "merge", keys=["k"])
+    assert rows(spark, t) == [(1, "a"), (2, "b")]
+
+
+def test_merge_with_one_heavy_key_and_heavy_nulls(spark, fresh):
+    """A third of the target under one key, a third without a key."""
+    n = 90_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") + 1000)
+        .cast("int").alias("k"),
+        F.col("id").cast("string").alias("v"),
+    )
+    t = fresh()
+    write_table(df, t)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merge_table(pairs(spark, (7, "x"), (-1, "y")), t, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    counts = spark.table(t).agg(
+        F.count(F.lit(1)), F.count_if(F.col("k").isNull()), F.count_if(F.col("k") == 7)
+    ).first()
+    assert tuple(counts) == (n // 3 * 2 + 2, n // 3, 1)
+
+
+def test_landed_rows_agree_and_go(spark):
+    with landed(spark.range(100).select(F.rand().alias("x"))) as df:
+        assert df.agg(F.sum("x")).first() == df.agg(F.sum("x")).first()
+        assert spark.sql(f"SHOW TABLES IN {SCRATCH_DATABASE} LIKE 'landed*'").count() == 1
+    assert spark.sql(f"SHOW TABLES IN {SCRATCH_DATABASE} LIKE 'landed*'").count() == 0
+
+
+# -- checks and ingest -----------------------------------------------------------------
+
+
+def test_preview(spark, fresh, orders, capsys):
+    t = fresh()
+    write_table(orders, t)
+    top = preview(spark, t, ["o_orderkey"], 3)
+    assert [r.o_orderkey for r in top.collect()] == [0, 1, 2]
+    assert preview(spark, t, ["o_orderkey"]).count() == 10
+    top.explain()
+    assert "TakeOrderedAndProject" in capsys.readouterr().out
+
+
+def test_reconcile(spark):
+    from typeferry import MappedColumn
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, None)], "k int, v string")
+    columns = [
+        MappedColumn("k", "int", "int", "int", False, "ok"),
+        MappedColumn("v", "text", "text", "string", True, "ok"),
+    ]
+    assert tuple(reconcile(row_count(df), df, columns).first()) == (3, 3, True, 2)
+    assert tuple(reconcile(row_count(df.limit(1)), df, columns, 2).first()) == (1, 3, True, 2)
+    assert tuple(reconcile(row_count(df.limit(1)), df).first()) == (1, 3, False, 0)
+
+
+def source_of(spark, df, name="orders"):
+    return FrameSource({name: df})
+
+
+def test_ingest_orders(spark, fresh, orders):
+    t = fresh()
+    config = IngestConfig(source_of(spark, orders), "orders", target_table=t)
+    report = ingest(spark, config)
+    assert tuple(report.counts) == (1500, 1500, True, 0)
+    assert report.schema["o_orderdate"].dataType == T.TimestampType()
+    assert spark.table(t).schema == report.schema
+    again = ingest(
+        spark,
+        IngestConfig(source_of(spark, orders), "orders", target_table=t, write_mode="append"),
+    )
+    assert tuple(again.counts) == (1500, 3000, True, 0)
+
+
+def test_ingest_merge_and_partitions(spark, fresh, orders):
+    t = fresh()
+    config = IngestConfig(
+        source_of(spark, orders), "orders", target_table=t, write_mode="merge",
+        merge_keys=["o_orderkey"], partition_cols=["o_orderstatus"],
+    )
+    ingest(spark, config)
+    report = ingest(spark, config)
+    assert report.counts.asDict() == {
+        "source_rows": 1500, "target_rows": 1500, "rows_match": None, "null_violations": 0,
+    }
+    assert partition_columns(spark, t) == ["o_orderstatus"]
+
+
+class Declared(FrameSource):
+    """A source whose catalog declares other types than its frames have."""
+
+    def columns(self, spark, schema=None, table=None):
+        return super().columns(spark, schema, table).withColumn(
+            "data_type", F.when(F.col("column_name") == "k", "smallint").otherwise(F.col("data_type"))
+        ).withColumn("is_nullable", F.when(F.col("column_name") == "k", "NO").otherwise("YES"))
+
+
+def test_strict_and_lenient_ingest(spark, fresh):
+    source = Declared({"x": pairs(spark, (1, "a"), (70000, "b"), (None, "c"))})
+    t = fresh()
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        ingest(spark, IngestConfig(source, "x", target_table=t))
+    report = ingest(spark, IngestConfig(source, "x", target_table=t, strict=False))
+    assert tuple(report.counts) == (3, 3, True, 2)
+    assert [tuple(r) for r in report.lossy] == [("k", 3, 1, 1)]
+    merged = IngestConfig(
+        source, "x", target_table=t, strict=False, write_mode="merge", merge_keys=["k"]
+    )
+    assert ingest(spark, merged).counts["target_rows"] == 5
+    with pytest.raises(ValueError, match="no columns found for public.y"):
+        ingest(spark, IngestConfig(source, "y"))
+
+
+def test_target_defaults_to_the_source_name():
+    assert IngestConfig(None, "orders").target == "orders"
+    assert IngestConfig(None, "orders", target_table="o").target == "o"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager, nullcontext
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,10 @@ MODES = ("overwrite", "append", "merge", "ignore", "error", "errorifexists", "de
 # Formats whose own commit replaces or merges a table in one step.
 TRANSACTIONAL = ("delta", "iceberg")
 
+STAGED = "__staged_"
+
+OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
+
 # Partition values listed in a filter; beyond it the join alone selects.
 MAX_LISTED = 1_000
 
@@ -32,8 +38,9 @@ def write_table(
 ) -> None:
     """Saves ``df`` as the table ``target``.
 
-    ``overwrite`` builds the new table beside the old one and then takes its place,
-    so a failing job leaves the old rows; it may read the table it replaces.
+    ``overwrite`` builds the new table beside the old one and then puts it in its place,
+    so a failing job leaves the old rows; it may read the table it replaces. A new table
+    is built the same way.
     ``append`` keeps the partitioning the table has. ``merge`` needs ``keys``; see
     ``merge_table`` for ``stable``.
     """
@@ -45,7 +52,7 @@ def write_table(
     spark = df.sparkSession
     finish_swap(spark, target)
     exists = spark.catalog.tableExists(target)
-    if mode == "overwrite" and exists and fmt not in TRANSACTIONAL:
+    if fmt not in TRANSACTIONAL and (mode == "overwrite" or not exists):
         _replace(df, target, partition_by, fmt)
         return
     if mode == "append" and exists and not partition_by:
@@ -78,35 +85,30 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 # -- replacing a table ---------------------------------------------------------------
 
 
-def _staged_name(target: str) -> str:
-    return f"{target[:-1]}__staged`" if target.endswith("`") else f"{target}__staged"
+def _suffixed(target: str, suffix: str) -> str:
+    return f"{target[:-1]}{suffix}`" if target.endswith("`") else f"{target}{suffix}"
 
 
 def _replace(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str) -> None:
     spark = df.sparkSession
-    staged = _staged_name(target)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    # A name of its own for each run: tasks of a failed one may still leave files behind.
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
+    staged = _suffixed(target, f"{STAGED}{stamp}_{uuid.uuid4().hex}")
     _save(df, staged, "error", partition_by, fmt)
-    if spark.catalog.getTable(target).tableType == "EXTERNAL":
+    if not spark.catalog.tableExists(target):
+        _rename(spark, staged, target)
+    elif spark.catalog.getTable(target).tableType == "EXTERNAL":
         # Its folder is not ours to move: copy into it.
         rows = spark.table(staged).select(*[F.col(quoted(c)) for c in spark.table(target).columns])
-        with _overwriting(spark, "static"):
+        with _setting(spark, OVERWRITE_SETTING, "static"):
             rows.write.insertInto(target, overwrite=True)
         spark.sql(f"DROP TABLE {staged}")
-        return
-    spark.sql(f"DROP TABLE {target}")
-    finish_swap(spark, target)
-
+    else:
+        spark.sql(f"DROP TABLE {target}")
+        _rename(spark, staged, target)
 
-def finish_swap(spark: SparkSession, target: str) -> None:
-    """Puts a staged table in the place of its dropped target, also after a lost driver.
 
-    A table is in the catalog only when all its rows are written, so a staged table
-    without a target is always whole.
-    """
-    staged = _staged_name(target)
-    if spark.catalog.tableExists(target) or not spark.catalog.tableExists(staged):
-        return
+def _rename(spark: SparkSession, staged: str, target: str) -> None:
     spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
     if partition_columns(spark, target):
         # The catalog may still hold the folders of the old name.
@@ -114,15 +116,30 @@ def finish_swap(spark: SparkSession, target: str) -> None:
     spark.catalog.refreshTable(target)
 
 
+def finish_swap(spark: SparkSession, target: str) -> None:
+    """Tidies up after a driver lost between staging a table and naming it.
+
+    A table is in the catalog only when all its rows are written. So where the target
+    is gone, the last staged table is the whole new one; where it is there, staged
+    tables were never to be used.
+    """
+    database, _, name = target.replace("`", "").rpartition(".")
+    found = spark.catalog.listTables(database or None, f"{name}{STAGED}*")
+    staged = [_suffixed(target, t.name[len(name) :]) for t in sorted(found, key=lambda t: t.name)]
+    if staged and not spark.catalog.tableExists(target):
+        _rename(spark, staged.pop(), target)
+    for table in staged:
+        spark.sql(f"DROP TABLE {table}")
+
+
 @contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(name, before)
 
 
 # -- merging by key ------------------------------------------------------------------
@@ -161,7 +178,7 @@ def _merge(
     spark = source.sparkSession
     _reject_repeated_keys(source, keys)
     if not spark.catalog.tableExists(target):
-        _save(source, target, "error", partition_by, fmt)
+        write_table(source, target, "error", partition_by, fmt)
         return
     present = spark.table(target)
     source = _aligned(source, present)
@@ -250,6 +267,6 @@ def _merge_partitions(
     if not touched.filter(~_all_set(partitions)).isEmpty():
         # Their folders are rewritten too; no row in them has a key that can match.
         merged = merged.unionByName(present.filter(~_all_set(partitions)))
-    with _overwriting(source.sparkSession, "dynamic"):
+    with _setting(source.sparkSession, OVERWRITE_SETTING, "dynamic"):
         rows = merged.select(*[F.col(quoted(c)) for c in present.columns])
         _spread(rows, partitions).write.insertInto(target, overwrite=True)
