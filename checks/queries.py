@@ -20,6 +20,7 @@ from typeferry import (
     ingest,
     map_types,
     mapped_columns,
+    mapped_tables,
     mapping_audit,
     preview,
     reconcile,
@@ -78,8 +79,9 @@ def declared(spark: SparkSession, *columns: tuple) -> list[MappedColumn]:
 def checked_catalog(spark: SparkSession, tables: FrameSource) -> DataFrame:
     """Mapped descriptors of all tables, with the counts of every column."""
     mapped = map_types(discover_columns(spark, tables))
+    columns = mapped_tables(mapped, list(tables.tables))
     checks = [
-        column_checks(frame, mapped_columns(mapped, name)).withColumn("table_name", F.lit(name))
+        column_checks(frame, columns[name]).withColumn("table_name", F.lit(name))
         for name, frame in tables.tables.items()
     ]
     return mapped.join(
@@ -120,10 +122,9 @@ def map_catalog(spark, sf_dir):
 
 
 def audit(spark, sf_dir):
-    tables = source(spark, sf_dir)
-    counts = checked_catalog(spark, tables).select("table_name", "column_name", "n_nulls", "n_lost")
-    mapped = map_types(discover_columns(spark, tables))
-    return mapping_audit(mapped).join(counts, ["table_name", "column_name"])
+    """The types of every column, and whether all values in it keep to them."""
+    checked = checked_catalog(spark, source(spark, sf_dir))
+    return mapping_audit(checked, "n_nulls", "n_lost")
 
 
 # -- mapping of a catalog as long as lineitem: one descriptor per row ------------------
@@ -515,10 +516,12 @@ def ingest_merge(spark, sf_dir):
 def ingest_all(spark, sf_dir):
     """The report of one run per table."""
     tables = source(spark, sf_dir)
+    columns = mapped_tables(map_types(discover_columns(spark, tables)), TABLES)
     rows = []
     for name in TABLES:
         target = scratch_table(spark, f"all_{name}")
-        report = ingest(spark, IngestConfig(tables, name, target_table=target))
+        config = IngestConfig(tables, name, target_table=target)
+        report = ingest(spark, config, columns[name])
         rows.append((name, len(report.columns), *report.counts))
     return spark.createDataFrame(
         rows,

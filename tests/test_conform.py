@@ -147,3 +147,44 @@ def test_source_filters(spark):
     assert discover_columns(spark, source, "other").count() == 0
     with pytest.raises(ValueError):
         source.read(spark, "s", "absent", [])
+
+
+EDGES = {
+    "double": [0.0, -0.5, 127.9, 128.0, -128.9, -129.0, 9.995, 9.994, 99.99, -99.995, 2.0**31,
+               2.0**31 - 0.5, -(2.0**31) - 0.5, 2.0**63, -(2.0**63), 1e300, float("inf"),
+               float("-inf"), float("nan"), 999.994999, 9999.999],
+    "float": [0.0, 1.5, 2.0**31, -(2.0**31), 2.0**63, 3e38, float("nan"), float("inf")],
+    "bigint": [0, 127, 128, -128, -129, 32767, 32768, 2**31 - 1, 2**31, -(2**31) - 1, 2**63 - 1,
+               -(2**63), 99, 100, -100, 999, 1000],
+    "smallint": [0, 9, 10, 100, -100, 127, 128, 32767, -32768],
+    "decimal(38,2)": [Decimal(x) for x in ("0", "9.99", "10", "-10", "127.99", "128", "-128.99",
+                      "-129", "9223372036854775807.99", "9223372036854775808",
+                      "-9223372036854775809", "999999999999999999999999999999999999.99")],
+    "string": ["", " ", "1", " 1 ", "abc", "1e3", "NaN", "nan", "inf", "-Infinity", "0x1p3", "t",
+               "T", "yes\t", " yes", "no", "maybe", "on", "0", "1.5", "128", "-129", "12a",
+               "1f", "1d", "+5", ".5", "5.", "1_000", "99999999999999999999", "٣", "10.005"],
+}
+TARGETS = ["tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "decimal(3,2)",
+           "decimal(5,2)", "decimal(38,2)", "decimal(10,0)", "date", "timestamp"]
+
+
+@pytest.mark.parametrize("source", EDGES)
+def test_lenient_casts_equal_try_cast(spark, source):
+    """The tests before the cast change its speed only."""
+    from typeferry.functions.casts import lenient_cast
+
+    df = frame(spark, source, *EDGES[source], None)
+    read_as = df.schema[0].dataType
+    plans = []
+    for target in map(T.DataType.fromDDL, TARGETS):
+        try:
+            df.select(F.col("v").try_cast(target)).schema
+        except Exception:
+            continue  # no such cast
+        plans.append((target, F.col("v").try_cast(target), lenient_cast(F.col("v"), read_as, target)))
+    assert plans
+    for target, tried, ours in plans:
+        differ = df.select("v", tried.alias("a"), ours.alias("b")).filter(
+            ~F.col("a").eqNullSafe(F.col("b"))
+        )
+        assert differ.collect() == [], target

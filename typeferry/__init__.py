@@ -10,6 +10,7 @@ from typeferry.operators.mapping import (
     map_pgsql_type_to_spark,
     map_types,
     mapped_columns,
+    mapped_tables,
     mapping_audit,
 )
 from typeferry.operators.verify import column_checks, preview, reconcile, row_count
@@ -37,6 +38,7 @@ __all__ = [
     "map_pgsql_type_to_spark",
     "map_types",
     "mapped_columns",
+    "mapped_tables",
     "mapping_audit",
     "merge_table",
     "preview",

@@ -7,33 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Everything Unicode calls white space, and the four ASCII separators.
-_BLANK = r"[\s\x1c-\x1f]"
-_OUTER_BLANKS = rf"(?U)^{_BLANK}+|{_BLANK}+\z"
-_ARRAY_SUFFIX = rf"(?U)(?:{_BLANK}*\[\])+\z"
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_ARRAY_SUFFIX = rf"(?:[{BLANKS}]*\[\])+\z"
 
 
 def normalised(type_name: Column) -> Column:
     """Lower case, no blanks around."""
-    # Names from a catalog are clean already: test before running the pattern.
-    trimmed = F.when(
-        type_name.rlike(_OUTER_BLANKS), F.regexp_replace(type_name, _OUTER_BLANKS, "")
-    ).otherwise(type_name)
-    return F.lower(trimmed)
-
-
-def is_suffixed(name: Column) -> Column:
-    return name.endswith("[]")
+    return F.lower(F.btrim(type_name, F.lit(BLANKS)))
 
 
 def without_suffix(name: Column) -> Column:
     """``integer [][]`` -> ``integer``."""
-    return F.when(is_suffixed(name), F.regexp_replace(name, _ARRAY_SUFFIX, "")).otherwise(name)
+    # Few names have a suffix: test before running the pattern.
+    return F.when(
+        name.endswith("[]"), F.regexp_replace(name, F.lit(_ARRAY_SUFFIX), F.lit(""))
+    ).otherwise(name)
 
 
-def suffix_dimensions(name: Column) -> Column:
-    """How many ``[]`` end the name."""
-    pairs = F.regexp_count(F.regexp_extract(name, _ARRAY_SUFFIX, 0), F.lit(r"\[\]"))
-    return F.when(is_suffixed(name), pairs).otherwise(F.lit(0))
+def suffix_dimensions(name: Column, bare: Column) -> Column:
+    """How many ``[]`` were cut from ``name`` to leave ``bare``."""
+    suffix = F.substr(name, F.length(bare) + 1)
+    return F.length(suffix) - F.length(F.replace(suffix, F.lit("["), F.lit("")))
 
 
 def array_of(element: Column, dimensions: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Sequence
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,7 +69,7 @@ def map_types(descriptors: DataFrame) -> DataFrame:
         .withColumn(
             "_dims",
             F.coalesce(_optional(descriptors, "array_dimensions"), F.lit(0))
-            + names.suffix_dimensions(F.col("_name")),
+            + names.suffix_dimensions(F.col("_name"), F.col("_bare")),
         )
         .withColumn(
             "_dims",
@@ -123,9 +124,9 @@ def map_types(descriptors: DataFrame) -> DataFrame:
     )
 
 
-def mapping_audit(mapped: DataFrame) -> DataFrame:
-    """What each column was, and what it becomes."""
-    return mapped.select("table_name", "column_name", "data_type", "spark_type", "status")
+def mapping_audit(mapped: DataFrame, *more: str) -> DataFrame:
+    """What each column was, and what it becomes; with ``more`` columns of the frame."""
+    return mapped.select("table_name", "column_name", "data_type", "spark_type", "status", *more)
 
 
 def mapped_columns(
@@ -152,6 +153,23 @@ def mapped_columns(
     return [MappedColumn(*row) for row in rows]
 
 
+def mapped_tables(mapped: DataFrame, tables: Sequence[str]) -> dict[str, list[MappedColumn]]:
+    """``mapped_columns`` of several tables of one schema, in one job."""
+    found: dict[str, list[MappedColumn]] = {table: [] for table in tables}
+    rows = (
+        mapped.filter(F.col("table_name").isin(list(tables)))
+        .orderBy("table_name", "ordinal_position")
+        .select("table_name", *MappedColumn._fields)
+        .collect()
+    )
+    for table, *fields in rows:
+        found[table].append(MappedColumn(*fields))
+    absent = [table for table, columns in found.items() if not columns]
+    if absent:
+        raise ValueError(f"no columns found for {', '.join(absent)}")
+    return found
+
+
 def build_schema(
     mapped: DataFrame | list[MappedColumn], table: str | None = None, schema: str | None = None
 ) -> T.StructType:

@@ -49,15 +49,21 @@ class IngestReport(NamedTuple):
     lossy: list[Row]
 
 
-def ingest(spark: SparkSession, config: IngestConfig) -> IngestReport:
+def ingest(
+    spark: SparkSession, config: IngestConfig, columns: list[MappedColumn] | None = None
+) -> IngestReport:
     """Runs one ingest. The source is read once, and counted once by itself.
 
+    ``columns`` are the mapped columns where they are known, as from ``mapped_tables``
+    for many tables; otherwise they are discovered.
+
     A lenient run lands the rows as read first: the values lost are counted there,
     on the same rows that are written. After a merge ``rows_match`` is null, as the
     two counts need not agree.
     """
-    descriptors = discover_columns(spark, config.source, config.schema, config.table)
-    columns = mapped_columns(map_types(descriptors), config.table, config.schema)
+    if columns is None:
+        descriptors = discover_columns(spark, config.source, config.schema, config.table)
+        columns = mapped_columns(map_types(descriptors), config.table, config.schema)
     schema = build_schema(columns)
     frame = config.source.read(spark, config.schema, config.table, columns, config.partitioning)
 
