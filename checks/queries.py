@@ -164,7 +164,7 @@ def map_summary(spark, sf_dir):
 
 
 def map_normalise(spark, sf_dir):
-    name = any_name()
+    name = F.col("name")
     flag = F.col("l_returnflag")
     spelled = (
         F.when(flag == "A", F.upper(name))
@@ -174,7 +174,7 @@ def map_normalise(spark, sf_dir):
     )
     outer = F.when(F.col("l_linestatus") == "O", "  ").otherwise("")
     suffix = F.when(F.col("l_linestatus") == "O", "[]").otherwise(" []")
-    descriptors = read(spark, sf_dir, "lineitem").select(
+    descriptors = read(spark, sf_dir, "lineitem").withColumn("name", any_name()).select(
         "l_orderkey",
         "l_partkey",
         "l_linenumber",

@@ -7,38 +7,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Everything Unicode calls white space, and the four ASCII separators.
-BLANKS = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
-_ARRAY_SUFFIX = rf"(?:[{BLANKS}]*\[\])+\z"
+_BLANK = r"[\s\x1c-\x1f]"
+_OUTER_BLANKS = rf"(?U)\A{_BLANK}+|{_BLANK}+\z"
+_ARRAY_SUFFIX = rf"(?U)(?:{_BLANK}*\[\])+\z"
 
 
 def normalised(type_name: Column) -> Column:
     """Lower case, no blanks around."""
-    return F.lower(F.btrim(type_name, F.lit(BLANKS)))
+    # Spaces are quick to trim; a pattern runs only where something else is left.
+    trimmed = F.trim(type_name)
+    other_blanks = trimmed.rlike(_OUTER_BLANKS)
+    return F.lower(
+        F.when(other_blanks, F.regexp_replace(type_name, _OUTER_BLANKS, "")).otherwise(trimmed)
+    )
 
 
 def without_suffix(name: Column) -> Column:
     """``integer [][]`` -> ``integer``."""
-    # Few names have a suffix: test before running the pattern.
-    return F.when(
-        name.endswith("[]"), F.regexp_replace(name, F.lit(_ARRAY_SUFFIX), F.lit(""))
-    ).otherwise(name)
+    # Few names have a suffix: here and below, test before working on it.
+    cut = F.regexp_replace(name, _ARRAY_SUFFIX, "")
+    return F.when(name.endswith("[]"), cut).otherwise(name)
 
 
 def suffix_dimensions(name: Column, bare: Column) -> Column:
     """How many ``[]`` were cut from ``name`` to leave ``bare``."""
     suffix = F.substr(name, F.length(bare) + 1)
-    return F.length(suffix) - F.length(F.replace(suffix, F.lit("["), F.lit("")))
+    pairs = F.length(suffix) - F.length(F.replace(suffix, F.lit("["), F.lit("")))
+    return F.when(name.endswith("[]"), pairs).otherwise(F.lit(0))
 
 
 def array_of(element: Column, dimensions: Column) -> Column:
     """``int``, 2 -> ``array<array<int>>``."""
-    return F.concat(
+    nested = F.concat(
         F.repeat(F.lit("array<"), dimensions), element, F.repeat(F.lit(">"), dimensions)
     )
+    return F.when(dimensions > 0, nested).otherwise(element)
 
 
 _SPELLING = {

@@ -58,8 +58,7 @@ def map_types(descriptors: DataFrame) -> DataFrame:
     without a rule and ``invalid_decimal`` for a precision or scale Spark cannot hold,
     both mapped to string; ``missing`` where the data type is null.
 
-    One projection, one broadcast join with the rule table, one projection: the
-    descriptors are never shuffled.
+    Projections only: descriptors are neither shuffled nor joined.
     """
     name = names.normalised(F.col("data_type"))
     shaped = (
@@ -82,32 +81,29 @@ def map_types(descriptors: DataFrame) -> DataFrame:
     # The catalog says just ARRAY; the element is in udt_name, with an underscore before it.
     udt_name = _optional(descriptors, "udt_name")
     element = (
-        F.when(~F.col("_unnamed_array"), F.col("_bare"))
+        F.when(F.col("_unnamed_array").isNull() | ~F.col("_unnamed_array"), F.col("_bare"))
         .when(udt_name.startswith("_"), F.lower(F.substr(udt_name, F.lit(2))))
         .otherwise(F.lit("text"))
     )
-    shaped = shaped.withColumn("base_type", element)
-
-    found = shaped.join(
-        F.broadcast(rules.rules_frame(descriptors.sparkSession)),
-        F.col("base_type") == F.col("rule_name"),
-        "left",
+    found = shaped.withColumn("base_type", element).withColumn(
+        "_rule", rules.rule_type(F.col("base_type"))
     )
 
     precision = F.coalesce(
         _optional(descriptors, "numeric_precision"), F.lit(rules.DEFAULT_PRECISION)
     )
     scale = F.coalesce(_optional(descriptors, "numeric_scale"), F.lit(rules.DEFAULT_SCALE))
-    is_decimal = F.col("rule_type") == "decimal"
+    is_decimal = F.col("_rule") == "decimal"
     fits = precision.between(1, rules.MAX_PRECISION) & (scale >= 0) & (scale <= precision)
-    scalar = (
-        F.when(F.col("rule_type").isNull() | (is_decimal & ~fits), F.lit(rules.FALLBACK_TYPE))
+    found = found.withColumn(
+        "_scalar",
+        F.when(F.col("_rule").isNull() | (is_decimal & ~fits), F.lit(rules.FALLBACK_TYPE))
         .when(is_decimal, F.concat(F.lit("decimal("), precision, F.lit(","), scale, F.lit(")")))
-        .otherwise(F.col("rule_type"))
+        .otherwise(F.col("_rule")),
     )
     status = (
         F.when(F.col("data_type").isNull(), "missing")
-        .when(F.col("rule_type").isNull(), "unknown")
+        .when(F.col("_rule").isNull(), "unknown")
         .when(is_decimal & ~fits, "invalid_decimal")
         .otherwise("ok")
     )
@@ -116,7 +112,7 @@ def map_types(descriptors: DataFrame) -> DataFrame:
     return found.select(
         *descriptors.columns,
         "base_type",
-        F.when(F.col("data_type").isNotNull(), names.array_of(scalar, F.col("_dims"))).alias(
+        F.when(F.col("data_type").isNotNull(), names.array_of(F.col("_scalar"), F.col("_dims"))).alias(
             "spark_type"
         ),
         nullable.alias("nullable"),
