@@ -146,7 +146,6 @@ def test_only_the_type_is_needed(spark):
 
 def test_schema_of_dictionaries(spark):
     schema = build_spark_schema(
-        spark,
         [
             {"column_name": "id", "data_type": "integer", "is_nullable": "NO"},
             {
@@ -155,7 +154,7 @@ def test_schema_of_dictionaries(spark):
                 "numeric_precision": 10,
                 "numeric_scale": 2,
             },
-        ],
+        ]
     )
     assert schema == T.StructType(
         [
@@ -164,15 +163,15 @@ def test_schema_of_dictionaries(spark):
         ]
     )
     with pytest.raises(KeyError):
-        build_spark_schema(spark, [{"column_name": "id"}])
-    assert build_spark_schema(spark, []) == T.StructType([])
+        build_spark_schema([{"column_name": "id"}])
+    assert build_spark_schema([], spark) == T.StructType([])
 
 
 def test_single_type(spark):
-    assert map_pgsql_type_to_spark(spark, "int8", array_dimensions=1) == T.ArrayType(T.LongType())
-    assert map_pgsql_type_to_spark(spark, "numeric", 12, 3) == T.DecimalType(12, 3)
+    assert map_pgsql_type_to_spark("int8", array_dimensions=1) == T.ArrayType(T.LongType())
+    assert map_pgsql_type_to_spark("numeric", 12, 3, spark=spark) == T.DecimalType(12, 3)
     with pytest.warns(UserWarning, match="hstore"):
-        assert map_pgsql_type_to_spark(spark, "hstore") == T.StringType()
+        assert map_pgsql_type_to_spark("hstore") == T.StringType()
 
 
 def test_schema_build(spark):

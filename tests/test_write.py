@@ -15,7 +15,7 @@ from typeferry import (
     write_table,
 )
 from typeferry.operators.scratch import SCRATCH_DATABASE, landed
-from typeferry.operators.write import finish_swap, partition_columns
+from typeferry.operators.write import _unmatched, finish_swap, partition_columns
 
 DATA = "/root/testdata/sf0.001"
 
@@ -135,6 +135,16 @@ def test_bad_partition_columns(spark, fresh):
             write_table(pairs(spark, (1, "a")), fresh(), partition_by=columns)
 
 
+def test_partitions_without_adaptive_execution(spark, fresh, orders):
+    t = fresh()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_table(orders, t, partition_by=["o_orderstatus"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert spark.table(t).count() == orders.count()
+
+
 def test_heavy_partition_is_split(spark, fresh):
     """A third of the rows in one partition value must not be one task's work."""
     settings = {
@@ -265,6 +275,37 @@ def test_merge_with_one_heavy_key_and_heavy_nulls(spark, fresh):
     assert tuple(counts) == (n // 3 * 2 + 2, n // 3, 1)
 
 
+def test_heavy_key_is_split_in_the_merge_join(spark, fresh, capsys):
+    target, source = fresh(), fresh()
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("long")
+    df = spark.range(0, 600_000, 1, 16).select(
+        hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    write_table(df, target)
+    write_table(spark.range(0, 100_000).select((F.col("id") * 4).alias("k")), source)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        kept = _unmatched(spark.table(target), spark.table(source), ["k"])
+        found = kept.agg(F.count(F.lit(1)), F.count_if(F.col("k") == 7))
+        n, n_hot = found.collect()[0]
+        found.explain()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    ids = [7 if i % 3 == 0 else i for i in range(600_000)]
+    assert n == sum(1 for k in ids if k % 4 or k >= 400_000) and n_hot == 200_001
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin(skew=true)" in plan
+    assert "PushedFilters: [IsNull(k)]" in plan
+
+
 def test_landed_rows_agree_and_go(spark):
     with landed(spark.range(100).select(F.rand().alias("x"))) as df:
         assert df.agg(F.sum("x")).first() == df.agg(F.sum("x")).first()

@@ -112,9 +112,9 @@ def map_types(descriptors: DataFrame) -> DataFrame:
     return found.select(
         *descriptors.columns,
         "base_type",
-        F.when(F.col("data_type").isNotNull(), names.array_of(F.col("_scalar"), F.col("_dims"))).alias(
-            "spark_type"
-        ),
+        F.when(
+            F.col("data_type").isNotNull(), names.array_of(F.col("_scalar"), F.col("_dims"))
+        ).alias("spark_type"),
         nullable.alias("nullable"),
         status.alias("status"),
     )
@@ -181,32 +181,40 @@ def build_schema(
     return T.StructType([T.StructField(c.column_name, c.type(), c.nullable) for c in columns])
 
 
-def build_spark_schema(spark: SparkSession, columns: list[dict[str, Any]]) -> T.StructType:
+def build_spark_schema(
+    columns: list[dict[str, Any]], spark: SparkSession | None = None
+) -> T.StructType:
     """The ``StructType`` for a list of descriptors given as dictionaries.
 
     ``column_name`` and ``data_type`` are needed in each, the other fields of
-    ``DESCRIPTOR`` are optional.
+    ``DESCRIPTOR`` are optional. Without a session the running one is used.
     """
     if not columns:
         return T.StructType([])
     rows = []
     for position, column in enumerate(columns, start=1):
-        known = {field: column.get(field) for field in DESCRIPTOR.names}
-        known["column_name"] = column["column_name"]
-        known["data_type"] = column["data_type"]
-        known["ordinal_position"] = position
-        rows.append(tuple(known[field] for field in DESCRIPTOR.names))
+        known = {
+            **column,
+            "column_name": column["column_name"],
+            "data_type": column["data_type"],
+            "ordinal_position": position,
+        }
+        rows.append(tuple(known.get(field) for field in DESCRIPTOR.names))
+    spark = spark or SparkSession.builder.getOrCreate()
     return build_schema(map_types(spark.createDataFrame(rows, DESCRIPTOR)))
 
 
 def map_pgsql_type_to_spark(
-    spark: SparkSession,
     pg_type: str,
     precision: int | None = None,
     scale: int | None = None,
     array_dimensions: int = 0,
+    spark: SparkSession | None = None,
 ) -> T.DataType:
-    """The Spark type of one PostgreSQL type."""
+    """The Spark type of one PostgreSQL type.
+
+    One small Spark job: for many types use ``map_types``.
+    """
     column = {
         "column_name": pg_type,
         "data_type": pg_type,
@@ -214,4 +222,4 @@ def map_pgsql_type_to_spark(
         "numeric_scale": scale,
         "array_dimensions": array_dimensions,
     }
-    return build_spark_schema(spark, [column])[0].dataType
+    return build_spark_schema([column], spark)[0].dataType

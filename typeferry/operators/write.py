@@ -40,7 +40,7 @@ def write_table(
 
     ``overwrite`` builds the new table beside the old one and then puts it in its place,
     so a failing job leaves the old rows; it may read the table it replaces. A new table
-    is built the same way.
+    is built the same way. Two runs must not write one target at the same time.
     ``append`` keeps the partitioning the table has. ``merge`` needs ``keys``; see
     ``merge_table`` for ``stable``.
     """
@@ -64,9 +64,11 @@ def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition brought together, in files of the advisory size.
 
     The rebalance hint lets Spark split a heavy partition over many tasks, which a
-    plain repartition by the columns would give to one.
+    plain repartition by the columns would give to one. It does so only in adaptive
+    execution: without it rows stay where they are, and each task writes its own files.
     """
-    if not partition_by:
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true"
+    if not partition_by or not adaptive:
         return df
     return df.hint("rebalance", *[F.col(quoted(c)) for c in partition_by])
 
