@@ -399,3 +399,24 @@ def test_strict_and_lenient_ingest(spark, fresh):
 def test_target_defaults_to_the_source_name():
     assert IngestConfig(None, "orders").target == "orders"
     assert IngestConfig(None, "orders", target_table="o").target == "o"
+
+
+@pytest.mark.parametrize("most", [0, 1, 1000])
+@pytest.mark.parametrize("partition_by", [["p"], ["p", "q"]])
+def test_merge_of_partitions_by_list_and_by_join(spark, fresh, monkeypatch, most, partition_by):
+    import typeferry.operators.write as write
+
+    monkeypatch.setattr(write, "MAX_LISTED", most)
+    schema = "k int, v string, p int, q string"
+    target = [
+        {"k": k, "v": "old", "p": [None, 0, 1, 2][k % 4], "q": ["a", None, "b"][k % 3]}
+        for k in range(60)
+    ]
+    source = [{**row, "v": "new"} for row in target if row["k"] < 30 and row["p"] != 1]
+    source.append({"k": 99, "v": "new", "p": 7, "q": "a"})
+    t = fresh()
+    write_table(spark.createDataFrame(target, schema), t, partition_by=partition_by)
+    keys = ["k", *partition_by]
+    merge_table(spark.createDataFrame(source, schema), t, keys)
+    expected = [tuple(r.values()) for r in brute_merge(target, source, keys)]
+    assert rows(spark, t, "k", "v", "p", "q") == sorted(expected, key=str)

@@ -23,7 +23,7 @@ STAGED = "__staged_"
 
 OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
 
-# Partition values listed in a filter; beyond it the join alone selects.
+# Partitions named in a filter; beyond it a join selects them.
 MAX_LISTED = 1_000
 
 
@@ -256,17 +256,21 @@ def _merge_partitions(
     partitions: Sequence[str],
 ) -> None:
     touched = source.select(*[F.col(quoted(p)) for p in partitions]).distinct()
-    whole = touched.filter(_all_set(partitions))
     affected = present.filter(_all_set(partitions))
-    for name in partitions:
-        values = whole.select(F.col(quoted(name))).distinct().limit(MAX_LISTED + 1).collect()
-        if len(values) <= MAX_LISTED:
-            affected = affected.filter(F.col(quoted(name)).isin([v[0] for v in values]))
-    affected = affected.alias("t").join(
-        whole.alias("p"), _equal_keys("t", "p", partitions), "left_semi"
-    )
+    listed = touched.limit(MAX_LISTED + 1).collect()
+    if len(listed) <= MAX_LISTED:
+        whole = [row for row in listed if all(value is not None for value in row)]
+        some_null = len(whole) < len(listed)
+        for i, name in enumerate(partitions):
+            affected = affected.filter(F.col(quoted(name)).isin([*{row[i] for row in whole}]))
+    else:
+        some_null = not touched.filter(~_all_set(partitions)).isEmpty()
+    if len(partitions) > 1 or len(listed) > MAX_LISTED:
+        affected = affected.alias("t").join(
+            touched.alias("p"), _equal_keys("t", "p", partitions), "left_semi"
+        )
     merged = _unmatched(affected, source, keys).unionByName(source)
-    if not touched.filter(~_all_set(partitions)).isEmpty():
+    if some_null:
         # Their folders are rewritten too; no row in them has a key that can match.
         merged = merged.unionByName(present.filter(~_all_set(partitions)))
     with _setting(source.sparkSession, OVERWRITE_SETTING, "dynamic"):
