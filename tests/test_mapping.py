@@ -99,6 +99,13 @@ def test_edge_inputs(spark):
         (("  integer  ",), "int", "ok"),
         (("\x1cinteger\x1f",), "int", "ok"),
         (("integer[ ]",), "string", "unknown"),
+        (("integer[ ][]",), "array<string>", "unknown"),
+        (("integer[[]]",), "string", "unknown"),
+        (("integer][]",), "array<string>", "unknown"),
+        (("integer\t[]\u2003[]",), "array<array<int>>", "ok"),
+        (("\u3000integer [] \x85",), "array<int>", "ok"),
+        (("   []",), "array<string>", "unknown"),
+        (("\u00e9t\u00e9",), "string", "unknown"),
         (("[]",), "array<string>", "unknown"),
         (("USER-DEFINED",), "string", "unknown"),
         (('"char"',), "string", "unknown"),
@@ -197,26 +204,26 @@ def test_no_shuffle(spark, capsys):
     assert not any(word in plan for word in ("Exchange", "Join", "Python"))
 
 
-blanks = st.text(alphabet=" \t\n  \x1d", max_size=3)
+blanks = st.text(alphabet=" \t\n\x1d\x85\u00a0\u2028", max_size=3)
 type_names = st.sampled_from([*EXPECTED, "hstore", "USER-DEFINED", "array"])
 
 
 @settings(
-    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     st.lists(
-        st.tuples(type_names, blanks, blanks, st.booleans(), st.integers(0, 3)),
+        st.tuples(type_names, blanks, blanks, blanks, st.booleans(), st.integers(0, 3)),
         min_size=1,
         max_size=60,
     )
 )
 def test_properties(spark, cases):
     spelled = [
-        (before + (name.upper() if upper else name) + "[]" * depth + after,)
-        for name, before, after, upper, depth in cases
+        (before + (name.upper() if upper else name) + (between + "[]") * depth + after,)
+        for name, before, between, after, upper, depth in cases
     ]
-    plain = [(name, None, None, None, None, depth) for name, _, _, _, depth in cases]
+    plain = [(name, None, None, None, None, depth) for name, _, _, _, _, depth in cases]
     a, b = mapped(spark, spelled), mapped(spark, plain)
     assert len(a) == len(cases)
     assert [(c.spark_type, c.status) for c in a] == [(c.spark_type, c.status) for c in b]

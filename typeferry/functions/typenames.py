@@ -14,11 +14,12 @@ _ARRAY_SUFFIX = rf"(?U)(?:{_BLANK}*\[\])+\z"
 
 def normalised(type_name: Column) -> Column:
     """Lower case, no blanks around."""
-    # Spaces are quick to trim; a pattern runs only where something else is left.
+    # Spaces are quick to trim. The slow pattern is for names that still begin or end
+    # with something else than a visible ASCII character.
     trimmed = F.trim(type_name)
-    other_blanks = trimmed.rlike(_OUTER_BLANKS)
+    clean = F.ascii(trimmed).between(33, 126) & F.ascii(F.right(trimmed, F.lit(1))).between(33, 126)
     return F.lower(
-        F.when(other_blanks, F.regexp_replace(type_name, _OUTER_BLANKS, "")).otherwise(trimmed)
+        F.when(clean, trimmed).otherwise(F.regexp_replace(type_name, _OUTER_BLANKS, ""))
     )
 
 
