@@ -436,6 +436,18 @@ def merge_partitioned(spark, sf_dir):
     return spark.table(target)
 
 
+def merge_moving(spark, sf_dir):
+    """As before, by the order alone: its row moves from one status to another."""
+    target = scratch_table(spark, "merge_moving")
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    write_table(
+        read(spark, sf_dir, "orders").select(*columns), target, partition_by=["o_orderstatus"]
+    )
+    incoming = revenue(spark, sf_dir, F.min("l_linestatus").alias("o_orderstatus"))
+    write_table(incoming, target, "merge", keys=["o_orderkey"])
+    return spark.table(target)
+
+
 # -- looking and checking --------------------------------------------------------------
 
 
@@ -541,6 +553,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         conform_embeddings, conform_money, conform_time, conform_lenient, lost_lineitem,
         write_overwrite, write_append, write_partitioned, write_partitioned_append,
         write_lineitem, merge_orders, merge_accounts, merge_partitioned,
+        merge_moving,
         count_tables, preview_orders, reconcile_orders, reconcile_append,
         ingest_orders, ingest_lineitem, ingest_documents, ingest_merge, ingest_all,
     )

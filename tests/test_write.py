@@ -403,7 +403,10 @@ def test_target_defaults_to_the_source_name():
 
 @pytest.mark.parametrize("most", [0, 1, 1000])
 @pytest.mark.parametrize("partition_by", [["p"], ["p", "q"]])
-def test_merge_of_partitions_by_list_and_by_join(spark, fresh, monkeypatch, most, partition_by):
+@pytest.mark.parametrize("all_keys", [True, False])
+def test_merge_of_partitions_by_list_and_by_join(
+    spark, fresh, monkeypatch, most, partition_by, all_keys
+):
     import typeferry.operators.write as write
 
     monkeypatch.setattr(write, "MAX_LISTED", most)
@@ -416,7 +419,66 @@ def test_merge_of_partitions_by_list_and_by_join(spark, fresh, monkeypatch, most
     source.append({"k": 99, "v": "new", "p": 7, "q": "a"})
     t = fresh()
     write_table(spark.createDataFrame(target, schema), t, partition_by=partition_by)
-    keys = ["k", *partition_by]
+    keys = ["k", *partition_by] if all_keys else ["k"]
     merge_table(spark.createDataFrame(source, schema), t, keys)
     expected = [tuple(r.values()) for r in brute_merge(target, source, keys)]
     assert rows(spark, t, "k", "v", "p", "q") == sorted(expected, key=str)
+
+
+MOVES = {
+    "to another partition": [(1, "n", "b")],
+    "the last row of a partition": [(3, "n", "a")],
+    "all rows of two partitions": [(3, "n", "new"), (4, "n", "new")],
+    "out of the null partition": [(5, "n", "a")],
+    "into the null partition": [(3, "n", None)],
+    "nowhere": [],
+    "only new rows": [(50, "n", "z"), (None, "n", "z")],
+    "odd names": [(6, "n", "x'y\\z/ö %")],
+    "out of odd names": [(7, "n", "a")],
+}
+
+
+@pytest.mark.parametrize("move", MOVES)
+@pytest.mark.parametrize("external", [False, True])
+def test_merge_that_moves_rows_between_partitions(spark, fresh, tmp_path, move, external):
+    target = [(1, "o", "a"), (2, "o", "a"), (3, "o", "c"), (4, "o", "d"), (5, "o", None),
+              (6, "o", "b"), (7, "o", "x'y\\z/ö %"), (None, "o", "b"), (8, "o", "far")]
+    schema = "k int, v string, p string"
+    t = fresh()
+    writer = spark.createDataFrame(target, schema).write.partitionBy("p")
+    if external:
+        writer = writer.option("path", str(tmp_path / "own"))
+    writer.saveAsTable(t)
+    far = spark.table(t).filter("p = 'far'").select(F.input_file_name())
+    before = far.first()
+    merge_table(spark.createDataFrame(MOVES[move], schema), t, ["k"])
+
+    as_dicts = [[dict(zip("kvp", r)) for r in side] for side in (target, MOVES[move])]
+    expected = [tuple(r.values()) for r in brute_merge(*as_dicts, ["k"])]
+    assert rows(spark, t, "k", "v", "p") == sorted(expected, key=str)
+    spark.sql(f"MSCK REPAIR TABLE {t}")
+    assert spark.table(t).count() == len(expected)
+    if not external and move != "out of the null partition":
+        far = spark.table(t).filter("p = 'far'").select(F.input_file_name())
+        assert far.first() == before  # not rewritten
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("date", ["2024-01-01", "2024-02-29"]),
+    ("decimal(5,2)", ["1.50", "-0.05"]),
+    ("boolean", ["true", "false"]),
+    ("bigint", ["-7", "8"]),
+    ("timestamp", ["2024-01-01 10:00:00", "2024-01-01 10:00:00.25"]),
+])
+def test_emptied_partition_of_each_type(spark, fresh, kind, values):
+    a, b = [F.lit(v).cast(kind).alias("p") for v in values]
+    one = spark.range(1)
+    t = fresh()
+    write_table(
+        one.select(F.lit(1).alias("k"), a).union(one.select(F.lit(2).alias("k"), b)), t,
+        partition_by=["p"],
+    )
+    merge_table(one.select(F.lit(1).alias("k"), b), t, ["k"])
+    found = spark.table(t).select("k", F.col("p").cast("string")).collect()
+    assert sorted(map(tuple, found)) == [(1, values[1]), (2, values[1])]
+    assert spark.sql(f"SHOW PARTITIONS {t}").count() == 1

@@ -19,6 +19,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _form(
     read_as: T.DataType, base_type: str | None
 ) -> tuple[Callable[[Column], Column], T.DataType] | None:

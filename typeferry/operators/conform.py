@@ -55,12 +55,13 @@ def lossy_columns(df: DataFrame, columns: Sequence[MappedColumn]) -> list[Mapped
     return [c for c in columns if casts.can_lose(*readable[c.column_name][1:])]
 
 
-def lost_values(df: DataFrame, columns: Sequence[MappedColumn]) -> list[Column]:
-    """Per column, true on the rows whose value the mapped type cannot hold."""
+def lost_values(df: DataFrame, columns: Sequence[MappedColumn]) -> list[Column | None]:
+    """Per column, true on the rows whose value the mapped type cannot hold; ``None`` for
+    a column where that cannot be."""
     read_types = _read_types(df, columns)
-    flags = []
+    flags: list[Column | None] = []
     for column in columns:
         value, read_as, target = _readable(column, read_types)
         may_lose = casts.can_lose(read_as, target)
-        flags.append(casts.is_lost(value, read_as, target) if may_lose else F.lit(False))
+        flags.append(casts.is_lost(value, read_as, target) if may_lose else None)
     return flags

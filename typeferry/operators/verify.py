@@ -29,20 +29,29 @@ def column_checks(df: DataFrame, columns: Sequence[MappedColumn]) -> DataFrame:
 
     One pass over the named columns, partial counts before the only exchange.
     """
-    counts = [F.count(F.lit(1)).alias("rows")]
+    counts = [F.count(F.lit(1)).alias("n_rows")]
+    set_counts, lost_counts = [], []
     for i, (column, is_lost) in enumerate(zip(columns, lost_values(df, columns))):
         counts.append(F.count(F.col(quoted(column.column_name))).alias(f"set_{i}"))
-        counts.append(F.count_if(is_lost).alias(f"lost_{i}"))
-    per_column = [
-        F.struct(
-            F.lit(column.column_name).alias("column_name"),
-            F.col("rows").alias("n_rows"),
-            (F.col("rows") - F.col(f"set_{i}")).alias("n_nulls"),
-            F.col(f"lost_{i}").alias("n_lost"),
+        set_counts.append(f"set_{i}")
+        if is_lost is None:
+            lost_counts.append("0L")
+        else:
+            counts.append(F.count_if(is_lost).alias(f"lost_{i}"))
+            lost_counts.append(f"lost_{i}")
+    # One expression, not one per column: a table may have 1,600.
+    pairs = F.expr(f"arrays_zip(array({', '.join(set_counts)}), array({', '.join(lost_counts)}))")
+    names = F.lit([column.column_name for column in columns])
+    return (
+        df.agg(*counts)
+        .select("n_rows", F.posexplode(pairs).alias("at", "pair"))
+        .select(
+            F.element_at(names, F.col("at") + 1).alias("column_name"),
+            "n_rows",
+            (F.col("n_rows") - F.col("pair.`0`")).alias("n_nulls"),
+            F.col("pair.`1`").alias("n_lost"),
         )
-        for i, column in enumerate(columns)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*per_column)))
+    )
 
 
 def reconcile(

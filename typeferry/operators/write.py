@@ -8,10 +8,10 @@ from contextlib import contextmanager, nullcontext
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from typeferry.functions.casts import quoted, strict_cast
+from typeferry.functions.casts import quoted, strict_cast, text_literal
 from typeferry.operators.scratch import landed
 
 MODES = ("overwrite", "append", "merge", "ignore", "error", "errorifexists", "default")
@@ -158,8 +158,9 @@ def merge_table(
     """Rows of ``df`` replace the rows of ``target`` with equal keys, or are added.
 
     Null keys equal nothing, so such rows of both sides stay. Two rows of ``df`` with
-    one key are an error. A missing target is created. Where the table is partitioned
-    by some of the keys, only the partitions ``df`` touches are rewritten.
+    one key are an error. A missing target is created. Of a partitioned table only the
+    partitions that lose or gain rows are rewritten. A merge that was cut off can be run
+    again.
 
     ``df`` is read for the check, for its keys and for its rows, and all must agree: it
     is written to a scratch table first, unless it is ``stable``, that is, gives the same
@@ -189,11 +190,10 @@ def _merge(
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
     partitions = partition_columns(spark, target)
-    if partitions and set(partitions) <= set(keys):
-        _merge_partitions(source, present, target, keys, partitions)
-    else:
-        merged = _unmatched(present, source, keys).unionByName(source)
-        _replace(merged, target, partitions, fmt)
+    if partitions and _merge_partitions(source, present, target, keys, partitions):
+        return
+    merged = _unmatched(present, source, keys).unionByName(source)
+    _replace(merged, target, partitions, fmt)
 
 
 def _all_set(columns: Sequence[str]) -> Column:
@@ -254,25 +254,95 @@ def _merge_partitions(
     target: str,
     keys: Sequence[str],
     partitions: Sequence[str],
-) -> None:
-    touched = source.select(*[F.col(quoted(p)) for p in partitions]).distinct()
-    affected = present.filter(_all_set(partitions))
-    listed = touched.limit(MAX_LISTED + 1).collect()
-    if len(listed) <= MAX_LISTED:
-        whole = [row for row in listed if all(value is not None for value in row)]
-        some_null = len(whole) < len(listed)
-        for i, name in enumerate(partitions):
-            affected = affected.filter(F.col(quoted(name)).isin([*{row[i] for row in whole}]))
+) -> bool:
+    """Merges by rewriting the touched partitions; False where all must be rewritten."""
+    spark = source.sparkSession
+    columns = [F.col(quoted(p)) for p in partitions]
+    incoming = source.select(*columns).distinct()
+    touched = {tuple(row) for row in incoming.limit(MAX_LISTED + 1).collect()}
+    emptied: list[Row] = []
+    if not set(partitions) <= set(keys):
+        # A row may move: the partitions it leaves must be found by its key.
+        hit = _hit_partitions(source, present, keys, partitions).limit(MAX_LISTED + 1).collect()
+        emptied = [r for r in hit if r["n_kept"] == 0 and r[: len(partitions)] not in touched]
+        touched |= {r[: len(partitions)] for r in hit}
+        if len(touched) > MAX_LISTED or (emptied and not _can_drop(spark, target, emptied)):
+            return False
+
+    if len(touched) <= MAX_LISTED:
+        affected = present.filter(_in_partitions(partitions, touched))
+        merged = _unmatched(affected, source, keys).unionByName(source)
     else:
-        some_null = not touched.filter(~_all_set(partitions)).isEmpty()
-    if len(partitions) > 1 or len(listed) > MAX_LISTED:
-        affected = affected.alias("t").join(
-            touched.alias("p"), _equal_keys("t", "p", partitions), "left_semi"
+        whole = incoming.filter(_all_set(partitions))
+        affected = present.alias("t").join(
+            whole.alias("p"), _equal_keys("t", "p", partitions), "left_semi"
         )
-    merged = _unmatched(affected, source, keys).unionByName(source)
-    if some_null:
-        # Their folders are rewritten too; no row in them has a key that can match.
-        merged = merged.unionByName(present.filter(~_all_set(partitions)))
-    with _setting(source.sparkSession, OVERWRITE_SETTING, "dynamic"):
+        merged = _unmatched(affected, source, keys).unionByName(source)
+        if not incoming.filter(~_all_set(partitions)).isEmpty():
+            # A null is no key: those rows all stay, but their folders are rewritten.
+            merged = merged.unionByName(present.filter(~_all_set(partitions)))
+
+    with _setting(spark, OVERWRITE_SETTING, "dynamic"):
         rows = merged.select(*[F.col(quoted(c)) for c in present.columns])
         _spread(rows, partitions).write.insertInto(target, overwrite=True)
+    # Last: a run cut off before this finds the same partitions again.
+    for row in emptied:
+        values = ", ".join(
+            f"{quoted(p)} = {text_literal(row[f'text_{i}'])}" for i, p in enumerate(partitions)
+        )
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({values})")
+    return True
+
+
+def _hit_partitions(
+    source: DataFrame, present: DataFrame, keys: Sequence[str], partitions: Sequence[str]
+) -> DataFrame:
+    """The partitions that lose rows, and how many rows of each stay.
+
+    Reads the key and partition columns of the target only.
+    """
+    named = [F.col(quoted(c)) for c in dict.fromkeys([*keys, *partitions])]
+    columns = [F.col(quoted(p)) for p in partitions]
+    new_keys = source.select(*[F.col(quoted(k)) for k in keys]).filter(_all_set(keys))
+    located = present.select(*named)
+    keyed = (
+        located.filter(_all_set(keys))
+        .alias("t")
+        .join(new_keys.withColumn("_hit", F.lit(1)).alias("s"), _equal_keys("t", "s", keys), "left")
+        .select(*[F.col(f"t.{quoted(p)}") for p in partitions], F.col("_hit"))
+    )
+    unkeyed = located.filter(~_all_set(keys)).select(*columns, F.lit(None).cast("int").alias("_hit"))
+    return (
+        keyed.unionByName(unkeyed)
+        .groupBy(*columns)
+        .agg(
+            F.count("_hit").alias("n_hit"),
+            (F.count(F.lit(1)) - F.count("_hit")).alias("n_kept"),
+        )
+        .filter(F.col("n_hit") > 0)
+        .select(
+            *columns,
+            "n_kept",
+            *[c.cast("string").alias(f"text_{i}") for i, c in enumerate(columns)],
+        )
+    )
+
+
+def _can_drop(spark: SparkSession, target: str, emptied: Sequence[Row]) -> bool:
+    """Dropping a partition of an external table leaves its files, and a null has no name."""
+    managed = spark.catalog.getTable(target).tableType == "MANAGED"
+    return managed and not any(value is None for row in emptied for value in row)
+
+
+def _in_partitions(partitions: Sequence[str], values: set[tuple]) -> Column:
+    columns = [F.col(quoted(p)) for p in partitions]
+    if len(columns) == 1:
+        given = [v for (v,) in values if v is not None]
+        found = columns[0].isin(given)
+        return found | columns[0].isNull() if (None,) in values else found
+    either = F.lit(False)
+    for row in values:
+        either = either | reduce(
+            lambda a, b: a & b, [c.eqNullSafe(F.lit(v)) for c, v in zip(columns, row)]
+        )
+    return either
