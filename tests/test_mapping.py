@@ -151,6 +151,15 @@ def test_only_the_type_is_needed(spark):
     assert (row.spark_type, row.nullable, row.status) == ("array<int>", True, "ok")
 
 
+def test_upper_case_catalog(spark):
+    frame = descriptors(spark, [("numeric", None, 12, 3, "NO"), ("integer", None, None, None, "NO", 1)])
+    shouting = frame.toDF(*[name.upper() for name in frame.columns])
+    columns = mapped_columns(map_types(shouting), "t", "public")
+    assert [(c.spark_type, c.nullable) for c in columns] == [
+        ("decimal(12,3)", False), ("array<int>", False),
+    ]
+
+
 def test_schema_of_dictionaries(spark):
     schema = build_spark_schema(
         [

@@ -1,5 +1,7 @@
 """Writers, merge, checks and the whole ingest, on frames."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -482,3 +484,42 @@ def test_emptied_partition_of_each_type(spark, fresh, kind, values):
     found = spark.table(t).select("k", F.col("p").cast("string")).collect()
     assert sorted(map(tuple, found)) == [(1, values[1]), (2, values[1])]
     assert spark.sql(f"SHOW PARTITIONS {t}").count() == 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("partition_by, keys", [
+    ([], ["k"]), (["p"], ["k"]), (["p"], ["k", "p"]), (["p", "q"], ["k", "q"]),
+])
+def test_merge_of_random_rows(spark, fresh, seed, partition_by, keys):
+    draw = random.Random(seed)
+    schema = "k int, v string, p string, q int"
+
+    def some(n, v):
+        return [
+            {"k": draw.choice([None, *range(8)]), "v": f"{v}{i}",
+             "p": draw.choice([None, "a", "b", "c"]), "q": draw.choice([None, 1, 2])}
+            for i in range(n)
+        ]
+
+    target, source, seen = some(30, "old"), [], set()
+    for row in some(10, "new"):
+        key = tuple(row[k] for k in keys)
+        if None in key or key not in seen:
+            seen.add(key)
+            source.append(row)
+    t = fresh()
+    write_table(spark.createDataFrame(target, schema), t, partition_by=partition_by)
+    merge_table(spark.createDataFrame(source, schema), t, keys)
+    expected = [tuple(r.values()) for r in brute_merge(target, source, keys)]
+    assert rows(spark, t, "k", "v", "p", "q") == sorted(expected, key=str)
+
+
+def test_delta_is_left_to_spark(spark, fresh):
+    """Not installed here: both calls must fail in Spark, with well-formed requests."""
+    t = fresh()
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        write_table(pairs(spark, (1, "a")), t, fmt="delta")
+    write_table(pairs(spark, (1, "a")), t)
+    with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
+        merge_table(pairs(spark, (1, "b")), t, ["k"], fmt="delta")
+    assert rows(spark, t) == [(1, "a")]

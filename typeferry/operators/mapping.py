@@ -45,8 +45,13 @@ class MappedColumn(NamedTuple):
         return T.DataType.fromDDL(self.spark_type)
 
 
+def _has(descriptors: DataFrame, field: str) -> bool:
+    # Some drivers give the names of catalog columns in upper case.
+    return field in (name.lower() for name in descriptors.columns)
+
+
 def _optional(descriptors: DataFrame, field: str) -> Column:
-    if field in descriptors.columns:
+    if _has(descriptors, field):
         return F.col(field).cast(DESCRIPTOR[field].dataType)
     return F.lit(None).cast(DESCRIPTOR[field].dataType)
 
@@ -136,7 +141,7 @@ def mapped_columns(
         mapped = mapped.filter(F.col("table_schema") == schema)
     if table is not None:
         mapped = mapped.filter(F.col("table_name") == table)
-    if "ordinal_position" in mapped.columns:
+    if _has(mapped, "ordinal_position"):
         mapped = mapped.orderBy("ordinal_position")
     # A table has at most 1,600 columns.
     rows = mapped.select(*MappedColumn._fields).collect()

@@ -40,7 +40,8 @@ def write_table(
 
     ``overwrite`` builds the new table beside the old one and then puts it in its place,
     so a failing job leaves the old rows; it may read the table it replaces. A new table
-    is built the same way. Two runs must not write one target at the same time.
+    is built the same way. Properties and rights given to the old table are not taken
+    over, and two runs must not write one target at the same time.
     ``append`` keeps the partitioning the table has. ``merge`` needs ``keys``; see
     ``merge_table`` for ``stable``.
     """
