@@ -222,3 +222,17 @@ def test_blocks_are_covered_once(blocks, partitions):
         assert len(reading) == 1
         sizes[reading[0]] += block < blocks
     assert max(sizes) - min(sizes) <= 1
+
+
+def test_spark_takes_the_text_schema(spark):
+    """Spark's own merge of the setting with the types it found, called without a database."""
+    found = T.StructType.fromDDL(
+        "id INT, at TIMESTAMP, `a``b` DECIMAL(38,0), tags ARRAY<STRING>, cost STRING"
+    )
+    jvm = spark._jvm.org.apache.spark.sql
+    merged = jvm.execution.datasources.jdbc.JdbcUtils.getCustomSchema(
+        jvm.types.DataType.fromJson(found.json()),
+        SOURCE.text_schema(COLUMNS),
+        spark._jsparkSession.sessionState().conf().resolver(),
+    )
+    assert merged.simpleString() == "struct<id:int,at:string,a`b:string,tags:array<string>,cost:string>"

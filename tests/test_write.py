@@ -514,12 +514,34 @@ def test_merge_of_random_rows(spark, fresh, seed, partition_by, keys):
     assert rows(spark, t, "k", "v", "p", "q") == sorted(expected, key=str)
 
 
-def test_delta_is_left_to_spark(spark, fresh):
+def test_delta_is_left_to_spark(spark, fresh, monkeypatch):
     """Not installed here: both calls must fail in Spark, with well-formed requests."""
+    import typeferry.operators.write as write
+
     t = fresh()
     with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
         write_table(pairs(spark, (1, "a")), t, fmt="delta")
     write_table(pairs(spark, (1, "a")), t)
+    monkeypatch.setattr(write, "TRANSACTIONAL", ("parquet",))
     with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
-        merge_table(pairs(spark, (1, "b")), t, ["k"], fmt="delta")
+        merge_table(pairs(spark, (1, "b")), t, ["k"])
+    assert rows(spark, t) == [(1, "a")]
+
+
+def test_format_of_the_table_is_kept(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t, fmt="orc")
+    write_table(pairs(spark, (2, "b")), t, "append")
+    merge_table(pairs(spark, (2, "c")), t, ["k"])
+    assert rows(spark, t) == [(1, "a"), (2, "c")]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").filter("col_name = 'Provider'")
+    assert described.first()["data_type"] == "orc"
+
+
+def test_keys_that_become_one_in_the_target(spark, fresh):
+    t = fresh()
+    write_table(pairs(spark, (1, "a")), t)
+    texts = spark.createDataFrame([("1", "x"), (" 1", "y")], "k string, v string")
+    with pytest.raises(ValueError, match="more than one source row"):
+        merge_table(texts, t, ["k"])
     assert rows(spark, t) == [(1, "a")]

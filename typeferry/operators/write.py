@@ -42,8 +42,8 @@ def write_table(
     so a failing job leaves the old rows; it may read the table it replaces. A new table
     is built the same way. Properties and rights given to the old table are not taken
     over, and two runs must not write one target at the same time.
-    ``append`` keeps the partitioning the table has. ``merge`` needs ``keys``; see
-    ``merge_table`` for ``stable``.
+    ``append`` and ``merge`` keep the format and the partitioning the table has; ``merge``
+    needs ``keys``, and ``merge_table`` explains ``stable``.
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {', '.join(MODES)}")
@@ -56,8 +56,9 @@ def write_table(
     if fmt not in TRANSACTIONAL and (mode == "overwrite" or not exists):
         _replace(df, target, partition_by, fmt)
         return
-    if mode == "append" and exists and not partition_by:
-        partition_by = partition_columns(spark, target)
+    if mode == "append" and exists:
+        partition_by = partition_by or partition_columns(spark, target)
+        fmt = _format(spark, target)
     _save(df, target, mode, partition_by, fmt)
 
 
@@ -81,6 +82,12 @@ def _save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str], fm
     writer.saveAsTable(target)
 
 
+def _format(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    # The last one: a column may have that name.
+    return described.filter("col_name = 'Provider'").collect()[-1]["data_type"].lower()
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -99,7 +106,7 @@ def _replace(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str)
     staged = _suffixed(target, f"{STAGED}{stamp}_{uuid.uuid4().hex}")
     _save(df, staged, "error", partition_by, fmt)
     if not spark.catalog.tableExists(target):
-        _rename(spark, staged, target)
+        _rename(spark, staged, target, bool(partition_by))
     elif spark.catalog.getTable(target).tableType == "EXTERNAL":
         # Its folder is not ours to move: copy into it.
         rows = spark.table(staged).select(*[F.col(quoted(c)) for c in spark.table(target).columns])
@@ -108,12 +115,12 @@ def _replace(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str)
         spark.sql(f"DROP TABLE {staged}")
     else:
         spark.sql(f"DROP TABLE {target}")
-        _rename(spark, staged, target)
+        _rename(spark, staged, target, bool(partition_by))
 
 
-def _rename(spark: SparkSession, staged: str, target: str) -> None:
+def _rename(spark: SparkSession, staged: str, target: str, partitioned: bool) -> None:
     spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
-    if partition_columns(spark, target):
+    if partitioned:
         # The catalog may still hold the folders of the old name.
         spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
     spark.catalog.refreshTable(target)
@@ -130,7 +137,8 @@ def finish_swap(spark: SparkSession, target: str) -> None:
     found = spark.catalog.listTables(database or None, f"{name}{STAGED}*")
     staged = [_suffixed(target, t.name[len(name) :]) for t in sorted(found, key=lambda t: t.name)]
     if staged and not spark.catalog.tableExists(target):
-        _rename(spark, staged.pop(), target)
+        whole = staged.pop()
+        _rename(spark, whole, target, bool(partition_columns(spark, whole)))
     for table in staged:
         spark.sql(f"DROP TABLE {table}")
 
@@ -180,12 +188,15 @@ def _merge(
     source: DataFrame, target: str, keys: list[str], partition_by: Sequence[str], fmt: str
 ) -> None:
     spark = source.sparkSession
-    _reject_repeated_keys(source, keys)
     if not spark.catalog.tableExists(target):
+        _reject_repeated_keys(source, keys)
         write_table(source, target, "error", partition_by, fmt)
         return
     present = spark.table(target)
+    # In the types of the target two keys may be one.
     source = _aligned(source, present)
+    _reject_repeated_keys(source, keys)
+    fmt = _format(spark, target)
     if fmt in TRANSACTIONAL:
         merge = source.alias("s").mergeInto(target, _equal_keys("s", target, keys))
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()

@@ -31,7 +31,8 @@ class ByRange:
     """Equal strides of one numeric, date or timestamp column.
 
     Bounds left out are looked up in the table. Values are assumed to be spread
-    evenly: for a column with heavy values use ``ByBlocks``.
+    evenly, and nulls all go to the first stride: for a column with heavy values or
+    many nulls use ``ByBlocks``.
     """
 
     column: str
