@@ -209,8 +209,8 @@ def test_schema_build(spark):
 def test_no_shuffle(spark, capsys):
     map_types(descriptors(spark, [("int",)])).explain()
     plan = capsys.readouterr().out
-    assert "Project" in plan
-    assert not any(word in plan for word in ("Exchange", "Join", "Python"))
+    assert "BroadcastHashJoin" in plan
+    assert not any(word in plan for word in ("hashpartitioning", "SortMergeJoin", "Python"))
 
 
 blanks = st.text(alphabet=" \t\n\x1d\x85\u00a0\u2028", max_size=3)

@@ -63,7 +63,7 @@ def map_types(descriptors: DataFrame) -> DataFrame:
     without a rule and ``invalid_decimal`` for a precision or scale Spark cannot hold,
     both mapped to string; ``missing`` where the data type is null.
 
-    Projections only: descriptors are neither shuffled nor joined.
+    Projections, and one broadcast join with the 68 rules: descriptors are never shuffled.
     """
     name = names.normalised(F.col("data_type"))
     shaped = (
@@ -90,8 +90,10 @@ def map_types(descriptors: DataFrame) -> DataFrame:
         .when(udt_name.startswith("_"), F.lower(F.substr(udt_name, F.lit(2))))
         .otherwise(F.lit("text"))
     )
-    found = shaped.withColumn("base_type", element).withColumn(
-        "_rule", rules.rule_type(F.col("base_type"))
+    found = shaped.withColumn("base_type", element).join(
+        F.broadcast(rules.rules_frame(descriptors.sparkSession)),
+        F.col("base_type") == F.col("_name_ruled"),
+        "left",
     )
 
     precision = F.coalesce(
