@@ -1,0 +1,89 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from typeferry.llm import language
+from typeferry.llm.common import bucket
+from typeferry.llm.queries import op8_language
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_trigrams(text):
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    mixed = []
+    for w in words:
+        for a, b, c in zip(f" {w}", w, f"{w[1:]} "):
+            x = ((ord(a) << 42) ^ (ord(b) << 21) ^ ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+            mixed.append(x >> 48)
+    return mixed
+
+
+@pytest.mark.parametrize("text", [None, "", "12 .", "a", "Straße, ÉTÉ-2 l'eau", "x y " * 9000])
+def test_trigrams(text):
+    assert language.trigrams(text).tolist() == plain_trigrams(text)
+
+
+def test_long_text_across_spans(monkeypatch):
+    text = "the quick brown fox " * 30
+    whole = language.trigrams(text).tolist()
+    monkeypatch.setattr(language, "SPAN", 7)
+    assert language.trigrams(text).tolist() == whole
+
+
+def test_fit_finds_shares():
+    rng = np.random.default_rng(1)
+    likelihood = rng.dirichlet(np.full(400, 0.3), 3).T + 1e-6
+    shares = np.array([0.7, 0.3, 0.0])
+    counts = rng.multinomial(20_000, likelihood @ shares / (likelihood @ shares).sum())
+    found, reached = language.fit(likelihood, counts.astype(float), rounds=500)
+    assert np.abs(found - shares).max() < 0.03
+    one, lower = language.fit(likelihood[:, :1], counts.astype(float))
+    assert one.tolist() == [1.0] and lower < reached
+
+
+def test_held_out_accuracy(spark):
+    got = op8_language(spark, SF_DIR)
+    assert got.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    rows = got.join(docs, "doc_id").where("held_out and lang_pred <> 'und'").collect()
+    assert got.count() == docs.count()
+    assert len(rows) > 150
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    return language.learn(docs, bucket(F.col("doc_id"), 5) != 0), docs
+
+
+def test_mixture_of_two(model):
+    fitted, docs = model
+    pure = {}
+    for r in docs.where("length(text) between 2000 and 6000").select("lang", "text").collect():
+        found = fitted.mixture(r.text)
+        if found["lang"] == r.lang and found["share"] > 0.99:
+            pure.setdefault(r.lang, r.text)
+    found = fitted.mixture(pure["en"][:2000] + " " + pure["de"][:1000])
+    assert [m["lang"] for m in found["mix"]] == ["en", "de"]
+    assert abs(found["share"] - 2 / 3) < 0.1
+    strange = fitted.mixture("щука плыла вниз по реке " * 9)
+    assert strange["other"] > 0.5
+
+
+def test_odd_rows(spark, model):
+    fitted, docs = model
+    rows = [(1, None, "en"), (2, "", "en"), (3, "123 !?", None), (4, None, None)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string").select(
+        "*", F.lit(0).alias("mixture_"), F.lit(1).alias("share")
+    )
+    found = odd.select(language.mixtures(odd, fitted).alias("m")).collect()
+    assert {(r.m.lang, r.m.share, r.m.other) for r in found} == {(None, 0.0, 0.0)}
+    assert language.identified(odd, fitted).count() == 0
+    assert language.identified(odd, fitted).columns == odd.columns
+    empty = language.learn(docs.limit(0), F.lit(True))
+    assert empty.languages == () and empty.mixture("some text") is None
+    clean = docs.where("lang is not null and length(text) > 500")
+    assert language.identified(clean, fitted).count() > 0.98 * clean.count()

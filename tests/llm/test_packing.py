@@ -1,0 +1,132 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from typeferry.llm import packing
+from typeferry.llm.queries import op7_packing
+from typeferry.llm.tokens import Encoder, byte_chunks, public_path
+
+SF_DIR = "/root/testdata/sf0.001"
+BYTES, WORDS = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    out = {}
+    for path in (BYTES, WORDS):
+        out[path] = Tokenizer.from_file(path)
+        out[path].encode_special_tokens = True
+    return out
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    return {path: Encoder(path) for path in (BYTES, WORDS)}
+
+
+ALPHABET = "aAzé 's\n\t.1<|> ́\x1cΣ中ß "
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from(ALPHABET), max_size=30) | st.text(max_size=30))
+def test_words_give_the_same_ids(library, encoders, text):
+    for path in (BYTES, WORDS):
+        expected = library[path].encode(text, add_special_tokens=False).ids
+        assert encoders[path].encode([text])[0].tolist() == expected
+
+
+def test_irregular_white_space_is_encoded_whole():
+    assert byte_chunks("ab c\nd") == ["ab", " c", "\n", "d"]
+    for text in ("a  b", " a", "a ", "a\n\nb", "a\tb", "a \nb"):
+        assert byte_chunks(text) is None
+
+
+def plain_best_fit(lengths, window):
+    rooms, places = [], []
+    for n in lengths:
+        fits = [r for r in rooms if r >= n]
+        room = min(fits) if fits else window
+        if fits:
+            rooms.remove(room)
+        rooms.append(room - n)
+        places.append(window - room)
+    return places, len(rooms)
+
+
+@pytest.mark.parametrize("window", [1, 7, 16, 2048])
+def test_best_fit_against_a_scan(window):
+    rng = random.Random(window)
+    for _ in range(20):
+        lengths = sorted((rng.randint(1, window) for _ in range(120)), reverse=True)
+        found, offsets = packing.best_fit(lengths, window)
+        places, n = plain_best_fit(lengths, window)
+        assert offsets == places and len(set(found)) == n
+
+
+def check_layout(rows, window=2048):
+    by_sequence, by_doc = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+        by_doc[r.doc_id].append((r.start, r.length, r.doc_tokens))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= window
+    for parts in by_doc.values():
+        at = 0
+        for start, length, _ in sorted(parts):
+            assert start == at
+            at += length
+        assert {t for *_, t in parts} == {at}
+    used = sum(r.length for r in rows)
+    return used / (len(by_sequence) * window)
+
+
+def test_query_against_the_library(spark, library):
+    rows = op7_packing(spark, SF_DIR).collect()
+    assert check_layout(rows) > 0.97
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    ids = {
+        d.doc_id: library[BYTES].encode(d.text or "", add_special_tokens=False).ids + [1]
+        for d in docs
+    }
+    assert {r.doc_id for r in rows} == set(ids)
+    for r in rows:
+        own = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()
+        assert r.ids_crc32 == zlib.crc32(own) and r.doc_tokens == len(ids[r.doc_id])
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    cut = packing.pieces(docs, BYTES, 1, window=256).cache()
+    placed = packing.assign(cut, 256, group_pieces=50)
+    at = {(r.doc_id, r.start): bytes(r.ids) for r in cut.collect()}
+    out = {r.sequence_id: r for r in packing.sequences(cut, placed, 9, 256).collect()}
+    for r in placed.collect():
+        whole = bytes(out[r.sequence_id].ids)
+        n = out[r.sequence_id].n_tokens
+        assert whole[4 * r.offset : 4 * (r.offset + r.length)] == at[r.doc_id, r.start]
+        assert len(whole) == 4 * (n if n.bit_count() == 1 else 256)
+
+
+def test_odd_rows(spark):
+    long = "word " * 30_000
+    rows = [(1, None), (2, ""), (None, "x"), (None, "x"), (4, "same"), (4, "same"), (5, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit(1).alias("ids"), F.lit(2).alias("start"), F.lit(3).alias("group")
+    )
+    found = packing.pack_documents(docs).collect()
+    assert sum(r.length for r in found if r.doc_id in (1, 2)) == 2
+    assert sorted(str(r.doc_id) for r in found if r.doc_id != 5) == ["1", "2", "4", "4", "None", "None"]
+    tail = [r for r in found if r.doc_id == 5]
+    assert sum(r.length for r in tail) == tail[0].doc_tokens > 30_000
+    assert packing.pack_documents(docs.limit(0)).count() == 0

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from typeferry.llm import simhash
-from typeferry.llm.common import read
+from typeferry.llm import language, packing, simhash
+from typeferry.llm.common import bucket, read
+from typeferry.llm.tokens import public_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +18,36 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack_documents(
+        read(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"), end_id=1
+    )
+    return placed.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(bucket(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = language.learn(docs, ~held_out)
+    found = docs.select(
+        "doc_id", held_out.alias("held_out"), language.mixtures(docs, model).alias("found")
+    )
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.coalesce("found.lang", F.lit("und")).alias("lang_pred"),
+        F.col("found.share").alias("score"),
+        F.col("found.other").alias("other"),
+        F.transform("found.mix", lambda m: m["lang"]).alias("languages"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op7_packing": op7_packing,
+    "op8_language": op8_language,
 }
 
 ORACLES: dict[str, str] = {}
