@@ -11,7 +11,8 @@ from tokenizers import Tokenizer
 
 from typeferry.llm import packing
 from typeferry.llm.queries import op7_packing
-from typeferry.llm.tokens import Encoder, byte_chunks, public_path
+from typeferry.llm import tokens
+from typeferry.llm.tokens import Encoder, public_path, regular
 
 SF_DIR = "/root/testdata/sf0.001"
 BYTES, WORDS = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
@@ -43,9 +44,25 @@ def test_words_give_the_same_ids(library, encoders, text):
 
 
 def test_irregular_white_space_is_encoded_whole():
-    assert byte_chunks("ab c\nd") == ["ab", " c", "\n", "d"]
-    for text in ("a  b", " a", "a ", "a\n\nb", "a\tb", "a \nb"):
-        assert byte_chunks(text) is None
+    for text in ("a", "ab c\nd", "a\u200bb c"):
+        assert regular(text)
+    for text in ("a  b", " a", "a ", "a\n\nb", "a\tb", "a \nb", "a\xa0b c", "\n"):
+        assert not regular(text)
+
+
+def test_ids_while_the_cache_turns_over(library, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 200)
+    monkeypatch.setattr(tokens, "JOINED", 7)
+    rng = random.Random(1)
+    letters = "abcé'1.\x01|"
+    texts = [
+        " ".join("".join(rng.choices(letters, k=rng.randint(1, 4))) for _ in range(30)) + "\nx"
+        for _ in range(60)
+    ]
+    for path in (BYTES, WORDS):
+        expected = [x.ids for x in library[path].encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in Encoder(path).encode(texts)] == expected
 
 
 def plain_best_fit(lengths, window):

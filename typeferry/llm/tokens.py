@@ -2,49 +2,48 @@
 
 Both vocabularies cut a text into pieces before they merge, and no piece spans the edge of a
 word: the ids of a text are those of its words, one after the other. Words recur, so a worker
-keeps the ids of those it has met, up to ``CACHE_WORDS``. Where white space is irregular the
-byte vocabulary's pieces depend on what surrounds them, and the text is encoded as a whole.
+keeps the ids of those it has met, up to ``CACHE_WORDS``. The words of many texts are told
+apart by hash, in numpy, and their ids are put together again the same way. Where white space
+is irregular the byte vocabulary's pieces depend on what surrounds them, and the text is
+encoded as a whole.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cache
+from itertools import islice
 
 import numpy as np
 
-CACHE_WORDS = 300_000
-BATCH_CHARS = 1 << 21  # of texts whose words are looked up together
+from typeferry.llm.words import span_sums
 
+CACHE_WORDS = 1_000_000
+BATCH_BYTES = 1 << 21  # of texts whose words are looked up together
+JOINED = 2_000  # new words encoded in one call
 
-def word_chunks(text: str) -> list[str] | None:
-    """Chunks for a vocabulary that drops white space."""
-    return text.replace("\n", " ").split(" ")
 
+def regular(text: str) -> bool:
+    """Whether all white space is single spaces and line breaks between two words."""
+    if text[0] in " \n" or text[-1] in " \n":
+        return False
+    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+        return False
+    flat = text.replace("\n", " ")  # other white space is not printable
+    return flat.isprintable() or flat.count(" ") + 1 == len(flat.split())
 
-def byte_chunks(text: str) -> list[str] | None:
-    """Chunks for a byte vocabulary whose words take the space before them along.
 
-    None where a white-space character is neither a single space nor a single line break
-    between two words.
-    """
-    chunks: list[str] = []
-    words = 0
-    for line in text.split("\n"):
-        first, *rest = line.split(" ")
-        if not first or "" in rest:
-            return None
-        words += 1 + len(rest)
-        chunks += ("\n", first) if chunks else (first,)
-        chunks += [" " + w for w in rest]
-    return chunks if words == len(text.split()) else None
+@dataclass(frozen=True)
+class Cut:
+    """How a vocabulary's texts are cut: whether a word takes along the space or line break
+    before it, and a string that can stand between words and has one id."""
 
+    takes: bool
+    between: str
 
-CHUNKS: dict[str, Callable[[str], list[str] | None]] = {
-    "word_bpe_49k.json": word_chunks,
-    "byte_bpe_50k.json": byte_chunks,
-}
+
+CUTS = {"word_bpe_49k.json": Cut(False, " \x01 "), "byte_bpe_50k.json": Cut(True, "\n")}
 
 
 class Encoder:
@@ -57,37 +56,97 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
-        self.chunks = CHUNKS.get(os.path.basename(path))
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
-        self.known: dict[str, bytes] = {}
+        self.cut = CUTS.get(os.path.basename(path))
+        self.known: dict[bytes, bytes] = {}
+        if self.cut:
+            self.between = self._library([self.cut.between])[0]
+            self.line_break = self._library(["\n"])[0].tobytes()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [np.array(x.ids, self.dtype) for x in found]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        some: list[str] = []
+        out: list[np.ndarray] = [np.empty(0, self.dtype)] * len(texts)
+        some: list[tuple[int, bytes]] = []
         size = 0
-        for text in texts:
-            some.append(text or "")
-            size += len(some[-1])
-            if size >= BATCH_CHARS:
-                out += self._some(some)
+        for at, text in enumerate(texts):
+            if not text:
+                continue
+            if not self.cut or (self.cut.takes and not regular(text)):
+                out[at] = self._library([text])[0]
+                continue
+            some.append((at, text.encode()))
+            size += len(some[-1][1])
+            if size >= BATCH_BYTES:
+                self._by_words(some, out)
                 some, size = [], 0
-        return out + self._some(some)
-
-    def _some(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        cut = [self.chunks(t) if self.chunks and t else None for t in texts]
-        new = list(set().union(*(c for c in cut if c)) - self.known.keys())
-        self.known.update(zip(new, self._library(new)))
-        whole = iter(self._library([t for t, c in zip(texts, cut) if c is None]))
-        known = self.known.__getitem__
-        joined = (next(whole) if c is None else b"".join(map(known, c)) for c in cut)
-        return [np.frombuffer(x, self.dtype) for x in joined]
+        if some:
+            self._by_words(some, out)
+        return out
+
+    def _by_words(self, texts: list[tuple[int, bytes]], out: list[np.ndarray]) -> None:
+        """Ids of texts without irregular white space, put together from those of words."""
+        raw = b"\n".join([x for _, x in texts])
+        edges = np.cumsum([0, *(len(x) + 1 for _, x in texts)])[:-1]
+        data = np.frombuffer(raw, np.uint8)
+        inside = np.concatenate([[False], (data != 32) & (data != 10), [False]])
+        change = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = change[::2], change[1::2]
+        words = np.searchsorted(starts, np.append(edges, len(raw) + 1))  # first of each text
+        if self.cut.takes:
+            starts = starts - 1
+            starts[words[:-1]] += 1
+        one, two = span_sums(data, starts, ends)
+        _, first, which = np.unique(one, return_index=True, return_inverse=True)
+        if not np.array_equal(two, two[first][which]):  # two words of one hash
+            for at, text in texts:
+                out[at] = self._library([text.decode()])[0]
+            return
+        spans = zip(starts[first].tolist(), ends[first].tolist())
+        found = self._look_up([raw[a:b] for a, b in spans])
+        size = self.dtype.itemsize
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // size
+        places = np.cumsum(lengths) - lengths
+        own = lengths[which]
+        upto = np.cumsum(own)
+        total = int(upto[-1]) if len(upto) else 0
+        ids = ids[np.repeat(places[which] - (upto - own), own) + np.arange(total)]
+        cuts = np.append(0, upto)[words]
+        for (at, _), a, b in zip(texts, cuts[:-1], cuts[1:]):
+            out[at] = ids[a:b]
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > CACHE_WORDS:  # keep the half met first: common words
+            kept = dict(islice(known.items(), CACHE_WORDS // 2))
+            kept.update((w, known[w]) for w in words if w in known)
+            known = self.known = kept
+        plain = [w for w in new if w[:1] != b"\n"]
+        self._learn(plain, plain)
+        lines = [w for w in new if w[:1] == b"\n"]
+        self._learn(lines, [w[1:] for w in lines], self.line_break)
+        return [known[w] for w in words]
+
+    def _learn(self, names: list[bytes], words: list[bytes], before: bytes = b"") -> None:
+        """Encode new words, many in a call, and tell them apart by the id between them."""
+        size, between = self.dtype.itemsize, self.cut.between
+        for i in range(0, len(names), JOINED):
+            part, texts = names[i : i + JOINED], [w.decode() for w in words[i : i + JOINED]]
+            ids = self._library([between.join(texts)])[0]
+            cuts = np.flatnonzero(ids == self.between[0])
+            if len(self.between) == 1 and len(cuts) == len(part) - 1:
+                raw = ids.tobytes()
+                starts = [0, *((cuts + 1) * size).tolist()]
+                stops = [*(cuts * size).tolist(), len(raw)]
+                found = [raw[a:b] for a, b in zip(starts, stops)]
+            else:  # a word holds what stands between
+                found = [x.tobytes() for x in self._library(texts)]
+            self.known.update(zip(part, [before + x for x in found] if before else found))
 
 
 @cache
