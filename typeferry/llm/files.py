@@ -26,7 +26,8 @@ class NewFile:
         system, place = file_system(folder)
         system.create_dir(place, recursive=True)
         self.name = f"{uuid.uuid4().hex}{suffix}"
-        self.stream = system.open_output_stream(os.path.join(place, self.name))
+        path = os.path.join(place, self.name)
+        self.stream = system.open_output_stream(path, compression=None)  # not by the suffix
         self.size = 0
 
     def write(self, data: bytes) -> None:
