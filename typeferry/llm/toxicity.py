@@ -1,10 +1,13 @@
 """Toxicity by weak supervision: many noisy voters, a generative model of them, a classifier.
 
 * Voters. Each looks for one thing in a text: a word of a fixed lexicon, a pair of words that
-  follow one another, or a word or beginning of words that labelled toxic texts have far more
-  often than others (mined from a bounded sample of labelled rows). It votes or abstains.
+  follow one another, or a word or beginning of words, once or several times, that labelled
+  toxic texts have far more often than others (mined from a bounded sample of labelled rows).
+  It votes or abstains.
 * Label model. Whether a document is toxic is hidden, unless it is labelled, and each voter
-  has a rate of voting in either case. Expectation-maximisation fits the rates, and the
+  has a rate of voting in either case. Voters of one language say nothing of another, so an
+  abstention is no evidence, but for texts on which all abstain: those have a rate of their
+  own. Expectation-maximisation fits the rates, and the
   correlations of voters within each case, over all documents that may be learned from; they
   are grouped by pattern of votes first. Voters that go together would count one thing many
   times: each one's log-odds are divided by one plus its positive correlations with others.
@@ -38,7 +41,9 @@ from typeferry.llm.words import Terms, Words, word_batches
 
 TOXIC, CLEAN, TRAIN = 4_000, 8_000, 12_000
 CANDIDATES, VOTERS, FEATURES = 50_000, 160, 800
-LENGTHS = (None, 4, 5, 6, 7)  # whole words, and their first bytes
+LENGTHS = (None, 3, 4, 5, 6, 7)  # whole words, and their first bytes
+LEVELS = np.array([1, 2, 4])  # how often a thing must be there; in a signal's last two bits
+STRONG = 0.5  # correlation from which two voters count as saying one thing
 PLACES = 1 << 52
 
 # Words and pairs of words that are insults or threats wherever they stand.
@@ -55,7 +60,8 @@ PAIRS = (
 
 
 def tagged(hashes: np.ndarray, kind: int) -> np.ndarray:
-    return hashes ^ np.uint64((kind + 1) * 0xA24BAED4963EE407 % 2**64)
+    """Hashes of one kind of thing, the last two bits left free."""
+    return (hashes ^ np.uint64((kind + 1) * 0xA24BAED4963EE407 % 2**64)) & ~np.uint64(3)
 
 
 def features_of(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -72,15 +78,37 @@ def features_of(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield words.text[:-1][beside], tagged(pairs[beside], len(LENGTHS))
 
 
-def presence(texts: list[str | None], terms: Terms) -> np.ndarray:
-    """Which of the terms each text has."""
-    out = np.zeros((len(texts), len(terms.sorted)), bool)
+class Signals:
+    """Things to look for, each a hash whose last two bits say how often, by ``LEVELS``."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes.astype(np.uint64))
+        bases = self.hashes & ~np.uint64(3)
+        self.terms = Terms(bases)
+        self.which = np.searchsorted(self.terms.sorted, bases)
+        self.least = LEVELS[(self.hashes & np.uint64(3)).astype(np.int64)]
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+
+def presence(texts: list[str | None], signals: Signals) -> np.ndarray:
+    """Which of the signals each text has."""
+    n = len(signals.terms.sorted)
+    counts = np.zeros(len(texts) * n, np.int64)
     for words in word_batches(texts):
         for text, hashes in features_of(words):
-            numbers = terms.numbers(hashes)
+            numbers = signals.terms.numbers(hashes)
             hit = numbers >= 0
-            out[text[hit], numbers[hit]] = True
-    return out
+            counts += np.bincount(text[hit] * n + numbers[hit], minlength=len(counts))
+    return counts.reshape(len(texts), n)[:, signals.which] >= signals.least
+
+
+def all_signals(text: str | None) -> np.ndarray:
+    """Every signal that a text has."""
+    found = [h for words in word_batches([text]) for _, h in features_of(words)]
+    own, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+    return np.concatenate([own[counts >= n] | np.uint64(i) for i, n in enumerate(LEVELS)])
 
 
 def fixed_voters() -> np.ndarray:
@@ -94,27 +122,27 @@ def fixed_voters() -> np.ndarray:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Rates of each voter's vote on toxic and on other texts, and its discount."""
+    """The rate of toxic texts, in all and without votes; the rates of each voter's vote on
+    toxic and on other texts, and its discount."""
 
     prior: float
+    silent: float
     toxic: np.ndarray
     clean: np.ndarray
     discount: np.ndarray
 
-    def log_odds(self, votes: np.ndarray) -> np.ndarray:
-        yes = self.discount * np.log(self.toxic / self.clean)
-        no = self.discount * np.log((1 - self.toxic) / (1 - self.clean))
-        return np.log(self.prior / (1 - self.prior)) + no.sum() + votes @ (yes - no)
-
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.log_odds(votes.astype(float)), -30, 30)))
+        weights = self.discount * np.log(self.toxic / self.clean)
+        odds = np.log(self.prior / (1 - self.prior)) + votes.astype(float) @ weights
+        found = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        return np.where(votes.any(axis=1), found, self.silent)
 
 
 @dataclass(frozen=True)
 class Scorer:
     """The classifier: weights of terms, by presence."""
 
-    terms: Terms
+    terms: Signals
     weights: np.ndarray
     bias: float
 
@@ -128,6 +156,7 @@ class Scorer:
 
 def usable_rows(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     """``doc_id``, ``text``, ``toxic`` (null for rows without a label), ``place``."""
+    ship(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").cast("long").alias("own"), F.col("toxic").cast("int").alias("toxic"))
         .where("own is not null and toxic in (0, 1)")
@@ -147,8 +176,40 @@ def _share(bound: int, size: int) -> Column:
     return F.col("place") < int(PLACES * min(1.0, bound / max(size, 1)))
 
 
-def mine(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes that labelled texts have, with smoothed rates in toxic and in other texts."""
+@dataclass(frozen=True)
+class Mined:
+    """Signals of labelled texts, and in how many of each kind they are."""
+
+    hashes: np.ndarray
+    in_toxic: np.ndarray
+    in_clean: np.ndarray
+    n_toxic: float
+    n_clean: float
+
+    @property
+    def rates(self) -> tuple[np.ndarray, np.ndarray]:
+        return (
+            (self.in_toxic + 0.5) / (self.n_toxic + 1),
+            (self.in_clean + 0.5) / (self.n_clean + 1),
+        )
+
+    def strongest(self, most: int, lift: float, least: float) -> np.ndarray:
+        """The signals that tell most, by the likelihood ratio of being in toxic and in clean
+        texts at different rates and at one: those with a ratio statistic of ``least`` and a
+        rate ``lift`` times that in clean texts."""
+        toxic, clean = self.rates
+        both = (self.in_toxic + self.in_clean) / max(self.n_toxic + self.n_clean, 1)
+        total = np.zeros(len(both))
+        for found, n in ((self.in_toxic, self.n_toxic), (self.in_clean, self.n_clean)):
+            for seen, share in ((found, both), (n - found, 1 - both)):
+                ratio = np.maximum(seen, 1e-12) / np.maximum(n * share, 1e-12)
+                total += np.where(seen > 0, 2 * seen * np.log(ratio), 0)
+        able = np.flatnonzero((toxic >= lift * clean) & (total >= least))
+        return able[np.argsort(-total[able], kind="stable")][:most]
+
+
+def mine(rows: DataFrame) -> Mined:
+    """What a bounded sample of labelled texts have in them."""
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic = rows.where((F.col("toxic") == 1) & _share(TOXIC, sizes.get(1, 0))).select("text")
     clean = rows.where((F.col("toxic") == 0) & _share(CLEAN, sizes.get(0, 0))).select("text")
@@ -157,10 +218,8 @@ def mine(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = [h for words in word_batches([text]) for _, h in features_of(words)]
-                if found:
-                    own = np.unique(np.concatenate(found)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(own)], names=["h"])
+                own = all_signals(text).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own)], names=["h"])
 
     common = (
         toxic.mapInArrow(spread, "h long").groupBy("h").count().where("count >= 4")
@@ -168,12 +227,12 @@ def mine(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
     got = common.toArrow()
     hashes = got["h"].to_numpy().astype(np.int64).view(np.uint64)
-    terms = Terms(hashes)
+    terms = Signals(hashes)
     in_toxic = np.zeros(len(hashes))
-    in_toxic[np.searchsorted(terms.sorted, hashes)] = got["count"].to_numpy()
+    in_toxic[np.searchsorted(terms.hashes, hashes)] = got["count"].to_numpy()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(terms.sorted) + 1)
+        total = np.zeros(len(terms) + 1)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             total[-1] += len(texts)
@@ -181,24 +240,12 @@ def mine(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 total[:-1] += presence(texts[at : at + 64], terms).sum(0)
         yield parts_of(total)
 
-    found = summed(clean.mapInArrow(count, PARTS), len(terms.sorted) + 1)
-    n_toxic = max(toxic.count(), 1)
-    return (
-        terms.sorted,
-        (in_toxic + 0.5) / (n_toxic + 1),
-        (found[:-1] + 0.5) / (found[-1] + 1),
-    )
-
-
-def strongest(rate: np.ndarray, other: np.ndarray, most: int, lift: float) -> np.ndarray:
-    """The terms that tell most: log-odds over their standard error, of at least ``lift``."""
-    odds = np.log(rate / other)
-    z = odds / np.sqrt(1 / (rate * TOXIC) + 1 / (other * CLEAN))
-    able = np.flatnonzero(odds >= np.log(lift))
-    return able[np.argsort(-z[able], kind="stable")][:most]
+    found = summed(clean.mapInArrow(count, PARTS), len(terms) + 1)
+    return Mined(terms.hashes, in_toxic, found[:-1], float(toxic.count()), float(found[-1]))
 
 
 def pack_votes(votes: np.ndarray) -> pa.Array:
+    """Votes as bytes, a bit for each voter."""
     packed = np.packbits(votes, axis=1)
     return pa.array([row.tobytes() for row in packed], pa.binary())
 
@@ -208,7 +255,7 @@ def unpack_votes(raw: pa.Array, n: int) -> np.ndarray:
     return np.unpackbits(rows, axis=1, count=n).astype(float)
 
 
-def cast_votes(rows: DataFrame, voters: Terms) -> DataFrame:
+def cast_votes(rows: DataFrame, voters: Signals) -> DataFrame:
     """``doc_id``, ``toxic``, ``place``, ``votes`` (a bit for each voter) of all usable rows."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,57 +274,65 @@ def cast_votes(rows: DataFrame, voters: Terms) -> DataFrame:
     )
 
 
+def _rate(part: float, whole: float) -> float:
+    return float(np.clip((part + 0.5) / (whole + 1), 1e-6, 1 - 1e-6))
+
+
 def fit_labels(votes: DataFrame, n: int, toxic: np.ndarray, clean: np.ndarray, rounds: int = 6) -> LabelModel:
     """The label model of ``n`` voters, from starting rates."""
     patterns = checkpointed(
         votes.groupBy("votes", "toxic").agg(F.count("*").cast("double").alias("count"))
     )
-    model = LabelModel(0.1, toxic, clean, np.ones(n))
-    size = 2 + 2 * n + 2 * n * n
+    model = LabelModel(0.1, 0.02, toxic, clean, np.ones(n))
+    block = 2 + n + n * n  # of each case: all texts, those without votes, votes, pairs of votes
 
     for _ in range(rounds):
 
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size)
+            total = np.zeros(2 * block)
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 x = unpack_votes(batch.column(0), n)
                 known = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-                mine = np.where(np.isnan(known), model.posterior(x), known)
+                guess = np.where(np.isnan(known), model.posterior(x), known)
                 times = batch.column(2).to_numpy()
-                for k, weight in enumerate((mine * times, (1 - mine) * times)):
-                    total[k] += weight.sum()
-                    total[2 + k * n : 2 + (k + 1) * n] += weight @ x
-                    at = 2 + 2 * n + k * n * n
-                    total[at : at + n * n] += ((x * weight[:, None]).T @ x).ravel()
+                for k, weight in enumerate((guess * times, (1 - guess) * times)):
+                    at = k * block
+                    total[at] += weight.sum()
+                    total[at + 1] += weight[~x.any(axis=1)].sum()
+                    total[at + 2 : at + 2 + n] += weight @ x
+                    total[at + 2 + n : at + block] += ((x * weight[:, None]).T @ x).ravel()
             yield parts_of(total)
 
-        found = summed(patterns.mapInArrow(expect, PARTS), size)
-        if not found[:2].sum():
+        found = summed(patterns.mapInArrow(expect, PARTS), 2 * block).reshape(2, block)
+        if not found[:, 0].sum():
             break
         rates, together = [], np.zeros((n, n))
-        for k in (0, 1):
-            weight, ones = found[k], found[2 + k * n : 2 + (k + 1) * n]
-            rate = (ones + 0.2) / (weight + 1.0)
-            rates.append(np.clip(rate, 1e-7, 1 - 1e-7))
-            both = found[2 + 2 * n + k * n * n :][: n * n].reshape(n, n)
+        for weight, _, *rest in found:
+            ones, both = np.array(rest[:n]), np.array(rest[n:]).reshape(n, n)
+            rates.append(np.clip((ones + 0.2) / (weight + 1.0), 1e-7, 1 - 1e-7))
             p = ones / max(weight, 1e-9)
             spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
             apart = both / max(weight, 1e-9) - np.outer(p, p)
             together = np.maximum(together, apart / np.outer(spread, spread) * (weight > 1))
         np.fill_diagonal(together, 0)
-        together[together < 0.05] = 0
-        prior = float(np.clip((found[0] + 0.5) / (found[:2].sum() + 1), 1e-6, 1 - 1e-6))
-        model = LabelModel(prior, rates[0], rates[1], 1 / (1 + together.sum(1)))
+        together[together < STRONG] = 0
+        model = LabelModel(
+            _rate(found[0, 0], found[:, 0].sum()),
+            _rate(found[0, 1], found[:, 1].sum()),
+            *rates,
+            1 / (1 + together.sum(1)),
+        )
     return model
 
 
 def fit_scorer(
-    rows: DataFrame, votes: DataFrame, voters: Terms, model: LabelModel, terms: Terms
+    rows: DataFrame, votes: DataFrame, voters: Signals, model: LabelModel, terms: Signals
 ) -> Scorer:
-    """The classifier over ``terms``, from posterior labels of a sample."""
-    some = F.lit(bytes(-(-len(voters.sorted) // 8)))
+    """The classifier over ``terms``, from posterior labels of a sample: those of labelled
+    rows are their labels."""
+    some = F.lit(bytes(-(-len(voters) // 8)))
     voted = (F.col("votes") != some).alias("voted")
     sizes = {r["voted"]: r["n"] for r in votes.groupBy(voted).agg(F.count("*").alias("n")).collect()}
     n_yes, n_no = sizes.get(True, 0), sizes.get(False, 0)
@@ -285,27 +340,32 @@ def fit_scorer(
     chosen = votes.where(
         ((F.col("votes") != some) & _share(bound, n_yes))
         | ((F.col("votes") == some) & _share(bound, n_no))
-    ).select(F.col("doc_id").alias("own"), "votes")
-    sample = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("own")).select("votes", "text")
+    ).select(F.col("doc_id").alias("own"), "votes", F.col("toxic").alias("known"))
+    sample = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("own")).select(
+        "votes", "text", "known"
+    )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):
-                own = unpack_votes(batch.column(0).slice(at, 256), len(voters.sorted))
+                own = unpack_votes(batch.column(0).slice(at, 256), len(voters))
                 found = pack_votes(presence(texts[at : at + 256], terms))
+                known = batch.column(2).slice(at, 256).to_numpy(zero_copy_only=False).astype(float)
+                label = np.where(np.isnan(known), model.posterior(own), known)
                 yield pa.RecordBatch.from_arrays(
-                    [found, pa.array(model.posterior(own)), pa.array(own.any(axis=1))],
+                    [found, pa.array(label), pa.array(own.any(axis=1))],
                     names=["x", "y", "voted"],
                 )
 
     got = sample.mapInArrow(look, "x binary, y double, voted boolean").toArrow()
-    if not got.num_rows or not len(terms.sorted):
-        return Scorer(terms, np.zeros(len(terms.sorted)), float(np.log(model.prior / (1 - model.prior))))
-    x = unpack_votes(got["x"].combine_chunks(), len(terms.sorted)).astype(np.float32)
+    if not got.num_rows or not len(terms):
+        return Scorer(terms, np.zeros(len(terms)), float(np.log(model.prior / (1 - model.prior))))
+    x = unpack_votes(got["x"].combine_chunks(), len(terms)).astype(np.float32)
     y, yes = got["y"].to_numpy(), got["voted"].to_numpy()
     weight = np.where(yes, n_yes / max(yes.sum(), 1), n_no / max((~yes).sum(), 1))
-    return Scorer(terms, *logistic(x, y, weight / weight.mean()))
+    weight *= (2 * y - 1) ** 2  # a label that could be either teaches nothing
+    return Scorer(terms, *logistic(x, y, weight / max(weight.mean(), 1e-9)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5) -> tuple[np.ndarray, float]:
@@ -327,19 +387,18 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[Scorer, LabelModel]:
     """A scorer, and the label model it was taught by, from the rows where ``usable`` holds."""
-    ship(docs.sparkSession)
     rows = usable_rows(docs, labels, usable)
-    hashes, toxic, clean = mine(rows)
-    best = strongest(toxic, clean, VOTERS, lift=6.0)
-    start = {int(h): (a, b) for h, a, b in zip(hashes[best], toxic[best], clean[best])}
+    mined = mine(rows)
+    best, (toxic, clean) = mined.strongest(VOTERS, lift=6.0, least=20.0), mined.rates
+    start = {int(h): (a, b) for h, a, b in zip(mined.hashes[best], toxic[best], clean[best])}
     for h in fixed_voters().tolist():
         start.setdefault(h, (0.05, 0.001))
-    voters = Terms(np.array(list(start), np.uint64))
-    rates = np.array([start[int(h)] for h in voters.sorted])
+    voters = Signals(np.array(list(start), np.uint64))
+    rates = np.array([start[int(h)] for h in voters.hashes])
     votes = checkpointed(cast_votes(rows, voters))
-    model = fit_labels(votes, len(voters.sorted), rates[:, 0], rates[:, 1])
-    wider = strongest(toxic, clean, FEATURES, lift=3.0)
-    terms = Terms(np.concatenate([hashes[wider], voters.sorted]))
+    model = fit_labels(votes, len(voters), rates[:, 0], rates[:, 1])
+    wider = mined.strongest(FEATURES, lift=3.0, least=12.0)
+    terms = Signals(np.concatenate([mined.hashes[wider], voters.hashes]))
     return fit_scorer(rows, votes, voters, model, terms), model
 
 
