@@ -144,7 +144,8 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     n = known.count()
     place = F.pmod(F.xxhash64("own_id"), F.lit(1 << 52))
     known = known.where(place < int((1 << 52) * min(1, sample / max(n, 1))))
-    rows = docs.where(usable).join(known, F.col("doc_id") == F.col("own_id")).select("text", "own")
+    rows = docs.where(usable).select(F.col("doc_id").alias("doc"), F.col("text").cast("string"))
+    rows = rows.join(known, F.col("doc") == F.col("own_id")).select("text", "own")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +169,7 @@ def evidence(docs: DataFrame, classifier: Classifier) -> Column:
             yield pa.array(classifier.log_odds(part.to_pylist()), pa.float64())
 
     text = F.col("text").cast("string")
-    return F.when(F.length(F.trim(text)) > 0, weigh(text))
+    return F.when(text.rlike(r"\S"), weigh(text))
 
 
 def site(value: Column) -> Column:
