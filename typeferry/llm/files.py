@@ -30,9 +30,9 @@ class NewFile:
         self.stream = system.open_output_stream(path, compression=None)  # not by the suffix
         self.size = 0
 
-    def write(self, data: bytes) -> None:
+    def write(self, data: bytes | memoryview) -> None:
         self.stream.write(data)
-        self.size += len(data)
+        self.size += memoryview(data).nbytes
 
     def close(self) -> None:
         self.stream.close()

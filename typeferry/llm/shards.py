@@ -127,7 +127,7 @@ class Shard:
         return self.payload[int(self.ends[row]) : int(self.ends[row + 1])]
 
 
-def packed(keys: np.ndarray, nulls: int, ends: list[int], payload: list[np.ndarray]) -> list[bytes]:
+def packed(keys: np.ndarray, nulls: int, ends: list[int], payload: list[np.ndarray]) -> list[bytes | memoryview]:
     """The bytes of a shard file, ``keys`` sorted, those of the null rows left out."""
     distinct, first = np.unique(keys, return_index=True)
     index = PerfectHash.build(distinct)
@@ -149,11 +149,11 @@ def packed(keys: np.ndarray, nulls: int, ends: list[int], payload: list[np.ndarr
     head = json.dumps({"nulls": nulls, "levels": index.sizes, "sections": sections}).encode()
     head += b" " * (-(12 + len(head)) % 8)
     return [MAGIC, len(head).to_bytes(4, "little"), head, *(p.tobytes() for p in parts.values()),
-            *(p.tobytes() for p in payload)]
+            *(memoryview(p) for p in payload)]
 
 
 def write_shards(
-    docs: DataFrame, folder: str, vocabulary: str, end_id: int, shard_bytes: int = 64 << 20
+    docs: DataFrame, folder: str, vocabulary: str, end_id: int, shard_bytes: int = 32 << 20
 ) -> DataFrame:
     """Encode ``docs`` into shards under ``folder``; returns the manifest, one row a shard.
 

@@ -19,7 +19,7 @@ import numpy as np
 
 from typeferry.llm.words import span_sums
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 800_000
 BATCH_BYTES = 1 << 21  # of texts whose words are looked up together
 JOINED = 2_000  # new words encoded in one call
 
