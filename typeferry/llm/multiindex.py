@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from typeferry.llm.common import checkpointed, components, ship
 from typeferry.llm.simhash import forest
 
-SAMPLE = 16_384  # vectors that codebooks and slack are fitted on
+SAMPLE = 16_384  # vectors that codebooks and slack are fitted on, in expectation
+PLACES = 1 << 52  # of a vector's hash
 
 
 def usable(vector: Column) -> Column:
@@ -119,10 +120,6 @@ class MultiIndex:
         return cls(index.first, index.second, float(slack) + 1e-9)
 
 
-def vectors_of(raw: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(raw.to_pylist()), "<f4")
-
-
 def place(batches: Iterator[pa.RecordBatch], index: MultiIndex, dim: int) -> Iterator[pa.RecordBatch]:
     """The cell of each vector and the cells it visits, the other ones first."""
     for batch in batches:
@@ -233,10 +230,13 @@ def near_duplicates(
         .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    lowest = distinct.orderBy(F.xxhash64("embedding"), "node").limit(SAMPLE)
-    sample = np.array([r["embedding"] for r in lowest.select("embedding").collect()], np.float32)
+    total = distinct.count()
+    upto = int(PLACES * min(1.0, SAMPLE / max(total, 1)))
+    low = distinct.where(F.pmod(F.xxhash64("embedding"), F.lit(PLACES)) < upto)
+    rows_found = low.select("embedding").toArrow()["embedding"].to_pylist()
+    sample = np.array(sorted(rows_found), np.float32)
     if len(sample):
-        size = words or 2 ** round(np.log2(np.clip(np.sqrt(distinct.count() / 16), 8, 1024)))
+        size = words or 2 ** round(np.log2(np.clip(np.sqrt(total / 16), 8, 1024)))
         index = MultiIndex.fit(unit(sample), size, threshold, recall)
         found = _links(distinct, index, dim, threshold, block)
     else:

@@ -46,6 +46,7 @@ FIELDS = (
     "payload_digest string"
 )
 FEED = 1 << 14
+PLACES = 1 << 52  # of an id's hash
 
 
 class WarcError(ValueError):
@@ -180,14 +181,13 @@ def parse(raw: bytes, what: str) -> tuple[dict, bytes | None]:
 
 
 def train(pages: DataFrame, rows: int = 2_000, sample_bytes: int = 8 << 20, size: int = 64 << 10) -> bytes:
-    """A compression dictionary from at most ``rows`` pages, those with the lowest hash of
-    their id, and of each no more than its share of ``sample_bytes``. Empty if they are few."""
-    share = sample_bytes // rows
-    low = pages.select(
-        F.substring(F.col("html").cast("string"), 1, share).alias("html"),
-        F.xxhash64("page_id").alias("place"),
-    ).where("html <> ''")
-    samples = [r["html"].encode() for r in low.orderBy("place", "html").limit(rows).collect()]
+    """A compression dictionary from ``rows`` pages in expectation, by the hash of their id,
+    and of each no more than its share of ``sample_bytes``. Empty if they are few."""
+    upto = int(PLACES * min(1.0, rows / max(pages.count(), 1)))
+    low = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(PLACES)) < upto).select(
+        F.substring(F.col("html").cast("string"), 1, sample_bytes // rows).alias("html")
+    )
+    samples = sorted(r["html"].encode() for r in low.where("html <> ''").collect())
     if len(samples) < 100:
         return b""
     return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 10), samples).as_bytes()
