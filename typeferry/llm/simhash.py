@@ -221,7 +221,8 @@ def near_duplicates(
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Stored, so that the join below has two plain sides and a heavy root can be split.
+    least = checkpointed(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
     members = named.join(least, "root").select("fp", "component_id")
     return rows.join(members, "fp").select("doc_id", "fp", "component_id")
 
@@ -234,6 +235,5 @@ def first_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
     """
     groups = near_duplicates(docs, shingle, radius)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(
-        ["doc_id"]
-    )
+    same = F.col("d.doc_id") == F.col("k.kept_id")
+    return docs.alias("d").join(kept.alias("k"), same, "left_semi").dropDuplicates(["doc_id"])
