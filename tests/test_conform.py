@@ -28,8 +28,8 @@ def ansi(spark, request):
 
 GOOD = [
     ("string", " 12 ", "int", 12),
-    ("double", 1.005, "decimal(10,2)", Decimal("1.01")),
-    ("double", 1.9, "int", 1),
+    ("double", 1.25, "decimal(10,2)", Decimal("1.25")),
+    ("double", 2.0, "int", 2),
     ("string", "t", "boolean", True),
     ("array<string>", ["1", "2"], "array<int>", [1, 2]),
     ("array<array<int>>", [[1], [2, None]], "array<array<bigint>>", [[1], [2, None]]),
@@ -53,10 +53,77 @@ def test_values_that_fit(spark, ansi, source, value, target, expected):
         assert out.schema[0].dataType.simpleString() == target
         assert [r.v for r in out.collect()] == [expected, None]
     assert column_checks(df, [column(target)]).first().asDict() == {
-        "column_name": "v", "n_rows": 2, "n_nulls": 1, "n_lost": 0,
+        "column_name": "v", "n_rows": 2, "n_nulls": 1, "n_lost": 0, "n_altered": 0,
     }
 
 
+ALTERED = [
+    ("double", 3.7, "int", 3),
+    ("double", 1.005, "decimal(10,2)", Decimal("1.01")),
+    ("decimal(6,3)", Decimal("123.456"), "decimal(5,1)", Decimal("123.5")),
+    ("bigint", 9007199254740993, "double", 9007199254740992.0),
+    ("bigint", 2**63 - 1, "double", 2.0**63),
+    ("int", 16777217, "float", 16777216.0),
+    ("double", 0.1, "float", 0.10000000149011612),
+    ("decimal(20,2)", Decimal("123456789012345678.25"), "double", 123456789012345680.0),
+    ("int", 2, "boolean", True),
+    ("string", "1.005", "decimal(10,2)", Decimal("1.01")),
+    ("array<double>", [1.0, 2.5], "array<int>", [1, 2]),
+]
+
+
+@pytest.mark.parametrize("source, value, target, lenient", ALTERED)
+def test_values_that_would_be_altered(spark, ansi, source, value, target, lenient):
+    df = frame(spark, source, value, None)
+    with pytest.raises(Exception, match="column v: a value would be altered"):
+        conform(df, [column(target)]).collect()
+    for options in ({"rounding": True}, {"strict": False}):
+        assert [r.v for r in conform(df, [column(target)], **options).collect()] == [lenient, None]
+    found = column_checks(df, [column(target)]).first()
+    assert (found["n_lost"], found["n_altered"]) == (0, 1)
+
+
+def test_times_of_day_are_not_dropped(spark, ansi):
+    df = spark.sql(
+        "SELECT * FROM VALUES (timestamp'2024-02-29 00:00:00'), (timestamp'2024-02-29 10:00:00') AS t(v)"
+    )
+    with pytest.raises(Exception, match="would be altered"):
+        conform(df, [column("date")]).collect()
+    assert conform(df, [column("date")], rounding=True).distinct().count() == 1
+    assert column_checks(df, [column("date")], ["altered"]).first().asDict() == {
+        "column_name": "v", "n_rows": 2, "n_altered": 1,
+    }
+    text = df.select(F.col("v").cast("string").alias("v"))
+    assert column_checks(text, [column("date")]).first()["n_altered"] == 1
+
+
+def test_other_spellings_are_the_same_value(spark, ansi):
+    for value, target in ((" 12 ", "int"), ("t", "boolean"), ("1.50", "decimal(5,1)"),
+                          ("1e2", "decimal(5,1)"), ("0.1", "float"), ("2024-02-29 ", "date")):
+        df = frame(spark, "string", value)
+        assert column_checks(df, [column(target)]).first()["n_altered"] == 0
+        assert conform(df, [column(target)]).first().v is not None
+
+
+def test_measures_by_name(spark):
+    df = frame(spark, "string", "1", "x", None)
+    assert column_checks(df, [column("int")], []).columns == ["column_name", "n_rows"]
+    assert column_checks(df, [column("int")], ["lost"]).first()["n_lost"] == 1
+    with pytest.raises(ValueError, match="nulls, lost, altered"):
+        column_checks(df, [column("int")], ["rows"])
+
+
+def test_column_names_by_the_rule_of_the_session(spark):
+    df = spark.createDataFrame([("1",)], "V string")
+    assert conform(df, [column("int")]).first().asDict() == {"v": 1}
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="no columns"):
+            conform(df, [column("int")])
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
 @pytest.mark.parametrize("source, value, target, lenient", BAD)
 def test_values_that_do_not_fit(spark, ansi, source, value, target, lenient):
     df = frame(spark, source, value, None)
@@ -115,7 +182,7 @@ def test_checks_of_many_columns_in_one_pass(spark, capsys):
     checks.explain()
     assert capsys.readouterr().out.count("Exchange ") == 1
     assert [tuple(r) for r in checks.collect()] == [
-        ("a", 3, 1, 1), ("b", 3, 0, 1), ("c", 3, 1, 0),
+        ("a", 3, 1, 1, 0), ("b", 3, 0, 1, 0), ("c", 3, 1, 0, 0),
     ]
 
 

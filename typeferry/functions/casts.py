@@ -92,18 +92,89 @@ def _lost_pair(value: Column, tried: Column, target: T.DataType) -> Column:
     return gone | F.coalesce(F.exists(pairs, lambda lost: lost), F.lit(False))
 
 
+def can_alter(read_as: T.DataType, target: T.DataType) -> bool:
+    """Whether some value of ``read_as`` becomes another value in ``target``, not null.
+
+    Text is not a number or a time: what it spells may be spelt otherwise. Only what the
+    target drops of it, decimal places or a time of day, is an altered value.
+    """
+    if isinstance(read_as, T.ArrayType) and isinstance(target, T.ArrayType):
+        return can_alter(read_as.elementType, target.elementType)
+    if same_type(read_as, target) or isinstance(target, T.StringType):
+        return False
+    if isinstance(read_as, T.StringType):
+        return isinstance(target, (T.DecimalType, T.DateType))
+    if isinstance(target, T.DateType):
+        return isinstance(read_as, _TIMESTAMPS)
+    if not isinstance(read_as, _NUMBERS):
+        return False
+    if isinstance(target, T.BooleanType):
+        return True
+    if isinstance(read_as, _INTEGRALS):
+        if isinstance(target, T.FloatType):
+            return not isinstance(read_as, (T.ByteType, T.ShortType))
+        return isinstance(target, T.DoubleType) and isinstance(read_as, T.LongType)
+    if isinstance(read_as, T.DecimalType):
+        if isinstance(target, T.DecimalType):
+            return target.scale < read_as.scale
+        if isinstance(target, (T.FloatType, T.DoubleType)):
+            return read_as.precision > (6 if isinstance(target, T.FloatType) else 15)
+        return read_as.scale > 0
+    return not (isinstance(read_as, T.FloatType) and isinstance(target, T.DoubleType))
+
+
+def is_altered(value: Column, read_as: T.DataType, target: T.DataType) -> Column:
+    """True where a value, or any element of an array, is another one after the cast."""
+    return F.coalesce(
+        _altered_pair(value, lenient_cast(value, read_as, target), read_as, target), F.lit(False)
+    )
+
+
+def _altered_pair(
+    value: Column, tried: Column, read_as: T.DataType, target: T.DataType
+) -> Column:
+    if isinstance(target, T.ArrayType):
+        inner = read_as.elementType, target.elementType
+        pairs = F.zip_with(value, tried, lambda a, b: _altered_pair(a, b, *inner))
+        return F.exists(pairs, lambda altered: F.coalesce(altered, F.lit(False)))
+    if isinstance(read_as, T.StringType):
+        if isinstance(target, T.DecimalType):
+            # All digits before the point that the target has, and the most after it.
+            wide = T.DecimalType(38, 38 - (target.precision - target.scale))
+            return value.try_cast(wide) != tried
+        return value.try_cast(T.TimestampType()) != tried.cast(T.TimestampType())
+    if isinstance(read_as, _INTEGRALS) and not isinstance(target, T.BooleanType):
+        # As integers of any size: a cast back to a long would cut 2**63 to fit.
+        whole = T.DecimalType(38, 0)
+        return tried.isNotNull() & ~tried.try_cast(whole).eqNullSafe(value.cast(whole))
+    return tried.isNotNull() & ~tried.try_cast(read_as).eqNullSafe(value)
+
+
 def strict_cast(
-    value: Column, read_as: T.DataType, target: T.DataType, name: str, ansi: bool
+    value: Column,
+    read_as: T.DataType,
+    target: T.DataType,
+    name: str,
+    ansi: bool,
+    rounding: bool = False,
 ) -> Column:
-    """A cast that fails the job rather than losing a value, in either ANSI mode."""
+    """A cast that fails the job rather than losing a value, in either ANSI mode, or, but
+    for ``rounding``, altering one."""
     if same_type(read_as, target):
         return value
+    kind = target.simpleString()
     if ansi or not can_lose(read_as, target):
-        return value.cast(target)
-    message = f"column {name}: a value does not fit {target.simpleString()}"
-    return F.when(
-        is_lost(value, read_as, target), F.raise_error(F.lit(message))
-    ).otherwise(lenient_cast(value, read_as, target))
+        cast = value.cast(target)
+    else:
+        message = f"column {name}: a value does not fit {kind}"
+        cast = F.when(
+            is_lost(value, read_as, target), F.raise_error(F.lit(message))
+        ).otherwise(lenient_cast(value, read_as, target))
+    if rounding or not can_alter(read_as, target):
+        return cast
+    message = f"column {name}: a value would be altered as {kind}"
+    altered = is_altered(value, read_as, target)
+    return F.when(altered, F.raise_error(F.lit(message))).otherwise(cast)
 
 
 def lenient_cast(value: Column, read_as: T.DataType, target: T.DataType) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +40,13 @@ def suffix_dimensions(name: Column, bare: Column) -> Column:
     return F.when(name.endswith("[]"), pairs).otherwise(F.lit(0))
 
 
+def split_suffix(type_name: str) -> tuple[str, int]:
+    """One name, normalised, without its ``[]``; and how many there were."""
+    name = type_name.strip().lower()
+    bare = re.sub(r"(?:\s*\[\])+\Z", "", name)
+    return bare, name[len(bare) :].count("[")
+
+
 def array_of(element: Column, dimensions: Column) -> Column:
     """``int``, 2 -> ``array<array<int>>``."""
     nested = F.concat(
@@ -75,3 +85,10 @@ def innermost(data_type: T.DataType) -> T.DataType:
     while isinstance(data_type, T.ArrayType):
         data_type = data_type.elementType
     return data_type
+
+
+def same_name(spark: SparkSession) -> Callable[[str, str], bool]:
+    """Whether two column names are one, by the session's ``spark.sql.caseSensitive``."""
+    if spark.conf.get("spark.sql.caseSensitive").lower() == "true":
+        return lambda a, b: a == b
+    return lambda a, b: a.lower() == b.lower()

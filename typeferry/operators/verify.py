@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from typeferry.functions.casts import quoted
-from typeferry.operators.conform import lost_values
+from typeferry.operators.conform import altered_values, lost_values
 from typeferry.operators.mapping import MappedColumn
 
 
@@ -24,32 +24,59 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def column_checks(df: DataFrame, columns: Sequence[MappedColumn]) -> DataFrame:
-    """Per column of a table as read: rows, nulls, and values its mapped type cannot hold.
+MEASURES = ("nulls", "lost", "altered")
 
-    One pass over the named columns, partial counts before the only exchange.
+
+def column_counts(
+    df: DataFrame, columns: Sequence[MappedColumn], measures: Sequence[str] = MEASURES
+) -> dict[str, Column]:
+    """The aggregates behind ``column_checks``, by name: ``n_rows``, and ``nulls_3``,
+    ``lost_3`` or ``altered_3`` of the fourth column where they can be other than 0."""
+    unknown = set(measures) - set(MEASURES)
+    if unknown:
+        raise ValueError(f"unknown measures {sorted(unknown)}; there are {', '.join(MEASURES)}")
+    counts = {"n_rows": F.count(F.lit(1))}
+    flags = {
+        "nulls": lambda: [F.col(quoted(c.column_name)).isNull() for c in columns],
+        "lost": lambda: lost_values(df, columns),
+        "altered": lambda: altered_values(df, columns),
+    }
+    for measure in measures:
+        for i, flag in enumerate(flags[measure]()):
+            if flag is not None:
+                counts[f"{measure}_{i}"] = F.count_if(flag)
+    return counts
+
+
+def column_checks(
+    df: DataFrame, columns: Sequence[MappedColumn], measures: Sequence[str] = MEASURES
+) -> DataFrame:
+    """Per column of a table as read: ``n_rows`` and, as ``measures`` name them, ``n_nulls``,
+    ``n_lost``, the values its mapped type cannot hold, and ``n_altered``, those it holds as
+    other ones.
+
+    One pass, partial counts before the only exchange. Only the columns that a measure
+    needs are read: none for row counts, and for lost and altered values those whose cast
+    can have any.
     """
-    counts = [F.count(F.lit(1)).alias("n_rows")]
-    set_counts, lost_counts = [], []
-    for i, (column, is_lost) in enumerate(zip(columns, lost_values(df, columns))):
-        counts.append(F.count(F.col(quoted(column.column_name))).alias(f"set_{i}"))
-        set_counts.append(f"set_{i}")
-        if is_lost is None:
-            lost_counts.append("0L")
-        else:
-            counts.append(F.count_if(is_lost).alias(f"lost_{i}"))
-            lost_counts.append(f"lost_{i}")
-    # One expression, not one per column: a table may have 1,600.
-    pairs = F.expr(f"arrays_zip(array({', '.join(set_counts)}), array({', '.join(lost_counts)}))")
+    counts = column_counts(df, columns, measures)
+    # One expression for each measure, not one per column: a table may have 1,600.
+    arrays = {
+        m: ", ".join(f"{m}_{i}" if f"{m}_{i}" in counts else "0L" for i in range(len(columns)))
+        for m in measures
+    }
     names = F.lit([column.column_name for column in columns])
     return (
-        df.agg(*counts)
-        .select("n_rows", F.posexplode(pairs).alias("at", "pair"))
+        df.agg(*[value.alias(name) for name, value in counts.items()])
+        .select(
+            "n_rows",
+            *[F.expr(f"array({of_all})").alias(m) for m, of_all in arrays.items()],
+            F.posexplode(names).alias("at", "column_name"),
+        )
         .select(
-            F.element_at(names, F.col("at") + 1).alias("column_name"),
+            "column_name",
             "n_rows",
-            (F.col("n_rows") - F.col("pair.`0`")).alias("n_nulls"),
-            F.col("pair.`1`").alias("n_lost"),
+            *[F.element_at(m, F.col("at") + 1).alias(f"n_{m}") for m in measures],
         )
     )
 
