@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from typeferry.operators.scratch import scratch_table
+from typeferry.operators.scratch import clear_scratch, scratch_table
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +22,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def no_scratch_left(request):
+    """Tables that a module's tests have left go with it."""
+    yield
+    if "spark" in request.fixturenames or SparkSession.getActiveSession():
+        clear_scratch(SparkSession.getActiveSession())
+
+
 @pytest.fixture
 def fresh(spark):
     """Names of tables nobody has used."""

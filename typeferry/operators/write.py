@@ -5,13 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager, nullcontext
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
+from itertools import batched
+from threading import Lock
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from typeferry.functions.casts import quoted, strict_cast, text_literal
+from typeferry.functions.typenames import same_name
 from typeferry.operators.scratch import landed
 
 MODES = ("overwrite", "append", "merge", "ignore", "error", "errorifexists", "default")
@@ -19,31 +24,75 @@ MODES = ("overwrite", "append", "merge", "ignore", "error", "errorifexists", "de
 # Formats whose own commit replaces or merges a table in one step.
 TRANSACTIONAL = ("delta", "iceberg")
 
-STAGED = "__staged_"
+# Stores that rename a folder by copying every byte of it.
+COPYING = ("s3", "s3a", "s3n", "gs", "oss", "cos", "cosn", "obs", "swift")
+
+STAGED, OLD = "__staged_", "__old_"
 
 OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
 
-# Partitions named in a filter; beyond it a join selects them.
-MAX_LISTED = 1_000
+# Partitions dropped by one statement.
+DROPPED_AT_ONCE = 100
+
+# Properties that Spark or a metastore keeps for itself.
+OWN_PROPERTIES = ("transient_lastDdlTime", "numFiles", "numRows", "totalSize", "rawDataSize",
+                  "COLUMN_STATS_ACCURATE", "bucketing_version")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """What a table is besides its rows."""
+
+    partition_by: Sequence[str] = ()
+    fmt: str = "parquet"
+    comment: str | None = None
+    properties: dict[str, str] = field(default_factory=dict)
+    column_comments: dict[str, str] = field(default_factory=dict)
+
+
+def layout_of(spark: SparkSession, table: str) -> Layout:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    # After the last such line: a column may have any name.
+    start = max(i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed Table"))
+    details = {r["col_name"]: r["data_type"] for r in rows[start:]}
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    properties = {
+        r["key"]: r["value"]
+        for r in found
+        if r["key"] not in OWN_PROPERTIES and not r["key"].startswith("spark.sql.")
+    }
+    columns = spark.catalog.listColumns(table)
+    return Layout(
+        [c.name for c in columns if c.isPartition],
+        details["Provider"].lower(),
+        details.get("Comment"),
+        properties,
+        {c.name: c.description for c in columns if c.description},
+    )
 
 
 def write_table(
     df: DataFrame,
     target: str,
     mode: str = "overwrite",
-    partition_by: Sequence[str] = (),
-    fmt: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    fmt: str | None = None,
     keys: Sequence[str] = (),
     stable: bool = False,
 ) -> None:
     """Saves ``df`` as the table ``target``.
 
-    ``overwrite`` builds the new table beside the old one and then puts it in its place,
-    so a failing job leaves the old rows; it may read the table it replaces. A new table
-    is built the same way. Properties and rights given to the old table are not taken
-    over, and two runs must not write one target at the same time.
+    ``overwrite`` builds the new table beside the old one and then puts it in its place:
+    at every moment there is the old table, the new one, or (for a moment between two
+    renames) both under other names, and the next run puts one back; it may read the
+    table it replaces. The table keeps its partitioning, format, comments and properties,
+    unless ``partition_by`` or ``fmt`` are given; rights stay with the catalog. A new
+    table is parquet without partitions, unless they say otherwise.
     ``append`` and ``merge`` keep the format and the partitioning the table has; ``merge``
     needs ``keys``, and ``merge_table`` explains ``stable``.
+
+    On stores that rename by copying, an existing table is not overwritten: use a
+    transactional format there.
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {', '.join(MODES)}")
@@ -53,13 +102,26 @@ def write_table(
     spark = df.sparkSession
     finish_swap(spark, target)
     exists = spark.catalog.tableExists(target)
-    if fmt not in TRANSACTIONAL and (mode == "overwrite" or not exists):
-        _replace(df, target, partition_by, fmt)
+    if not exists:
+        _create(df, target, partition_by or (), fmt or "parquet", mode)
         return
-    if mode == "append" and exists:
-        partition_by = partition_by or partition_columns(spark, target)
-        fmt = _format(spark, target)
-    _save(df, target, mode, partition_by, fmt)
+    if mode not in ("overwrite", "append"):
+        _save(df, target, mode, partition_by or (), fmt or "parquet")
+        return
+    layout = layout_of(spark, target)
+    new = Layout(
+        layout.partition_by if partition_by is None else partition_by,
+        fmt or layout.fmt,
+        layout.comment,
+        layout.properties,
+        layout.column_comments,
+    )
+    if mode == "append":
+        _save(df, target, mode, partition_by or layout.partition_by, layout.fmt)
+    elif new.fmt in TRANSACTIONAL:
+        _save(df, target, mode, new.partition_by, new.fmt)
+    else:
+        _replace(df, target, new)
 
 
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -82,12 +144,6 @@ def _save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str], fm
     writer.saveAsTable(target)
 
 
-def _format(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    # The last one: a column may have that name.
-    return described.filter("col_name = 'Provider'").collect()[-1]["data_type"].lower()
-
-
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -99,58 +155,152 @@ def _suffixed(target: str, suffix: str) -> str:
     return f"{target[:-1]}{suffix}`" if target.endswith("`") else f"{target}{suffix}"
 
 
-def _replace(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str) -> None:
-    spark = df.sparkSession
-    # A name of its own for each run: tasks of a failed one may still leave files behind.
+def _run_name() -> str:
+    """A name of its own for each run: tasks of a failed one may still leave files behind."""
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
-    staged = _suffixed(target, f"{STAGED}{stamp}_{uuid.uuid4().hex}")
+    return f"{stamp}_{uuid.uuid4().hex}"
+
+
+def _store(spark: SparkSession, table: str | None = None) -> str:
+    """The kind of store a table is in, or would be in."""
+    if table is None:
+        return spark.conf.get("spark.sql.warehouse.dir").partition(":")[0]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.collect()[-1]["data_type"].partition(":")[0]
+
+
+def _create(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str, mode: str) -> None:
+    """A new table. Spark names it in the catalog when all its rows are written."""
+    spark = df.sparkSession
+    if fmt in TRANSACTIONAL or _store(spark) in COPYING:
+        _save(df, target, mode, partition_by, fmt)
+        return
+    staged = _suffixed(target, STAGED + _run_name())
     _save(df, staged, "error", partition_by, fmt)
-    if not spark.catalog.tableExists(target):
-        _rename(spark, staged, target, bool(partition_by))
-    elif spark.catalog.getTable(target).tableType == "EXTERNAL":
+    _rename(spark, staged, target)
+
+
+def _replace(df: DataFrame, target: str, layout: Layout) -> None:
+    spark = df.sparkSession
+    managed = spark.catalog.getTable(target).tableType != "EXTERNAL"
+    if managed and _store(spark, target) in COPYING:
+        raise ValueError(
+            f"{target}: this store renames a table by copying it; "
+            f"use one of the formats {', '.join(TRANSACTIONAL)} to overwrite or merge"
+        )
+    same = same_name(spark)
+    absent = [c for c in layout.partition_by if not any(same(c, d) for d in df.columns)]
+    if absent:
+        raise ValueError(f"{target} is partitioned by {absent}, which the new rows lack")
+    run = _run_name()
+    staged, old = _suffixed(target, STAGED + run), _suffixed(target, OLD + run)
+    _save(_commented(df, layout), staged, "error", layout.partition_by, layout.fmt)
+    if not managed:
         # Its folder is not ours to move: copy into it.
         rows = spark.table(staged).select(*[F.col(quoted(c)) for c in spark.table(target).columns])
         with _setting(spark, OVERWRITE_SETTING, "static"):
             rows.write.insertInto(target, overwrite=True)
         spark.sql(f"DROP TABLE {staged}")
-    else:
-        spark.sql(f"DROP TABLE {target}")
-        _rename(spark, staged, target, bool(partition_by))
+        return
+    _dress(spark, staged, layout)
+    _rename(spark, target, old)
+    _put(spark, staged, target)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _commented(df: DataFrame, layout: Layout) -> DataFrame:
+    same = same_name(df.sparkSession)
+    comments = {
+        f.name: c for f in df.schema.fields for n, c in layout.column_comments.items()
+        if same(f.name, n) and "comment" not in f.metadata
+    }
+    if not comments:
+        return df
+    columns = []
+    for f in df.schema.fields:
+        value = F.col(quoted(f.name))
+        if f.name in comments:
+            value = value.alias(f.name, metadata={**f.metadata, "comment": comments[f.name]})
+        columns.append(value)
+    return df.select(*columns)
+
+
+def _dress(spark: SparkSession, table: str, layout: Layout) -> None:
+    """Gives a table the comment and the properties of a layout."""
+    if layout.comment is not None:
+        spark.sql(f"COMMENT ON TABLE {table} IS {text_literal(layout.comment)}")
+    if layout.properties:
+        pairs = [f"{text_literal(k)} = {text_literal(v)}" for k, v in layout.properties.items()]
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({', '.join(pairs)})")
+
+
+def _rename(spark: SparkSession, table: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
+    if partition_columns(spark, to):
+        # The catalog may still hold the folders of the old name.
+        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+    spark.catalog.refreshTable(to)
 
 
-def _rename(spark: SparkSession, staged: str, target: str, partitioned: bool) -> None:
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
-    if partitioned:
-        # The catalog may still hold the folders of the old name.
-        spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
-    spark.catalog.refreshTable(target)
+def _put(spark: SparkSession, staged: str, target: str) -> None:
+    """The staged table in the place of the target; another run may have done so already."""
+    try:
+        _rename(spark, staged, target)
+    except AnalysisException:
+        if spark.catalog.tableExists(staged) or not spark.catalog.tableExists(target):
+            raise
+
+
+def _beside(spark: SparkSession, target: str, mark: str) -> dict[str, str]:
+    """Tables that runs have put beside the target, by run."""
+    database, _, name = target.replace("`", "").rpartition(".")
+    found = spark.catalog.listTables(database or None, f"{name}{mark}*")
+    start = len(name) + len(mark)
+    return {t.name[start:]: _suffixed(target, t.name[len(name) :]) for t in found}
 
 
 def finish_swap(spark: SparkSession, target: str) -> None:
-    """Tidies up after a driver lost between staging a table and naming it.
+    """Finishes the swap of a run that was cut off in it, its driver lost.
 
-    A table is in the catalog only when all its rows are written. So where the target
-    is gone, the last staged table is the whole new one; where it is there, staged
-    tables were never to be used.
+    The old table, renamed, is the proof that a swap began. Where the target is gone, the
+    staged table of that run takes its place, or else the old one takes it back. Where it
+    is there, an old table whose staged one is gone has been replaced, and goes. Nothing
+    is done about staged tables of other runs: they may be at work.
     """
-    database, _, name = target.replace("`", "").rpartition(".")
-    found = spark.catalog.listTables(database or None, f"{name}{STAGED}*")
-    staged = [_suffixed(target, t.name[len(name) :]) for t in sorted(found, key=lambda t: t.name)]
-    if staged and not spark.catalog.tableExists(target):
-        whole = staged.pop()
-        _rename(spark, whole, target, bool(partition_columns(spark, whole)))
-    for table in staged:
-        spark.sql(f"DROP TABLE {table}")
+    old = _beside(spark, target, OLD)
+    if not old:
+        return
+    staged = _beside(spark, target, STAGED)
+    if not spark.catalog.tableExists(target):
+        run = max(old)
+        _put(spark, staged.pop(run, old[run]), target)
+    for run, table in old.items():
+        if run not in staged:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def clean_staged(spark: SparkSession, target: str) -> int:
+    """Drops what failed runs have left beside the target; none may be at work. How many."""
+    finish_swap(spark, target)
+    left = [*_beside(spark, target, STAGED).values(), *_beside(spark, target, OLD).values()]
+    for table in left:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return len(left)
+
+
+_one_setting = Lock()
 
 
 @contextmanager
 def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    """A session setting for a while; threads that need one take turns."""
+    with _one_setting:
+        before = spark.conf.get(name)
+        spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 # -- merging by key ------------------------------------------------------------------
@@ -160,23 +310,23 @@ def merge_table(
     df: DataFrame,
     target: str,
     keys: Sequence[str],
-    partition_by: Sequence[str] = (),
-    fmt: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    fmt: str | None = None,
     stable: bool = False,
 ) -> None:
     """Rows of ``df`` replace the rows of ``target`` with equal keys, or are added.
 
     Null keys equal nothing, so such rows of both sides stay. Two rows of ``df`` with
     one key are an error. A missing target is created. Of a partitioned table only the
-    partitions that lose or gain rows are rewritten. A merge that was cut off can be run
-    again.
+    partitions that lose or gain rows are rewritten, in place, however many they are, and
+    those left without rows are dropped. A merge that was cut off can be run again.
 
     ``df`` is read for the check, for its keys and for its rows, and all must agree: it
     is written to a scratch table first, unless it is ``stable``, that is, gives the same
     rows cheaply each time.
     """
-    keys = list(keys)
-    unknown = [k for k in keys if k not in df.columns]
+    same = same_name(df.sparkSession)
+    unknown = [k for k in keys if not any(same(k, c) for c in df.columns)]
     if not keys or unknown:
         raise ValueError(f"merge needs key columns of the source; got {keys}, unknown {unknown}")
     finish_swap(df.sparkSession, target)
@@ -185,7 +335,11 @@ def merge_table(
 
 
 def _merge(
-    source: DataFrame, target: str, keys: list[str], partition_by: Sequence[str], fmt: str
+    source: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str] | None,
+    fmt: str | None,
 ) -> None:
     spark = source.sparkSession
     if not spark.catalog.tableExists(target):
@@ -193,27 +347,30 @@ def _merge(
         write_table(source, target, "error", partition_by, fmt)
         return
     present = spark.table(target)
-    # In the types of the target two keys may be one.
+    # In the types of the target two keys may be one; and its names are used from here on.
     source = _aligned(source, present)
+    same = same_name(spark)
+    keys = [next(c for c in present.columns if same(k, c)) for k in keys]
     _reject_repeated_keys(source, keys)
-    fmt = _format(spark, target)
-    if fmt in TRANSACTIONAL:
-        merge = source.alias("s").mergeInto(target, _equal_keys("s", target, keys))
+    layout = layout_of(spark, target)
+    if layout.fmt in TRANSACTIONAL:
+        merge = source.alias("s").mergeInto(target, _equal("s", target, keys))
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
-        return
-    partitions = partition_columns(spark, target)
-    if partitions and _merge_partitions(source, present, target, keys, partitions):
-        return
-    merged = _unmatched(present, source, keys).unionByName(source)
-    _replace(merged, target, partitions, fmt)
+    elif layout.partition_by:
+        _merge_partitions(source, present, target, keys, layout.partition_by)
+    else:
+        _replace(_unmatched(present, source, keys).unionByName(source), target, layout)
 
 
 def _all_set(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(quoted(c)).isNotNull() for c in columns])
 
 
-def _equal_keys(left: str, right: str, keys: Sequence[str]) -> Column:
-    pairs = [F.col(f"{left}.{quoted(k)}") == F.col(f"{right}.{quoted(k)}") for k in keys]
+def _equal(left: str, right: str, columns: Sequence[str], others: Sequence[str] = ()) -> Column:
+    pairs = [
+        F.col(f"{left}.{quoted(a)}") == F.col(f"{right}.{quoted(b)}")
+        for a, b in zip(columns, others or columns)
+    ]
     return reduce(lambda a, b: a & b, pairs)
 
 
@@ -230,21 +387,28 @@ def _reject_repeated_keys(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
-    """The source with the order and the types of the target."""
-    if set(source.columns) != set(target.columns):
+    """The source with the names, the order and the types of the target."""
+    spark = source.sparkSession
+    same = same_name(spark)
+    found = {
+        t.name: [s for s in source.schema.fields if same(s.name, t.name)]
+        for t in target.schema.fields
+    }
+    if len(source.columns) != len(found) or any(len(f) != 1 for f in found.values()):
         raise ValueError(
             f"source and target differ in columns: {sorted(source.columns)}, "
             f"{sorted(target.columns)}"
         )
-    ansi = source.sparkSession.conf.get("spark.sql.ansi.enabled").lower() == "true"
+    ansi = spark.conf.get("spark.sql.ansi.enabled").lower() == "true"
     return source.select(
         *[
             strict_cast(
-                F.col(quoted(f.name)), source.schema[f.name].dataType, f.dataType, f.name, ansi
-            ).alias(f.name)
-            for f in target.schema.fields
+                F.col(quoted(found[t.name][0].name)), found[t.name][0].dataType, t.dataType,
+                t.name, ansi,
+            ).alias(t.name)
+            for t in target.schema.fields
         ]
-    )
+    )
 
 
 def _unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -256,7 +420,7 @@ def _unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     """
     new_keys = source.select(*[F.col(quoted(k)) for k in keys]).filter(_all_set(keys))
     keyed = target.filter(_all_set(keys))
-    kept = keyed.alias("t").join(new_keys.alias("s"), _equal_keys("t", "s", keys), "left_anti")
+    kept = keyed.alias("t").join(new_keys.alias("s"), _equal("t", "s", keys), "left_anti")
     return kept.unionByName(target.filter(~_all_set(keys)))
 
 
@@ -266,95 +430,103 @@ def _merge_partitions(
     target: str,
     keys: Sequence[str],
     partitions: Sequence[str],
-) -> bool:
-    """Merges by rewriting the touched partitions; False where all must be rewritten."""
+) -> None:
+    """Merges by rewriting the touched partitions, those that lose or gain rows."""
     spark = source.sparkSession
-    columns = [F.col(quoted(p)) for p in partitions]
-    incoming = source.select(*columns).distinct()
-    touched = {tuple(row) for row in incoming.limit(MAX_LISTED + 1).collect()}
-    emptied: list[Row] = []
-    if not set(partitions) <= set(keys):
-        # A row may move: the partitions it leaves must be found by its key.
-        hit = _hit_partitions(source, present, keys, partitions).limit(MAX_LISTED + 1).collect()
-        emptied = [r for r in hit if r["n_kept"] == 0 and r[: len(partitions)] not in touched]
-        touched |= {r[: len(partitions)] for r in hit}
-        if len(touched) > MAX_LISTED or (emptied and not _can_drop(spark, target, emptied)):
-            return False
-
-    if len(touched) <= MAX_LISTED:
-        affected = present.filter(_in_partitions(partitions, touched))
+    names = [f"p{i}" for i in range(len(partitions))]
+    with landed(_touched(source, present, keys, partitions, names), "touched") as touched:
+        affected = _rows_of(present, touched, partitions, names)
         merged = _unmatched(affected, source, keys).unionByName(source)
-    else:
-        whole = incoming.filter(_all_set(partitions))
-        affected = present.alias("t").join(
-            whole.alias("p"), _equal_keys("t", "p", partitions), "left_semi"
+        left = touched.filter("n_in = 0")
+        kept = _unmatched(_rows_of(present, left, partitions, names), source, keys)
+        kept = kept.select(*[F.col(quoted(p)).alias(n) for p, n in zip(partitions, names)])
+        match = reduce(
+            lambda a, b: a & b, [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
         )
-        merged = _unmatched(affected, source, keys).unionByName(source)
-        if not incoming.filter(~_all_set(partitions)).isEmpty():
-            # A null is no key: those rows all stay, but their folders are rewritten.
-            merged = merged.unionByName(present.filter(~_all_set(partitions)))
-
-    with _setting(spark, OVERWRITE_SETTING, "dynamic"):
-        rows = merged.select(*[F.col(quoted(c)) for c in present.columns])
-        _spread(rows, partitions).write.insertInto(target, overwrite=True)
-    # Last: a run cut off before this finds the same partitions again.
-    for row in emptied:
-        values = ", ".join(
-            f"{quoted(p)} = {text_literal(row[f'text_{i}'])}" for i, p in enumerate(partitions)
-        )
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({values})")
-    return True
+        emptied = left.alias("a").join(kept.distinct().alias("b"), match, "left_anti")
+        with landed(emptied.select(*names), "emptied") as emptied:
+            with _setting(spark, OVERWRITE_SETTING, "dynamic"):
+                rows = merged.select(*[F.col(quoted(c)) for c in present.columns])
+                _spread(rows, partitions).write.insertInto(target, overwrite=True)
+            # Last: a run cut off before this finds the same partitions again.
+            _drop_partitions(emptied, target, partitions)
 
 
-def _hit_partitions(
-    source: DataFrame, present: DataFrame, keys: Sequence[str], partitions: Sequence[str]
+def _touched(
+    source: DataFrame,
+    present: DataFrame,
+    keys: Sequence[str],
+    partitions: Sequence[str],
+    names: Sequence[str],
 ) -> DataFrame:
-    """The partitions that lose rows, and how many rows of each stay.
+    """Partitions that gain rows (``n_in`` above 0) or lose some, under plain names.
 
-    Reads the key and partition columns of the target only.
+    Where the partition columns are not all keys, rows may move: the partitions they leave
+    are found by a semi join that reads the key and partition columns of the target only,
+    and lets Spark skip the keys that cannot be hit before they are shuffled.
     """
-    named = [F.col(quoted(c)) for c in dict.fromkeys([*keys, *partitions])]
-    columns = [F.col(quoted(p)) for p in partitions]
-    new_keys = source.select(*[F.col(quoted(k)) for k in keys]).filter(_all_set(keys))
-    located = present.select(*named)
-    keyed = (
-        located.filter(_all_set(keys))
-        .alias("t")
-        .join(new_keys.withColumn("_hit", F.lit(1)).alias("s"), _equal_keys("t", "s", keys), "left")
-        .select(*[F.col(f"t.{quoted(p)}") for p in partitions], F.col("_hit"))
-    )
-    unkeyed = located.filter(~_all_set(keys)).select(*columns, F.lit(None).cast("int").alias("_hit"))
-    return (
-        keyed.unionByName(unkeyed)
-        .groupBy(*columns)
-        .agg(
-            F.count("_hit").alias("n_hit"),
-            (F.count(F.lit(1)) - F.count("_hit")).alias("n_kept"),
-        )
-        .filter(F.col("n_hit") > 0)
-        .select(
-            *columns,
-            "n_kept",
-            *[c.cast("string").alias(f"text_{i}") for i, c in enumerate(columns)],
+    plain = [F.col(quoted(p)).alias(n) for p, n in zip(partitions, names)]
+    gaining = source.select(*plain, F.lit(1).alias("n"))
+    if not set(partitions) <= set(keys):
+        new_keys = source.select(*[F.col(quoted(k)) for k in keys]).filter(_all_set(keys))
+        located = present.filter(_all_set(keys)).select(
+            *[F.col(quoted(c)) for c in dict.fromkeys([*keys, *partitions])]
         )
-    )
+        hit = located.alias("t").join(new_keys.alias("s"), _equal("t", "s", keys), "left_semi")
+        gaining = gaining.unionAll(hit.select(*plain, F.lit(0).alias("n")))
+    return gaining.groupBy(*names).agg(F.sum("n").alias("n_in"), F.count("n").alias("n_rows"))
+
 
+def _rows_of(
+    present: DataFrame, touched: DataFrame, partitions: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    """The rows of the touched partitions, the others not read.
 
-def _can_drop(spark: SparkSession, target: str, emptied: Sequence[Row]) -> bool:
-    """Dropping a partition of an external table leaves its files, and a null has no name."""
-    managed = spark.catalog.getTable(target).tableType == "MANAGED"
-    return managed and not any(value is None for row in emptied for value in row)
+    Equality on the partition columns lets Spark prune by the touched ones as it runs, if
+    the join's other side is broadcast and filtered; nulls are equal to nothing, so each
+    set of null columns has a join of its own. There are at most two to the number of
+    partition columns of them.
+    """
+    masks = touched.select(*[F.col(n).isNull().alias(n) for n in names]).distinct().collect()
+    out = present.limit(0)
+    for mask in masks:
+        rows, wanted, set_ = present, touched.filter("n_rows > 0"), []
+        for p, n in zip(partitions, names):
+            if mask[n]:
+                rows, wanted = rows.filter(F.col(quoted(p)).isNull()), wanted.filter(F.col(n).isNull())
+            else:
+                set_.append((p, n))
+                wanted = wanted.filter(F.col(n).isNotNull())
+        if set_:
+            columns, others = zip(*set_)
+            match = _equal("t", "w", columns, others)
+            rows = rows.alias("t").join(wanted.select(*others).alias("w"), match, "left_semi")
+        out = out.unionByName(rows)
+    return out
+
+
+def _drop_partitions(emptied: DataFrame, target: str, partitions: Sequence[str]) -> None:
+    """Drops partitions, some at a time; of an external table their files too."""
+    spark = emptied.sparkSession
+    external = spark.catalog.getTable(target).tableType == "EXTERNAL"
+    rows = emptied.select(*[F.col(c).cast("string") for c in emptied.columns]).toLocalIterator()
+    for some in batched(rows, DROPPED_AT_ONCE):
+        specs = [
+            "PARTITION ("
+            + ", ".join(
+                f"{quoted(p)} = {'null' if v is None else text_literal(v)}"
+                for p, v in zip(partitions, row)
+            )
+            + ")"
+            for row in some
+        ]
+        for spec in specs if external else ():
+            _delete_files(spark, target, spec)
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {', '.join(specs)}")
 
 
-def _in_partitions(partitions: Sequence[str], values: set[tuple]) -> Column:
-    columns = [F.col(quoted(p)) for p in partitions]
-    if len(columns) == 1:
-        given = [v for (v,) in values if v is not None]
-        found = columns[0].isin(given)
-        return found | columns[0].isNull() if (None,) in values else found
-    either = F.lit(False)
-    for row in values:
-        either = either | reduce(
-            lambda a, b: a & b, [c.eqNullSafe(F.lit(v)) for c, v in zip(columns, row)]
-        )
-    return either
+def _delete_files(spark: SparkSession, target: str, spec: str) -> None:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {target} {spec}").filter("col_name = 'Location'")
+    # The partition's own comes before the table's.
+    path = spark._jvm.org.apache.hadoop.fs.Path(found.collect()[0]["data_type"])
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
