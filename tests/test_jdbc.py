@@ -11,10 +11,18 @@ import duckdb
 import pytest
 from pyspark.sql import types as T
 
-from typeferry import ByBlocks, ByPredicates, ByRange, JdbcSource, MappedColumn, map_types
-from typeferry import mapped_columns
+from typeferry import (
+    ByBlocks,
+    ByPredicates,
+    ByRange,
+    JdbcSource,
+    MappedColumn,
+    SingleTask,
+    map_types,
+    mapped_columns,
+)
 from typeferry.operators.mapping import DESCRIPTOR
-from typeferry.sources.jdbc import block_predicates, qualified, range_options
+from typeferry.sources.jdbc import block_predicates, leaf_predicates, qualified, range_options
 
 
 class Recorder:
@@ -38,10 +46,12 @@ class Recorder:
     def load(self):
         self.calls.append(self.set)
         row = self.answers.pop(0) if self.answers and "query" in self.set else None
-        return SimpleNamespace(first=lambda: row)
+        return SimpleNamespace(first=lambda: row, collect=lambda: row)
 
     def jdbc(self, url, table, predicates, properties):
-        self.calls.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
+        call = {"url": url, "dbtable": table, "predicates": predicates, **properties}
+        self.calls.append(call)
+        return SimpleNamespace(coalesce=lambda n: call.update(coalesced=n))
 
 
 def recorded(*answers):
@@ -117,7 +127,7 @@ def test_count_and_bounds_statements(shop):
     assert run(shop, SOURCE.bounds_sql("public", "orders", "k")) == [{"lo": -4, "hi": 3}]
     assert run(shop, SOURCE.count_sql("public", "o'dd \"name")) == [{"n_rows": 0}]
     statement = SOURCE.blocks_sql("public", "o'dd")
-    assert """pg_relation_size('"public"."o''dd"'::regclass)""" in statement
+    assert """r.oid = '"public"."o''dd"'::regclass""" in statement
 
 
 def test_catalog_rows_become_a_schema(spark, shop):
@@ -159,16 +169,79 @@ def test_columns_fetched_as_text():
     assert SOURCE.text_schema(COLUMNS[:1]) == ""
 
 
-def test_plain_read():
+def test_single_task_read():
     spark = recorded()
-    SOURCE.read(spark, "public", "orders", COLUMNS)
+    SOURCE.read(spark, "public", "orders", COLUMNS, SingleTask())
     (call,) = spark.read.calls
     assert call["dbtable"] == '"public"."orders"'
     assert call["customSchema"] == SOURCE.text_schema(COLUMNS)
-    SOURCE.read(spark, "public", "orders")
+    SOURCE.read(spark, "public", "orders", partitioning=SingleTask())
     assert "customSchema" not in spark.read.calls[1]
 
 
+def storage(kind, *leaves):
+    return [{"kind": kind, "oid": o, "blocks": b, "block_size": 8192} for o, b in leaves]
+
+
+def test_read_by_default():
+    """By blocks: one task for 256 MB, that is 32,768 blocks of 8 kB."""
+    spark = recorded(storage("r", (7, 100_000)))
+    SOURCE.read(spark, "public", "orders", COLUMNS)
+    lookup, call = spark.read.calls
+    assert lookup["query"] == SOURCE.blocks_sql("public", "orders")
+    assert call["predicates"] == block_predicates(100_000, 4)
+    assert call["customSchema"] == SOURCE.text_schema(COLUMNS)
+    spark = recorded(storage("r", (7, 0)))
+    SOURCE.read(spark, "public", "orders")
+    assert spark.read.calls[1]["predicates"] == ["ctid >= '(0,0)'::tid"]
+
+
+def test_read_of_a_partitioned_table():
+    spark = recorded(storage("p", (7, 70_000), (8, 0), (9, 10)))
+    SOURCE.read(spark, "public", "orders")
+    found = spark.read.calls[1]["predicates"]
+    assert len(found) == 5 and len(set(found)) == 5
+    spark = recorded(storage("p", (7, 60), (8, 40)))
+    SOURCE.read(spark, "public", "orders", partitioning=ByBlocks(10))
+    assert len(spark.read.calls[1]["predicates"]) == 10
+    spark = recorded(storage("p", (None, None)))
+    SOURCE.read(spark, "public", "orders")
+    assert spark.read.calls[1]["predicates"] == ["false"]
+
+
+@pytest.mark.parametrize("kind", ["v", "f"])
+def test_relations_without_blocks(kind):
+    for by in (None, ByBlocks(4)):
+        with pytest.raises(ValueError, match="ByRange, ByPredicates or SingleTask"):
+            SOURCE.read(recorded(storage(kind, (7, 0))), "public", "orders", partitioning=by)
+
+
+def test_connections_are_bounded_apart_from_partitions():
+    source = JdbcSource(max_connections=3)
+    spark = recorded(storage("r", (7, 100)))
+    source.read(spark, "public", "orders", partitioning=ByBlocks(10))
+    call = spark.read.calls[1]
+    assert len(call["predicates"]) == 10 and call["coalesced"] == 3
+    spark = recorded(storage("r", (7, 100)))
+    source.read(spark, "public", "orders", partitioning=ByBlocks(2))
+    assert "coalesced" not in spark.read.calls[1]
+
+
+@pytest.mark.parametrize("leaves, each", [([(7, 10), (8, 0), (9, 25)], 4), ([(5, 1)], 100)])
+def test_leaves_are_covered_once(leaves, each):
+    conditions = leaf_predicates(leaves, each)
+
+    def holds(condition, oid, block):
+        own = re.match(r"tableoid = (\d+) AND (.*)", condition)
+        bounds = re.findall(r"ctid (>=|<) '\((\d+),0\)'::tid", own[2])
+        inside = all(block >= int(n) if op == ">=" else block < int(n) for op, n in bounds)
+        return int(own[1]) == oid and inside
+
+    for oid, blocks in leaves:
+        for block in range(blocks + 5):  # five blocks appended meanwhile
+            assert sum(holds(c, oid, block) for c in conditions) == 1
+
+
 def test_range_read():
     spark = recorded()
     SOURCE.read(spark, "public", "orders", COLUMNS, ByRange("id", 8, 1, 1000))
@@ -199,7 +272,7 @@ def test_predicate_read():
 
 
 def test_block_read():
-    spark = recorded({"blocks": 10})
+    spark = recorded(storage("r", (7, 10)))
     SOURCE.read(spark, "public", "orders", COLUMNS, ByBlocks(4))
     lookup, call = spark.read.calls
     assert lookup["query"] == SOURCE.blocks_sql("public", "orders")

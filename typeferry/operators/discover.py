@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from typeferry.operators.mapping import MappedColumn
 from typeferry.sources.jdbc import Partitioning
@@ -16,7 +17,7 @@ class Source(Protocol):
     def columns(
         self, spark: SparkSession, schema: str | None = None, table: str | None = None
     ) -> DataFrame:
-        """One descriptor per column."""
+        """One descriptor per column of, at least, that schema and table."""
 
     def read(
         self,
@@ -37,4 +38,8 @@ def discover_columns(
 ) -> DataFrame:
     """Descriptors of one table in column order, or of all tables in one pass."""
     columns = source.columns(spark, schema, table)
+    if schema is not None:
+        columns = columns.filter(F.col("table_schema") == schema)
+    if table is not None:
+        columns = columns.filter(F.col("table_name") == table)
     return columns if table is None else columns.orderBy("ordinal_position")

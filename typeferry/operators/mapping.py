@@ -132,17 +132,37 @@ def mapping_audit(mapped: DataFrame, *more: str) -> DataFrame:
     return mapped.select("table_name", "column_name", "data_type", "spark_type", "status", *more)
 
 
+def _one_table(mapped: DataFrame, schema: str | None, tables: Sequence[str] | None) -> DataFrame:
+    """The descriptors of the named tables; an error if a name stands for several tables."""
+    if schema is not None:
+        mapped = mapped.filter(F.col("table_schema") == schema)
+    if tables is not None:
+        mapped = mapped.filter(F.col("table_name").isin(list(tables)))
+    if schema is None and _has(mapped, "table_schema"):
+        by = ["table_name"] if tables is not None else []
+        schemas = F.collect_set(F.coalesce("table_schema", F.lit("")))
+        several = mapped.groupBy(*by).agg(F.sort_array(schemas).alias("schemas"))
+        found = several.filter(F.size("schemas") > 1).first()
+        if found is not None:
+            what = found["table_name"] if by else "the descriptors"
+            raise ValueError(f"{what}: in the schemas {', '.join(found['schemas'])}; name one")
+    return mapped
+
+
 def mapped_columns(
     mapped: DataFrame, table: str | None = None, schema: str | None = None
 ) -> list[MappedColumn]:
     """The mapped columns of one table, in order, on the driver.
 
-    Raises ``ValueError`` when there are none, as for a table that does not exist.
+    Raises ``ValueError`` when there are none, as for a table that does not exist, and
+    when a table of that name is in more than one schema and none is given, or
+    descriptors of several tables are given and none is named.
     """
-    if schema is not None:
-        mapped = mapped.filter(F.col("table_schema") == schema)
-    if table is not None:
-        mapped = mapped.filter(F.col("table_name") == table)
+    mapped = _one_table(mapped, schema, None if table is None else [table])
+    if table is None and _has(mapped, "table_name"):
+        names = [r[0] for r in mapped.select("table_name").distinct().limit(2).collect()]
+        if len(names) > 1:
+            raise ValueError(f"descriptors of several tables, {', '.join(map(str, names))}; name one")
     if _has(mapped, "ordinal_position"):
         mapped = mapped.orderBy("ordinal_position")
     # A table has at most 1,600 columns.
@@ -156,11 +176,16 @@ def mapped_columns(
     return [MappedColumn(*row) for row in rows]
 
 
-def mapped_tables(mapped: DataFrame, tables: Sequence[str]) -> dict[str, list[MappedColumn]]:
-    """``mapped_columns`` of several tables of one schema, in one job."""
+def mapped_tables(
+    mapped: DataFrame, tables: Sequence[str], schema: str | None = None
+) -> dict[str, list[MappedColumn]]:
+    """``mapped_columns`` of several tables of one schema, in one job.
+
+    The schema must be given where one of the names is in several.
+    """
     found: dict[str, list[MappedColumn]] = {table: [] for table in tables}
     rows = (
-        mapped.filter(F.col("table_name").isin(list(tables)))
+        _one_table(mapped, schema, tables)
         .orderBy("table_name", "ordinal_position")
         .select("table_name", *MappedColumn._fields)
         .collect()
@@ -188,27 +213,58 @@ def build_schema(
     return T.StructType([T.StructField(c.column_name, c.type(), c.nullable) for c in columns])
 
 
+def map_one(
+    data_type: str | None,
+    udt_name: str | None = None,
+    precision: int | None = None,
+    scale: int | None = None,
+    dimensions: int | None = None,
+) -> tuple[str | None, str | None, str]:
+    """``base_type``, ``spark_type`` and ``status`` of one type, as ``map_types`` has them.
+
+    Needs no session: a lookup in the same rules.
+    """
+    if data_type is None:
+        return None, None, "missing"
+    bare, suffix = names.split_suffix(data_type)
+    depth = (dimensions or 0) + suffix
+    element = bare
+    if bare == "array":
+        depth = max(depth, 1)
+        named = udt_name is not None and udt_name.startswith("_")
+        element = udt_name[1:].lower() if named else "text"
+    rule = dict(rules.TYPE_RULES).get(element)
+    status = "ok" if rule else "unknown"
+    if rule == "decimal":
+        p = rules.DEFAULT_PRECISION if precision is None else precision
+        s = rules.DEFAULT_SCALE if scale is None else scale
+        fits = 1 <= p <= rules.MAX_PRECISION and 0 <= s <= p
+        rule, status = (f"decimal({p},{s})", "ok") if fits else (None, "invalid_decimal")
+    return element, "array<" * depth + (rule or rules.FALLBACK_TYPE) + ">" * depth, status
+
+
 def build_spark_schema(
     columns: list[dict[str, Any]], spark: SparkSession | None = None
 ) -> T.StructType:
     """The ``StructType`` for a list of descriptors given as dictionaries.
 
     ``column_name`` and ``data_type`` are needed in each, the other fields of
-    ``DESCRIPTOR`` are optional. Without a session the running one is used.
+    ``DESCRIPTOR`` are optional. No session is needed; ``spark`` is taken and not used.
     """
-    if not columns:
-        return T.StructType([])
-    rows = []
-    for position, column in enumerate(columns, start=1):
-        known = {
-            **column,
-            "column_name": column["column_name"],
-            "data_type": column["data_type"],
-            "ordinal_position": position,
-        }
-        rows.append(tuple(known.get(field) for field in DESCRIPTOR.names))
-    spark = spark or SparkSession.builder.getOrCreate()
-    return build_schema(map_types(spark.createDataFrame(rows, DESCRIPTOR)))
+    found = []
+    for column in columns:
+        base, spark_type, status = map_one(
+            column["data_type"],
+            column.get("udt_name"),
+            column.get("numeric_precision"),
+            column.get("numeric_scale"),
+            column.get("array_dimensions"),
+        )
+        nullable = (column.get("is_nullable") or "YES").upper() != "NO"
+        found.append(
+            MappedColumn(column["column_name"], column["data_type"], base, spark_type, nullable, status)
+        )
+    return build_schema(found)
 
 
 def map_pgsql_type_to_spark(
@@ -218,10 +274,7 @@ def map_pgsql_type_to_spark(
     array_dimensions: int = 0,
     spark: SparkSession | None = None,
 ) -> T.DataType:
-    """The Spark type of one PostgreSQL type.
-
-    One small Spark job: for many types use ``map_types``.
-    """
+    """The Spark type of one PostgreSQL type, without a session; ``map_types`` is for many."""
     column = {
         "column_name": pg_type,
         "data_type": pg_type,
@@ -229,4 +282,4 @@ def map_pgsql_type_to_spark(
         "numeric_scale": scale,
         "array_dimensions": array_dimensions,
     }
-    return build_spark_schema([column], spark)[0].dataType
+    return build_spark_schema([column])[0].dataType

@@ -24,11 +24,10 @@ class FrameSource:
     def columns(
         self, spark: SparkSession, schema: str | None = None, table: str | None = None
     ) -> DataFrame:
+        """All descriptors; ``discover_columns`` keeps those of the schema and table."""
         rows = []
-        if schema in (None, self.schema):
-            for name, frame in self.tables.items():
-                if table in (None, name):
-                    rows += _descriptors(self.schema, name, frame.schema)
+        for name, frame in self.tables.items():
+            rows += _descriptors(self.schema, name, frame.schema)
         return spark.createDataFrame(rows, DESCRIPTOR)
 
     def read(

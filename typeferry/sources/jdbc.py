@@ -50,15 +50,23 @@ class ByPredicates:
 
 @dataclass(frozen=True)
 class ByBlocks:
-    """Equal runs of the table's disk blocks, whatever the values in it.
+    """Runs of the table's disk blocks, whatever the values in it.
 
-    For plain tables only: a view, or the parent of a partitioned table, has no blocks.
+    Of a table, a materialised view, or all leaves of a partitioned table. ``partitions``
+    is about how many; left out, there is one for each ``bytes_each`` of the table's size.
+    Views and foreign tables have no blocks.
     """
 
-    partitions: int
+    partitions: int | None = None
+    bytes_each: int = 256 << 20
+
+
+@dataclass(frozen=True)
+class SingleTask:
+    """The whole table in one task and one connection."""
 
 
-Partitioning = ByRange | ByPredicates | ByBlocks
+Partitioning = ByRange | ByPredicates | ByBlocks | SingleTask
 
 
 def block_predicates(blocks: int, partitions: int) -> list[str]:
@@ -77,6 +85,18 @@ def block_predicates(blocks: int, partitions: int) -> list[str]:
     return conditions
 
 
+def leaf_predicates(leaves: Sequence[tuple[int, int]], blocks_each: int) -> list[str]:
+    """Conditions that split the leaves of a partitioned table, each by its own blocks.
+
+    ``leaves`` are their object ids and blocks. A leaf attached meanwhile is not read.
+    """
+    return [
+        f"tableoid = {oid} AND {condition}"
+        for oid, blocks in leaves
+        for condition in block_predicates(blocks, -(-blocks // blocks_each))
+    ]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Connection settings; the driver's jar must be on Spark's class path."""
@@ -89,6 +109,7 @@ class JdbcSource:
     sslmode: str = "require"
     driver: str = "org.postgresql.Driver"
     fetchsize: int = 10_000
+    max_connections: int | None = None
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     @property
@@ -164,11 +185,40 @@ class JdbcSource:
 
     @staticmethod
     def blocks_sql(schema: str, table: str) -> str:
+        """The kind of a relation, and its storage: itself, or the leaves below it."""
         name = literal(qualified(schema, table))
-        return (
-            f"SELECT pg_relation_size({name}::regclass)"
-            " / current_setting('block_size')::bigint AS blocks"
-        )
+        return f"""
+            SELECT r.relkind::text AS kind, l.oid::bigint AS oid,
+                   pg_relation_size(l.oid) / s.size AS blocks, s.size AS block_size
+            FROM pg_catalog.pg_class r
+            CROSS JOIN (SELECT current_setting('block_size')::bigint AS size) s
+            LEFT JOIN pg_partition_tree({name}::regclass) t ON r.relkind = 'p' AND t.isleaf
+            LEFT JOIN pg_catalog.pg_class l
+                   ON l.oid = CASE WHEN r.relkind = 'p' THEN t.relid ELSE r.oid END
+            WHERE r.oid = {name}::regclass"""
+
+    def _block_predicates(
+        self, spark: SparkSession, schema: str, table: str, by: ByBlocks
+    ) -> list[str]:
+        """Conditions over the blocks of a table or of a partitioned table's leaves."""
+        found = self.query(spark, self.blocks_sql(schema, table)).collect()
+        kind = found[0]["kind"] if found else None
+        if kind not in ("r", "m", "p", "t"):
+            raise ValueError(
+                f"{schema}.{table} has no blocks to read by (a view or a foreign table); "
+                "choose ByRange, ByPredicates or SingleTask()"
+            )
+        leaves = [(int(r["oid"]), int(r["blocks"])) for r in found if r["oid"] is not None]
+        total = sum(blocks for _, blocks in leaves)
+        if not leaves:
+            return ["false"]  # a partitioned table without partitions
+        if by.partitions is None:
+            each = max(1, by.bytes_each // int(found[0]["block_size"]))
+        else:
+            each = max(1, -(-total // max(1, by.partitions)))
+        if kind == "p":
+            return leaf_predicates(leaves, each)
+        return block_predicates(total, by.partitions or -(-total // each))
 
     def read(
         self,
@@ -180,9 +230,14 @@ class JdbcSource:
     ) -> DataFrame:
         """All rows of one table, read with the types Spark infers.
 
-        ``columns`` names those to fetch as text; ``conform`` casts the rest. The
+        Without ``partitioning`` the table is read by its blocks, a task for so many
+        bytes. ``columns`` names those to fetch as text; ``conform`` casts the rest. The
         partitions of a parallel read are separate transactions: rows changed while
         it runs may be seen twice or not at all.
+
+        Each running task has a connection. Spark has no option that bounds them apart
+        from the number of partitions, so ``max_connections`` groups the partitions: a
+        task then reads several, one after the other.
         """
         options = self.reader_options()
         text_schema = self.text_schema(columns)
@@ -190,18 +245,21 @@ class JdbcSource:
             options["customSchema"] = text_schema
         name = qualified(schema, table)
 
+        by = ByBlocks() if partitioning is None else partitioning
         predicates: Sequence[str] | None = None
-        if isinstance(partitioning, ByPredicates):
-            predicates = partitioning.predicates
-        elif isinstance(partitioning, ByBlocks):
-            blocks = self.query(spark, self.blocks_sql(schema, table)).first()["blocks"]
-            predicates = block_predicates(int(blocks), partitioning.partitions)
+        if isinstance(by, ByPredicates):
+            predicates = by.predicates
+        elif isinstance(by, ByBlocks):
+            predicates = self._block_predicates(spark, schema, table, by)
         if predicates is not None:
             url = options.pop("url")
-            return spark.read.jdbc(url, name, predicates=list(predicates), properties=options)
+            frame = spark.read.jdbc(url, name, predicates=list(predicates), properties=options)
+            if self.max_connections and len(predicates) > self.max_connections:
+                frame = frame.coalesce(self.max_connections)
+            return frame
 
-        if isinstance(partitioning, ByRange):
-            options.update(self._range_options(spark, schema, table, partitioning))
+        if isinstance(by, ByRange):
+            options.update(self._range_options(spark, schema, table, by))
         return spark.read.format("jdbc").options(**options).option("dbtable", name).load()
 
     def _range_options(
