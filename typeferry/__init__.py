@@ -13,11 +13,12 @@ from typeferry.operators.mapping import (
     mapped_tables,
     mapping_audit,
 )
+from typeferry.operators.scratch import clear_scratch
 from typeferry.operators.verify import column_checks, preview, reconcile, row_count
-from typeferry.operators.write import merge_table, write_table
-from typeferry.plans.ingest import IngestConfig, IngestReport, ingest
+from typeferry.operators.write import clean_staged, merge_table, write_table
+from typeferry.plans.ingest import IngestConfig, IngestReport, ingest, ingest_many
 from typeferry.sources.frames import FrameSource
-from typeferry.sources.jdbc import ByBlocks, ByPredicates, ByRange, JdbcSource
+from typeferry.sources.jdbc import ByBlocks, ByPredicates, ByRange, JdbcSource, SingleTask
 
 __all__ = [
     "TYPE_RULES",
@@ -29,12 +30,16 @@ __all__ = [
     "IngestReport",
     "JdbcSource",
     "MappedColumn",
+    "SingleTask",
     "build_schema",
     "build_spark_schema",
+    "clean_staged",
+    "clear_scratch",
     "column_checks",
     "conform",
     "discover_columns",
     "ingest",
+    "ingest_many",
     "map_pgsql_type_to_spark",
     "map_types",
     "mapped_columns",
