@@ -151,6 +151,25 @@ _CUSTOMERS = """select c_custkey as account, c_name as name, c_nationkey as nati
 _SUPPLIERS = """select s_suppkey as account, s_name as name, s_nationkey as nation,
   s_acctbal as balance from supplier"""
 
+# The declared types of four tables, as Spark spells them.
+_DECLARED = {
+    "lineitem": "l_shipdate date, l_orderkey bigint, l_linenumber smallint, l_partkey int, "
+    "l_suppkey string, l_quantity smallint, l_extendedprice decimal(10;2), "
+    "l_discount decimal(3;2), l_tax double, l_returnflag string",
+    "orders": "o_orderkey string, o_custkey int, o_totalprice decimal(12;2), o_orderdate date, "
+    "o_orderstatus string",
+    "events": "event_id bigint, ts timestamp, value int, props string",
+    "embeddings": "vec_id bigint, embedding array<double>",
+}
+
+_SCHEMAS = " union all ".join(
+    f"select '{table}' as table_name, count(*) as n_rows, '{column}' as column_name, "
+    f"'{kind}' as type, {str(not column.endswith(('key', '_id'))).lower()} as nullable "
+    f"from {table}"
+    for table, columns in _DECLARED.items()
+    for column, kind in (c.replace(";", ",").split(" ") for c in columns.split(", "))
+)
+
 ORACLES: dict[str, str] = {
     # discovery and mapping of the tables' own columns
     "discover_all": f"""
@@ -290,8 +309,35 @@ ORACLES: dict[str, str] = {
           from lineitem
         union all select 'l_linestatus', count(*), 0, count(*) filter (where l_linestatus <> 'F')
           from lineitem""",
+    "altered_lineitem": """
+        select 'l_orderkey' as column_name, count(*) as n_rows, cast(0 as bigint) as n_nulls,
+          cast(0 as bigint) as n_lost, cast(0 as bigint) as n_altered from lineitem
+        union all select 'l_quantity', count(*), 0, 0,
+          count(*) filter (where trunc(l_quantity) <> l_quantity) from lineitem
+        union all select 'l_extendedprice', count(*), 0, 0, count(*) filter (
+          where cast(cast(l_extendedprice as decimal(10,1)) as double) <> l_extendedprice)
+          from lineitem
+        union all select 'l_discount', count(*), 0, 0, count(*) filter (
+          where cast(cast(l_discount as decimal(3,1)) as double) <> l_discount) from lineitem
+        union all select 'l_tax', count(*), 0, 0, count(*) filter (
+          where cast(cast(l_tax as float) as double) <> l_tax) from lineitem
+        union all select 'l_shipdate', count(*), 0, 0, count(*) filter (
+          where date_trunc('day', l_shipdate) <> l_shipdate) from lineitem""",
+    "altered_events": """
+        select 'event_id' as column_name, count(*) as n_rows, count(*) - count(event_id) as n_nulls,
+          cast(0 as bigint) as n_lost, count(*) filter (
+            where cast(cast(event_id as double) as bigint) <> event_id) as n_altered from events
+        union all select 'ts', count(*), count(*) - count(ts), 0,
+          count(*) filter (where date_trunc('day', ts) <> ts) from events
+        union all select 'value', count(*), count(*) - count(value), 0,
+          count(*) filter (where trunc(value) <> value) from events""",
+    "schema_conformed": _SCHEMAS,
+    "schema_written": _SCHEMAS,
     # writers
     "write_overwrite": "select * from orders",
+    "write_overwrite_keeps_layout": """
+        select 'o_orderstatus=' || o_orderstatus as partition, count(*) as n_rows,
+          max(o_totalprice) as max_price from orders group by o_orderstatus""",
     "write_append": f"{_CUSTOMERS} union all {_SUPPLIERS}",
     "write_partitioned": "select * from orders",
     "write_partitioned_append": f"{_CUSTOMERS} union all {_SUPPLIERS}",
@@ -316,6 +362,14 @@ ORACLES: dict[str, str] = {
         select o_orderkey, o_totalprice, o_orderstatus from orders t
         where not exists (select 1 from s where s.o_orderkey = t.o_orderkey)
         union all select o_orderkey, o_totalprice, o_orderstatus from s""",
+    "merge_many_partitions": """
+        with s as (
+          select l_orderkey, l_linenumber, max(l_quantity) + 100 as l_quantity,
+            l_orderkey % 1201 as bin
+          from lineitem where l_linenumber = 1 group by l_orderkey, l_linenumber)
+        select l_orderkey, l_linenumber, l_quantity, l_orderkey % 1201 as bin from lineitem
+        where l_linenumber <> 1
+        union all select l_orderkey, l_linenumber, l_quantity, bin from s""",
     # looking and checking
     "count_tables": " union all ".join(
         f"select '{table}' as table_name, count(*) as n_rows from {table}" for table in COLUMNS

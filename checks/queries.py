@@ -14,10 +14,12 @@ from typeferry import (
     FrameSource,
     IngestConfig,
     MappedColumn,
+    build_schema,
     column_checks,
     conform,
     discover_columns,
     ingest,
+    ingest_many,
     map_types,
     mapped_columns,
     mapped_tables,
@@ -76,12 +78,12 @@ def declared(spark: SparkSession, *columns: tuple) -> list[MappedColumn]:
 # -- discovery and mapping of the tables' own columns ----------------------------------
 
 
-def checked_catalog(spark: SparkSession, tables: FrameSource) -> DataFrame:
-    """Mapped descriptors of all tables, with the counts of every column."""
+def checked_catalog(spark: SparkSession, tables: FrameSource, *measures: str) -> DataFrame:
+    """Mapped descriptors of all tables, with the row count and the measures of every column."""
     mapped = map_types(discover_columns(spark, tables))
     columns = mapped_tables(mapped, list(tables.tables))
     checks = [
-        column_checks(frame, columns[name]).withColumn("table_name", F.lit(name))
+        column_checks(frame, columns[name], measures).withColumn("table_name", F.lit(name))
         for name, frame in tables.tables.items()
     ]
     return mapped.join(
@@ -90,16 +92,16 @@ def checked_catalog(spark: SparkSession, tables: FrameSource) -> DataFrame:
 
 
 def discover_all(spark, sf_dir):
-    return checked_catalog(spark, source(spark, sf_dir)).select(
+    return checked_catalog(spark, source(spark, sf_dir), "nulls").select(
         "table_name", "column_name", "data_type", "ordinal_position", "is_nullable",
         "n_rows", "n_nulls",
     )
 
 
 def discover_one(spark, sf_dir):
-    tables = source(spark, sf_dir, "orders")
+    tables = source(spark, sf_dir)
     found = discover_columns(spark, tables, "public", "orders")
-    checks = column_checks(tables.tables["orders"], mapped_columns(map_types(found)))
+    checks = column_checks(tables.tables["orders"], mapped_columns(map_types(found)), ())
     return (
         found.join(checks, "column_name")
         .select("column_name", "data_type", "ordinal_position", "n_rows")
@@ -116,14 +118,14 @@ def discover_count(spark, sf_dir):
 
 
 def map_catalog(spark, sf_dir):
-    return checked_catalog(spark, source(spark, sf_dir)).select(
+    return checked_catalog(spark, source(spark, sf_dir), "lost").select(
         "table_name", "column_name", "spark_type", "nullable", "n_rows", "n_lost"
     )
 
 
 def audit(spark, sf_dir):
     """The types of every column, and whether all values in it keep to them."""
-    checked = checked_catalog(spark, source(spark, sf_dir))
+    checked = checked_catalog(spark, source(spark, sf_dir), "nulls", "lost")
     return mapping_audit(checked, "n_nulls", "n_lost")
 
 
@@ -275,8 +277,8 @@ def conform_lineitem(spark, sf_dir):
     return as_text(conform(read(spark, sf_dir, "lineitem"), lineitem_columns(spark)))
 
 
-def conform_orders(spark, sf_dir):
-    columns = declared(
+def orders_columns(spark: SparkSession) -> list[MappedColumn]:
+    return declared(
         spark,
         ("o_orderkey", "text"),
         ("o_custkey", "integer"),
@@ -284,18 +286,25 @@ def conform_orders(spark, sf_dir):
         ("o_orderdate", "date"),
         ("o_orderstatus", "bpchar"),
     )
-    return as_text(conform(read(spark, sf_dir, "orders"), columns))
 
 
-def conform_events(spark, sf_dir):
-    columns = declared(
+def conform_orders(spark, sf_dir):
+    return as_text(conform(read(spark, sf_dir, "orders"), orders_columns(spark)))
+
+
+def events_columns(spark: SparkSession) -> list[MappedColumn]:
+    return declared(
         spark,
         ("event_id", "bigint"),
         ("ts", "timestamp with time zone"),
         ("value", "integer"),
         ("props", "jsonb"),
     )
-    return conform(read(spark, sf_dir, "events"), columns)
+
+
+def conform_events(spark, sf_dir):
+    """Values with a fraction become integers, as ``rounding`` allows."""
+    return conform(read(spark, sf_dir, "events"), events_columns(spark), rounding=True)
 
 
 def conform_documents(spark, sf_dir):
@@ -305,9 +314,12 @@ def conform_documents(spark, sf_dir):
     return as_text(conform(read(spark, sf_dir, "documents"), columns))
 
 
+def embeddings_columns(spark: SparkSession) -> list[MappedColumn]:
+    return declared(spark, ("vec_id", "bigint"), ("embedding", "double precision[]"))
+
+
 def conform_embeddings(spark, sf_dir):
-    columns = declared(spark, ("vec_id", "bigint"), ("embedding", "double precision[]"))
-    vectors = conform(read(spark, sf_dir, "embeddings"), columns)
+    vectors = conform(read(spark, sf_dir, "embeddings"), embeddings_columns(spark))
     return vectors.select("vec_id", F.posexplode("embedding").alias("at", "v")).select(
         "vec_id", (F.col("at") + 1).cast("bigint").alias("pos"), "v"
     )
@@ -345,7 +357,76 @@ def conform_lenient(spark, sf_dir):
 
 
 def lost_lineitem(spark, sf_dir):
-    return column_checks(read(spark, sf_dir, "lineitem"), narrow_columns(spark))
+    lineitem = read(spark, sf_dir, "lineitem")
+    return column_checks(lineitem, narrow_columns(spark), ("nulls", "lost"))
+
+
+def altered_lineitem(spark, sf_dir):
+    columns = declared(
+        spark,
+        ("l_orderkey", "bigint"),
+        ("l_quantity", "smallint"),
+        ("l_extendedprice", "numeric", 10, 1),
+        ("l_discount", "numeric", 3, 1),
+        ("l_tax", "real"),
+        ("l_shipdate", "date"),
+    )
+    return column_checks(read(spark, sf_dir, "lineitem"), columns)
+
+
+def altered_events(spark, sf_dir):
+    columns = declared(
+        spark, ("event_id", "double precision"), ("ts", "date"), ("value", "integer")
+    )
+    return column_checks(read(spark, sf_dir, "events"), columns)
+
+
+def types_of(frame: DataFrame, table: str, columns: list[MappedColumn]) -> DataFrame:
+    """Per column its type, asked of the rows, with the declared nullability beside it."""
+    declared_null = {f.name: f.nullable for f in build_schema(columns)}
+    found = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.max(F.typeof(F.col(c))).alias("type"),
+            F.lit(declared_null[c]).alias("nullable"),
+        )
+        for c in frame.columns
+    ]
+    counted = frame.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*found).alias("found"))
+    return counted.select(
+        F.lit(table).alias("table_name"), "n_rows", F.inline("found")
+    )
+
+
+def conformed_tables(spark: SparkSession, sf_dir: str) -> dict[str, tuple]:
+    """Four tables under their declared types, their keys NOT NULL."""
+    out = {}
+    for table, columns in (
+        ("lineitem", lineitem_columns(spark)),
+        ("orders", orders_columns(spark)),
+        ("events", events_columns(spark)),
+        ("embeddings", embeddings_columns(spark)),
+    ):
+        keyed = [c._replace(nullable=not c.column_name.endswith(("key", "_id"))) for c in columns]
+        out[table] = conform(read(spark, sf_dir, table), keyed, rounding=True), keyed
+    return out
+
+
+def schema_conformed(spark, sf_dir):
+    return reduce(
+        DataFrame.unionByName,
+        [types_of(f, table, c) for table, (f, c) in conformed_tables(spark, sf_dir).items()],
+    )
+
+
+def schema_written(spark, sf_dir):
+    """The same of the tables written and read back."""
+    found = []
+    for table, (frame, columns) in conformed_tables(spark, sf_dir).items():
+        target = scratch_table(spark, f"schema_{table}")
+        write_table(frame, target)
+        found.append(types_of(spark.table(target), table, columns))
+    return reduce(DataFrame.unionByName, found)
 
 
 # -- writers ---------------------------------------------------------------------------
@@ -359,6 +440,21 @@ def write_overwrite(spark, sf_dir):
     return spark.table(target)
 
 
+def write_overwrite_keeps_layout(spark, sf_dir):
+    """Overwritten without a word on partitions: they are those of the table before."""
+    target = scratch_table(spark, "keeps_layout")
+    orders = read(spark, sf_dir, "orders")
+    write_table(orders.withColumn("o_totalprice", F.lit(0.0)), target, partition_by=["o_orderstatus"])
+    write_table(orders, target)
+    by_status = spark.table(target).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("o_totalprice").alias("max_price")
+    )
+    name = F.concat(F.lit("o_orderstatus="), F.col("o_orderstatus"))
+    return spark.sql(f"SHOW PARTITIONS {target}").join(
+        by_status, F.col("partition") == name
+    ).select("partition", "n_rows", "max_price")
+
+
 def accounts(spark: SparkSession, sf_dir: str, table: str, prefix: str) -> DataFrame:
     return read(spark, sf_dir, table).select(
         F.col(f"{prefix}_{'custkey' if prefix == 'c' else 'suppkey'}").alias("account"),
@@ -448,6 +544,19 @@ def merge_moving(spark, sf_dir):
     return spark.table(target)
 
 
+def merge_many_partitions(spark, sf_dir):
+    """Over a thousand partitions, all of them touched; the partition is not a key."""
+    target = scratch_table(spark, "merge_many")
+    lines = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_orderkey") % 1201).alias("bin")
+    )
+    write_table(lines, target, partition_by=["bin"])
+    firsts = lines.filter("l_linenumber = 1").groupBy("l_orderkey", "l_linenumber", "bin")
+    incoming = firsts.agg((F.max("l_quantity") + 100).alias("l_quantity"))
+    write_table(incoming, target, "merge", keys=["l_orderkey", "l_linenumber"])
+    return spark.table(target)
+
+
 # -- looking and checking --------------------------------------------------------------
 
 
@@ -526,16 +635,17 @@ def ingest_merge(spark, sf_dir):
 
 
 def ingest_all(spark, sf_dir):
-    """The report of one run per table."""
+    """The report of one run per table, some of them at a time."""
     tables = source(spark, sf_dir)
     columns = mapped_tables(map_types(discover_columns(spark, tables)), TABLES)
-    rows = []
-    for name in TABLES:
-        target = scratch_table(spark, f"all_{name}")
-        config = IngestConfig(tables, name, target_table=target)
-        report = ingest(spark, config, columns[name])
-        rows.append((name, len(report.columns), *report.counts))
-        spark.sql(f"DROP TABLE {target}")
+    configs = [
+        IngestConfig(tables, name, target_table=scratch_table(spark, f"all_{name}"))
+        for name in TABLES
+    ]
+    reports = ingest_many(spark, configs, columns)
+    rows = [(c.table, len(r.columns), *r.counts) for c, r in zip(configs, reports)]
+    for config in configs:
+        spark.sql(f"DROP TABLE {config.target}")
     return spark.createDataFrame(
         rows,
         "table_name string, n_columns int, source_rows bigint, target_rows bigint, "
@@ -551,9 +661,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         map_unknown,
         conform_lineitem, conform_orders, conform_events, conform_documents,
         conform_embeddings, conform_money, conform_time, conform_lenient, lost_lineitem,
-        write_overwrite, write_append, write_partitioned, write_partitioned_append,
+        altered_lineitem, altered_events, schema_conformed, schema_written,
+        write_overwrite, write_overwrite_keeps_layout, write_append, write_partitioned, write_partitioned_append,
         write_lineitem, merge_orders, merge_accounts, merge_partitioned,
-        merge_moving,
+        merge_moving, merge_many_partitions,
         count_tables, preview_orders, reconcile_orders, reconcile_append,
         ingest_orders, ingest_lineitem, ingest_documents, ingest_merge, ingest_all,
     )

@@ -4,13 +4,17 @@ import datetime
 import decimal
 import math
 import os
+import re
 from collections import Counter
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from checks.queries import TABLES
+from checks.oracles import ORACLES
+from checks.queries import QUERIES, TABLES
+from typeferry import clear_scratch
+from typeferry.operators.scratch import SCRATCH_DATABASE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -37,10 +41,12 @@ def plain(value):
 
 
 def test_each_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
     frame = contract.queries()[name](spark, SF_DIR)
     names = sorted(frame.columns)
@@ -58,3 +64,26 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 1500
+
+
+def scans(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"ReadSchema: struct<([^>]*)>?", plan) or re.findall(
+        r"FileScan parquet \[([^\]]*)\]", plan
+    )
+
+
+def test_counts_read_what_they_need(spark):
+    """Row counts read no column; loss counts read the columns that can lose values."""
+    found = scans(QUERIES["discover_count"](spark, SF_DIR))
+    assert len(found) >= len(TABLES) and not any(found)
+    assert not any(scans(QUERIES["map_catalog"](spark, SF_DIR)))
+
+
+def test_scratch_is_cleared(spark):
+    QUERIES["merge_orders"](spark, SF_DIR).count()
+    left = f"SHOW TABLES IN {SCRATCH_DATABASE} LIKE 'merge_orders*'"
+    assert spark.sql(left).count() > 0
+    assert clear_scratch(spark) > 0
+    assert spark.sql(left).count() == 0
+    assert clear_scratch(spark) == 0
