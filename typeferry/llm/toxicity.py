@@ -154,26 +154,27 @@ class Scorer:
         return np.concatenate(out)
 
 
-def usable_rows(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
-    """``doc_id``, ``text``, ``toxic`` (null for rows without a label), ``place``."""
+def usable_rows(docs: DataFrame, usable: Column) -> DataFrame:
+    """``doc_id``, ``text`` and ``place`` of the rows that may be learned from."""
     ship(docs.sparkSession)
-    known = (
-        labels.select(F.col("doc_id").cast("long").alias("own"), F.col("toxic").cast("int").alias("toxic"))
-        .where("own is not null and toxic in (0, 1)")
-        .groupBy("own")
-        .agg(F.max("toxic").alias("toxic"))
-    )
-    rows = docs.where(usable & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    return docs.where(usable & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(PLACES)).alias("place"),
     )
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES)).alias("place")
-    return rows.join(known, F.col("doc_id") == F.col("own"), "left").select(
-        "doc_id", "text", "toxic", place
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``own`` (an id) and ``toxic``; of several labels of a document the worst."""
+    found = labels.select(
+        F.col("doc_id").cast("long").alias("own"), F.col("toxic").cast("int").alias("toxic")
     )
+    found = found.where("own is not null and toxic in (0, 1)")
+    return found.groupBy("own").agg(F.max("toxic").alias("toxic"))
 
 
-def _share(bound: int, size: int) -> Column:
-    return F.col("place") < int(PLACES * min(1.0, bound / max(size, 1)))
+def _share(bound: int, size: int, place: str = "place") -> Column:
+    return F.col(place) < int(PLACES * min(1.0, bound / max(size, 1)))
 
 
 @dataclass(frozen=True)
@@ -208,12 +209,18 @@ class Mined:
         return able[np.argsort(-total[able], kind="stable")][:most]
 
 
-def mine(rows: DataFrame) -> Mined:
+def mine(rows: DataFrame, known: DataFrame) -> Mined:
     """What a bounded sample of labelled texts have in them."""
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic = rows.where((F.col("toxic") == 1) & _share(TOXIC, sizes.get(1, 0))).select("text")
-    clean = rows.where((F.col("toxic") == 0) & _share(CLEAN, sizes.get(0, 0))).select("text")
-    toxic, clean = toxic.repartition(16), clean.repartition(16)
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    place = F.pmod(F.xxhash64("own"), F.lit(PLACES)).alias("own_place")
+    lots = known.select("own", "toxic", place).where(
+        ((F.col("toxic") == 1) & _share(TOXIC, sizes.get(1, 0), "own_place"))
+        | ((F.col("toxic") == 0) & _share(CLEAN, sizes.get(0, 0), "own_place"))
+    )
+    # The lots are bounded; the texts of others are not shuffled.
+    drawn = rows.join(F.broadcast(lots), F.col("doc_id") == F.col("own"))
+    drawn = checkpointed(drawn.select("text", "toxic").repartition(16))
+    toxic, clean = (drawn.where(F.col("toxic") == k).select("text") for k in (1, 0))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,23 +262,25 @@ def unpack_votes(raw: pa.Array, n: int) -> np.ndarray:
     return np.unpackbits(rows, axis=1, count=n).astype(float)
 
 
-def cast_votes(rows: DataFrame, voters: Signals) -> DataFrame:
-    """``doc_id``, ``toxic``, ``place``, ``votes`` (a bit for each voter) of all usable rows."""
+def cast_votes(rows: DataFrame, known: DataFrame, voters: Signals) -> DataFrame:
+    """``doc_id``, ``place``, ``votes`` (a bit for each voter) and ``toxic``, null where it is
+    not known, of all usable rows. Votes, not texts, are joined with the labels."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, votes = batch.column(3).to_pylist(), []
+            texts, votes = batch.column(2).to_pylist(), []
             for at in range(0, len(texts), 256):
                 votes.append(pack_votes(presence(texts[at : at + 256], voters)))
             if votes:
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], pa.concat_arrays(votes)],
-                    names=["doc_id", "toxic", "place", "votes"],
+                    [*batch.columns[:2], pa.concat_arrays(votes)],
+                    names=["doc_id", "place", "votes"],
                 )
 
-    return rows.select("doc_id", "toxic", "place", "text").mapInArrow(
-        vote, "doc_id long, toxic int, place long, votes binary"
+    cast = rows.select("doc_id", "place", "text").mapInArrow(
+        vote, "doc_id long, place long, votes binary"
     )
+    return cast.join(known, F.col("doc_id") == F.col("own"), "left").drop("own")
 
 
 def _rate(part: float, whole: float) -> float:
@@ -387,15 +396,15 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[Scorer, LabelModel]:
     """A scorer, and the label model it was taught by, from the rows where ``usable`` holds."""
-    rows = usable_rows(docs, labels, usable)
-    mined = mine(rows)
+    rows, known = usable_rows(docs, usable), checkpointed(known_labels(labels))
+    mined = mine(rows, known)
     best, (toxic, clean) = mined.strongest(VOTERS, lift=6.0, least=20.0), mined.rates
     start = {int(h): (a, b) for h, a, b in zip(mined.hashes[best], toxic[best], clean[best])}
     for h in fixed_voters().tolist():
         start.setdefault(h, (0.05, 0.001))
     voters = Signals(np.array(list(start), np.uint64))
     rates = np.array([start[int(h)] for h in voters.hashes])
-    votes = checkpointed(cast_votes(rows, voters))
+    votes = checkpointed(cast_votes(rows, known, voters))
     model = fit_labels(votes, len(voters), rates[:, 0], rates[:, 1])
     wider = mined.strongest(FEATURES, lift=3.0, least=12.0)
     terms = Signals(np.concatenate([mined.hashes[wider], voters.hashes]))
