@@ -46,12 +46,12 @@ def test_words_give_the_same_ids(library, encoders, text):
 def test_irregular_white_space_is_encoded_whole():
     for text in ("a", "ab c\nd", "a\u200bb c"):
         assert regular(text)
-    for text in ("a  b", " a", "a ", "a\n\nb", "a\tb", "a \nb", "a\xa0b c", "\n"):
+    for text in ("a  b", " a", "a ", "a\n\nb", "a\tb", "a \nb", "a\xa0b c", "\n", "1\x1c1\n\xa0 1"):
         assert not regular(text)
 
 
 def test_ids_while_the_cache_turns_over(library, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 150)
     monkeypatch.setattr(tokens, "BATCH_BYTES", 200)
     monkeypatch.setattr(tokens, "JOINED", 7)
     rng = random.Random(1)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +17,10 @@ from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent.parent
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_OWN = "67108864b"
+BATCH_BYTES = "4194304b"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,9 +30,12 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per Spark context.
 
     Python workers import the functions of a plan by name; on a cluster they find the
-    package only if it is installed there or sent along.
+    package only if it is installed there or sent along. Batches of whole texts are held to
+    ``BATCH_BYTES`` too, unless the session says otherwise than Spark's own default.
     """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING) == SPARKS_OWN:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     if any(Path(f).name.startswith("typeferry-") for f in context._python_includes):
         return
     path = Path(tempfile.mkdtemp(prefix="typeferry-")) / f"typeferry-{uuid.uuid4().hex}.zip"
@@ -33,6 +45,29 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(path))
 
 
+_serving: str | None = None
+_kept: list[Callable[[], None]] = []
+
+
+def kept_by_worker(release: Callable[[], None]) -> None:
+    """Registers how to let go of what a module keeps in a worker process between tasks."""
+    _kept.append(release)
+
+
+def begin(operator: str) -> None:
+    """Called by a task as it begins. Spark's workers serve one operator after another; what
+    the last one kept, tables and caches, goes when a task of another begins."""
+    global _serving
+    if _serving not in (None, operator):
+        for release in _kept:
+            release()
+        gc.collect()
+        if sys.platform == "linux":
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+    _serving = operator
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 

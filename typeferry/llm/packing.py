@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import checkpointed, ship
+from typeferry.llm.common import begin, checkpointed, ship
 from typeferry.llm.tokens import encoder, public_path
 
 WINDOW = 2048
@@ -47,6 +47,7 @@ def pieces(
     names = ["doc_id", "copy", "start", "length", "ids_crc32", "doc_tokens", "ids"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing")
         encode = encoder(vocabulary).encode
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import ship
+from typeferry.llm.common import begin, ship
 from typeferry.llm.files import NewFile, read_file
 from typeferry.llm.tokens import encoder
 
@@ -163,6 +163,7 @@ def write_shards(
     ship(spark)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("shards")
         tokens, task, place = encoder(vocabulary), TaskContext.get().partitionId(), 0
         keys, ends, payload, nulls = [], [0], [], 0
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 
+from typeferry.llm.common import kept_by_worker
+
 BASE = 0x9E3779B97F4A7C15
 CHECK = 0xD1342543DE82EF95
 BUFFER = 1 << 19  # characters hashed at once
@@ -26,23 +27,32 @@ _SEPARATORS = re.compile(
 _WORD_BYTES = np.array([bytes([b]).isalnum() or b >= 0x80 for b in range(256)])
 
 
-@cache
-def _powers(bits: int, first: int = BASE) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    size = 1 << bits
-    out = []
-    for base in (first, pow(first, -1, 1 << 64)):
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps))
-    return out[0], out[1]
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+kept_by_worker(_tables.clear)
+
+
+def _powers(size: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2**64, ``size`` of them or more.
+
+    The longest so far are kept; they double, so a worker has few sizes to go through.
+    """
+    found = _tables.get(base)
+    if found is None or len(found[0]) < size:
+        length = max(1 << 10, 1 << (size - 1).bit_length())
+        tables = []
+        for each in (base, pow(base, -1, 1 << 64)):
+            steps = np.full(length, each, np.uint64)
+            steps[0] = 1
+            tables.append(np.cumprod(steps))
+        found = _tables[base] = tables[0], tables[1]
+    return found
 
 
 def span_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     """Two independent hashes of each span of ``data``."""
     out = []
     for base in (BASE, CHECK):
-        powers, inverse = _powers(max((len(data) + 1).bit_length(), 10), base)
+        powers, inverse = _powers(len(data) + 1, base)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
         out.append((sums[ends] - sums[starts]) * inverse[starts])
@@ -67,7 +77,7 @@ class Words:
         """Hash of each word, or of its first ``length`` bytes."""
         ends = self.ends if length is None else np.minimum(self.starts + length, self.ends)
         raw = self.sums[ends] - self.sums[self.starts]
-        x = raw * _powers(max(self.sums.size.bit_length(), 10))[1][self.starts]
+        x = raw * _powers(self.sums.size)[1][self.starts]
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         return x ^ (x >> np.uint64(32))
 
@@ -77,7 +87,7 @@ def _words(raw: bytes, edges: np.ndarray, numbers: np.ndarray) -> Words:
     inside = np.concatenate([[False], _WORD_BYTES[data], [False]])
     change = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = change[::2], change[1::2]
-    powers = _powers(max((len(raw) + 1).bit_length(), 10))[0]
+    powers = _powers(len(raw) + 1)[0]
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
     text = numbers[np.searchsorted(edges, starts, side="right") - 1]
