@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import ship
+from typeferry.llm.common import begin, kept_by_worker, ship
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 64
@@ -49,8 +49,12 @@ _RESULT = pa.struct(
 def _letters() -> np.ndarray:
     """For each code point: itself if it is a letter, else a space."""
     points = np.arange(0x110000, dtype=np.uint32)
-    is_letter = np.fromiter(map(str.isalpha, map(chr, points.tolist())), bool, len(points))
-    return np.where(is_letter, points, 32).astype(np.uint32)
+    is_letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, len(points))
+    points[~is_letter] = 32
+    return points
+
+
+kept_by_worker(_letters.cache_clear)
 
 
 def trigrams(text: str | None) -> np.ndarray:
@@ -154,6 +158,7 @@ def learn(
         chosen = chosen | ((F.col("lang") == name) & (F.col("place") < upto))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         totals = {name: np.zeros(BUCKETS, np.int64) for name in languages}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -183,6 +188,7 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colum
 
     @F.arrow_udf(RESULT)
     def infer(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin("language")
         for part in texts:
             found = [shared.value.mixture(t) or none for t in part.to_pylist()]
             yield pa.array(found, _RESULT)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import checkpointed, ship
+from typeferry.llm.common import begin, checkpointed, kept_by_worker, ship
 
 SAMPLE = 20_000  # labelled rows the classifier is fitted on
 SPAN = 1 << 20  # characters measured at once
@@ -56,6 +56,9 @@ def _kinds() -> np.ndarray:
     return out
 
 
+kept_by_worker(_kinds.cache_clear)
+
+
 def measure(text: str | None) -> list[float]:
     """``MEASURES`` of a whole text."""
     text = text or ""
@@ -145,15 +148,18 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     place = F.pmod(F.xxhash64("own_id"), F.lit(1 << 52))
     known = known.where(place < int((1 << 52) * min(1, sample / max(n, 1))))
     rows = docs.where(usable).select(F.col("doc_id").alias("doc"), F.col("text").cast("string"))
-    rows = rows.join(known, F.col("doc") == F.col("own_id")).select("text", "own")
+    # The sample is bounded; the texts of others are not shuffled.
+    rows = rows.join(F.broadcast(known), F.col("doc") == F.col("own_id")).select("text", "own")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for batch in batches:
             found = [measure(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["x", "y"]
             )
 
+    rows = rows.repartition(16)
     got = rows.mapInArrow(measured, "x array<double>, y int").toArrow()  # the bounded sample
     x = np.array(got["x"].to_pylist(), float).reshape(-1, len(MEASURES))
     return Classifier.fit(x, got["y"].to_numpy().astype(float))
@@ -165,6 +171,7 @@ def evidence(docs: DataFrame, classifier: Classifier) -> Column:
 
     @F.arrow_udf("double")
     def weigh(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin("quality")
         for part in texts:
             yield pa.array(classifier.log_odds(part.to_pylist()), pa.float64())
 

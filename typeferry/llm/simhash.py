@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import checkpointed, components, ship
+from typeferry.llm.common import begin, checkpointed, components, ship
 
 SEED = 42
 CHUNK = 1 << 17  # shingles whose hashes are held at once
@@ -98,6 +98,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         for batch in batches:
             fps = fingerprint_many(batch.column(1).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays(

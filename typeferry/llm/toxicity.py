@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import checkpointed, ship
+from typeferry.llm.common import begin, checkpointed, ship
 from typeferry.llm.sums import PARTS, parts_of, summed
 from typeferry.llm.words import Terms, Words, word_batches
 
@@ -223,6 +223,7 @@ def mine(rows: DataFrame, known: DataFrame) -> Mined:
     toxic, clean = (drawn.where(F.col("toxic") == k).select("text") for k in (1, 0))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 own = all_signals(text).view(np.int64)
@@ -239,6 +240,7 @@ def mine(rows: DataFrame, known: DataFrame) -> Mined:
     in_toxic[np.searchsorted(terms.hashes, hashes)] = got["count"].to_numpy()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         total = np.zeros(len(terms) + 1)
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -267,6 +269,7 @@ def cast_votes(rows: DataFrame, known: DataFrame, voters: Signals) -> DataFrame:
     not known, of all usable rows. Votes, not texts, are joined with the labels."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         for batch in batches:
             texts, votes = batch.column(2).to_pylist(), []
             for at in range(0, len(texts), 256):
@@ -355,6 +358,7 @@ def fit_scorer(
     )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):
@@ -419,6 +423,7 @@ def scores(docs: DataFrame, scorer: Scorer) -> Column:
 
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        begin("toxicity")
         for part in texts:
             yield pa.array(shared.value.scores(part.to_pylist()), pa.float64())
 
