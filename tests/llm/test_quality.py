@@ -31,6 +31,17 @@ def plain_rates(rows):
     return hosts, paths
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_sites_broadcast_or_not(spark, monkeypatch, few):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    classifier = quality.learn(docs, labels, F.lit(True))
+    monkeypatch.setattr(quality, "FEW_SITES", few)
+    kept = quality.accepted(docs, classifier)
+    scored = quality.scores(docs, classifier).where("score >= 0.5")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in scored.collect())
+
+
 def test_sums_and_priors(spark):
     rng = np.random.default_rng(2)
     rows, truth = [], {}

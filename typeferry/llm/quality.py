@@ -11,7 +11,7 @@ plus what its path's rate adds to the rate of all.
 
 The classifier is fitted on at most ``SAMPLE`` labelled rows in expectation, by the hash of
 their id; sums, rates and spreads are those of all documents. Sites are joined by host and
-path, a plain join: Spark broadcasts few sites and splits heavy ones.
+path: up to ``FEW_SITES`` are broadcast, beyond that Spark splits heavy ones.
 
 Nulls and the like: a null or empty text has score 0 and is no evidence about its site; null
 hosts are one host, null paths one path of their host; rows that repeat a document count as
@@ -37,6 +37,7 @@ from typeferry.llm.common import begin, checkpointed, kept_by_worker, ship
 SAMPLE = 20_000  # labelled rows the classifier is fitted on
 SPAN = 1 << 20  # characters measured at once
 LEAST = 0.5  # score of an accepted document
+FEW_SITES = 100_000  # up to which the table of sites is broadcast
 MEASURES = (
     "log_words", "word_length", "upper", "digit", "symbol", "space", "distinct_words",
     "repeated_words", "lone_symbols", "marked_words", "common_word", "line_length",
@@ -242,9 +243,14 @@ def scores(docs: DataFrame, classifier: Classifier, host: str = "source", path:
         evidence(docs, classifier).alias("odds"),
     )
     rows = checkpointed(rows.withColumn("good", _probability(F.col("odds"))))
-    return rows.join(site_rates(rows), ["host", "path"], "left").select(
-        "doc_id", *_posterior("odds", "good")
-    )
+    joined = rows.join(_sized(site_rates(rows)), ["host", "path"], "left")
+    return joined.select("doc_id", *_posterior("odds", "good"))
+
+
+def _sized(sites: DataFrame) -> DataFrame:
+    """The sites, to be broadcast if they are few: then documents stay where they are. If
+    not, the join is a shuffle, of which Spark splits heavy sites."""
+    return F.broadcast(sites) if sites.count() <= FEW_SITES else sites
 
 
 def site_rates(weighed: DataFrame) -> DataFrame:
@@ -298,5 +304,5 @@ def accepted(
         site(F.col(path)).alias("path"),
         evidence(docs, classifier).alias("odds"),
     ).withColumn("good", _probability(F.col("odds")))
-    joined = rows.join(site_rates(rows), ["host", "path"], "left")
+    joined = rows.join(_sized(site_rates(rows)), ["host", "path"], "left")
     return joined.select("row", *_posterior("odds", "good")).where(F.col("score") >= least).select("row.*")
