@@ -27,7 +27,7 @@ from typeferry import (  # noqa: E402
     row_count,
     write_table,
 )
-from typeferry.operators.scratch import scratch_table  # noqa: E402
+from typeferry.operators.scratch import clear_scratch, scratch_table  # noqa: E402
 
 
 def median(work: Callable[[], None], runs: int = 5) -> float:
@@ -103,6 +103,7 @@ def main() -> None:
         median(lambda: merge_table(fifth, target, ["o_orderkey"])),
         "20 % of the keys in the source",
     )
+    clear_scratch(spark)
     spark.stop()
 
 
