@@ -77,3 +77,36 @@ def test_no_python_in_the_plan(spark):
     frame = op6_licenses(spark, "/root/testdata/sf0.001")
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_each_rule_finds_its_own_text(spark):
+    """The texts as the table has them, in order: one after another, and wrapped."""
+    rows, expected = [], set()
+    tables = [(r.name, [licenses.SENTENCES[x] for x in r.sentences]) for r in licenses.TEXT_RULES]
+    for spdx, names in licenses.NAMES.items():
+        tables += [(f"notice-{spdx}".lower(), [f"{licenses.OPENINGS[0]} under the {n}."]) for n in names]
+        tables.append((f"tag-{spdx}".lower(), [f"SPDX-License-Identifier: {spdx}"]))
+    for rule, texts in tables:
+        forms = ["\n".join(texts), " ".join(texts), "\n\n".join(map(wrapped, texts))]
+        forms += ["Before this.\n\n" + wrapped(" ".join(texts), 40) + "\n\nAfter this."]
+        for form in forms:
+            expected.add((len(rows), rule))
+            rows.append((len(rows), form))
+    assert {r.name for r in licenses.rules()} == {rule for rule, _ in tables}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.rule) for r in licenses.scan(docs).collect()} >= expected
+
+
+def test_gpl_3_and_mpl_in_sql_too(spark, tmp_path):
+    names = ("gpl3-later", "gpl-warranty", "mpl-header")
+    texts = [" ".join(licenses.SENTENCES[n] for n in names), licenses.SENTENCES["mpl-header"]]
+    docs = spark.createDataFrame(
+        [(i, form(t)) for i, t in enumerate(texts) for form in (str, wrapped)],
+        "doc_id long, text string",
+    )
+    docs.write.parquet(str(tmp_path / "d"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    got = sorted(map(str, map(tuple, licenses.scan(docs).collect())))
+    assert got == sorted(map(str, duck.execute(licenses.oracle()).fetchall()))
+    assert [r.count("GPL-3.0-or-later") for r in got].count(1) == 2

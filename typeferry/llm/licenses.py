@@ -20,7 +20,7 @@ none; other columns are not looked at.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -194,13 +194,27 @@ CUES = ("licen", "permission", "warrant", "redistribut", "endorse", "free", "res
         "released", "distributed", "published")
 
 
+# The same patterns in Spark and in the SQL of the oracle; white space is spelt out.
+SPACE = "[ \\t\\r\\n\\f]"
+SENTENCE_END = f"([.!?:]){SPACE}+"
+BLANK_LINE = f"\\n{SPACE}*\\n"
+
+
 def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+def parts(name: str) -> dict[str, str]:
+    """A text of ``SENTENCES`` as the readings cut it: each part, normalised, by identifier."""
+    cut = re.sub(SENTENCE_END, r"\1\n", SENTENCES[name]).split("\n")
+    if len(cut) == 1:
+        return {name: normal(cut[0])}
+    return {f"{name}-{i}": normal(part) for i, part in enumerate(cut, 1)}
+
+
 def known_sentences() -> dict[str, str]:
     """Identifiers by normalised sentence: of texts, notices, and of tags and what follows them."""
-    out = {normal(text): name for name, text in SENTENCES.items()}
+    out = {text: part for name in SENTENCES for part, text in parts(name).items()}
     for spdx, names in NAMES.items():
         for name in names:
             for opening in OPENINGS:
@@ -212,16 +226,21 @@ def known_sentences() -> dict[str, str]:
 
 
 def rules() -> tuple[Rule, ...]:
-    """The rules for texts, and those for the notice and the tag of each license."""
+    """The rules for texts, and those for the notice and the tag of each license.
+
+    A sentence that the readings cut stands in a rule as its parts, in order.
+    """
+    texts = (
+        replace(
+            rule,
+            sentences=tuple(part for name in rule.sentences for part in parts(name)),
+            unless=tuple(part for name in rule.unless for part in parts(name)),
+        )
+        for rule in TEXT_RULES
+    )
     notices = (Rule(f"notice-{spdx}".lower(), spdx, (f"notice-{spdx}",)) for spdx in NAMES)
     tags = (Rule(f"tag-{spdx}".lower(), spdx, ("spdx", f"spdx-{spdx}")) for spdx in NAMES)
-    return (*TEXT_RULES, *notices, *tags)
-
-
-# The same patterns in Spark and in the SQL of the oracle; white space is spelt out.
-SPACE = "[ \\t\\r\\n\\f]"
-SENTENCE_END = f"([.!?:]){SPACE}+"
-BLANK_LINE = f"\\n{SPACE}*\\n"
+    return (*texts, *notices, *tags)
 
 
 def readings(text: Column) -> tuple[Column, Column]:
