@@ -6,9 +6,10 @@ returns the pieces of packed sequences. Each result is written as Parquet to the
 all executors share and read again before the next stage.
 
 What goes: documents in no learned language; documents of low quality; of each group of
-SimHash near-duplicates all but the one with the smallest id; documents that hold an item of
-the benchmark. A null or empty text goes at the first stage. Rows that repeat a ``doc_id`` are
-one document from the third stage on, rows with a null one go there.
+SimHash near-duplicates all but the one with the smallest id (nulls last, then the first row);
+documents that hold an item of the benchmark. A null or empty text goes at the first stage.
+Each row is a document of its own: rows that share a ``doc_id``, or have none, stay or go by
+their texts.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def by_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates."""
-    return simhash.first_of_each(docs, shingle=3, radius=3)
+    return simhash.one_of_each(docs, shingle=3, radius=3)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

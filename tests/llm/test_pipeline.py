@@ -115,3 +115,35 @@ def test_odd_documents(spark, name):
             assert kept.columns == docs.columns
             assert len(rows_kept) <= 7
     assert rows_kept == []
+
+
+def test_rows_that_ids_do_not_tell_apart(spark):
+    """Rows without an id, or with the same one, are judged by their own texts."""
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    item = benchmark.first().text
+    source = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("length(text) > 1500")
+    # Of texts that are near to one another, or hold an item, one stands here at most.
+    texts = []
+    for r in simhash_kept(spark, source).orderBy("doc_id").limit(9).collect():
+        texts.append(r.text)
+    rows = [
+        (1, texts[0], 0), (None, texts[0], 1), (None, texts[1], 2), (None, texts[1], 3),
+        (None, texts[2], 4), (7, texts[3], 5), (7, texts[4], 6), (7, texts[3], 7), (2, texts[4], 8),
+        (None, texts[5] + " " + item, 9), (8, texts[6] + " " + item, 10), (8, texts[7], 11),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").select(
+        "*", F.lit(1).alias("row_key"), F.lit(2).alias("kept_key")
+    )
+    kept = STAGES["simhash"](spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    found = sorted(r.n_chars for r in kept.collect())
+    assert len(found) == 8 and {0, 4, 8, 9, 10, 11} < set(found)
+    assert len({2, 3} & set(found)) == 1 and len({5, 7} & set(found)) == 1
+    clean = STAGES["decontamination"](spark, kept, SF_DIR)
+    assert clean.columns == docs.columns
+    assert sorted(r.n_chars for r in clean.collect()) == [x for x in found if x not in (9, 10)]
+
+
+def simhash_kept(spark, docs):
+    clean = docs.where("doc_id is not null and lang = 'en'")
+    return STAGES["decontamination"](spark, STAGES["simhash"](spark, clean, SF_DIR), SF_DIR)

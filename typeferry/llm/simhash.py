@@ -93,20 +93,23 @@ def fingerprint_many(texts: list[str | None], length: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's bits as a long) for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: str | None = None) -> DataFrame:
+    """``doc_id``, ``fp`` (the fingerprint's bits as a long) for every row; then ``key``, a
+    column of longs in ``docs``, if one is named."""
     ship(docs.sparkSession)
+    keys = [key] if key else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("simhash")
         for batch in batches:
             fps = fingerprint_many(batch.column(1).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                names=["doc_id", "fp", *keys],
             )
 
-    columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return columns.mapInArrow(run, "doc_id long, fp long")
+    columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keys)
+    return columns.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keys)))
 
 
 def forest(hit: np.ndarray, same: bool) -> np.ndarray:
@@ -238,3 +241,25 @@ def first_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
     same = F.col("d.doc_id") == F.col("k.kept_id")
     return docs.alias("d").join(kept.alias("k"), same, "left_semi").dropDuplicates(["doc_id"])
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, segments: int = 4) -> DataFrame:
+    """One row of each component of ``docs``: the smallest ``doc_id``, nulls last, and of rows
+    that share it the first as stored. A row that is near to no other stays, whatever its id.
+
+    The rows are stored with a key of their own, so that ids need not tell them apart.
+    """
+    names = {c.lower() for c in docs.columns}
+    key = next(n for n in ("row_key" + "_" * i for i in itertools.count()) if n not in names)
+    keyed = checkpointed(docs.withColumn(key, F.monotonically_increasing_id()))
+    rows = fingerprints(keyed, shingle, key)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(key).alias("key"))
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = components(links(distinct, radius, segments))
+    named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "first", F.coalesce("root", "fp").alias("root")
+    )
+    kept = named.groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.key").alias("kept_key"))
+    same = F.col(f"d.{key}") == F.col("k.kept_key")
+    return keyed.alias("d").join(kept.alias("k"), same, "left_semi").drop(key)
