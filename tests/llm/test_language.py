@@ -87,3 +87,40 @@ def test_odd_rows(spark, model):
     assert empty.languages == () and empty.mixture("some text") is None
     clean = docs.where("lang is not null and length(text) > 500")
     assert language.identified(clean, fitted).count() > 0.98 * clean.count()
+
+
+def test_every_language_is_learned(spark):
+    """150 languages, the last of one document each, none of them left out."""
+    rng = np.random.default_rng(6)
+    rows, asked = [], []
+    for n in range(150):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(12)]
+        texts = [" ".join(rng.choice(words, 150)) for _ in range(4 if n < 75 else 2)]
+        rows += [(1000 * n + i, t, f"l{n:03}") for i, t in enumerate(texts[1:])]
+        asked.append((n, texts[0], f"l{n:03}"))
+    rows += [(-1, "zz yy xx", None), (None, "zz yy xx", "none"), (-2, None, "empty")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs, F.lit(True))
+    assert model.languages == (*["empty"], *(f"l{n:03}" for n in range(150)))
+    held = spark.createDataFrame(asked, "doc_id long, text string, lang string")
+    found = held.select("lang", language.mixtures(held, model).alias("m")).collect()
+    assert len(found) == 150 and all(r.m.lang == r.lang and r.m.share > 0.9 for r in found)
+    assert language.identified(held, model).count() == 150
+
+
+def test_sparse_likelihoods_are_the_plain_ones(model, monkeypatch):
+    fitted, docs = model
+    for r in docs.where("length(text) > 300").limit(20).collect():
+        found, counts = language.counted(language.trigrams(r.text))
+        plain = fitted.likelihood(found)
+        assert isinstance(plain, np.ndarray) and plain.shape == (len(found), len(fitted.languages) + 1)
+        expected = fitted.mixture(r.text)
+        with monkeypatch.context() as m:
+            m.setattr(language, "CELLS", 0)
+            sparse = fitted.likelihood(found)
+            weights, shares = np.random.rand(len(found)), np.random.rand(plain.shape[1])
+            assert np.allclose(sparse @ shares, plain @ shares)
+            assert np.allclose(sparse.T @ weights, plain.T @ weights)
+            assert (sparse[:, np.array([2, 0])] == plain[:, [2, 0]]).all()
+            got = fitted.mixture(r.text)
+        assert got["lang"] == expected["lang"] and abs(got["share"] - expected["share"]) < 1e-6

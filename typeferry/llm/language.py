@@ -8,9 +8,9 @@ Sets of the largest components, nested, are then compared by likelihood less a p
 each further language, and the best set's shares are the result.
 
 Fitting: trigram counts by language, over at most ``docs_per_language`` labelled rows of each
-language, taken by the hash of their id (so many in expectation); at most ``MAX_LANGUAGES``
-languages, the most frequent. Trigrams are hashed to ``BUCKETS``, so a model has a fixed
-size. Every text is scored whole.
+language, taken by the hash of their id (so many in expectation). Every language that a usable
+row names is learned. Trigrams are hashed to ``BUCKETS``, and a model holds those that a
+language has been seen with, so it grows with the languages alone. Every text is scored whole.
 
 Nulls and the like: a null text, or one without letters, has no language: ``lang`` null,
 share 0, ``other`` 0. Rows with a null language, text or id are not learned from. Without a
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from typeferry.llm.common import begin, kept_by_worker, ship
 
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 64
+CELLS = 1 << 22  # of likelihoods that a text has as a plain matrix
 SPAN = 1 << 20  # characters hashed at once
 PLACES = 1 << 52  # of an id's hash, of which the sample takes the lowest
 
@@ -81,20 +81,92 @@ def counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, counts[found]
 
 
+class Sparse:
+    """Likelihoods of some buckets, by language: ``base`` but at some places."""
+
+    def __init__(self, base: np.ndarray, places: tuple[np.ndarray, np.ndarray], values: np.ndarray, size: int):
+        self.base, self.values, self.shape = base, values, (size, len(base))
+        self.rows, self.columns = places
+        self.more = values - base[self.columns]
+
+    def __matmul__(self, shares: np.ndarray) -> np.ndarray:
+        more = np.bincount(self.rows, self.more * shares[self.columns], self.shape[0])
+        return self.base @ shares + more
+
+    @property
+    def T(self) -> Transposed:
+        return Transposed(self)
+
+    def __getitem__(self, key: tuple[slice, np.ndarray]) -> np.ndarray:
+        """Some languages' likelihoods, as a plain matrix."""
+        at = np.full(len(self.base), -1)
+        at[key[1]] = np.arange(len(key[1]))
+        out = np.tile(self.base[key[1]], (self.shape[0], 1))
+        some = at[self.columns] >= 0
+        out[self.rows[some], at[self.columns[some]]] = self.values[some]
+        return out
+
+
+@dataclass(frozen=True)
+class Transposed:
+    of: Sparse
+
+    def __matmul__(self, weights: np.ndarray) -> np.ndarray:
+        own = self.of
+        more = np.bincount(own.columns, own.more * weights[own.rows], own.shape[1])
+        return own.base * weights.sum() + more
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table``: a row of probabilities for each bucket, by language and, last, ``other``."""
+    """Probabilities of buckets by language and, last, ``other``.
+
+    ``base`` has those of a bucket not seen with a language; ``columns`` and ``values`` the
+    languages each bucket was seen with, and its probabilities, from ``firsts`` on.
+    """
 
     languages: tuple[str, ...]
-    table: np.ndarray
+    base: np.ndarray
+    firsts: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
     penalty: float = 6.0
 
+    @classmethod
+    def of(
+        cls, seen: dict[str, tuple[np.ndarray, np.ndarray]], smoothing: float, penalty: float
+    ) -> LanguageModel:
+        """From the buckets seen with each language, and how often."""
+        languages = tuple(sorted(seen))
+        sums = [seen[n][1].sum() + smoothing * BUCKETS for n in languages]
+        base = np.array([*(smoothing / x for x in sums), 1 / BUCKETS])
+        buckets = np.concatenate([np.empty(0, np.int64), *(seen[n][0] for n in languages)])
+        values = [(seen[n][1] + smoothing) / x for n, x in zip(languages, sums)]
+        sizes = [len(v) for v in values]
+        columns = np.repeat(np.arange(len(languages), dtype=np.int32), sizes)
+        order = np.argsort(buckets, kind="stable")
+        firsts = np.searchsorted(buckets[order], np.arange(BUCKETS + 1))
+        values = np.concatenate([np.empty(0), *values])[order]
+        return cls(languages, base, firsts, columns[order], values, penalty)
+
+    def likelihood(self, found: np.ndarray) -> np.ndarray | Sparse:
+        """Of some buckets, by language and ``other``."""
+        counts = self.firsts[found + 1] - self.firsts[found]
+        rows = np.repeat(np.arange(len(found)), counts)
+        at = np.arange(len(rows)) + np.repeat(self.firsts[found] - np.cumsum(counts) + counts, counts)
+        places, values = (rows, self.columns[at]), self.values[at]
+        if len(found) * len(self.base) > CELLS:
+            return Sparse(self.base, places, values, len(found))
+        out = np.tile(self.base, (len(found), 1))
+        out[places] = values
+        return out
+
     def mixture(self, text: str | None) -> dict | None:
         """Shares by language and of ``other``; null for a text without letters."""
         found, counts = counted(trigrams(text))
         if not len(found) or not self.languages:
             return None
-        likelihood, counts = self.table[found], counts.astype(float)
+        likelihood, counts = self.likelihood(found), counts.astype(float)
         shares, full = fit(likelihood, counts)
         order = np.argsort(-shares, kind="stable")
         price = self.penalty * np.log1p(counts.sum())
@@ -145,45 +217,61 @@ def learn(
         F.col("text").cast("string").alias("text"),
         F.pmod(F.xxhash64("doc_id"), F.lit(PLACES)).alias("place"),
     )
-    common = (
-        rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    ).collect()
-    sizes = {r["lang"]: r["count"] for r in common}
-    languages = tuple(sorted(sizes))
-    if not languages:
-        return LanguageModel((), np.empty((BUCKETS, 0)), penalty)
-    chosen = F.lit(False)
-    for name in languages:
-        upto = math.ceil(PLACES * min(1, docs_per_language / sizes[name]))
-        chosen = chosen | ((F.col("lang") == name) & (F.col("place") < upto))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return LanguageModel.of({}, smoothing, penalty)
+    upto = [(n, math.ceil(PLACES * min(1, docs_per_language / x))) for n, x in sizes.items()]
+    upto = F.broadcast(spark.createDataFrame(sorted(upto), "name string, upto long"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a language come one after another."""
         begin("language")
-        totals = {name: np.zeros(BUCKETS, np.int64) for name in languages}
+        last, total = None, np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                totals[lang] += np.bincount(trigrams(text), minlength=BUCKETS)
-        used = {name: t for name, t in totals.items() if t.any()}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(used), pa.string()), pa.array([t.tobytes() for t in used.values()], pa.binary())],
-            names=["lang", "counts"],
-        )
-
-    # The sample is bounded, and so is the number of tables that come back.
-    sample = rows.where(chosen).select("lang", "text").repartition(8)
-    totals = {name: np.zeros(BUCKETS) for name in languages}
-    for r in sample.mapInArrow(count, "lang string, counts binary").collect():
-        totals[r["lang"]] += np.frombuffer(r["counts"], np.int64)
-    columns = [(t + smoothing) / (t.sum() + smoothing * BUCKETS) for t in totals.values()]
-    table = np.stack([*columns, np.full(BUCKETS, 1 / BUCKETS)], axis=1)
-    return LanguageModel(languages, table, penalty)
+                if lang != last and last is not None:
+                    yield _seen(last, total)
+                    total[:] = 0
+                last = lang
+                total += np.bincount(trigrams(text), minlength=BUCKETS)
+        if last is not None:
+            yield _seen(last, total)
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = np.zeros(BUCKETS, np.int64)
+        for found, counts in zip(parts["buckets"].to_pylist(), parts["counts"].to_pylist()):
+            total[np.frombuffer(found, np.int64)] += np.frombuffer(counts, np.int64)
+        return pa.Table.from_batches([_seen(parts["lang"][0].as_py(), total)])
+
+    # The sample is bounded, and so is what comes back: a row for each language.
+    known = F.col("lang") == F.col("name")
+    sample = rows.join(upto, known & (F.col("place") < F.col("upto"))).select("lang", "text")
+    sample = sample.repartition(max(8, len(sizes) // 8)).sortWithinPartitions("lang")
+    found = sample.mapInArrow(count, SEEN).groupBy("lang").applyInArrow(add, SEEN)
+    none = np.empty(0, np.int64)
+    seen = {name: (none, none) for name in sizes}
+    for r in found.collect():
+        seen[r["lang"]] = np.frombuffer(r["buckets"], np.int64), np.frombuffer(r["counts"], np.int64)
+    return LanguageModel.of(seen, smoothing, penalty)
+
+
+SEEN = "lang string, buckets binary, counts binary"
+
+
+def _seen(lang: str, total: np.ndarray) -> pa.RecordBatch:
+    """The buckets that a language has been seen with, and how often."""
+    found = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang]), *(pa.array([x.tobytes()], pa.binary()) for x in (found, total[found]))],
+        names=["lang", "buckets", "counts"],
+    )
 
 
 def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
     """The mixture of each text as a column of type ``RESULT``, for a select over ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS x 65 numbers at most
+    shared = spark.sparkContext.broadcast(model)  # grows with the languages, not the documents
     none = {"lang": None, "share": 0.0, "other": 0.0, "mix": []}
 
     @F.arrow_udf(RESULT)
