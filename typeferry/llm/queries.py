@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from typeferry.llm import (
+    codes,
     decontam,
     language,
     licenses,
@@ -112,6 +113,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = codes.codes(read(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    return codes.with_label_errors(rows).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_multiindex": op2_multiindex,
@@ -123,6 +131,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontam": op9_decontam,
     "op10_quality": op10_quality,
+    "op11_codes": op11_codes,
 }
 
-ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {
+    "op6_licenses": licenses.oracle(),
+    "op11_codes": codes.oracle(),
+}
