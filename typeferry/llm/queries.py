@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from typeferry.llm import (
     codes,
     decontam,
+    divergence,
     language,
     licenses,
     multiindex,
     packing,
+    pii,
     quality,
     shards,
     simhash,
@@ -120,6 +122,15 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = divergence.audit(read(spark, sf_dir, "documents"), least=3, top=200)
+    return found.select("lang", "source", "part", "item", "value", "rank")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_multiindex": op2_multiindex,
@@ -132,9 +143,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_quality": op10_quality,
     "op11_codes": op11_codes,
+    "op12_divergence": op12_divergence,
+    "op13_pii": op13_pii,
 }
 
 ORACLES: dict[str, str] = {
     "op6_licenses": licenses.oracle(),
     "op11_codes": codes.oracle(),
+    "op12_divergence": divergence.oracle(),
 }
