@@ -86,6 +86,7 @@ ENDINGS = (
 # The forms. Repeats that nothing follows are possessive: the same matches, no backtracking.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_DOTTED = re.compile(r"[0-9]\.[0-9]")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -122,7 +123,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def find(text: str) -> Found:
     """Spans (number of the kind, start, end) in a text as it is."""
     out = [(0, a, b) for a, b in emails(text)]
-    for m in _IP.finditer(text):
+    for m in _IP.finditer(text) if _DOTTED.search(text) else ():
         parts = [p.lstrip("0") or "0" for p in m.group().split(".")]
         if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             out.append((1, *m.span()))
@@ -175,8 +176,8 @@ class Tape:
 
 
 @cache
-def _characters() -> tuple[re.Pattern, re.Pattern, dict[int, str]]:
-    """What is invisible, what looks like something else, and like what."""
+def _characters() -> tuple[frozenset[str], dict[int, str], frozenset[str]]:
+    """What is invisible; what looks like what; and all that does."""
     table: dict[int, str] = {}
     unseen = [*range(0xFE00, 0xFE10), 0x034F, 0x115F, 0x3164]
     for code in range(0x80, sys.maxunicode + 1):
@@ -194,32 +195,37 @@ def _characters() -> tuple[re.Pattern, re.Pattern, dict[int, str]]:
                 table[code] = " "
     table |= {ord(a): b for a, b in LOOKS_LIKE.items()}
     table |= {ord(a): "-" for a in DASHES} | {ord(a): "." for a in DOTS}
-    return _one_of(unseen), _one_of(table), table
-
-
-def _one_of(codes) -> re.Pattern:
-    return re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(codes)) + "]")
+    return frozenset(map(chr, unseen)), table, frozenset(map(chr, table))
 
 
 def unseen_gone(tape: Tape) -> Tape:
-    unseen, _, _ = _characters()
-    return tape.edited([(*m.span(), "") for m in unseen.finditer(tape.text)])
+    if tape.text.isascii():
+        return tape
+    here = _characters()[0].intersection(tape.text)
+    if not here:
+        return tape
+    some = re.compile("[" + "".join(map(re.escape, sorted(here))) + "]")
+    return tape.edited([(*m.span(), "") for m in some.finditer(tape.text)])
 
 
 def look_alikes(tape: Tape) -> Tape:
-    _, alike, table = _characters()
-    if alike.search(tape.text):
+    if tape.text.isascii():
+        return tape
+    _, table, alike = _characters()
+    if not alike.isdisjoint(tape.text):
         tape = Tape(tape.text.translate(table), tape.starts, tape.ends)
     return tape
 
 
 # O and l in a word of digits that has one digit at least.
 _NUMBER_LIKE = re.compile(r"(?<![A-Za-z0-9])(?=[OoIl|]*+[0-9])[0-9OoIl|]{2,}+(?![A-Za-z0-9@])")
+_MIXED = re.compile("[0-9][OoIl|]|[OoIl|][0-9]")
+_DIGIT = re.compile("[0-9]")
 _DIGIT_LIKE = {ord("O"): "0", ord("o"): "0", ord("I"): "1", ord("l"): "1", ord("|"): "1"}
 
 
 def digit_alikes(tape: Tape) -> Tape:
-    if not re.search("[OoIl|][0-9]|[0-9][OoIl|]", tape.text):
+    if not _DIGIT.search(tape.text) or not _MIXED.search(tape.text):
         return tape
     edits = [
         (*m.span(), m.group().translate(_DIGIT_LIKE))
@@ -232,17 +238,18 @@ def digit_alikes(tape: Tape) -> Tape:
 
 
 _BEFORE, _AFTER = r"(?<![^\W_])", r"(?![^\W_])"
-_DIGIT = "(?:" + "|".join(sorted(DIGIT_WORDS, key=lambda w: (-len(w), w))) + ")"
-_SPOKEN = rf"(?:(?:double|triple)[ -])?{_DIGIT}{_AFTER}"
+_WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=lambda w: (-len(w), w))) + ")"
+_SPOKEN = rf"(?:(?:double|triple)[ -])?{_WORD}{_AFTER}"
 _BETWEEN = r"[\s,-]{1,3}"
 _SPELLED = re.compile(rf"{_BEFORE}{_SPOKEN}(?:{_BETWEEN}{_SPOKEN}){{2,}}+")
 _AMONG_DIGITS = re.compile(
     rf"(?<=[0-9][ -]){_SPOKEN}(?:{_BETWEEN}{_SPOKEN})?+(?=[ -][0-9])"
 )
-_ONE_SPOKEN = re.compile(rf"(?:(double|triple)[ -])?({_DIGIT}){_AFTER}")
+_ONE_SPOKEN = re.compile(rf"(?:(double|triple)[ -])?({_WORD}){_AFTER}")
 
 _OPEN, _SHUT = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
-_DOT_WORD = "(?:dot|punkt|punto|point|ponto)"
+_DOT_WORDS = ("dot", "punkt", "punto", "point", "ponto")
+_DOT_WORD = f"(?:{'|'.join(_DOT_WORDS)})"
 _DOT_IN = rf"{_OPEN}(?:{_DOT_WORD}|\.){_SHUT}"
 _DOT_BARE = rf"(?:\s{{1,3}}{_DOT_WORD}\s{{1,3}}|_{_DOT_WORD}_)"
 _DOT_APART = r"\s{1,2}\.\s{1,2}"
@@ -252,6 +259,10 @@ _OCTET = rf"(?:[0-9]{{1,3}}|{_SPOKEN}(?:{_BETWEEN}{_SPOKEN}){{0,2}})"
 _HIDDEN_IP = re.compile(
     rf"(?<![\w.]){_OCTET}(?:(?:\.|{_HIDDEN_DOT}){_OCTET}){{3}}(?![\w])"
 )
+# What a text without hidden numbers has none of, quick to tell.
+_DOT_SIGN = re.compile(r"\.(?<=[^\W\d_]\.)(?=\w)|\.(?=\s{0,3}[\])}>])")
+_LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_SPOKEN_WORDS = frozenset(w.encode() for w in (*DIGIT_WORDS, "double", "triple"))
 _PLUS = re.compile(r"(?<!\w)plus\s{0,2}(?=[(]?[0-9])")
 
 
@@ -274,15 +285,34 @@ def _as_digits(text: str, start: int, end: int) -> Iterator[Edit]:
         last = m.end()
 
 
+def _spoken(low: str) -> tuple[bool, bool]:
+    """Whether a text has any words of digits, and whether it may have three in a row."""
+    words = low.encode("utf-8", "replace").translate(_LETTERS).split()
+    if _SPOKEN_WORDS.isdisjoint(words):
+        return False, False
+    last = run = 0
+    for at, word in enumerate(words, 1):
+        if word in _SPOKEN_WORDS:
+            run = run + 1 if at == last + 1 else 1
+            last = at
+            if run == 3:
+                return True, True
+    return True, False
+
+
 def spelled_digits(tape: Tape) -> Tape:
     low = _lower(tape.text)
     edits: list[Edit] = []
-    for m in _HIDDEN_IP.finditer(low):
+    some, many = _spoken(low)
+    maybe = any(w in low for w in _DOT_WORDS) or _DOT_SIGN.search(low)
+    for m in _HIDDEN_IP.finditer(low) if maybe else ():
         dots = [(*d.span(), ".") for d in _DOT.finditer(low, *m.span())]
         if dots or not re.fullmatch(r"[0-9.]+", m.group()):
             edits += sorted([*dots, *_as_digits(low, *m.span())])
     taken = sorted(edits)
-    for m in chain(_SPELLED.finditer(low), _AMONG_DIGITS.finditer(low)):
+    for m in chain(
+        _SPELLED.finditer(low) if many else (), _AMONG_DIGITS.finditer(low) if some else ()
+    ):
         near = bisect_left(taken, (m.end(),)) - 1  # the last edit that begins before the end
         if near < 0 or taken[near][1] <= m.start():
             edits += _as_digits(low, *m.span())
@@ -296,25 +326,49 @@ def spelled_plus(tape: Tape) -> Tape:
     return tape.edited([(*m.span(), "+") for m in _PLUS.finditer(low)])
 
 
-_AT_IN = rf"{_OPEN}(?:at|@|arroba|arobase|klammeraffe){_SHUT}"
-_AT_BARE = r"(?:\s{1,3}(?:at|arroba|arobase)\s{1,3}|_(?:at|arroba|arobase)_)"
-_AT_APART = r"(?:\s{1,3}@\s{0,3}|@\s{1,3})"
-_LABEL = "[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
+# The sign or a word for it; then what stands around it decides.
+_AT = re.compile(r"@|at(?![^\W_])|arroba(?![^\W_])|arobase(?![^\W_])|klammeraffe(?![^\W_])")
+_SHUT_AFTER, _OPEN_BEFORE = re.compile(_SHUT), re.compile(rf"{_OPEN}$")
+_BLANK_AFTER, _BLANK_BEFORE = re.compile(r"\s{1,3}"), re.compile(r"\s{1,3}$")
 _ANY_DOT = rf"(?:\.|{_HIDDEN_DOT}|{_DOT_APART})"
-_HIDDEN_AT = re.compile(rf"(?P<inside>{_AT_IN})|(?P<bare>{_AT_BARE})|(?P<apart>{_AT_APART})|(?P<plain>@)")
 _PART = re.compile(r"[a-z0-9-]++")
 _NEXT_PART = re.compile(rf"(?P<dot>{_ANY_DOT})(?P<part>[a-z0-9-]++)")
 _DOT_AT_END = re.compile(rf"{_HIDDEN_DOT}$")
 _REACH = 24  # characters that a dot in words can take
 
 
+def _at_signs(low: str) -> Iterator[tuple[str, int, int]]:
+    """Places that may stand for @, and how: plain, inside brackets, bare words, set apart."""
+    for m in _AT.finditer(low):
+        start, end = m.span()
+        sign = low[start] == "@"
+        before = low[start - 1] if start else ""
+        if not sign and (before.isalnum() or not before):
+            continue
+        window = max(0, start - 7)  # two blanks of three and a bracket
+        opened = _OPEN_BEFORE.search(low[window:start])
+        shut = _SHUT_AFTER.match(low, end)
+        if opened and shut:
+            yield "inside", window + opened.start(), shut.end()
+            continue
+        left = _BLANK_BEFORE.search(low[window:start])
+        right = _BLANK_AFTER.match(low, end)
+        first = window + left.start() if left else start
+        last = right.end() if right else end
+        if sign:
+            yield ("apart" if left or right else "plain"), first, last
+        elif left and right:
+            yield "bare", first, last
+        elif before == "_" and low[end : end + 1] == "_":
+            yield "bare", start - 1, end + 1
+
+
 def hidden_addresses(tape: Tape) -> Tape:
     """@ and . for the words and the brackets in addresses."""
     low = _lower(tape.text)
     edits: list[Edit] = []
     upto = 0
-    for m in _HIDDEN_AT.finditer(low):
-        at, after = m.span()
+    for how, at, after in _at_signs(low):
         if at <= upto or low[at - 1] not in _LOCAL:
             continue
         first = _PART.match(low, after)
@@ -323,26 +377,23 @@ def hidden_addresses(tape: Tape) -> Tape:
         dots, end, ending = [], first.end(), ""
         while part := _NEXT_PART.match(low, end):
             bare = re.fullmatch(_DOT_APART, part["dot"])
-            if bare and (m["bare"] or part["part"] not in ENDINGS):
+            if bare and (how == "bare" or part["part"] not in ENDINGS):
                 break
             if ending in ENDINGS and part["dot"] != "." and part["part"] not in ENDINGS:
                 break  # the address is whole; what follows is another sentence's
             dots.append((*part.span("dot"), "."))
             end, ending = part.end(), part["part"]
         hidden = [d for d in dots if low[d[0] : d[1]] != "."]
-        if not dots or (m["plain"] and not hidden):
+        if not dots or (how == "plain" and not hidden):
             continue
-        if m["inside"] or m["plain"]:
+        if how == "inside":
             good = ending.isalpha() and len(ending) >= 2
-            good = good and (bool(m["inside"]) or ending in ENDINGS)
-        elif m["apart"]:
-            good = ending in ENDINGS
         else:
-            good = ending in ENDINGS and len(hidden) == len(dots)
+            good = ending in ENDINGS and (how != "bare" or len(hidden) == len(dots))
         if not good:
             continue
         before = list(_dots_before(low, at, upto))
-        edits += [*before, *([] if m["plain"] else [(at, after, "@")]), *hidden]
+        edits += [*before, *([] if how == "plain" else [(at, after, "@")]), *hidden]
         upto = end
     return tape.edited(edits)
 
