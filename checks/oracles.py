@@ -170,6 +170,30 @@ _SCHEMAS = " union all ".join(
     for column, kind in (c.replace(";", ",").split(" ") for c in columns.split(", "))
 )
 
+
+def _minimal_keys() -> str:
+    """Every column and pair of columns of every table, counted; the unique ones without a
+    smaller one in them."""
+    parts = []
+    for table, columns in COLUMNS.items():
+        names = columns.split()
+        sets = [(c,) for c in names]
+        sets += [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+        full = [" and ".join(f"{c} is not null" for c in s) for s in sets]
+        counts = ", ".join(
+            f"count(distinct case when {f} then ({', '.join(s)}) end)" for f, s in zip(full, sets)
+        )
+        parts.append(
+            f"""select '{table}' as table_name, unnest({[list(s) for s in sets]}) as k,
+              unnest(counts) as found, n from (select [{counts}] as counts, count(*) as n from {table})"""
+        )
+    return f"""
+        with u as (select * from ({" union all ".join(parts)}) where found = n and n > 0)
+        select table_name, array_to_string(k, ',') as key from u
+        where not exists (select 1 from u v where v.table_name = u.table_name
+          and len(v.k) < len(u.k) and list_contains(u.k, v.k[1]))"""
+
+
 ORACLES: dict[str, str] = {
     # discovery and mapping of the tables' own columns
     "discover_all": f"""
@@ -370,6 +394,88 @@ ORACLES: dict[str, str] = {
         select l_orderkey, l_linenumber, l_quantity, l_orderkey % 1201 as bin from lineitem
         where l_linenumber <> 1
         union all select l_orderkey, l_linenumber, l_quantity, bin from s""",
+    "merge_exchange": """
+        with s as (
+          select l_orderkey as o_orderkey, sum(l_quantity) as o_totalprice,
+            strftime(max(l_shipdate), '%Y-%m') as month
+          from lineitem
+          where l_orderkey in (select max(o_orderkey) from orders group by o_custkey)
+          group by l_orderkey)
+        select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') as month from orders t
+        where not exists (select 1 from s where s.o_orderkey = t.o_orderkey)
+        union all select * from s""",
+    "merge_buckets": """
+        with s as (
+          select max(o_orderkey) as o_orderkey, cast(c_nationkey as bigint) as o_custkey,
+            cast(0 as double) as o_totalprice
+          from orders join customer on o_custkey = c_custkey group by c_nationkey)
+        select o_orderkey, o_custkey, o_totalprice from orders t
+        where not exists (select 1 from s where s.o_orderkey = t.o_orderkey)
+        union all select * from s""",
+    "apply_changes": """
+        select user_id, event_id, event_type, value from events
+        qualify row_number() over (partition by user_id order by event_id desc) = 1
+          and event_type <> 'error'""",
+    "evolve_orders": """
+        with s as (
+          select cast(l_orderkey as bigint) as o_orderkey,
+            cast(sum(l_quantity) as decimal(14,3)) as o_totalprice, count(*) as n_lines
+          from lineitem group by l_orderkey)
+        select o_orderkey, cast(o_totalprice as varchar) as o_totalprice, n_lines from s
+        union all
+        select o_orderkey,
+          cast(cast(cast(o_totalprice as decimal(10,1)) as decimal(14,3)) as varchar), null
+        from orders t where not exists (select 1 from s where s.o_orderkey = t.o_orderkey)""",
+    "append_once": "select o_orderkey, o_orderstatus, o_totalprice from orders",
+    "write_clustered": """
+        select cast(year(l_shipdate) as int) as year, count(*) as n_rows,
+          sum(l_quantity) as quantity, count(distinct l_partkey) as n_parts
+        from lineitem group by all""",
+    # splits, differences, keys, types
+    "splits_orders": " union all ".join(
+        f"""select '{name}' as column_name, count(*) as n_rows, count({value}) as n_set,
+          count(*) as n_in_one, true as even from orders"""
+        for name, value in {
+            "o_orderkey": "o_orderkey", "o_custkey": "o_custkey",
+            "o_totalprice": "o_totalprice", "o_orderdate": "o_orderdate", "heavy": "o_custkey",
+            "sparse": "case when o_orderstatus <> 'F' then o_custkey end",
+        }.items()
+    ),
+    "diff_orders": """
+        with k as (select o_custkey, min(o_orderkey) as lo, max(o_orderkey) as hi
+                   from orders group by o_custkey),
+        a as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders),
+        b as (
+          select o_orderkey, o_custkey, o_orderstatus,
+            case when o_orderstatus = 'P' then floor(o_totalprice) else o_totalprice end
+              as o_totalprice
+          from a join k using (o_custkey) where o_orderkey <> lo
+          union all select a.* from a join k using (o_custkey) where o_orderkey = hi
+          union all select -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice
+          from a join k using (o_custkey) where o_orderkey = hi),
+        m as (select *, 'source' as side from (select * from a except all select * from b)
+              union all
+              select *, 'target' as side from (select * from b except all select * from a)),
+        c as (select o_orderkey from m group by o_orderkey having count(distinct side) = 2)
+        select o_orderkey, o_custkey, o_orderstatus, o_totalprice, side, count(*) as copies,
+          case when o_orderkey in (select * from c) then 'changed'
+               when side = 'source' then 'missing' else 'extra' end as kind
+        from m group by all""",
+    "keys_tables": _minimal_keys(),
+    "infer_events": """
+        with t as (select max(event_id) as e, max(user_id) as u,
+            count(distinct length(split_part(cast(value as varchar), '.', 2))) as scales,
+            max(length(cast(value as varchar))) - 1 as digits,
+            max(length(split_part(cast(value as varchar), '.', 2))) as scale,
+            count(*) as n from events),
+        i as (select unnest(['event_id', 'user_id']) as column_name, unnest([e, u]) as most, n from t)
+        select column_name, case when most <= 32767 then 'smallint'
+          when most <= 2147483647 then 'int' else 'bigint' end as spark_type, n as n_set from i
+        union all select 'ts', 'timestamp', n from t
+        union all select 'event_type', 'string', n from t
+        union all select 'value', case when scales = 1
+          then 'decimal(' || digits || ',' || scale || ')' else 'double' end, n from t
+        union all select 'props', 'string', n from t""",
     # looking and checking
     "count_tables": " union all ".join(
         f"select '{table}' as table_name, count(*) as n_rows from {table}" for table in COLUMNS

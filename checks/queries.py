@@ -11,22 +11,34 @@ from pyspark.sql import types as T
 
 from typeferry import (
     TYPE_RULES,
+    Buckets,
     FrameSource,
     IngestConfig,
     MappedColumn,
+    append_once,
+    apply_changes,
     build_schema,
     column_checks,
     conform,
+    current_rows,
+    diff_rows,
     discover_columns,
+    equi_depth,
+    in_zones,
+    infer_types,
     ingest,
     ingest_many,
+    keys_of_tables,
     map_types,
     mapped_columns,
     mapped_tables,
     mapping_audit,
     preview,
+    read_table,
     reconcile,
     row_count,
+    split_of,
+    write_clustered,
     write_table,
 )
 from typeferry.operators.mapping import DESCRIPTOR
@@ -557,6 +569,186 @@ def merge_many_partitions(spark, sf_dir):
     return spark.table(target)
 
 
+def last_orders(spark, sf_dir):
+    """The last order of each customer that has lines, with their quantity and last month."""
+    orders, lines = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
+    last = orders.groupBy("o_custkey").agg(F.max("o_orderkey").alias("o_orderkey"))
+    return (
+        last.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        .groupBy("o_orderkey")
+        .agg(
+            F.sum("l_quantity").alias("o_totalprice"),
+            F.date_format(F.max("l_shipdate"), "yyyy-MM").alias("month"),
+        )
+    )
+
+
+def merge_exchange(spark, sf_dir):
+    """Orders move between months; the partitions they leave and enter are exchanged, twice."""
+    target = scratch_table(spark, "merge_exchange")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", month)
+    write_table(orders, target, partition_by=["month"])
+    for _ in range(2):
+        write_table(last_orders(spark, sf_dir), target, "merge", keys=["o_orderkey"])
+    return spark.table(target)
+
+
+def merge_buckets(spark, sf_dir):
+    """The last order of each nation's customers hits few of the buckets of a flat table."""
+    target = scratch_table(spark, "merge_buckets")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    write_table(orders, target, buckets=Buckets(["o_orderkey"], 64))
+    customers = read(spark, sf_dir, "customer")
+    incoming = (
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_nationkey")
+        .agg(F.max("o_orderkey").alias("o_orderkey"))
+        .select("o_orderkey", F.col("c_nationkey").cast("long").alias("o_custkey"),
+                F.lit(0.0).alias("o_totalprice"))
+    )
+    write_table(incoming, target, "merge", keys=["o_orderkey"])
+    return read_table(spark, target)
+
+
+def apply_events(spark, sf_dir):
+    """The later half of the events comes first, the earlier one late; errors delete."""
+    events = read(spark, sf_dir, "events")
+    middle = events.agg(F.percentile_approx("ts", 0.5).alias("middle"))
+    halves = events.join(F.broadcast(middle))  # one row
+    target = scratch_table(spark, "apply_changes")
+    for half in ("ts >= middle", "ts < middle"):
+        apply_changes(
+            halves.filter(half),
+            target,
+            ["user_id"],
+            "event_id",
+            F.col("event_type") == "error",
+            ["user_id", "event_id", "event_type", "value"],
+        )
+    return current_rows(spark, target)
+
+
+def evolve_orders(spark, sf_dir):
+    """Orders in narrow types are merged with wider ones that have one more column."""
+    target = scratch_table(spark, "evolve_orders")
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("int").alias("o_orderkey"),
+        F.col("o_totalprice").cast("decimal(10,1)").alias("o_totalprice"),
+    )
+    write_table(orders, target, buckets=Buckets(["o_orderkey"], 8))
+    incoming = (
+        read(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(
+            F.sum("l_quantity").cast("decimal(14,3)").alias("o_totalprice"),
+            F.count(F.lit(1)).alias("n_lines"),
+        )
+    )
+    write_table(incoming, target, "merge", keys=["o_orderkey"], evolve=True)
+    return as_text(read_table(spark, target))
+
+
+def append_batches(spark, sf_dir):
+    """A batch for each status, each tried twice."""
+    target = scratch_table(spark, "append_once")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for status in ("F", "O", "P", "O", "F", "P"):
+        rows = orders.filter(F.col("o_orderstatus") == status)
+        append_once(rows, target, f"status {status}", partition_by=["o_orderstatus"])
+    return spark.table(target)
+
+
+def write_clustered_lines(spark, sf_dir):
+    """Lines along a curve through date and part; each year is read by the zone map."""
+    target = scratch_table(spark, "write_clustered")
+    lines = read(spark, sf_dir, "lineitem")
+    write_clustered(lines, target, ["l_shipdate", "l_partkey"], 32)
+    ends = lines.agg(F.min(F.year("l_shipdate")), F.max(F.year("l_shipdate"))).first()
+    years = []
+    for year in range(ends[0], ends[1] + 1):
+        first, last = (F.make_date(F.lit(year), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+        low, high = spark.range(1).select(
+            first.cast("timestamp_ntz"), last.cast("timestamp_ntz") + F.expr("interval 86399.999999 seconds")
+        ).first()
+        here = in_zones(spark, target, {"l_shipdate": (low, high)})
+        years.append(
+            spark.table(target)
+            .filter(here & F.col("l_shipdate").between(F.lit(low), F.lit(high)))
+            .groupBy(F.lit(year).alias("year"))
+            .agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum("l_quantity").alias("quantity"),
+                F.countDistinct("l_partkey").alias("n_parts"),
+            )
+        )
+    return reduce(DataFrame.unionByName, years)
+
+
+# -- splits, differences, keys, types --------------------------------------------------
+
+
+def splits_orders(spark, sf_dir):
+    """For several columns: is every row in one split, and is none over twice the mean."""
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+        F.when(F.col("o_orderstatus") == "F", F.lit(0)).otherwise(F.col("o_custkey")).alias("heavy"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("sparse"),
+    )
+    results = []
+    for column in orders.columns:
+        splits = equi_depth(orders, column, 16)
+        sizes = (
+            orders.select(column, split_of(orders, column, splits).alias("split"))
+            .groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n"), F.count(column).alias("n_set"))
+        )
+        results.append(
+            sizes.agg(
+                F.lit(column).alias("column_name"),
+                F.sum("n").alias("n_rows"),
+                F.sum("n_set").alias("n_set"),
+                F.sum(F.when(F.col("split").between(0, len(splits) - 1), F.col("n"))).alias("n_in_one"),
+                (F.max("n") <= 2 * F.avg("n")).alias("even"),
+            )
+        )
+    return reduce(DataFrame.unionByName, results)
+
+
+def diff_orders(spark, sf_dir):
+    """Orders against a written copy in which some are missing, extra, changed and doubled."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    orders = read(spark, sf_dir, "orders").select(*columns)
+    ends = orders.groupBy("o_custkey").agg(
+        F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last")
+    )
+    known = orders.join(ends, "o_custkey")
+    price = F.when(F.col("o_orderstatus") == "P", F.floor("o_totalprice").cast("double"))
+    altered = known.filter("o_orderkey <> first").withColumn(
+        "o_totalprice", F.coalesce(price, "o_totalprice")
+    )
+    again = known.filter("o_orderkey = last")
+    extra = again.withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    target = scratch_table(spark, "diff_orders")
+    copy = [df.select(*columns) for df in (altered, again, extra)]
+    write_table(reduce(DataFrame.unionAll, copy), target)
+    return diff_rows(orders, spark.table(target), ["o_orderkey"], rows_at_once=1000)
+
+
+def keys_tables(spark, sf_dir):
+    """The keys of up to two columns that each table could be merged by."""
+    tables = {name: read(spark, sf_dir, name) for name in TABLES}
+    return keys_of_tables(tables, width=2).select(
+        "table_name", F.array_join("columns", ",").alias("key")
+    )
+
+
+def infer_events(spark, sf_dir):
+    """Events with every column as text: which types they had."""
+    events = read(spark, sf_dir, "events")
+    return infer_types(events.select(*[F.col(c).cast("string") for c in events.columns]))
+
+
 # -- looking and checking --------------------------------------------------------------
 
 
@@ -664,8 +856,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         altered_lineitem, altered_events, schema_conformed, schema_written,
         write_overwrite, write_overwrite_keeps_layout, write_append, write_partitioned, write_partitioned_append,
         write_lineitem, merge_orders, merge_accounts, merge_partitioned,
-        merge_moving, merge_many_partitions,
+        merge_moving, merge_many_partitions, merge_exchange, merge_buckets, evolve_orders,
+        splits_orders, diff_orders, keys_tables, infer_events,
         count_tables, preview_orders, reconcile_orders, reconcile_append,
         ingest_orders, ingest_lineitem, ingest_documents, ingest_merge, ingest_all,
     )
 }
+QUERIES |= {
+    "apply_changes": apply_events,
+    "append_once": append_batches,
+    "write_clustered": write_clustered_lines,
+}

@@ -1,0 +1,130 @@
+"""Tables stored in hidden buckets of their merge key."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from typeferry import Buckets, IngestConfig, FrameSource, bucket_of, clean_staged, ingest
+from typeferry import merge_table, preview, read_table, write_table
+from typeferry.operators.buckets import BUCKET, with_bucket
+from typeferry.operators.write import layout_of
+
+SCHEMA = "k int, v string"
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def rows(spark, t):
+    return sorted((tuple(r) for r in read_table(spark, t).collect()), key=str)
+
+
+def files(spark, t):
+    found = spark.table(t).select(BUCKET, F.input_file_name()).distinct().collect()
+    out = {}
+    for bucket, name in found:
+        out.setdefault(bucket, set()).add(name)
+    return out
+
+
+def test_merge_rewrites_only_hit_buckets(spark, fresh):
+    t = fresh()
+    write_table(frame(spark, [(i, "o") for i in range(500)]), t, buckets=Buckets(["k"], 50))
+    before = files(spark, t)
+    assert len(before) == 50
+    incoming = [(7, "n"), (8, "n"), (1000, "n")]
+    hit = {r[0] for r in with_bucket(frame(spark, incoming), Buckets(["k"], 50)).select(BUCKET).collect()}
+    merge_table(frame(spark, incoming), t, ["k"])
+    after = files(spark, t)
+    assert {b for b in before if before[b] != after[b]} == hit and len(hit) <= 3
+    expected = [(i, "n" if i in (7, 8) else "o") for i in range(500)] + [(1000, "n")]
+    assert rows(spark, t) == sorted(expected, key=str)
+    assert read_table(spark, t).columns == ["k", "v"]
+
+
+def test_types_of_the_target_decide_the_bucket(spark, fresh):
+    """A long and a decimal source meet the int keys of the table."""
+    t = fresh()
+    write_table(frame(spark, [(i, "o") for i in range(20)]), t, buckets=Buckets(["K"], 8))
+    merge_table(frame(spark, [(3, "n")], "K long, V string"), t, ["k"])
+    merge_table(spark.sql("select cast(4 as decimal(5,0)) as k, 'n' as v"), t, ["K"])
+    assert rows(spark, t) == sorted([(i, "n" if i in (3, 4) else "o") for i in range(20)], key=str)
+
+
+def test_modes_keep_the_buckets(spark, fresh):
+    t = fresh()
+    write_table(frame(spark, [(1, "a"), (2, "b")]), t, buckets=Buckets(["k"], 4))
+    spark.sql(f"ALTER TABLE {t} SET TBLPROPERTIES ('a' = 'b')")
+    write_table(frame(spark, [(3, "c")], "k long, v string"), t, "append")
+    assert rows(spark, t) == [(1, "a"), (2, "b"), (3, "c")]
+    merge_table(frame(spark, [(3, "d")]), t, ["k"])
+    assert rows(spark, t) == [(1, "a"), (2, "b"), (3, "d")]
+    write_table(frame(spark, [(5, "e")]), t)
+    assert layout_of(spark, t).buckets == Buckets(("k",), 4)
+    assert layout_of(spark, t).properties["a"] == "b"
+    write_table(frame(spark, [(5, "e"), (6, "f")]), t, buckets=Buckets(["k", "v"], 3))
+    assert layout_of(spark, t).buckets == Buckets(("k", "v"), 3)
+    merge_table(frame(spark, [(6, "f")]), t, ["v", "k"])
+    assert rows(spark, t) == [(5, "e"), (6, "f")]
+    write_table(frame(spark, [(5, "e")]), t, partition_by=[])
+    assert layout_of(spark, t).buckets is None and spark.table(t).columns == ["k", "v"]
+    merge_table(frame(spark, [(5, "g")]), t, ["k"])
+    assert rows(spark, t) == [(5, "g")]
+
+
+def test_null_keys_are_spread_and_stay(spark, fresh):
+    t = fresh()
+    many = [(None, f"o{i}") for i in range(400)] + [(1, "o")]
+    write_table(frame(spark, many), t, buckets=Buckets(["k"], 16))
+    sizes = spark.table(t).groupBy(BUCKET).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 60
+    merge_table(frame(spark, [(1, "n"), (None, "n")]), t, ["k"])
+    assert rows(spark, t) == sorted([*many[:-1], (1, "n"), (None, "n")], key=str)
+
+
+def test_refusals(spark, fresh):
+    t = fresh()
+    df = frame(spark, [(1, "a")])
+    with pytest.raises(ValueError, match="without partitions"):
+        write_table(df, t, partition_by=["v"], buckets=Buckets(["k"], 4))
+    for buckets in (Buckets(["x"], 4), Buckets([], 4), Buckets(["k"], 0)):
+        with pytest.raises(ValueError, match="buckets need"):
+            write_table(df, t, buckets=buckets)
+    write_table(df, t, buckets=Buckets(["k"], 4))
+    with pytest.raises(ValueError, match="merged by these"):
+        merge_table(df, t, ["v"])
+    with pytest.raises(ValueError, match="hidden column"):
+        write_table(spark.table(t), fresh(), buckets=Buckets(["k"], 4))
+
+
+def test_one_bucket_is_read_for_one_key(spark, fresh, capsys):
+    t = fresh()
+    write_table(frame(spark, [(i, "o") for i in range(100)]), t, buckets=Buckets(["k"], 10))
+    found = spark.table(t).filter(bucket_of({"k": 42}, spark, t) & (F.col("k") == 42))
+    assert [r.k for r in found.collect()] == [42]
+    found.explain()
+    assert f"PartitionFilters: [isnotnull({BUCKET}" in capsys.readouterr().out
+
+
+def test_missing_target_and_ingest(spark, fresh):
+    t = fresh()
+    merge_table(frame(spark, [(1, "a")]), t, ["k"], buckets=Buckets(["k"], 4))
+    merge_table(frame(spark, [(1, "b"), (2, "b")]), t, ["k"])
+    assert rows(spark, t) == [(1, "b"), (2, "b")]
+    u = fresh()
+    source = FrameSource({"x": frame(spark, [(1, "a"), (2, "b")])})
+    for _ in range(2):
+        report = ingest(spark, IngestConfig(source, "x", target_table=u, write_mode="merge",
+                                            merge_keys=["k"], merge_buckets=4))
+    assert rows(spark, u) == [(1, "a"), (2, "b")] and report.counts.target_rows == 2
+    assert report.preview.columns == ["k", "v"]
+    assert [tuple(r) for r in preview(spark, u, ["k"], 1).collect()] == [(1, "a")]
+
+
+def test_runs_are_cleaned(spark, fresh):
+    t = fresh()
+    write_table(frame(spark, [(i, "o") for i in range(10)]), t, buckets=Buckets(["k"], 1))
+    for i in range(3):
+        merge_table(frame(spark, [(i, "n")]), t, ["k"])
+    assert clean_staged(spark, t) == 2
+    assert rows(spark, t) == sorted([(i, "n" if i < 3 else "o") for i in range(10)], key=str)

@@ -1,0 +1,132 @@
+"""Change logs: order, deletions, late changes, reruns."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from typeferry import read_table
+from typeferry.operators import exchange
+from typeferry.operators.changes import apply_changes, current_rows, forget_deleted
+
+SCHEMA = "k int, v string, seq long, op string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def apply(spark, rows, t, **named):
+    log = frame(spark, rows)
+    apply_changes(log, t, ["k"], "seq", F.col("op") == "d", ["k", "v"], buckets=8, **named)
+
+
+def rows(spark, t):
+    return sorted(tuple(r) for r in current_rows(spark, t).collect())
+
+
+def plain(log):
+    last = {}
+    for k, v, seq, op in log:
+        if k not in last or seq > last[k][0]:
+            last[k] = (seq, v, op)
+    return sorted((k, v) for k, (_, v, op) in last.items() if op != "d")
+
+
+def made(seed, n=300, keys=40):
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(n)
+    return [(int(rng.integers(0, keys)) if rng.random() < 0.6 else 0, f"v{i}", int(order[i]),
+             "d" if rng.random() < 0.3 else "u") for i in range(n)]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_random_logs_in_any_order(spark, fresh, parts):
+    """Parts come in any order, one of them twice; a key has most of the log."""
+    log, t = made(parts), fresh()
+    cut = [log[i::parts] for i in range(parts)]
+    for part in (*cut, cut[0]):
+        apply(spark, part, t)
+    assert rows(spark, t) == plain(log)
+    assert current_rows(spark, t).columns == ["k", "v"]
+
+
+def test_late_changes_are_ignored(spark, fresh):
+    t = fresh()
+    apply(spark, [(1, "a", 5, "u"), (2, "b", 6, "d"), (3, "c", 7, "u")], t)
+    assert rows(spark, t) == [(1, "a"), (3, "c")]
+    apply(spark, [(1, "late", 4, "u"), (2, "late", 5, "u"), (3, "late", 6, "d")], t)
+    assert rows(spark, t) == [(1, "a"), (3, "c")]
+    apply(spark, [(2, "back", 8, "u"), (3, "", 9, "d"), (4, "new", 1, None)], t)
+    assert rows(spark, t) == [(1, "a"), (2, "back"), (4, "new")]
+    assert read_table(spark, t).count() == 4  # one tombstone
+    forget_deleted(spark, t, F.lit(10))
+    assert read_table(spark, t).count() == 3 and rows(spark, t) == [(1, "a"), (2, "back"), (4, "new")]
+    apply(spark, [(1, "z", 11, "u")], t)
+    assert rows(spark, t) == [(1, "z"), (2, "back"), (4, "new")]
+
+
+def test_only_buckets_with_news_are_rewritten(spark, fresh):
+    t = fresh()
+    apply(spark, [(i, "a", 10, "u") for i in range(200)], t)
+
+    def files():
+        return {r[0] for r in spark.table(t).select(F.input_file_name()).distinct().collect()}
+
+    before = files()
+    apply(spark, [(i, "late", 9, "u") for i in range(200)], t)
+    assert files() == before
+    apply(spark, [(7, "b", 11, "u"), *((i, "late", 9, "u") for i in range(50))], t)
+    assert len(files() & before) == len(before) - 1
+
+
+def test_equal_and_ambiguous_changes(spark, fresh):
+    t = fresh()
+    apply(spark, [(1, "a", 5, "u"), (1, "a", 5, "u"), (2, "x", 1, "u"), (2, "y", 1, "d"), (2, "z", 2, "u")], t)
+    assert rows(spark, t) == [(1, "a"), (2, "z")]
+    with pytest.raises(ValueError, match="one sequence number for the key {'k': 3}"):
+        apply(spark, [(3, "a", 5, "u"), (3, "b", 5, "u")], t)
+    with pytest.raises(ValueError, match="one sequence number"):
+        apply(spark, [(3, "a", 5, "u"), (3, "a", 5, "d")], t)
+    for row in [(None, "a", 5, "u"), (3, "a", None, "u")]:
+        with pytest.raises(ValueError, match="without a key or a sequence"):
+            apply(spark, [row], t)
+    with pytest.raises(ValueError, match="need key columns"):
+        apply_changes(frame(spark, []), t, ["nokey"], "seq")
+    assert rows(spark, t) == [(1, "a"), (2, "z")]
+
+
+def test_sequence_of_two_columns_and_empty_log(spark, fresh):
+    t = fresh()
+    apply(spark, [], t)
+    assert rows(spark, t) == []
+    log = spark.createDataFrame([(1, "a", 1, 2), (1, "b", 2, 1), (1, "c", 1, 9)], "k int, v string, p int, q int")
+    u = fresh()
+    apply_changes(log, u, ["K"], F.struct("p", "q"), columns=["k", "v"])
+    assert rows(spark, u) == [(1, "b")]
+    apply_changes(log.filter("v = 'c'"), u, ["k"], F.struct("p", "q"), columns=["k", "v"])
+    assert rows(spark, u) == [(1, "b")]
+
+
+def test_run_that_is_cut_off_is_run_again(spark, fresh, monkeypatch):
+    t = fresh()
+    log = made(9)
+    apply(spark, log[:150], t)
+
+    class Cut(Exception):
+        pass
+
+    calls = []
+    real = exchange.point
+
+    def cut(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise Cut
+        real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(exchange, "point", cut)
+        with pytest.raises(Cut):
+            apply(spark, log[150:], t)
+    apply(spark, log[150:], t)
+    assert rows(spark, t) == plain(log)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from typeferry.functions.casts import quoted
+from typeferry.operators.buckets import read_table
 from typeferry.operators.conform import altered_values, lost_values
 from typeferry.operators.mapping import MappedColumn
 
@@ -16,7 +17,7 @@ def preview(
     spark: SparkSession, table: str, order_by: Sequence[str], n: int = 10
 ) -> DataFrame:
     """The first ``n`` rows of a table in a stated order."""
-    return spark.table(table).orderBy(*[F.col(quoted(c)) for c in order_by]).limit(n)
+    return read_table(spark, table).orderBy(*[F.col(quoted(c)) for c in order_by]).limit(n)
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -8,15 +8,18 @@ from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
-from itertools import batched
 from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from typeferry.functions.casts import quoted, strict_cast, text_literal
 from typeferry.functions.typenames import same_name
+from typeferry.operators import exchange, once
+from typeferry.operators.buckets import BUCKET, Buckets, read_table, visible, with_bucket, without
+from typeferry.operators.evolve import fitted, joined_schema
 from typeferry.operators.scratch import landed
 
 MODES = ("overwrite", "append", "merge", "ignore", "error", "errorifexists", "default")
@@ -31,9 +34,6 @@ STAGED, OLD = "__staged_", "__old_"
 
 OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
 
-# Partitions dropped by one statement.
-DROPPED_AT_ONCE = 100
-
 # Properties that Spark or a metastore keeps for itself.
 OWN_PROPERTIES = ("transient_lastDdlTime", "numFiles", "numRows", "totalSize", "rawDataSize",
                   "COLUMN_STATS_ACCURATE", "bucketing_version")
@@ -49,6 +49,10 @@ class Layout:
     properties: dict[str, str] = field(default_factory=dict)
     column_comments: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def buckets(self) -> Buckets | None:
+        return Buckets.of(self.properties)
+
 
 def layout_of(spark: SparkSession, table: str) -> Layout:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
@@ -59,7 +63,8 @@ def layout_of(spark: SparkSession, table: str) -> Layout:
     properties = {
         r["key"]: r["value"]
         for r in found
-        if r["key"] not in OWN_PROPERTIES and not r["key"].startswith("spark.sql.")
+        if r["key"] not in (*OWN_PROPERTIES, exchange.RELOCATING)
+        and not r["key"].startswith("spark.sql.")
     }
     columns = spark.catalog.listColumns(table)
     return Layout(
@@ -79,6 +84,8 @@ def write_table(
     fmt: str | None = None,
     keys: Sequence[str] = (),
     stable: bool = False,
+    buckets: Buckets | None = None,
+    evolve: bool = False,
 ) -> None:
     """Saves ``df`` as the table ``target``.
 
@@ -90,6 +97,10 @@ def write_table(
     table is parquet without partitions, unless they say otherwise.
     ``append`` and ``merge`` keep the format and the partitioning the table has; ``merge``
     needs ``keys``, and ``merge_table`` explains ``stable``.
+    ``buckets`` stores a new or overwritten table by the hash of its merge key, in a column
+    that ``read_table`` leaves out; an overwrite keeps them, unless it is given
+    ``partition_by`` (none are an empty list). With ``evolve`` an append or a merge may bring
+    new columns and wider types, and may lack columns (``evolve_table``).
 
     On stores that rename by copying, an existing table is not overwritten: use a
     transactional format there.
@@ -97,33 +108,105 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {', '.join(MODES)}")
     if mode == "merge":
-        merge_table(df, target, keys, partition_by, fmt, stable)
+        merge_table(df, target, keys, partition_by, fmt, stable, buckets, evolve)
         return
+    if buckets and (partition_by or fmt in TRANSACTIONAL):
+        raise ValueError("buckets are for tables without partitions, in a format without merge")
     spark = df.sparkSession
-    finish_swap(spark, target)
+    finish_writes(spark, target)
     exists = spark.catalog.tableExists(target)
     if not exists:
-        _create(df, target, partition_by or (), fmt or "parquet", mode)
+        if buckets:
+            df, partition_by = with_bucket(df, buckets), [BUCKET]
+        _create(df, target, partition_by or (), fmt or "parquet", mode, buckets)
         return
     if mode not in ("overwrite", "append"):
         _save(df, target, mode, partition_by or (), fmt or "parquet")
         return
+    if mode == "append" and evolve:
+        df = fitted(df, evolve_table(spark, target, df.schema))
     layout = layout_of(spark, target)
+    if mode == "append":
+        if layout.buckets:
+            rows = _aligned(df, read_table(spark, target))
+            df, partition_by = with_bucket(rows, layout.buckets), [BUCKET]
+        _save(df, target, mode, partition_by or layout.partition_by, layout.fmt)
+        return
+    if partition_by is None:
+        buckets = buckets or layout.buckets
+    if buckets:
+        df, partition_by = with_bucket(df, buckets), [BUCKET]
     new = Layout(
         layout.partition_by if partition_by is None else partition_by,
         fmt or layout.fmt,
         layout.comment,
-        layout.properties,
+        without(layout.properties) | (buckets.properties() if buckets else {}),
         layout.column_comments,
     )
-    if mode == "append":
-        _save(df, target, mode, partition_by or layout.partition_by, layout.fmt)
-    elif new.fmt in TRANSACTIONAL:
+    if new.fmt in TRANSACTIONAL:
         _save(df, target, mode, new.partition_by, new.fmt)
     else:
         _replace(df, target, new)
 
 
+def append_once(
+    df: DataFrame,
+    target: str,
+    batch: str,
+    partition_by: Sequence[str] | None = None,
+    fmt: str | None = None,
+) -> bool:
+    """Appends the rows of a batch unless one of its name has been; whether these were added.
+
+    Cut off and run again, or run by two writers at a time, a batch is in the table once
+    (``once``). A missing target is created. An overwrite starts anew: it forgets the batches.
+    """
+    spark = df.sparkSession
+    finish_writes(spark, target)
+    if not spark.catalog.tableExists(target):
+        write_table(df.limit(0), target, "error", partition_by, fmt)
+    layout = layout_of(spark, target)
+    if layout.fmt in TRANSACTIONAL:
+        raise ValueError(f"{layout.fmt} has its own transactions: name the batch there")
+    if once.is_committed(spark, target, batch):
+        return False
+    rows = _aligned(df, read_table(spark, target))
+    if layout.buckets:
+        rows = with_bucket(rows, layout.buckets)
+    rows = rows.select(*[F.col(quoted(c)) for c in spark.table(target).columns])
+    run = _run_name()
+    staged = _suffixed(target, STAGED + run)
+    once.stage_batch(spark, _spread(rows, layout.partition_by), target, batch, run, staged)
+    added = once.commit_batch(spark, exchange.location_of(spark, target), batch, run)
+    once.finish_batches(spark, target, layout.partition_by)
+    return added
+
+
+def evolve_table(spark: SparkSession, target: str, incoming: T.StructType) -> T.StructType:
+    """Makes ``target`` hold rows of ``incoming`` too, and returns its schema then.
+
+    New columns are a change of the catalog alone. Where types have to be wider, the table is
+    written once more and swapped.
+    """
+    present = read_table(spark, target)
+    schema = joined_schema(present.schema, incoming, same_name(spark))
+    kinds = {f.name: f.dataType for f in present.schema.fields}
+    if any(f.name in kinds and f.dataType != kinds[f.name] for f in schema.fields):
+        layout, rows = layout_of(spark, target), fitted(present, schema)
+        if layout.buckets:
+            rows = with_bucket(rows, layout.buckets)
+        if layout.fmt in TRANSACTIONAL:
+            _save(rows, target, "overwrite", layout.partition_by, layout.fmt)
+        else:
+            _replace(rows, target, layout, carry=True)
+    elif len(schema.fields) > len(kinds):
+        added = [f for f in schema.fields if f.name not in kinds]
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
+        spark.catalog.refreshTable(target)
+    return schema
+
+
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition brought together, in files of the advisory size.
 
@@ -169,18 +252,30 @@ def _store(spark: SparkSession, table: str | None = None) -> str:
     return described.collect()[-1]["data_type"].partition(":")[0]
 
 
-def _create(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str, mode: str) -> None:
+def _create(
+    df: DataFrame,
+    target: str,
+    partition_by: Sequence[str],
+    fmt: str,
+    mode: str,
+    buckets: Buckets | None = None,
+) -> None:
     """A new table. Spark names it in the catalog when all its rows are written."""
     spark = df.sparkSession
+    bucketed = Layout(properties=buckets.properties() if buckets else {})
     if fmt in TRANSACTIONAL or _store(spark) in COPYING:
         _save(df, target, mode, partition_by, fmt)
+        _dress(spark, target, bucketed)
         return
     staged = _suffixed(target, STAGED + _run_name())
     _save(df, staged, "error", partition_by, fmt)
+    if buckets:
+        _dress(spark, staged, bucketed)
     _rename(spark, staged, target)
 
 
-def _replace(df: DataFrame, target: str, layout: Layout) -> None:
+def _replace(df: DataFrame, target: str, layout: Layout, carry: bool = False) -> None:
+    """Overwrites a table. With ``carry`` it is the same table still: its batches count."""
     spark = df.sparkSession
     managed = spark.catalog.getTable(target).tableType != "EXTERNAL"
     if managed and _store(spark, target) in COPYING:
@@ -195,11 +290,15 @@ def _replace(df: DataFrame, target: str, layout: Layout) -> None:
     run = _run_name()
     staged, old = _suffixed(target, STAGED + run), _suffixed(target, OLD + run)
     _save(_commented(df, layout), staged, "error", layout.partition_by, layout.fmt)
+    if carry:
+        once.carry_batches(spark, target, staged)
     if not managed:
         # Its folder is not ours to move: copy into it.
         rows = spark.table(staged).select(*[F.col(quoted(c)) for c in spark.table(target).columns])
         with _setting(spark, OVERWRITE_SETTING, "static"):
             rows.write.insertInto(target, overwrite=True)
+        if carry:
+            once.carry_batches(spark, staged, target)
         spark.sql(f"DROP TABLE {staged}")
         return
     _dress(spark, staged, layout)
@@ -236,12 +335,18 @@ def _dress(spark: SparkSession, table: str, layout: Layout) -> None:
 
 def _rename(spark: SparkSession, table: str, to: str) -> None:
     spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
-    if partition_columns(spark, to):
-        # The catalog may still hold the folders of the old name.
-        spark.sql(f"MSCK REPAIR TABLE {to} SYNC PARTITIONS")
+    _find_partitions(spark, to)
     spark.catalog.refreshTable(to)
 
 
+def _find_partitions(spark: SparkSession, table: str) -> None:
+    """The catalog may still hold the folders of a table's old name."""
+    partitions = partition_columns(spark, table)
+    if partitions:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        exchange.relocate(spark, table, partitions)
+
+
 def _put(spark: SparkSession, staged: str, target: str) -> None:
     """The staged table in the place of the target; another run may have done so already."""
     try:
@@ -273,18 +378,40 @@ def finish_swap(spark: SparkSession, target: str) -> None:
     staged = _beside(spark, target, STAGED)
     if not spark.catalog.tableExists(target):
         run = max(old)
-        _put(spark, staged.pop(run, old[run]), target)
+        back = staged.pop(run, old[run])
+        # Its partitions may have to be found anew under the old name, cut off or not.
+        exchange.set_relocating(spark, back, True)
+        _put(spark, back, target)
     for run, table in old.items():
         if run not in staged:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def clean_staged(spark: SparkSession, target: str) -> int:
-    """Drops what failed runs have left beside the target; none may be at work. How many."""
+def finish_writes(spark: SparkSession, target: str) -> None:
+    """Finishes what runs that were cut off have begun: swaps, and exchanges of partitions."""
     finish_swap(spark, target)
+    if not spark.catalog.tableExists(target):
+        return
+    if exchange.is_relocating(spark, target):
+        _find_partitions(spark, target)
+        exchange.set_relocating(spark, target, False)
+    partitions = partition_columns(spark, target)
+    if partitions:
+        exchange.finish_exchanges(spark, target, partitions)
+    once.finish_batches(spark, target, partitions)
+
+
+def clean_staged(spark: SparkSession, target: str) -> int:
+    """Drops what failed runs have left beside the target and in its folder; none may be at
+    work. How many."""
+    finish_writes(spark, target)
     left = [*_beside(spark, target, STAGED).values(), *_beside(spark, target, OLD).values()]
     for table in left:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+    exists = spark.catalog.tableExists(target)
+    if exists and layout_of(spark, target).fmt not in TRANSACTIONAL:
+        runs = exchange.clean_runs(spark, target) + once.clean_batches(spark, target)
+        return len(left) + runs
     return len(left)
 
 
@@ -313,13 +440,19 @@ def merge_table(
     partition_by: Sequence[str] | None = None,
     fmt: str | None = None,
     stable: bool = False,
+    buckets: Buckets | None = None,
+    evolve: bool = False,
 ) -> None:
     """Rows of ``df`` replace the rows of ``target`` with equal keys, or are added.
 
     Null keys equal nothing, so such rows of both sides stay. Two rows of ``df`` with
     one key are an error. A missing target is created. Of a partitioned table only the
-    partitions that lose or gain rows are rewritten, in place, however many they are, and
-    those left without rows are dropped. A merge that was cut off can be run again.
+    partitions that lose or gain rows are rewritten, however many they are, and those left
+    without rows are dropped: new rows are written beside the old ones and exchanged with
+    them (``exchange``). A merge that is cut off anywhere loses no row; run again, it gives
+    what it would have given. A table with buckets is merged by the key it is stored by, and
+    only the buckets with keys of ``df`` are rewritten; ``buckets`` gives them to a missing
+    target. Any other table is rewritten whole. ``evolve`` is that of ``write_table``.
 
     ``df`` is read for the check, for its keys and for its rows, and all must agree: it
     is written to a scratch table first, unless it is ``stable``, that is, gives the same
@@ -329,9 +462,11 @@ def merge_table(
     unknown = [k for k in keys if not any(same(k, c) for c in df.columns)]
     if not keys or unknown:
         raise ValueError(f"merge needs key columns of the source; got {keys}, unknown {unknown}")
-    finish_swap(df.sparkSession, target)
+    finish_writes(df.sparkSession, target)
     with nullcontext(df) if stable else landed(df, "incoming") as source:
-        _merge(source, target, keys, partition_by, fmt)
+        if evolve and df.sparkSession.catalog.tableExists(target):
+            source = fitted(source, evolve_table(df.sparkSession, target, source.schema))
+        _merge(source, target, keys, partition_by, fmt, buckets)
 
 
 def _merge(
@@ -340,26 +475,35 @@ def _merge(
     keys: Sequence[str],
     partition_by: Sequence[str] | None,
     fmt: str | None,
+    buckets: Buckets | None,
 ) -> None:
     spark = source.sparkSession
     if not spark.catalog.tableExists(target):
         _reject_repeated_keys(source, keys)
-        write_table(source, target, "error", partition_by, fmt)
+        write_table(source, target, "error", partition_by, fmt, buckets=buckets)
         return
     present = spark.table(target)
+    layout = layout_of(spark, target)
     # In the types of the target two keys may be one; and its names are used from here on.
-    source = _aligned(source, present)
+    source = _aligned(source, visible(present) if layout.buckets else present)
     same = same_name(spark)
     keys = [next(c for c in present.columns if same(k, c)) for k in keys]
     _reject_repeated_keys(source, keys)
-    layout = layout_of(spark, target)
+    if layout.buckets:
+        stored = sorted(next(c for c in present.columns if same(k, c)) for k in layout.buckets.keys)
+        if sorted(keys) != stored:
+            raise ValueError(f"{target} is stored in buckets of {stored}; it is merged by these")
+        source = with_bucket(source, layout.buckets)
+        _merge_partitions(source, present, target, keys, [BUCKET], moving=False)
+        return
     if layout.fmt in TRANSACTIONAL:
         merge = source.alias("s").mergeInto(target, _equal("s", target, keys))
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
     elif layout.partition_by:
-        _merge_partitions(source, present, target, keys, layout.partition_by)
+        moving = not set(layout.partition_by) <= set(keys)
+        _merge_partitions(source, present, target, keys, layout.partition_by, moving)
     else:
-        _replace(_unmatched(present, source, keys).unionByName(source), target, layout)
+        _replace(_unmatched(present, source, keys).unionByName(source), target, layout, carry=True)
 
 
 def _all_set(columns: Sequence[str]) -> Column:
@@ -430,26 +574,25 @@ def _merge_partitions(
     target: str,
     keys: Sequence[str],
     partitions: Sequence[str],
+    moving: bool,
 ) -> None:
-    """Merges by rewriting the touched partitions, those that lose or gain rows."""
+    """Merges by rewriting the touched partitions, those that lose or gain rows.
+
+    Unless they are ``moving``, the rows of a key are all in the partition of its new row.
+    """
     spark = source.sparkSession
     names = [f"p{i}" for i in range(len(partitions))]
-    with landed(_touched(source, present, keys, partitions, names), "touched") as touched:
+    found = _touched(source, present, keys, partitions, names, moving)
+    with landed(found, "touched") as touched:
         affected = _rows_of(present, touched, partitions, names)
         merged = _unmatched(affected, source, keys).unionByName(source)
-        left = touched.filter("n_in = 0")
-        kept = _unmatched(_rows_of(present, left, partitions, names), source, keys)
-        kept = kept.select(*[F.col(quoted(p)).alias(n) for p, n in zip(partitions, names)])
-        match = reduce(
-            lambda a, b: a & b, [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
-        )
-        emptied = left.alias("a").join(kept.distinct().alias("b"), match, "left_anti")
-        with landed(emptied.select(*names), "emptied") as emptied:
-            with _setting(spark, OVERWRITE_SETTING, "dynamic"):
-                rows = merged.select(*[F.col(quoted(c)) for c in present.columns])
-                _spread(rows, partitions).write.insertInto(target, overwrite=True)
-            # Last: a run cut off before this finds the same partitions again.
-            _drop_partitions(emptied, target, partitions)
+        merged = merged.select(*[F.col(quoted(c)) for c in present.columns])
+        replaced = _rows_of(exchange.with_file(present, partitions), touched, partitions, names)
+        run = _run_name()
+        exchange.exchange_partitions(
+            spark, target, run, _spread(merged, partitions), replaced, partitions,
+            _suffixed(target, STAGED + run),
+        )
 
 
 def _touched(
@@ -458,16 +601,16 @@ def _touched(
     keys: Sequence[str],
     partitions: Sequence[str],
     names: Sequence[str],
+    moving: bool,
 ) -> DataFrame:
     """Partitions that gain rows (``n_in`` above 0) or lose some, under plain names.
 
-    Where the partition columns are not all keys, rows may move: the partitions they leave
-    are found by a semi join that reads the key and partition columns of the target only,
+    Where rows may move, the partitions they leave are found by a semi join that reads the key and partition columns of the target only,
     and lets Spark skip the keys that cannot be hit before they are shuffled.
     """
     plain = [F.col(quoted(p)).alias(n) for p, n in zip(partitions, names)]
     gaining = source.select(*plain, F.lit(1).alias("n"))
-    if not set(partitions) <= set(keys):
+    if moving:
         new_keys = source.select(*[F.col(quoted(k)) for k in keys]).filter(_all_set(keys))
         located = present.filter(_all_set(keys)).select(
             *[F.col(quoted(c)) for c in dict.fromkeys([*keys, *partitions])]
@@ -503,30 +646,3 @@ def _rows_of(
             rows = rows.alias("t").join(wanted.select(*others).alias("w"), match, "left_semi")
         out = out.unionByName(rows)
     return out
-
-
-def _drop_partitions(emptied: DataFrame, target: str, partitions: Sequence[str]) -> None:
-    """Drops partitions, some at a time; of an external table their files too."""
-    spark = emptied.sparkSession
-    external = spark.catalog.getTable(target).tableType == "EXTERNAL"
-    rows = emptied.select(*[F.col(c).cast("string") for c in emptied.columns]).toLocalIterator()
-    for some in batched(rows, DROPPED_AT_ONCE):
-        specs = [
-            "PARTITION ("
-            + ", ".join(
-                f"{quoted(p)} = {'null' if v is None else text_literal(v)}"
-                for p, v in zip(partitions, row)
-            )
-            + ")"
-            for row in some
-        ]
-        for spec in specs if external else ():
-            _delete_files(spark, target, spec)
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {', '.join(specs)}")
-
-
-def _delete_files(spark: SparkSession, target: str, spec: str) -> None:
-    found = spark.sql(f"DESCRIBE TABLE EXTENDED {target} {spec}").filter("col_name = 'Location'")
-    # The partition's own comes before the table's.
-    path = spark._jvm.org.apache.hadoop.fs.Path(found.collect()[0]["data_type"])
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

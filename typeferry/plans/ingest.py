@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from typeferry.functions.casts import quoted
+from typeferry.operators.buckets import Buckets
 from typeferry.operators.conform import conform, lossy_columns, lost_values
 from typeferry.operators.discover import Source, discover_columns
 from typeferry.operators.mapping import MappedColumn, build_schema, map_types, mapped_columns
@@ -23,7 +24,8 @@ from typeferry.sources.jdbc import Partitioning
 @dataclass(frozen=True)
 class IngestConfig:
     """What to bring where. A blank target takes the name of the source table; partition
-    columns and a format left out are those the target has, or none and parquet."""
+    columns and a format left out are those the target has, or none and parquet. A new or
+    overwritten target without partitions is stored in ``merge_buckets`` of its merge keys."""
 
     source: Source
     table: str
@@ -32,6 +34,7 @@ class IngestConfig:
     write_mode: str = "overwrite"
     partition_cols: Sequence[str] | None = None
     merge_keys: Sequence[str] = ()
+    merge_buckets: int = 0
     fmt: str | None = None
     strict: bool = True
     rounding: bool = False
@@ -96,6 +99,7 @@ def ingest(
         config.partition_cols,
         config.fmt,
         config.merge_keys,
+        buckets=Buckets(config.merge_keys, config.merge_buckets) if config.merge_buckets else None,
     )
     found = seen.get
     lossy = [

@@ -9,6 +9,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, SparkSession
 
 from typeferry.functions.casts import quoted
+from typeferry.operators.splits import conditions, equi_depth
 
 if TYPE_CHECKING:
     from typeferry.operators.mapping import MappedColumn
@@ -32,7 +33,7 @@ class ByRange:
 
     Bounds left out are looked up in the table. Values are assumed to be spread
     evenly, and nulls all go to the first stride: for a column with heavy values or
-    many nulls use ``ByBlocks``.
+    many nulls use ``ByDepth`` or ``ByBlocks``.
     """
 
     column: str
@@ -41,6 +42,19 @@ class ByRange:
     upper: str | int | None = None
 
 
+@dataclass(frozen=True)
+class ByDepth:
+    """About as many rows in each task, by the values of one column.
+
+    The column alone is read first, by blocks, and its quantiles are sketched; heavy
+    values and nulls are read apart, by blocks again where they are more than one task's
+    share. For readers that want ranges of a column, on a table whose values are uneven.
+    """
+
+    column: str
+    partitions: int
+
+
 @dataclass(frozen=True)
 class ByPredicates:
     """One partition per SQL condition; together they must cover each row once."""
@@ -66,7 +80,7 @@ class SingleTask:
     """The whole table in one task and one connection."""
 
 
-Partitioning = ByRange | ByPredicates | ByBlocks | SingleTask
+Partitioning = ByRange | ByDepth | ByPredicates | ByBlocks | SingleTask
 
 
 def block_predicates(blocks: int, partitions: int) -> list[str]:
@@ -251,6 +265,8 @@ class JdbcSource:
             predicates = by.predicates
         elif isinstance(by, ByBlocks):
             predicates = self._block_predicates(spark, schema, table, by)
+        elif isinstance(by, ByDepth):
+            predicates = self._depth_predicates(spark, schema, table, by)
         if predicates is not None:
             url = options.pop("url")
             frame = spark.read.jdbc(url, name, predicates=list(predicates), properties=options)
@@ -262,6 +278,18 @@ class JdbcSource:
             options.update(self._range_options(spark, schema, table, by))
         return spark.read.format("jdbc").options(**options).option("dbtable", name).load()
 
+    def _depth_predicates(
+        self, spark: SparkSession, schema: str, table: str, by: ByDepth
+    ) -> list[str]:
+        """Conditions on a column that share its rows out evenly."""
+        values = self.read(spark, schema, table).select(quoted(by.column))
+        splits = equi_depth(values, by.column, by.partitions)
+
+        def blocks(parts: int) -> list[str]:
+            return self._block_predicates(spark, schema, table, ByBlocks(parts))
+
+        return conditions(identifier(by.column), splits, blocks)
+
     def _range_options(
         self, spark: SparkSession, schema: str, table: str, by: ByRange
     ) -> dict[str, str]:
