@@ -22,7 +22,8 @@ them: read the table through the catalog.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import batched
 from urllib.parse import unquote
 
@@ -36,8 +37,9 @@ FOLDER = "_typeferry"
 # The marks of a run, in their order.
 COMMITTED, APPLIED, CLEANED = "committed", "applied", "cleaned"
 
-# Partitions added or dropped by one statement.
+# Partitions added or dropped by one statement, and statements that run at a time.
 AT_ONCE = 100
+THREADS = 8
 
 # A table property: its partitions' folders are being named anew after a rename.
 RELOCATING = "typeferry.relocating"
@@ -156,9 +158,9 @@ def finish_run(
         mark(spark, f"{folder}/{APPLIED}")
         spark.catalog.refreshTable(target)
     if not path_exists(spark, f"{folder}/{CLEANED}"):
-        for row in _intent(spark, folder):
-            for old in row["old"]:
-                delete_replaced(spark, unquote(old))
+        for some in batched(_intent(spark, folder), AT_ONCE):
+            gone = [unquote(old) for row in some for old in row["old"]]
+            _each(lambda old: delete_replaced(spark, old), gone)
         mark(spark, f"{folder}/{CLEANED}")
 
 
@@ -189,13 +191,18 @@ def apply_intent(
         added = [f"{s} LOCATION {text_literal(place)}" for s, place, r in there if not r["old"]]
         if added:
             spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {' '.join(added)}")
-        for s, place, _ in there:
-            point(spark, target, s, place)
+        _each(lambda found: point(spark, target, found[0], found[1]), there)
         gone = [s for s, r in named if not r["new"]]
         if gone:
             spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {', '.join(gone)}")
 
 
+def _each(act: Callable[[object], None], things: Sequence[object]) -> None:
+    """Does a thing for each, some at a time; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        list(pool.map(act, things))
+
+
 def point(spark: SparkSession, target: str, of: str, place: str) -> None:
     """One partition of the exchange."""
     spark.sql(f"ALTER TABLE {target} {of} SET LOCATION {text_literal(place)}")
