@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -86,12 +87,33 @@ def test_odd_rows(spark):
     assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == [
         ("3", "3"), ("5", "3"), ("7", "7"), ("7", "7"), ("None", "3"), ("None", "None"),
     ]
-    kept = simhash.first_of_each(docs)
+    kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 7]
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [
+        ("3", ""), ("7", "a b c d"), ("None", "x y z")
+    ]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_a_tile_against_itself_in_another_order(seed):
+    """On a cluster the two lists of a tile come in the order their blocks were fetched in."""
+    rng = np.random.default_rng(seed)
+    fps = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    fps[30:] = fps[:30] ^ (np.uint64(1) << rng.integers(0, 64, 30, dtype=np.uint64))
+    other = rng.permutation(fps)
+
+    def lists(values):
+        return pa.array([values.view(np.int64).tolist()], pa.list_(pa.int64()))
+
+    batch = pa.RecordBatch.from_arrays(
+        [lists(fps), lists(other), pa.array([True])], names=["x", "y", "same"]
+    )
+    found = next(simhash.compare(iter([batch]), 3))
+    ends = [found.column(i).to_numpy().view(np.uint64) for i in (0, 1)]
+    assert len(ends[0]) == 30 and (np.bitwise_count(ends[0] ^ ends[1]) == 1).all()
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(1, 40)]
     star = [(100, i) for i in range(101, 400)]

@@ -148,7 +148,9 @@ def compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Recor
         (x_at, x), (y_at, y) = sides
         out: list[np.ndarray] = []
         for i, same in enumerate(batch.column(2).to_pylist()):
-            a, b = x[x_at[i] : x_at[i + 1]], y[y_at[i] : y_at[i + 1]]
+            # The two lists of one tile may differ in order: they were collected apart.
+            a = x[x_at[i] : x_at[i + 1]]
+            b = a if same else y[y_at[i] : y_at[i + 1]]
             near = np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
             if near.sum() > (len(a) if same else 0):
                 links = forest(near, same)
@@ -231,18 +233,6 @@ def near_duplicates(
     return rows.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id.
-
-    Rows that repeat a ``doc_id`` are one document, of which one row stays. Rows without
-    a ``doc_id`` cannot be told apart and go.
-    """
-    groups = near_duplicates(docs, shingle, radius)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    same = F.col("d.doc_id") == F.col("k.kept_id")
-    return docs.alias("d").join(kept.alias("k"), same, "left_semi").dropDuplicates(["doc_id"])
-
-
 def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, segments: int = 4) -> DataFrame:
     """One row of each component of ``docs``: the smallest ``doc_id``, nulls last, and of rows
     that share it the first as stored. A row that is near to no other stays, whatever its id.
