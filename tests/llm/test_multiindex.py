@@ -72,6 +72,7 @@ def test_odd_rows(spark):
         (1, near), (2, near), (2, near), (None, near), (3, [2.0, 4.0, 6.0, 8.0]), (4, far),
         (5, None), (6, []), (7, [0.0] * 4), (8, [1.0, None, 1.0, 1.0]),
         (9, [float("nan"), 1.0, 1.0, 1.0]), (10, [float("inf"), 1.0, 1.0, 1.0]), (11, [1.0, 2.0]),
+        (12, [1.0, 2.0, 3.0]), (13, [2.0, 4.0, 6.0]), (14, [3.0, -1.0, 0.0]),
     ]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select(
         "*", F.lit(1).alias("node"), F.lit(2).alias("n_links"), F.lit(0).alias("label")
@@ -81,6 +82,25 @@ def test_odd_rows(spark):
         for r in multiindex.near_duplicates(frame).collect()
     )
     linked = [("1", 4, "1"), ("2", 4, "1"), ("2", 4, "1"), ("None", 4, "1"), ("3", 4, "1")]
-    alone = [(str(i), 0, str(i)) for i in (4, 5, 6, 7, 8, 9, 10, 11)]
+    alone = [(str(i), 0, str(i)) for i in (4, 5, 6, 7, 8, 9, 10, 11, 14)]
+    linked += [("12", 1, "12"), ("13", 1, "12")]
     assert got == sorted(linked + alone)
     assert multiindex.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    """Beyond the range of floats, and apart by less than they can tell."""
+    near = [1.0, 2.0, 3.0]
+    rows = [(1, [1e300, 1e300]), (2, [1e300, 1e300]), (3, [1e-300, 1e-300]), (4, [5e-324, 0.0]),
+            (5, near), (6, [1.0, 2.0, 3.0 + 1e-12]), (7, [-1e300, 1e300])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in multiindex.near_duplicates(frame).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+    exact = multiindex.near_duplicates(frame, threshold=1 - 1e-14)
+    assert exact.where("vec_id = 6").first().n_links == 1
+
+
+@pytest.mark.parametrize("kind", ["array<int>", "array<decimal(5,2)>"])
+def test_other_numbers(spark, kind):
+    frame = spark.sql(f"select id as vec_id, cast(array(1, id, 2) as {kind}) as embedding from range(3)")
+    assert multiindex.near_duplicates(frame).count() == 3

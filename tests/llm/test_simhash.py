@@ -114,6 +114,25 @@ def test_a_tile_against_itself_in_another_order(seed):
     assert len(ends[0]) == 30 and (np.bitwise_count(ends[0] ^ ends[1]) == 1).all()
 
 
+def test_rows_of_files_are_told_apart_without_a_copy(spark, tmp_path):
+    rows = [(i % 4 or None, f"w{i // 3} x{i // 3} y{i // 3} z") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit(1).alias("row_part"), F.lit(2).alias("ROW_number"), F.lit(3).alias("first")
+    )
+    stored = simhash.one_of_each(docs.coalesce(1))
+    path = str(tmp_path / "docs")
+    docs.coalesce(1).write.parquet(path)
+    read = spark.read.parquet(path)
+    keyed, keys = simhash.keyed_rows(read)
+    assert keys == ["row_part_", "row_file", "row_number_"]
+    assert keyed.select(*keys).distinct().count() == 30
+    found = simhash.one_of_each(read)
+    assert found.columns == docs.columns and found.count() < 30
+    assert sorted(map(str, found.collect())) == sorted(map(str, stored.collect()))
+    filtered = simhash.keyed_rows(read.filter("doc_id is not null"))
+    assert len(filtered[1]) == 1  # no plain reading: stored
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(1, 40)]
     star = [(100, i) for i in range(101, 400)]

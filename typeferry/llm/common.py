@@ -100,6 +100,26 @@ def bucket(text: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(text.cast("string").cast("binary")), F.lit(modulus))
 
 
+PLACES = 1 << 52  # that hashes are dealt to
+
+
+def place(identity: Column) -> Column:
+    """Where a row falls by the hash of an id. Rows without one, which all have one hash, fall
+    where each of them stands."""
+    own = F.xxhash64(F.lit("row"), F.monotonically_increasing_id())
+    return F.pmod(F.when(identity.isNull(), own).otherwise(F.xxhash64(identity)), F.lit(PLACES))
+
+
+def thinned(rows: DataFrame, bound: int) -> DataFrame:
+    """A sample by ids, thinned row by row where repeated ids would make it more than twice
+    its bound. Without them it is given back as it is; the count reads no texts."""
+    n = rows.count()
+    if n <= 2 * bound:
+        return rows
+    own = F.pmod(F.xxhash64(F.lit("thin"), F.monotonically_increasing_id()), F.lit(PLACES))
+    return rows.where(own < int(PLACES * bound / n))
+
+
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Connected components of the links ``a``, ``b`` (longs, any orientation).
 

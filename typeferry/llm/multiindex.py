@@ -13,9 +13,11 @@ once for each. Cells are cut into blocks of ``block`` vectors, visits likewise,
 holds a third of all vectors is many pairs of blocks in many tasks. Tasks report counts for
 each vector and a spanning forest of the links, not the pairs.
 
+Vectors of floats are kept as such, all others as doubles, and compared as doubles. Vectors of
+another length have an index of their own, one after the other: a table has few lengths.
+
 Equal vectors are folded first and count as linked with each other. Vectors that are null,
-empty, zero, of another length than the commonest, or that hold null or non-finite components
-link with nothing. Rows with a null ``vec_id`` are linked and counted but never name a
+empty, zero, or that hold null or non-finite components link with nothing. Rows with a null ``vec_id`` are linked and counted but never name a
 component (one with no other rows has a null id); repeated rows count as rows. An empty table
 gives an empty result. Other columns, labels among them, are not looked at.
 """
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from typeferry.llm.common import checkpointed, components, ship
 from typeferry.llm.simhash import forest
@@ -40,13 +43,14 @@ PLACES = 1 << 52  # of a vector's hash
 
 def usable(vector: Column) -> Column:
     """Whether a vector of numbers can link at all."""
-    size = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(finite & (size > 0), F.lit(False))
+    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    # By a power of two first, so that neither the largest nor the smallest number is lost.
     vectors = vectors.astype(np.float64)
+    vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -120,11 +124,13 @@ class MultiIndex:
         return cls(index.first, index.second, float(slack) + 1e-9)
 
 
-def place(batches: Iterator[pa.RecordBatch], index: MultiIndex, dim: int) -> Iterator[pa.RecordBatch]:
+def place(
+    batches: Iterator[pa.RecordBatch], index: MultiIndex, dim: int, kind: str
+) -> Iterator[pa.RecordBatch]:
     """The cell of each vector and the cells it visits, the other ones first."""
     for batch in batches:
         flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-        rows = flat.astype("<f4").reshape(-1, dim)
+        rows = flat.astype(kind).reshape(-1, dim)
         one, two = index.distances(unit(rows))
         own, visits = index.cells(one, two), []
         most = one.min(1) + two.min(1) + index.slack
@@ -144,7 +150,7 @@ def place(batches: Iterator[pa.RecordBatch], index: MultiIndex, dim: int) -> Ite
 
 
 def verify(
-    batches: Iterator[pa.RecordBatch], index: MultiIndex, dim: int, threshold: float
+    batches: Iterator[pa.RecordBatch], index: MultiIndex, dim: int, kind: str, threshold: float
 ) -> Iterator[pa.RecordBatch]:
     """Links between blocks: rows (a, b, null) of a forest, rows (a, null, n) of counts.
 
@@ -157,8 +163,8 @@ def verify(
         for k in range(batch.num_rows):
             q_id, m_id = np.array(column["q_nodes"][k]), np.array(column["m_nodes"][k])
             q_n, m_n = np.array(column["q_copies"][k]), np.array(column["m_copies"][k])
-            q = unit(np.frombuffer(b"".join(column["q_vectors"][k]), "<f4").reshape(-1, dim))
-            m = unit(np.frombuffer(b"".join(column["m_vectors"][k]), "<f4").reshape(-1, dim))
+            q = unit(np.frombuffer(b"".join(column["q_vectors"][k]), kind).reshape(-1, dim))
+            m = unit(np.frombuffer(b"".join(column["m_vectors"][k]), kind).reshape(-1, dim))
             hit = (q @ m.T >= threshold) & (q_id[:, None] != m_id[None, :])
             if not hit.any():
                 continue
@@ -213,34 +219,50 @@ def near_duplicates(
     block: int = 256,
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` for every row of ``vec_id``, ``embedding``."""
-    spark = vectors.sparkSession
-    ship(spark)
+    ship(vectors.sparkSession)
+    given = vectors.schema["embedding"].dataType
+    floats = isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType)
     rows = vectors.select(
-        F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>")
+        F.col("vec_id").cast("long"),
+        F.col("embedding").cast("array<float>" if floats else "array<double>"),
     )
-    good = rows.where(usable(F.col("embedding")))
-    common = (
-        good.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    is_good = usable(F.col("embedding"))
+    size = F.size("embedding")
+    lengths = rows.where(is_good).groupBy(size.alias("d")).count().orderBy(F.desc("count"), "d")
+    out = rows.where(~is_good).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    dim = common["d"] if common else 0
-    is_good = usable(F.col("embedding")) & (F.size("embedding") == dim)
+    for found in lengths.collect():
+        some = rows.where(is_good & (size == found["d"]))
+        kind = "<f4" if floats else "<f8"
+        linked = _one_length(some, found["d"], kind, threshold, recall, words, block)
+        out = linked.unionAll(out)
+    return out
+
+
+def _one_length(
+    rows: DataFrame,
+    dim: int,
+    kind: str,
+    threshold: float,
+    recall: float,
+    words: int | None,
+    block: int,
+) -> DataFrame:
     distinct = checkpointed(
-        rows.where(is_good)
-        .groupBy("embedding")
+        rows.groupBy("embedding")
         .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     total = distinct.count()
     upto = int(PLACES * min(1.0, SAMPLE / max(total, 1)))
     low = distinct.where(F.pmod(F.xxhash64("embedding"), F.lit(PLACES)) < upto)
-    rows_found = low.select("embedding").toArrow()["embedding"].to_pylist()
-    sample = np.array(sorted(rows_found), np.float32)
-    if len(sample):
-        size = words or 2 ** round(np.log2(np.clip(np.sqrt(total / 16), 8, 1024)))
-        index = MultiIndex.fit(unit(sample), size, threshold, recall)
-        found = _links(distinct, index, dim, threshold, block)
-    else:
-        found = spark.createDataFrame([], "a long, b long, n long")
+    flat = low.select("embedding").toArrow()["embedding"].combine_chunks().flatten()
+    sample = flat.to_numpy(zero_copy_only=False).astype(kind).reshape(-1, dim)
+    sample = sample[np.lexsort(sample.T[::-1])]
+    size = words or 2 ** round(np.log2(np.clip(np.sqrt(total / 16), 8, 1024)))
+    index = MultiIndex.fit(unit(sample), size, threshold, recall)
+    found = _links(distinct, index, dim, kind, threshold, block)
     counts = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("n"))
     roots = components(found.where("b is not null").select("a", "b"))
     named = distinct.join(roots, "node", "left").join(
@@ -253,24 +275,15 @@ def near_duplicates(
     )
     least = checkpointed(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
     linked = named.join(least, "root").select("embedding", "n_links", "component_id")
-    return (
-        rows.where(is_good)
-        .join(linked, "embedding")
-        .select("vec_id", "n_links", "component_id")
-        .unionAll(
-            rows.where(~is_good).select(
-                "vec_id", F.lit(0).cast("long"), F.col("vec_id").alias("component_id")
-            )
-        )
-    )
+    return rows.join(linked, "embedding").select("vec_id", "n_links", "component_id")
 
 
 def _links(
-    distinct: DataFrame, index: MultiIndex, dim: int, threshold: float, block: int
+    distinct: DataFrame, index: MultiIndex, dim: int, kind: str, threshold: float, block: int
 ) -> DataFrame:
     placed = checkpointed(
         distinct.select("node", "embedding", "copies").mapInArrow(
-            lambda batches: place(batches, index, dim),
+            lambda batches: place(batches, index, dim, kind),
             "node long, copies long, vector binary, cell long, visits array<long>",
         )
     )
@@ -279,6 +292,22 @@ def _links(
     pairs = asking.join(members, "at").drop("at")
     return checkpointed(
         pairs.mapInArrow(
-            lambda batches: verify(batches, index, dim, threshold), "a long, b long, n long"
+            lambda batches: verify(batches, index, dim, kind, threshold), "a long, b long, n long"
         )
     )
+
+
+def oracle(threshold: float = 0.95) -> str:
+    """All pairs of vectors of a length compared in DuckDB's SQL, and what their links reach."""
+    return f"""with recursive good as materialized (select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and list_bool_and([x is not null and isfinite(x) for x in embedding])
+    and list_bool_or([x <> 0 for x in embedding])),
+near as materialized (select a.vec_id as a, b.vec_id as b from good a join good b
+  on len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= {threshold}),
+reached(a, b) as (select vec_id, vec_id from embeddings union
+  select reached.a, near.b from reached join near on reached.b = near.a),
+least as (select a, min(b) as component_id from reached group by a)
+select vec_id, (select count(*) from near where near.a = e.vec_id)::bigint as n_links,
+  component_id, vec_id = component_id as kept
+from embeddings e join least on e.vec_id = least.a"""

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import begin, checkpointed, kept_by_worker, ship
+from typeferry.llm.common import begin, checkpointed, kept_by_worker, ship, thinned, thinned
 
 SAMPLE = 20_000  # labelled rows the classifier is fitted on
 SPAN = 1 << 20  # characters measured at once
@@ -144,13 +144,14 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     ship(docs.sparkSession)
     known = labels.select(
         F.col("doc_id").cast("long").alias("own_id"), F.col("quality").cast("int").alias("own")
-    ).where("own is not null and own_id is not null")
+    ).where("own is not null and own_id is not null").distinct()
     n = known.count()
     place = F.pmod(F.xxhash64("own_id"), F.lit(1 << 52))
     known = known.where(place < int((1 << 52) * min(1, sample / max(n, 1))))
     rows = docs.where(usable).select(F.col("doc_id").alias("doc"), F.col("text").cast("string"))
     # The sample is bounded; the texts of others are not shuffled.
     rows = rows.join(F.broadcast(known), F.col("doc") == F.col("own_id")).select("text", "own")
+    rows = thinned(rows, sample)  # copies of an id may be any number
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("quality")

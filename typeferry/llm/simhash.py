@@ -24,11 +24,12 @@ columns of the input are not looked at, whatever their names.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,11 +94,10 @@ def fingerprint_many(texts: list[str | None], length: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, key: str | None = None) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's bits as a long) for every row; then ``key``, a
-    column of longs in ``docs``, if one is named."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keys: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``fp`` (the fingerprint's bits as a long) for every row; then ``keys``,
+    columns of longs in ``docs``, if some are named."""
     ship(docs.sparkSession)
-    keys = [key] if key else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("simhash")
@@ -233,23 +233,41 @@ def near_duplicates(
     return rows.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    names = {c.lower() for c in docs.columns}
+    return next(n for n in (name + "_" * i for i in itertools.count()) if n not in names)
+
+
+def keyed_rows(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns that tell its rows apart, in the order they are stored, and their
+    names. Of files as they are read these are the file's number, the hash of its path and
+    the row's place in it; anything else is stored first, as it may come in another order.
+    """
+    keys = [_free(docs, name) for name in ("row_part", "row_file", "row_number")]
+    plan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    if plan == "LogicalRelation":
+        part = F.regexp_extract("_metadata.file_name", r"part-(\d{1,18})", 1).try_cast("long")
+        found = (F.coalesce(part, F.lit(0).cast("long")), F.xxhash64("_metadata.file_path"),
+                 F.col("_metadata.row_index"))
+        try:
+            return docs.select("*", *[c.alias(k) for c, k in zip(found, keys)]), keys
+        except AnalysisException:  # a format without row numbers
+            pass
+    stored = docs.withColumn(keys[2], F.monotonically_increasing_id())
+    return checkpointed(stored), keys[2:]
+
+
 def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, segments: int = 4) -> DataFrame:
     """One row of each component of ``docs``: the smallest ``doc_id``, nulls last, and of rows
     that share it the first as stored. A row that is near to no other stays, whatever its id.
-
-    The rows are stored with a key of their own, so that ids need not tell them apart.
     """
-    names = {c.lower() for c in docs.columns}
-    key = next(n for n in ("row_key" + "_" * i for i in itertools.count()) if n not in names)
-    keyed = checkpointed(docs.withColumn(key, F.monotonically_increasing_id()))
-    rows = fingerprints(keyed, shingle, key)
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(key).alias("key"))
+    keyed, keys = keyed_rows(docs)
+    rows = fingerprints(keyed, shingle, keys)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.struct(*keys).alias("key"))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min(first).alias("first")))
     roots = components(links(distinct, radius, segments))
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "first", F.coalesce("root", "fp").alias("root")
     )
-    kept = named.groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.key").alias("kept_key"))
-    same = F.col(f"d.{key}") == F.col("k.kept_key")
-    return keyed.alias("d").join(kept.alias("k"), same, "left_semi").drop(key)
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select("first.key.*")
+    return keyed.join(kept, keys, "left_semi").drop(*keys)

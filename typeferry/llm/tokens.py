@@ -5,12 +5,13 @@ word: the ids of a text are those of its words, one after the other. Words recur
 keeps the ids of those it has met, up to ``CACHE_WORDS``, in a few flat arrays. Words are told
 apart by two independent hashes of 64 bits, and all is looked up and put together in numpy.
 Where white space is irregular the byte vocabulary's pieces depend on what surrounds them, and
-the text is encoded as a whole.
+the text is encoded as a whole. So it is where it may hold the string of a special token.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 from functools import cache
 
@@ -136,7 +137,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)", re.I)
+        self.mark = os.path.commonprefix([t.content.lower() for t in added])
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
         self.cut = CUTS.get(os.path.basename(path))
@@ -149,6 +152,11 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype) for x in found]
 
+    def _special(self, text: str) -> bool:
+        """Whether a text may hold the string of a special token, which the library gives the
+        token's id; it then encodes the text whole."""
+        return (not self.mark or self.mark in text.lower()) and bool(self.special.search(text))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.empty(0, self.dtype)] * len(texts)
         some: list[tuple[int, bytes]] = []
@@ -156,7 +164,7 @@ class Encoder:
         for at, text in enumerate(texts):
             if not text:
                 continue
-            if not self.cut or (self.cut.takes and not regular(text)):
+            if not self.cut or self._special(text) or (self.cut.takes and not regular(text)):
                 out[at] = self._library([text])[0]
                 continue
             some.append((at, text.encode()))

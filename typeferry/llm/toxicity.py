@@ -35,16 +35,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import begin, checkpointed, ship
+from typeferry.llm.common import PLACES, begin, checkpointed, ship, thinned
 from typeferry.llm.sums import PARTS, parts_of, summed
 from typeferry.llm.words import Terms, Words, word_batches
 
 TOXIC, CLEAN, TRAIN = 4_000, 8_000, 12_000
-CANDIDATES, VOTERS, FEATURES = 50_000, 160, 800
+VOTERS, FEATURES = 160, 800
+SUPPORT = 4  # toxic texts that a mined signal is in, at the least
 LENGTHS = (None, 3, 4, 5, 6, 7)  # whole words, and their first bytes
 LEVELS = np.array([1, 2, 4])  # how often a thing must be there; in a signal's last two bits
 STRONG = 0.5  # correlation from which two voters count as saying one thing
-PLACES = 1 << 52
 
 # Words and pairs of words that are insults or threats wherever they stand.
 LEXICON = (
@@ -179,78 +179,77 @@ def _share(bound: int, size: int, place: str = "place") -> Column:
 
 @dataclass(frozen=True)
 class Mined:
-    """Signals of labelled texts, and in how many of each kind they are."""
-
-    hashes: np.ndarray
-    in_toxic: np.ndarray
-    in_clean: np.ndarray
-    n_toxic: float
-    n_clean: float
-
-    @property
-    def rates(self) -> tuple[np.ndarray, np.ndarray]:
-        return (
-            (self.in_toxic + 0.5) / (self.n_toxic + 1),
-            (self.in_clean + 0.5) / (self.n_clean + 1),
-        )
+    """Signals of labelled texts (``h``), and in how many of each kind they are (``toxic``,
+    ``clean``)."""
+
+    found: DataFrame
+    n_toxic: int
+    n_clean: int
 
-    def strongest(self, most: int, lift: float, least: float) -> np.ndarray:
+    def strongest(self, most: int, lift: float, least: float) -> tuple[np.ndarray, ...]:
         """The signals that tell most, by the likelihood ratio of being in toxic and in clean
         texts at different rates and at one: those with a ratio statistic of ``least`` and a
-        rate ``lift`` times that in clean texts."""
-        toxic, clean = self.rates
-        both = (self.in_toxic + self.in_clean) / max(self.n_toxic + self.n_clean, 1)
-        total = np.zeros(len(both))
-        for found, n in ((self.in_toxic, self.n_toxic), (self.in_clean, self.n_clean)):
+        rate ``lift`` times that in clean texts. Their hashes, and their rates in either kind.
+
+        All signals are weighed; only the strongest come to the driver."""
+        toxic, clean = F.col("toxic"), F.col("clean")
+        both = (toxic + clean) / max(self.n_toxic + self.n_clean, 1)
+        total = F.lit(0.0)
+        for found, n in ((toxic, self.n_toxic), (clean, self.n_clean)):
             for seen, share in ((found, both), (n - found, 1 - both)):
-                ratio = np.maximum(seen, 1e-12) / np.maximum(n * share, 1e-12)
-                total += np.where(seen > 0, 2 * seen * np.log(ratio), 0)
-        able = np.flatnonzero((toxic >= lift * clean) & (total >= least))
-        return able[np.argsort(-total[able], kind="stable")][:most]
+                ratio = seen / F.greatest(n * share, F.lit(1e-12))
+                total = total + F.when(seen > 0, 2 * seen * F.log(ratio)).otherwise(0.0)
+        in_toxic, in_clean = (toxic + 0.5) / (self.n_toxic + 1), (clean + 0.5) / (self.n_clean + 1)
+        got = (
+            self.found.select("h", in_toxic.alias("a"), in_clean.alias("b"), total.alias("total"))
+            .where((F.col("a") >= lift * F.col("b")) & (F.col("total") >= least))
+            .orderBy(F.desc("total"), "h")
+            .limit(most)
+            .toArrow()
+        )
+        hashes = got["h"].to_numpy().astype(np.int64).view(np.uint64)
+        return hashes, got["a"].to_numpy(), got["b"].to_numpy()
 
 
 def mine(rows: DataFrame, known: DataFrame) -> Mined:
     """What a bounded sample of labelled texts have in them."""
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    place = F.pmod(F.xxhash64("own"), F.lit(PLACES)).alias("own_place")
-    lots = known.select("own", "toxic", place).where(
+    own_place = F.pmod(F.xxhash64("own"), F.lit(PLACES)).alias("own_place")
+    lots = known.select("own", "toxic", own_place).where(
         ((F.col("toxic") == 1) & _share(TOXIC, sizes.get(1, 0), "own_place"))
         | ((F.col("toxic") == 0) & _share(CLEAN, sizes.get(0, 0), "own_place"))
     )
     # The lots are bounded; the texts of others are not shuffled.
     drawn = rows.join(F.broadcast(lots), F.col("doc_id") == F.col("own"))
-    drawn = checkpointed(drawn.select("text", "toxic").repartition(16))
-    toxic, clean = (drawn.where(F.col("toxic") == k).select("text") for k in (1, 0))
+    drawn = thinned(drawn.select("text", F.col("toxic").cast("long")), TOXIC + CLEAN)
+    drawn = checkpointed(drawn.repartition(16))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The signals of some texts at a time, each with its number of texts."""
         begin("toxicity")
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = all_signals(text).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(own)], names=["h"])
-
-    common = (
-        toxic.mapInArrow(spread, "h long").groupBy("h").count().where("count >= 4")
-        .orderBy(F.desc("count"), "h").limit(CANDIDATES)
-    )
-    got = common.toArrow()
-    hashes = got["h"].to_numpy().astype(np.int64).view(np.uint64)
-    terms = Signals(hashes)
-    in_toxic = np.zeros(len(hashes))
-    in_toxic[np.searchsorted(terms.hashes, hashes)] = got["count"].to_numpy()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("toxicity")
-        total = np.zeros(len(terms) + 1)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            total[-1] += len(texts)
-            for at in range(0, len(texts), 64):
-                total[:-1] += presence(texts[at : at + 64], terms).sum(0)
-        yield parts_of(total)
-
-    found = summed(clean.mapInArrow(count, PARTS), len(terms) + 1)
-    return Mined(terms.hashes, in_toxic, found[:-1], float(toxic.count()), float(found[-1]))
+            for at in range(0, batch.num_rows, 256):
+                kinds = batch.column(1).slice(at, 256).to_pylist()
+                texts = batch.column(0).slice(at, 256).to_pylist()
+                for kind in (0, 1):
+                    own = [all_signals(t) for t, k in zip(texts, kinds) if k == kind]
+                    if own:
+                        hashes, n = np.unique(np.concatenate(own), return_counts=True)
+                        none = np.zeros(len(n), np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(hashes.view(np.int64)),
+                             *map(pa.array, (none, n) if kind else (n, none))],
+                            names=["h", "clean", "toxic"],
+                        )
+
+    found = (
+        drawn.mapInArrow(spread, "h long, clean long, toxic long")
+        .groupBy("h")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .where(F.col("toxic") >= SUPPORT)
+    )
+    n = {r["toxic"]: r["count"] for r in drawn.groupBy("toxic").count().collect()}
+    return Mined(checkpointed(found), n.get(1, 0), n.get(0, 0))
 
 
 def pack_votes(votes: np.ndarray) -> pa.Array:
@@ -264,24 +263,28 @@ def unpack_votes(raw: pa.Array, n: int) -> np.ndarray:
     return np.unpackbits(rows, axis=1, count=n).astype(float)
 
 
+def text_hash() -> Column:
+    return F.xxhash64("text").alias("text_hash")
+
+
 def cast_votes(rows: DataFrame, known: DataFrame, voters: Signals) -> DataFrame:
-    """``doc_id``, ``place``, ``votes`` (a bit for each voter) and ``toxic``, null where it is
-    not known, of all usable rows. Votes, not texts, are joined with the labels."""
+    """``doc_id``, ``place``, ``text_hash``, ``votes`` (a bit for each voter) and ``toxic``, null
+    where it is not known, of all usable rows. Votes, not texts, are joined with the labels."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("toxicity")
         for batch in batches:
-            texts, votes = batch.column(2).to_pylist(), []
+            texts, votes = batch.column(3).to_pylist(), []
             for at in range(0, len(texts), 256):
                 votes.append(pack_votes(presence(texts[at : at + 256], voters)))
             if votes:
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:2], pa.concat_arrays(votes)],
-                    names=["doc_id", "place", "votes"],
+                    [*batch.columns[:3], pa.concat_arrays(votes)],
+                    names=["doc_id", "place", "text_hash", "votes"],
                 )
 
-    cast = rows.select("doc_id", "place", "text").mapInArrow(
-        vote, "doc_id long, place long, votes binary"
+    cast = rows.select("doc_id", "place", text_hash(), "text").mapInArrow(
+        vote, "doc_id long, place long, text_hash long, votes binary"
     )
     return cast.join(known, F.col("doc_id") == F.col("own"), "left").drop("own")
 
@@ -352,10 +355,18 @@ def fit_scorer(
     chosen = votes.where(
         ((F.col("votes") != some) & _share(bound, n_yes))
         | ((F.col("votes") == some) & _share(bound, n_no))
-    ).select(F.col("doc_id").alias("own"), "votes", F.col("toxic").alias("known"))
-    sample = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("own")).select(
-        "votes", "text", "known"
-    )
+    ).select(
+        F.col("doc_id").alias("own"), F.col("text_hash").alias("own_text"), "votes",
+        F.col("toxic").alias("known"),
+    )
+    # Rows of one id and text are one line here, and each row meets its own: where ids are
+    # repeated the lines are no more than the distinct rows, and the sample is thinned.
+    lines = checkpointed(chosen.distinct())
+    if lines.count() <= 4 * TRAIN:
+        lines = F.broadcast(lines)
+    same = (F.col("doc_id") == F.col("own")) & (F.col("text_hash") == F.col("own_text"))
+    met = rows.select("doc_id", text_hash(), "text").join(lines, same)
+    sample = thinned(met.select("votes", "text", "known"), TRAIN)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("toxicity")
@@ -402,16 +413,16 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[Scorer, L
     """A scorer, and the label model it was taught by, from the rows where ``usable`` holds."""
     rows, known = usable_rows(docs, usable), checkpointed(known_labels(labels))
     mined = mine(rows, known)
-    best, (toxic, clean) = mined.strongest(VOTERS, lift=6.0, least=20.0), mined.rates
-    start = {int(h): (a, b) for h, a, b in zip(mined.hashes[best], toxic[best], clean[best])}
+    best = mined.strongest(VOTERS, lift=6.0, least=20.0)
+    start = {int(h): (a, b) for h, a, b in zip(*best)}
     for h in fixed_voters().tolist():
         start.setdefault(h, (0.05, 0.001))
     voters = Signals(np.array(list(start), np.uint64))
     rates = np.array([start[int(h)] for h in voters.hashes])
     votes = checkpointed(cast_votes(rows, known, voters))
     model = fit_labels(votes, len(voters), rates[:, 0], rates[:, 1])
-    wider = mined.strongest(FEATURES, lift=3.0, least=12.0)
-    terms = Signals(np.concatenate([mined.hashes[wider], voters.hashes]))
+    wider, _, _ = mined.strongest(FEATURES, lift=3.0, least=12.0)
+    terms = Signals(np.concatenate([wider, voters.hashes]))
     return fit_scorer(rows, votes, voters, model, terms), model
 
 

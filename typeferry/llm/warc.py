@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import ship
+from typeferry.llm.common import PLACES, place, ship, thinned
 from typeferry.llm.files import NewFile, read_file
 
 # Fixed values of the formats.
@@ -46,7 +46,6 @@ FIELDS = (
     "payload_digest string"
 )
 FEED = 1 << 14
-PLACES = 1 << 52  # of an id's hash
 
 
 class WarcError(ValueError):
@@ -182,15 +181,18 @@ def parse(raw: bytes, what: str) -> tuple[dict, bytes | None]:
 
 def train(pages: DataFrame, rows: int = 2_000, sample_bytes: int = 8 << 20, size: int = 64 << 10) -> bytes:
     """A compression dictionary from ``rows`` pages in expectation, by the hash of their id,
-    and of each no more than its share of ``sample_bytes``. Empty if they are few."""
+    and of each no more than its share of ``sample_bytes``. Where they are too few to train one,
+    it is their own text; empty only if all are."""
     upto = int(PLACES * min(1.0, rows / max(pages.count(), 1)))
-    low = pages.where(F.pmod(F.xxhash64("page_id"), F.lit(PLACES)) < upto).select(
+    low = thinned(pages.where(place(F.col("page_id")) < upto), rows).select(
         F.substring(F.col("html").cast("string"), 1, sample_bytes // rows).alias("html")
     )
     samples = sorted(r["html"].encode() for r in low.where("html <> ''").collect())
-    if len(samples) < 100:
-        return b""
-    return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 10), samples).as_bytes()
+    try:
+        wanted = min(size, sum(map(len, samples)) // 10)
+        return zstandard.train_dictionary(wanted, samples).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(samples)[-size:]
 
 
 def with_responses(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
