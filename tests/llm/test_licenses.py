@@ -65,10 +65,11 @@ def test_each_rule_has_a_sentence_with_a_cue():
     ids = {}
     for sentence, name in licenses.known_sentences().items():
         ids.setdefault(name, []).append(sentence)
-    assert all(s in ids for r in licenses.rules() for s in r.sentences + r.unless)
+    patterns = set(licenses.PATTERNS)
+    assert all(s in patterns or s in ids for r in licenses.rules() for s in r.sentences + r.unless)
     for rule in licenses.rules():
         assert any(
-            all(any(cue in sentence for cue in licenses.CUES) for sentence in ids[name])
+            all(any(cue in x for cue in licenses.CUES) for x in ids.get(name, [licenses.PATTERNS.get(name, "")]))
             for name in rule.sentences
         )
 
@@ -82,7 +83,9 @@ def test_no_python_in_the_plan(spark):
 def test_each_rule_finds_its_own_text(spark):
     """The texts as the table has them, in order: one after another, and wrapped."""
     rows, expected = [], set()
-    tables = [(r.name, [licenses.SENTENCES[x] for x in r.sentences]) for r in licenses.TEXT_RULES]
+    own = licenses.SENTENCES
+    by_table = [r for r in licenses.TEXT_RULES if all(x in own for x in r.sentences)]
+    tables = [(r.name, [own[x] for x in r.sentences]) for r in by_table]
     for spdx, names in licenses.NAMES.items():
         tables += [(f"notice-{spdx}".lower(), [f"{licenses.OPENINGS[0]} under the {n}."]) for n in names]
         tables.append((f"tag-{spdx}".lower(), [f"SPDX-License-Identifier: {spdx}"]))
@@ -92,11 +95,107 @@ def test_each_rule_finds_its_own_text(spark):
         for form in forms:
             expected.add((len(rows), rule))
             rows.append((len(rows), form))
-    assert {r.name for r in licenses.rules()} == {rule for rule, _ in tables}
+    for spdx, written in licenses.TAGS.items():
+        tables += [(f"tag-{spdx}".lower(), [f"SPDX-License-Identifier: {x}"]) for x in written]
+    by_pattern = {r.name for r in licenses.TEXT_RULES} - {r.name for r in by_table}
+    assert {r.name for r in licenses.rules()} == {rule for rule, _ in tables} | by_pattern
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r.doc_id, r.rule) for r in licenses.scan(docs).collect()} >= expected
 
 
+# Headers as they stand in files, and what they are: written by hand, not from the table.
+MIT_TEXT = """Copyright (c) 2020 Jo Doe
+Copyright (c) 2021-2022 The Widget Authors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+BSD_TEXT = """Copyright 2019 Acme, Inc.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{third}
+THIS SOFTWARE IS PROVIDED."""
+ACME = """3. Neither the name of Acme, Inc. nor the names of its contributors may be used
+   to endorse or promote products derived from this software without specific
+   prior written permission.
+"""
+AUTHOR = """3. The name of the author may not be used to endorse or promote products derived
+   from this software without specific prior written permission.
+"""
+GNU = """{name} is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU {kind}General Public License as published by
+the Free Software Foundation{comma} either version {version} of the License, or
+(at your option) any later version.
+
+{name} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def gnu(name, kind, version, mark=":"):
+    return GNU.format(name=name, kind=kind, version=version, mark=mark, comma=";" if mark == ";" else ",")
+
+
+HEADERS = [
+    (MIT_TEXT, {"MIT"}),
+    (BSD_TEXT.format(third=""), {"BSD-2-Clause"}),
+    (BSD_TEXT.format(third=ACME), {"BSD-3-Clause"}),
+    (BSD_TEXT.format(third=AUTHOR), {"BSD-3-Clause"}),
+    (gnu("This program", "", "2", ";"), {"GPL-2.0-or-later"}),
+    (gnu("This program", "", "3"), {"GPL-3.0-or-later"}),
+    (gnu("Widget", "", "3"), {"GPL-3.0-or-later"}),
+    (gnu("This library", "Lesser ", "2.1", ";"), {"LGPL-2.1-or-later"}),
+    (gnu("This library", "Lesser ", "3"), {"LGPL-3.0-or-later"}),
+    (gnu("This program", "Affero ", "3"), {"AGPL-3.0-or-later"}),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy",
+     {"MPL-2.0"}),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", {"GPL-3.0-or-later"}),
+    ("SPDX-License-Identifier: GPL-2.0+", {"GPL-2.0-or-later"}),
+    ("SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note", {"GPL-2.0-only"}),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", {"MIT", "Apache-2.0"}),
+    ("SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR ISC", {"MIT", "BSD-3-Clause", "ISC"}),
+]
+COMMENTS = {
+    "plain": str,
+    "block": lambda t: "/*\n" + "".join(f" * {x}".rstrip() + "\n" for x in t.split("\n")) + " */\nint x;",
+    "hash": lambda t: "#!/bin/sh\n" + "".join(f"# {x}".rstrip() + "\n" for x in t.split("\n")) + "exit",
+    "slashes": lambda t: "".join(f"// {x}".rstrip() + "\n" for x in t.split("\n")) + "\nvar x",
+    "dashes": lambda t: "".join(f"-- {x}".rstrip() + "\n" for x in t.split("\n")) + "\nselect 1",
+    "html": lambda t: f"<!--\n{t}\n-->\n<p>",
+}
+
+
+def test_headers_in_comments(spark, tmp_path):
+    cases = [(text, style, found) for text, found in HEADERS for style in COMMENTS]
+    rows = [(i, COMMENTS[style](text)) for i, (text, style, _) in enumerate(cases)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = licenses.scan(docs).collect()
+    for i, (text, style, expected) in enumerate(cases):
+        assert {r.license for r in got if r.doc_id == i} == expected, (style, text)
+    docs.write.parquet(str(tmp_path / "d"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, duck.execute(licenses.oracle()).fetchall()))
+
+
 def test_gpl_3_and_mpl_in_sql_too(spark, tmp_path):
     names = ("gpl3-later", "gpl-warranty", "mpl-header")
     texts = [" ".join(licenses.SENTENCES[n] for n in names), licenses.SENTENCES["mpl-header"]]

@@ -5,6 +5,11 @@ known become identifiers. The identifiers of a text, in order, are then matched
 a license is found where all identifiers of one of its rules come in the rule's order, other
 sentences between them or not, and none of those that would make it another license.
 
+First what stands around a license is put aside: the marks of comments before lines (so that
+a line with nothing else is empty), copyright lines, which end where they end, and SPDX
+expressions, of which each identifier gets a tag of its own. Sentences that name a holder or a
+program are known by a pattern with room for the name.
+
 Texts are read twice: by lines, each line a sentence or several; and as running text, where a
 single line break is a space, for licenses that are wrapped. Texts without any of the ``CUES``
 are passed over: every rule has a sentence with one (a test holds the table to that).
@@ -71,6 +76,19 @@ NAMES = {
         "Creative Commons Attribution-NoDerivatives 4.0 International License",
     ),
 }
+# Identifiers that stand in tags alone, by what they are written as.
+TAGS = {
+    "GPL-2.0-only": ("GPL-2.0",),
+    "GPL-3.0-only": ("GPL-3.0",),
+    "LGPL-3.0-only": ("LGPL-3.0",),
+    "AGPL-3.0-only": ("AGPL-3.0",),
+    "GPL-2.0-or-later": ("GPL-2.0-or-later", "GPL-2.0+"),
+    "GPL-3.0-or-later": ("GPL-3.0-or-later", "GPL-3.0+"),
+    "LGPL-2.1-only": ("LGPL-2.1-only", "LGPL-2.1"),
+    "LGPL-2.1-or-later": ("LGPL-2.1-or-later", "LGPL-2.1+"),
+    "LGPL-3.0-or-later": ("LGPL-3.0-or-later", "LGPL-3.0+"),
+    "AGPL-3.0-or-later": ("AGPL-3.0-or-later", "AGPL-3.0+"),
+}
 OPENINGS = (
     "Licensed", "Released", "Distributed", "Published", "This work is licensed",
     "This work is released", "This project is licensed", "This software is licensed",
@@ -167,6 +185,33 @@ SENTENCES = {
 }
 
 
+# Normalised sentences with a name in them, as patterns; room for one is ``[a-z0-9 ]{1,120}``.
+_FREE = ("^([a-z0-9 ]{1,120} is free software )?you can redistribute it and or modify it under the "
+         "terms of the gnu %sgeneral public license as published by the free software foundation "
+         "either version %s of the license or at your option any later version$")
+PATTERNS = {
+    "bsd-endorsement": (
+        "^neither the names? of [a-z0-9 ]{1,120} n?or the names of (its|their|any|the) contributors "
+        "may be used to endorse or promote products derived from this software without "
+        "(specific )?(prior )?written permission$"
+    ),
+    "bsd-endorsement-not": (
+        "^the names? of [a-z0-9 ]{1,120} may not be used to endorse or promote products derived "
+        "from this software without (specific )?(prior )?written permission$"
+    ),
+    "gpl-warranty": (
+        "^[a-z0-9 ]{1,120} is distributed in the hope that it will be useful but without any "
+        "warranty without even the implied warranty of merchantability or fitness for a "
+        "particular purpose$"
+    ),
+    "gpl2-free": _FREE % ("", "2"),
+    "gpl3-free": _FREE % ("", "3"),
+    "lgpl21-free": _FREE % ("lesser ", "2 1"),
+    "lgpl3-free": _FREE % ("lesser ", "3"),
+    "agpl3-free": _FREE % ("affero ", "3"),
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     """``license`` where the sentences come in this order, and none of ``unless`` at all."""
@@ -181,11 +226,19 @@ TEXT_RULES = (
     Rule("mit-text", "MIT", ("mit-grant", "mit-notice", "mit-warranty")),
     Rule("apache-header", "Apache-2.0", ("apache-header", "apache-warranty")),
     Rule("apache-opening", "Apache-2.0", ("apache-header",), ("apache-warranty",)),
-    Rule("bsd-2-text", "BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary"), ("bsd-endorsement",)),
+    Rule("bsd-2-text", "BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary"),
+         ("bsd-endorsement", "bsd-endorsement-not")),
+    Rule("bsd-3-author", "BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorsement-not")),
     Rule("bsd-3-text", "BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorsement")),
     Rule("isc-text", "ISC", ("isc-grant", "isc-warranty")),
     Rule("gpl-2-header", "GPL-2.0-or-later", ("gpl2-later", "gpl-warranty")),
     Rule("gpl-3-header", "GPL-3.0-or-later", ("gpl3-later", "gpl-warranty")),
+    Rule("gpl-2-program", "GPL-2.0-or-later", ("gpl2-free", "gpl-warranty")),
+    Rule("gpl-3-program", "GPL-3.0-or-later", ("gpl3-free", "gpl-warranty")),
+    Rule("gpl-3-named", "GPL-3.0-or-later", ("gpl3-later-2", "gpl-warranty"), ("gpl3-later-1",)),
+    Rule("lgpl-2-1-header", "LGPL-2.1-or-later", ("lgpl21-free", "gpl-warranty")),
+    Rule("lgpl-3-header", "LGPL-3.0-or-later", ("lgpl3-free", "gpl-warranty")),
+    Rule("agpl-3-header", "AGPL-3.0-or-later", ("agpl3-free", "gpl-warranty")),
     Rule("mpl-header", "MPL-2.0", ("mpl-header",)),
     Rule("unlicense-text", "Unlicense", ("unlicense-domain", "unlicense-grant")),
     Rule("reserved", "LicenseRef-all-rights-reserved", ("reserved",)),
@@ -199,6 +252,23 @@ SPACE = "[ \\t\\r\\n\\f]"
 SENTENCE_END = f"([.!?:]){SPACE}+"
 BLANK_LINE = f"\\n{SPACE}*\\n"
 
+# What is put aside first, in this order: pattern and what takes its place. \\1 is the first group.
+COMMENT_MARK = "(^|\\n)[ \\t]*(/\\*+|\\*+/|\\*+|#+|//+|--+|;+|<!--+|-->)[ \\t]*"
+COPYRIGHT = ("(^|\\n)([ \\t]*([Cc]opyright|COPYRIGHT)[ \\t]+([(][Cc][)]|©|[0-9]{4}|by[ \\t])[^\\n]*"
+             "|[ \\t]*([(][Cc][)][ \\t]|©)[^\\n]*)\\n")
+TAG = "SPDX-License-Identifier:"
+PREPARED = (
+    ("^#![^\\n]*", ""),
+    (COMMENT_MARK, "\\1"),
+    (COPYRIGHT, "\\1\\2\n\n"),  # twice: of two such lines the first takes the line break
+    (COPYRIGHT, "\\1\\2\n\n"),
+    (f"({TAG}[^\\n]*)[ \\t]+WITH[ \\t]+[A-Za-z0-9.-]+", "\\1"),
+    *[(f"({TAG}[^\\n]*)[ \\t]+(OR|AND)[ \\t]+", f"\\1\n\n{TAG} ")] * 3,
+    ("([0-9])[+]", "\\1 or later"),
+    # A point that ends no sentence.
+    ("([ ,](Inc|Ltd|Co|Corp|Jr|Dr))[.]", "\\1"),
+)
+
 
 def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
@@ -212,6 +282,11 @@ def parts(name: str) -> dict[str, str]:
     return {f"{name}-{i}": normal(part) for i, part in enumerate(cut, 1)}
 
 
+def identifiers(name: str) -> list[str]:
+    """What a sentence of a rule is known as: its parts, or its pattern."""
+    return list(parts(name)) if name in SENTENCES else [name]
+
+
 def known_sentences() -> dict[str, str]:
     """Identifiers by normalised sentence: of texts, notices, and of tags and what follows them."""
     out = {text: part for name in SENTENCES for part, text in parts(name).items()}
@@ -221,6 +296,9 @@ def known_sentences() -> dict[str, str]:
                 for article in (" the", ""):
                     out.setdefault(normal(f"{opening} under{article} {name}"), f"notice-{spdx}")
         out.setdefault(normal(spdx), f"spdx-{spdx}")
+    for spdx, written in TAGS.items():
+        for form in written:
+            out.setdefault(normal(form.replace("+", " or later")), f"spdx-{spdx}")
     out[normal("SPDX-License-Identifier")] = "spdx"
     return out
 
@@ -233,16 +311,24 @@ def rules() -> tuple[Rule, ...]:
     texts = (
         replace(
             rule,
-            sentences=tuple(part for name in rule.sentences for part in parts(name)),
-            unless=tuple(part for name in rule.unless for part in parts(name)),
+            sentences=tuple(part for name in rule.sentences for part in identifiers(name)),
+            unless=tuple(part for name in rule.unless for part in identifiers(name)),
         )
         for rule in TEXT_RULES
     )
     notices = (Rule(f"notice-{spdx}".lower(), spdx, (f"notice-{spdx}",)) for spdx in NAMES)
-    tags = (Rule(f"tag-{spdx}".lower(), spdx, ("spdx", f"spdx-{spdx}")) for spdx in NAMES)
+    tagged = dict.fromkeys((*NAMES, *TAGS))
+    tags = (Rule(f"tag-{spdx}".lower(), spdx, ("spdx", f"spdx-{spdx}")) for spdx in tagged)
     return (*texts, *notices, *tags)
 
 
+def prepared(text: Column) -> Column:
+    """A text without what stands around its licenses."""
+    for pattern, instead in PREPARED:
+        text = F.regexp_replace(text, pattern, instead.replace("\\", "$"))
+    return text
+
+
 def readings(text: Column) -> tuple[Column, Column]:
     """The sentences by lines, and those of the running text."""
     lines = F.regexp_replace(text, SENTENCE_END, "$1\n")
@@ -257,7 +343,12 @@ def identified(sentences: Column) -> Column:
 
     def look(sentence: Column, place: Column) -> Column:
         words = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
-        return F.struct(place.alias("place"), F.try_element_at(table, words).alias("id"))
+        by_pattern = F.lit(None).cast("string")
+        for name, pattern in reversed(PATTERNS.items()):
+            by_pattern = F.when(words.rlike(pattern), name).otherwise(by_pattern)
+        long = F.contains(words, F.lit("software")) | F.contains(words, F.lit("distributed"))
+        known = F.coalesce(F.try_element_at(table, words), F.when(long, by_pattern))
+        return F.struct(place.alias("place"), known.alias("id"))
 
     return F.filter(F.transform(sentences, look), lambda x: x["id"].isNotNull())
 
@@ -289,6 +380,7 @@ def scan(docs: DataFrame) -> DataFrame:
     for word in CUES[1:]:
         cue = cue | F.contains(lower, F.lit(word))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(cue)
+    rows = rows.select("doc_id", prepared(F.col("text")).alias("text"))
     lines, flow = readings(F.col("text"))
     rows = rows.select("doc_id", identified(lines).alias("lines"), identified(flow).alias("flow"))
     rows = rows.where((F.size("lines") > 0) | (F.size("flow") > 0)).select(
@@ -334,9 +426,14 @@ def oracle() -> str:
         )
     cues = " OR ".join(f"contains(lower(text), '{cue}')" for cue in CUES)
     end, blank = SENTENCE_END, BLANK_LINE
+    text = "text"
+    for pattern_, instead in PREPARED:
+        instead = " || ".join(f"'{x}'" for x in instead.split("\n")).replace("||", "|| chr(10) ||")
+        text = f"regexp_replace({text}, '{pattern_}', {instead}, 'g')"
+    by_pattern = " ".join(f"WHEN regexp_matches(words, '{p}') THEN '{n}'" for n, p in PATTERNS.items())
     return f"""
     WITH known(sentence, id) AS (VALUES {known}),
-    cued AS (SELECT row_number() OVER () AS doc, doc_id, text FROM documents WHERE {cues}),
+    cued AS (SELECT row_number() OVER () AS doc, doc_id, {text} AS text FROM documents WHERE {cues}),
     cut AS (
         SELECT doc, 'lines' AS reading,
             string_split(regexp_replace(text, '{end}', '\\1' || chr(10), 'g'), chr(10)) AS parts
@@ -349,12 +446,18 @@ def oracle() -> str:
     sentences AS (
         SELECT doc, reading, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM cut
     ),
+    worded AS (
+        SELECT doc, reading, place, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS words
+        FROM sentences
+    ),
+    named AS (
+        SELECT doc, reading, place, coalesce(id, CASE {by_pattern} END) AS id
+        FROM worded LEFT JOIN known ON sentence = words
+    ),
     found AS (
         SELECT doc, reading, count(*) AS n,
             string_agg('<' || id || '>', '' ORDER BY place) AS ids
-        FROM sentences JOIN known
-        ON sentence = trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g'))
-        GROUP BY doc, reading
+        FROM named WHERE id IS NOT NULL GROUP BY doc, reading
     ),
     sequences AS (
         SELECT doc, doc_id,
