@@ -41,7 +41,7 @@ from typeferry import (
     write_clustered,
     write_table,
 )
-from typeferry.operators.mapping import DESCRIPTOR
+from typeferry.operators.mapping import map_one
 from typeferry.operators.scratch import scratch_table
 
 TABLES = (
@@ -78,13 +78,13 @@ def as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def declared(spark: SparkSession, *columns: tuple) -> list[MappedColumn]:
+def declared(*columns: tuple) -> list[MappedColumn]:
     """Columns as a database would declare them: name, type and, for numerics, p and s."""
-    rows = [
-        ("public", "t", name, data_type, None, *(rest or (None, None)), "YES", 0, i)
-        for i, (name, data_type, *rest) in enumerate(columns, start=1)
-    ]
-    return mapped_columns(map_types(spark.createDataFrame(rows, DESCRIPTOR)))
+    found = []
+    for name, data_type, *rest in columns:
+        base, spark_type, status = map_one(data_type, None, *(rest or (None, None)))
+        found.append(MappedColumn(name, data_type, base, spark_type, True, status))
+    return found
 
 
 # -- discovery and mapping of the tables' own columns ----------------------------------
@@ -271,7 +271,6 @@ def map_unknown(spark, sf_dir):
 
 def lineitem_columns(spark: SparkSession) -> list[MappedColumn]:
     return declared(
-        spark,
         ("l_shipdate", "date"),
         ("l_orderkey", "int8"),
         ("l_linenumber", "smallint"),
@@ -291,7 +290,6 @@ def conform_lineitem(spark, sf_dir):
 
 def orders_columns(spark: SparkSession) -> list[MappedColumn]:
     return declared(
-        spark,
         ("o_orderkey", "text"),
         ("o_custkey", "integer"),
         ("o_totalprice", "numeric", 12, 2),
@@ -306,7 +304,6 @@ def conform_orders(spark, sf_dir):
 
 def events_columns(spark: SparkSession) -> list[MappedColumn]:
     return declared(
-        spark,
         ("event_id", "bigint"),
         ("ts", "timestamp with time zone"),
         ("value", "integer"),
@@ -321,13 +318,13 @@ def conform_events(spark, sf_dir):
 
 def conform_documents(spark, sf_dir):
     columns = declared(
-        spark, ("doc_id", "integer"), ("text", "text"), ("lang", "name"), ("n_chars", "numeric", 9, 0)
+        ("doc_id", "integer"), ("text", "text"), ("lang", "name"), ("n_chars", "numeric", 9, 0)
     )
     return as_text(conform(read(spark, sf_dir, "documents"), columns))
 
 
 def embeddings_columns(spark: SparkSession) -> list[MappedColumn]:
-    return declared(spark, ("vec_id", "bigint"), ("embedding", "double precision[]"))
+    return declared(("vec_id", "bigint"), ("embedding", "double precision[]"))
 
 
 def conform_embeddings(spark, sf_dir):
@@ -343,17 +340,16 @@ def conform_money(spark, sf_dir):
         F.when(balance < 0, "-").otherwise(""), F.lit("$"), F.format_number(F.abs(balance), 2)
     )
     accounts = read(spark, sf_dir, "customer").select("c_custkey", text.alias("c_acctbal"))
-    return conform(accounts, declared(spark, ("c_custkey", "int8"), ("c_acctbal", "money")))
+    return conform(accounts, declared(("c_custkey", "int8"), ("c_acctbal", "money")))
 
 
 def conform_time(spark, sf_dir):
-    columns = declared(spark, ("event_id", "int8"), ("ts", "time without time zone"))
+    columns = declared(("event_id", "int8"), ("ts", "time without time zone"))
     return conform(read(spark, sf_dir, "events"), columns)
 
 
 def narrow_columns(spark: SparkSession) -> list[MappedColumn]:
     return declared(
-        spark,
         ("l_orderkey", "bigint"),
         ("l_linenumber", "integer"),
         ("l_extendedprice", "numeric", 6, 2),
@@ -375,7 +371,6 @@ def lost_lineitem(spark, sf_dir):
 
 def altered_lineitem(spark, sf_dir):
     columns = declared(
-        spark,
         ("l_orderkey", "bigint"),
         ("l_quantity", "smallint"),
         ("l_extendedprice", "numeric", 10, 1),
@@ -388,7 +383,7 @@ def altered_lineitem(spark, sf_dir):
 
 def altered_events(spark, sf_dir):
     columns = declared(
-        spark, ("event_id", "double precision"), ("ts", "date"), ("value", "integer")
+        ("event_id", "double precision"), ("ts", "date"), ("value", "integer")
     )
     return column_checks(read(spark, sf_dir, "events"), columns)
 
@@ -772,7 +767,7 @@ def reconcile_orders(spark, sf_dir):
     write_table(orders, target)
     columns = [
         c._replace(nullable=False)
-        for c in declared(spark, ("o_orderkey", "bigint"), ("o_custkey", "bigint"))
+        for c in declared(("o_orderkey", "bigint"), ("o_custkey", "bigint"))
     ]
     return reconcile(row_count(orders), spark.table(target), columns)
 
