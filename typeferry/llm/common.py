@@ -90,7 +90,8 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once, its lineage cut; Spark's cleaner removes the files."""
+    """``df`` computed once, its lineage cut. Spark's cleaner removes the files in a session with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``; else they stay in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 

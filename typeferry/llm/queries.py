@@ -149,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_multiindex": multiindex.oracle(),
+    "op5_warc": warc.oracle(),
     "op6_licenses": licenses.oracle(),
     "op11_codes": codes.oracle(),
     "op12_divergence": divergence.oracle(),

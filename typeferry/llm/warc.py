@@ -296,3 +296,20 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
     files = archives(spark, folder).select("file", "records")
     files = files.repartition(max(1, min(files.count(), 100_000)))
     return files.mapInArrow(read, FIELDS + ", payload binary" * with_payload)
+
+
+def oracle() -> str:
+    """What the archives say of ``pages`` in DuckDB's SQL: base 32 is put together by bits."""
+    nibble = "strpos('0123456789abcdef', substr(sha, (5 * i + j) // 4 + 1, 1)) - 1"
+    five = f"list_sum([((({nibble}) >> (3 - (5 * i + j) % 4)) & 1) << (4 - j) for j in range(5)])"
+    return f"""with p as (select page_id, coalesce(html, '') as payload from pages),
+    d as (select *, octet_length(encode(payload)) as size, sha1(payload) as sha,
+        min(page_id) over (partition by payload) as first from p),
+    r as (select *, page_id is null or page_id > first as later from d)
+    select page_id, size::bigint as payload_bytes,
+        array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ({five})::int, 1)
+            for i in range(32)], '') as payload_digest,
+        case when coalesce(later and first is not null, false) then 'revisit' else 'response' end
+            as record_type,
+        case when later then first end as refers_to
+    from r"""
