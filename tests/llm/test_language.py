@@ -1,3 +1,7 @@
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +128,66 @@ def test_sparse_likelihoods_are_the_plain_ones(model, monkeypatch):
             assert (sparse[:, np.array([2, 0])] == plain[:, [2, 0]]).all()
             got = fitted.mixture(r.text)
         assert got["lang"] == expected["lang"] and abs(got["share"] - expected["share"]) < 1e-6
+
+
+def plain_fit(table, counts, rounds=40):
+    """Shares of the rows' likelihoods (a list for each trigram) that make the counts likeliest."""
+    k, total = len(table[0]), sum(counts)
+    shares = [1 / k] * k
+    for _ in range(rounds if k > 1 else 0):
+        sums = [0.0] * k
+        for likelihood, n in zip(table, counts):
+            mixed = sum(s * x for s, x in zip(shares, likelihood))
+            for i in range(k):
+                sums[i] += n * likelihood[i] / mixed
+        new = [s * x / total for s, x in zip(shares, sums)]
+        done = max(abs(a - b) for a, b in zip(new, shares)) < 1e-3
+        shares = new
+        if done:
+            break
+    reached = sum(n * math.log(sum(s * x for s, x in zip(shares, li))) for li, n in zip(table, counts))
+    return shares, reached
+
+
+def plain_query(rows, penalty=6.0, smoothing=0.3):
+    """Language and score of every row (doc_id, text, lang), by dictionaries."""
+    held = {r[0]: zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows}
+    seen = {}
+    for doc_id, text, lang in rows:
+        if not held[doc_id] and lang is not None:
+            seen.setdefault(lang, Counter()).update(plain_trigrams(text))
+    names = sorted(seen)
+    sums = [sum(seen[n].values()) + smoothing * language.BUCKETS for n in names]
+    out = {}
+    for doc_id, text, _ in rows:
+        found = Counter(plain_trigrams(text))
+        if not found:
+            out[doc_id] = ("und", 0.0)
+            continue
+        counts = list(found.values())
+        table = [[*((seen[n][g] + smoothing) / s for n, s in zip(names, sums)), 1 / language.BUCKETS]
+                 for g in found]
+        shares, full = plain_fit(table, counts)
+        order = sorted(range(len(shares)), key=lambda i: -shares[i])
+        price = penalty * math.log1p(sum(counts))
+        best, chosen = -math.inf, shares
+        for k in range(1, len(order) + 1):
+            some, reached = plain_fit([[li[i] for i in order[:k]] for li in table], counts)
+            if reached - price * k > best:
+                best, chosen = reached - price * k, [0.0] * len(shares)
+                for i, s in zip(order[:k], some):
+                    chosen[i] = s
+        known = chosen[:-1] if any(chosen[:-1]) else shares[:-1]
+        top = max(range(len(names)), key=lambda i: known[i])
+        out[doc_id] = (names[top], chosen[top])
+    return out
+
+
+def test_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    expected = plain_query(rows)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op8_language(spark, folder).collect()}
+    assert got.keys() == expected.keys()
+    for doc_id, (lang, score) in expected.items():
+        assert got[doc_id][0] == lang and abs(got[doc_id][1] - score) < 1e-6

@@ -119,3 +119,59 @@ def test_learned_rows_are_the_usable_ones(spark):
     )
     a, b = (quality.learn(docs, t, usable) for t in (labels, flipped))
     assert np.allclose(a.weights, b.weights) and a.bias == pytest.approx(b.bias)
+
+
+def brute_scores(rows, odds):
+    """Every row's score from the log-odds of all texts: rows are (host, path)."""
+    good = [None if o is None else 1 / (1 + np.exp(-o)) for o in odds]
+    hosts, paths = {}, {}
+    for (host, path), g in zip(rows, good):
+        if g is not None:
+            for table, key in ((hosts, host), (paths, (host, path))):
+                n, s = table.get(key, (0, 0.0))
+                table[key] = n + 1, s + g
+    n = sum(c for c, _ in hosts.values())
+    rate = sum(s for _, s in hosts.values()) / n
+    chance = rate * (1 - rate)
+    between = sum(c * (s / c - rate) ** 2 for c, s in hosts.values()) - chance * (len(hosts) - 1)
+    between /= n - sum(c * c for c, _ in hosts.values()) / n
+    within = sum(c * (s / c - hosts[h][1] / hosts[h][0]) ** 2 for (h, _), (c, s) in paths.items())
+    within -= chance * (len(paths) - len(hosts))
+    within /= n - sum(c * c / hosts[h][0] for (h, _), (c, _) in paths.items())
+    host_prior, path_prior = (
+        np.clip(chance / x - 1, 1.0, 1e6) if x > 0 else 1e6 for x in (between, within)
+    )
+    out = []
+    for (host, path), o, g in zip(rows, odds, good):
+        own, one = (0.0, 0) if g is None else (g, 1)
+        c, s = hosts.get(host, (0, 0.0))
+        h = (s - own + host_prior * rate) / (c - one + host_prior)
+        c, s = paths.get((host, path), (0, 0.0))
+        p = (s - own + path_prior * h) / (c - one + path_prior)
+        if g is None:
+            out.append(0.0)
+            continue
+        p = np.clip(p, 1e-6, 1 - 1e-6)
+        out.append(1 / (1 + np.exp(-(o + np.log(p / (1 - p)) - np.log(rate / (1 - rate))))))
+    return out
+
+
+def test_query_against_brute_force(spark, monkeypatch):
+    """The whole query, with the classifier it has learned, over every row."""
+    kept, real = [], quality.learn
+
+    def learn(*args, **named):
+        kept.append(real(*args, **named))
+        return kept[0]
+
+    monkeypatch.setattr(quality, "learn", learn)
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in op10_quality(spark, folder).collect()}
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    texts = [r.text if r.text and r.text.strip() else None for r in rows]
+    odds = [None if t is None else float(kept[0].log_odds([t])[0]) for t in texts]
+    expected = brute_scores([(r.source, r.lang) for r in rows], odds)
+    assert len(got) == len(rows)
+    for row, score in zip(rows, expected):
+        assert abs(got[row.doc_id].score - score) < 1e-9
+        assert got[row.doc_id].predicted == int(score >= quality.LEAST)

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +93,27 @@ def test_odd_rows(spark):
         assert len({r.s for r in found if r.doc_id in (1, 2)}) == 1
     scorer, _ = toxicity.learn(docs.limit(0), nothing, F.lit(True))
     assert 0 <= scorer.scores([None])[0] <= 1
+
+
+def test_query_against_brute_force(spark, monkeypatch):
+    """Every row's score from the signals of its whole text, with the classifier learned."""
+    kept, real = [], toxicity.learn
+
+    def learn(*args):
+        kept.append(real(*args))
+        return kept[0]
+
+    monkeypatch.setattr(toxicity, "learn", learn)
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in op3_toxicity(spark, folder).collect()}
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    scorer = kept[0][0]
+    weights = dict(zip(scorer.terms.hashes.tolist(), scorer.weights.tolist()))
+    assert len(got) == len(rows)
+    for row in rows:
+        own = set(toxicity.all_signals(row.text).tolist())
+        odds = scorer.bias + sum(w for h, w in weights.items() if h in own)
+        r = got[row.doc_id]
+        assert abs(r.score - 1 / (1 + np.exp(-odds))) < 1e-6
+        assert r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
