@@ -493,6 +493,10 @@ ORACLES: dict[str, str] = {
     "ingest_lineitem": "select * from lineitem",
     "ingest_documents": "select * from documents",
     "ingest_merge": "select * from events",
+    "ingest_inferred": """
+        select cast(event_id as varchar) as event_id, cast(ts as varchar) as ts,
+          cast(user_id as varchar) as user_id, event_type, cast(value as varchar) as value, props
+        from events""",
     "ingest_all": " union all ".join(
         f"select '{table}' as table_name, {len(columns.split())} as n_columns, "
         "count(*) as source_rows, count(*) as target_rows, true as rows_match, "

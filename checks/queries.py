@@ -22,6 +22,7 @@ from typeferry import (
     conform,
     current_rows,
     diff_rows,
+    differences,
     discover_columns,
     equi_depth,
     in_zones,
@@ -821,6 +822,28 @@ def ingest_merge(spark, sf_dir):
     return spark.table(target)
 
 
+def ingest_inferred(spark, sf_dir):
+    """Events as text under types that no rule knows: ingested with the types they show, twice
+    as one batch, and compared with their source row by row."""
+    events = read(spark, sf_dir, "events")
+    texts = events.select(*[F.col(c).cast("string") for c in events.columns])
+    columns = [MappedColumn(c, "mood", "mood", "string", True, "unknown") for c in events.columns]
+    config = IngestConfig(
+        FrameSource({"events": texts}),
+        "events",
+        target_table=scratch_table(spark, "ingest_inferred"),
+        write_mode="append",
+        merge_keys=["event_id"],
+        infer_unknown=True,
+        batch="all events",
+    )
+    reports = [ingest(spark, config, columns) for _ in range(2)]
+    missing = differences(spark, config, reports[0].columns)
+    target = spark.table(config.target)
+    shown = target.select(*[F.col(c).cast("string") for c in target.columns])
+    return shown.join(missing.select(F.col("event_id").cast("string")), "event_id", "left_anti")
+
+
 def ingest_all(spark, sf_dir):
     """The report of one run per table, some of them at a time."""
     tables = source(spark, sf_dir)
@@ -855,6 +878,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         splits_orders, diff_orders, keys_tables, infer_events,
         count_tables, preview_orders, reconcile_orders, reconcile_append,
         ingest_orders, ingest_lineitem, ingest_documents, ingest_merge, ingest_all,
+        ingest_inferred,
     )
 }
 QUERIES |= {

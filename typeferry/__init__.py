@@ -7,7 +7,7 @@ from typeferry.operators.cluster import in_zones, write_clustered, write_zones
 from typeferry.operators.conform import conform
 from typeferry.operators.diff import diff_rows
 from typeferry.operators.discover import discover_columns
-from typeferry.operators.infer import Evidence, evidence, infer_types, narrowed
+from typeferry.operators.infer import Evidence, evidence, infer_types, inferred_columns, narrowed
 from typeferry.operators.keys import find_keys, keys_of_tables
 from typeferry.operators.mapping import (
     MappedColumn,
@@ -29,7 +29,7 @@ from typeferry.operators.write import (
     merge_table,
     write_table,
 )
-from typeferry.plans.ingest import IngestConfig, IngestReport, ingest, ingest_many
+from typeferry.plans.ingest import IngestConfig, IngestReport, differences, ingest, ingest_many
 from typeferry.sources.frames import FrameSource
 from typeferry.sources.jdbc import ByBlocks, ByDepth, ByPredicates, ByRange, JdbcSource, SingleTask
 
@@ -59,6 +59,7 @@ __all__ = [
     "conform",
     "current_rows",
     "diff_rows",
+    "differences",
     "discover_columns",
     "equi_depth",
     "evidence",
@@ -67,6 +68,7 @@ __all__ = [
     "forget_deleted",
     "in_zones",
     "infer_types",
+    "inferred_columns",
     "ingest",
     "ingest_many",
     "keys_of_tables",

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from typeferry.functions.casts import quoted
+from typeferry.functions.typenames import same_name
+from typeferry.operators.mapping import MappedColumn
 
 # Largest numbers of the integer types, narrowest first.
 INTEGERS = (("smallint", 2**15 - 1), ("int", 2**31 - 1), ("bigint", 2**63 - 1))
@@ -157,6 +159,28 @@ def infer_types(df: DataFrame, known: dict[str, Evidence] | None = None) -> Data
     )
 
 
+def inferred_columns(df: DataFrame, columns: Sequence[MappedColumn]) -> list[MappedColumn]:
+    """The mapped columns of ``df``, those that no rule knew with the type their text shows.
+
+    Only columns of status ``unknown`` are read; one that shows a type gets the status
+    ``inferred``, any other stays a string.
+    """
+    same = same_name(df.sparkSession)
+    unknown = {
+        c.column_name: next((n for n in df.columns if same(n, c.column_name)), c.column_name)
+        for c in columns
+        if c.status == "unknown" and c.spark_type == "string"
+    }
+    found = evidence(df, list(unknown.values())) if unknown else {}
+    out = []
+    for c in columns:
+        shown = found.get(unknown.get(c.column_name, ""))
+        if shown is not None and shown.type != "string":
+            c = c._replace(spark_type=shown.type, status="inferred")
+        out.append(c)
+    return out
+
+
 def narrowed(df: DataFrame, found: dict[str, Evidence] | None = None) -> DataFrame:
     """``df`` with its text columns cast to what they show; strict, as nothing can be lost."""
     found = evidence(df) if found is None else found

@@ -164,7 +164,8 @@ def append_once(
     spark = df.sparkSession
     finish_writes(spark, target)
     if not spark.catalog.tableExists(target):
-        write_table(df.limit(0), target, "error", partition_by, fmt)
+        # Not of the rows: nothing of theirs may run before they are written.
+        write_table(spark.createDataFrame([], df.schema), target, "error", partition_by, fmt)
     layout = layout_of(spark, target)
     if layout.fmt in TRANSACTIONAL:
         raise ValueError(f"{layout.fmt} has its own transactions: name the batch there")

@@ -13,11 +13,14 @@ from pyspark.sql import types as T
 
 from typeferry.functions.casts import quoted
 from typeferry.operators.buckets import Buckets
+from typeferry.operators.buckets import read_table
 from typeferry.operators.conform import conform, lossy_columns, lost_values
+from typeferry.operators.diff import diff_rows
 from typeferry.operators.discover import Source, discover_columns
+from typeferry.operators.infer import inferred_columns
 from typeferry.operators.mapping import MappedColumn, build_schema, map_types, mapped_columns
 from typeferry.operators.verify import column_counts, preview, row_count
-from typeferry.operators.write import write_table
+from typeferry.operators.write import append_once, write_table
 from typeferry.sources.jdbc import Partitioning
 
 
@@ -25,7 +28,10 @@ from typeferry.sources.jdbc import Partitioning
 class IngestConfig:
     """What to bring where. A blank target takes the name of the source table; partition
     columns and a format left out are those the target has, or none and parquet. A new or
-    overwritten target without partitions is stored in ``merge_buckets`` of its merge keys."""
+    overwritten target without partitions is stored in ``merge_buckets`` of its merge keys.
+    ``infer_unknown`` gives columns of types without a rule the type their text shows, at the
+    price of one more reading of those columns. ``evolve`` lets an append or a merge bring new
+    columns and wider types. An append with a ``batch`` happens once, however often it is run."""
 
     source: Source
     table: str
@@ -39,6 +45,9 @@ class IngestConfig:
     strict: bool = True
     rounding: bool = False
     partitioning: Partitioning | None = None
+    infer_unknown: bool = False
+    evolve: bool = False
+    batch: str | None = None
 
     @property
     def target(self) -> str:
@@ -87,20 +96,34 @@ def ingest(
 
     before = _rows(spark, target) if exists and config.write_mode == "append" else 0
     frame = config.source.read(spark, config.schema, config.table, columns, config.partitioning)
+    if config.infer_unknown:
+        columns = inferred_columns(frame, columns)
+        schema = build_schema(columns)
     doubtful = lossy_columns(frame, columns)
     seen = Observation()
     checks = column_counts(frame, doubtful)
     checks["null_violations"] = _null_violations(frame, columns)
     watched = frame.observe(seen, *[value.alias(name) for name, value in checks.items()])
-    write_table(
-        conform(watched, columns, config.strict, config.rounding),
-        target,
-        config.write_mode,
-        config.partition_cols,
-        config.fmt,
-        config.merge_keys,
-        buckets=Buckets(config.merge_keys, config.merge_buckets) if config.merge_buckets else None,
-    )
+    conformed = conform(watched, columns, config.strict, config.rounding)
+    if config.batch is not None:
+        if config.write_mode != "append":
+            raise ValueError("a batch is appended; choose write_mode='append'")
+        if not append_once(conformed, target, config.batch, config.partition_cols, config.fmt):
+            counts = Row(source_rows=None, target_rows=_rows(spark, target), rows_match=None,
+                         null_violations=None)
+            return _report(spark, config, columns, schema, counts, [])
+    else:
+        buckets = Buckets(config.merge_keys, config.merge_buckets) if config.merge_buckets else None
+        write_table(
+            conformed,
+            target,
+            config.write_mode,
+            config.partition_cols,
+            config.fmt,
+            config.merge_keys,
+            buckets=buckets,
+            evolve=config.evolve,
+        )
     found = seen.get
     lossy = [
         Row(
@@ -127,6 +150,21 @@ def ingest(
     return _report(spark, config, columns, schema, counts, lossy)
 
 
+def differences(
+    spark: SparkSession, config: IngestConfig, columns: list[MappedColumn]
+) -> DataFrame:
+    """The rows, not only their numbers, that source and target do not share: ``diff_rows`` of
+    the source, read again and cast, and the target's columns of the same names. After an
+    append or a merge the target may have more; what its ``side`` calls ``source`` is missing.
+
+    ``columns`` are those of the report.
+    """
+    frame = config.source.read(spark, config.schema, config.table, columns, config.partitioning)
+    source = conform(frame, columns, config.strict, config.rounding)
+    target = read_table(spark, config.target).select(*[F.col(quoted(c)) for c in source.columns])
+    return diff_rows(source, target, config.merge_keys)
+
+
 def _rows(spark: SparkSession, table: str) -> int:
     return row_count(spark.table(table)).first()["n_rows"]
 
