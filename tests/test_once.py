@@ -46,7 +46,7 @@ def test_a_batch_is_added_once(spark, fresh, layout):
 # What is cut off, at which call of it, and whether the batch is committed by then.
 STEPS = {
     "rows written": ("commit_batch", 1, False),
-    "committed": ("finish_batches", 2, True),
+    "committed": ("finish_batches", 1, True),
     "before the first file": ("move", 1, True),
     "between two files": ("move", 2, True),
     "before the folder goes": ("delete_path", 1, True),

@@ -393,13 +393,22 @@ def finish_writes(spark: SparkSession, target: str) -> None:
     finish_swap(spark, target)
     if not spark.catalog.tableExists(target):
         return
-    if exchange.is_relocating(spark, target):
+    # One statement and two looks for a folder, as every write begins with this.
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()
+    details = {r["col_name"]: r["data_type"] for r in described}
+    if exchange.RELOCATING in details.get("Table Properties", ""):
         _find_partitions(spark, target)
         exchange.set_relocating(spark, target, False)
-    partitions = partition_columns(spark, target)
-    if partitions:
-        exchange.finish_exchanges(spark, target, partitions)
-    once.finish_batches(spark, target, partitions)
+    location = details.get("Location", "").rstrip("/")
+    exchanged, batches = (
+        bool(location) and exchange.path_exists(spark, f"{location}/{folder}")
+        for folder in (exchange.FOLDER, f"{once.FOLDER}/runs")
+    )
+    if exchanged or batches:
+        partitions = partition_columns(spark, target)
+        if exchanged:
+            exchange.finish_exchanges(spark, target, partitions)
+        once.finish_batches(spark, target, partitions)
 
 
 def clean_staged(spark: SparkSession, target: str) -> int:
