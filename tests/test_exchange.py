@@ -131,7 +131,8 @@ def test_exchanged_partitions_survive_a_swap_that_is_cut_off(spark, fresh, monke
                 write_table(frame(spark, []), t, "append")
     write_table(frame(spark, []), t, "append")
     assert found(spark, t) == Counter(MERGED)
-    assert not exchange.is_relocating(spark, t)
+    properties = spark.sql(f"SHOW TBLPROPERTIES {t}").collect()
+    assert exchange.RELOCATING not in [r["key"] for r in properties]
 
 
 def test_many_merges_and_clean_up(spark, fresh):

@@ -265,11 +265,6 @@ def relocate(spark: SparkSession, table: str, partitions: Sequence[str]) -> None
     spark.catalog.refreshTable(table)
 
 
-def is_relocating(spark: SparkSession, table: str) -> bool:
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == RELOCATING)
-    return found.count() > 0
-
-
 def set_relocating(spark: SparkSession, table: str, on: bool) -> None:
     if on:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{RELOCATING}' = 'yes')")

@@ -615,8 +615,9 @@ def _touched(
 ) -> DataFrame:
     """Partitions that gain rows (``n_in`` above 0) or lose some, under plain names.
 
-    Where rows may move, the partitions they leave are found by a semi join that reads the key and partition columns of the target only,
-    and lets Spark skip the keys that cannot be hit before they are shuffled.
+    Where rows may move, the partitions they leave are found by a semi join that reads the
+    key and partition columns of the target only, and lets Spark skip the keys that cannot
+    be hit before they are shuffled.
     """
     plain = [F.col(quoted(p)).alias(n) for p, n in zip(partitions, names)]
     gaining = source.select(*plain, F.lit(1).alias("n"))
