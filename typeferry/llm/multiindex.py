@@ -17,9 +17,9 @@ Vectors of floats are kept as such, all others as doubles, and compared as doubl
 another length have an index of their own, one after the other: a table has few lengths.
 
 Equal vectors are folded first and count as linked with each other. Vectors that are null,
-empty, zero, or that hold null or non-finite components link with nothing. Rows with a null ``vec_id`` are linked and counted but never name a
-component (one with no other rows has a null id); repeated rows count as rows. An empty table
-gives an empty result. Other columns, labels among them, are not looked at.
+empty, zero, or that hold null or non-finite components link with nothing. Rows with a null
+``vec_id`` are linked and counted but never name a component (one with no other rows has a null
+id); repeated rows count as rows. An empty table gives an empty result. Other columns, labels among them, are not looked at.
 """
 
 from __future__ import annotations
