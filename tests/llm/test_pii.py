@@ -95,6 +95,13 @@ def test_base_spans_of_numbers(text):
         ("bob(at)corp.de, or", ("email", "bob(at)corp.de")),
         ("john@example dot com", ("email", "john@example dot com")),
         ("john @ example . com", ("email", "john @ example . com")),
+        ("of.34 at mail7.example.com geiever", ("email", "of.34 at mail7.example.com")),
+        ("write jo AT mail.example.com", ("email", "jo AT mail.example.com")),
+        ("ana arroba correo.es", ("email", "ana arroba correo.es")),
+        ("jo at mail7 dot example.com", ("email", "jo at mail7 dot example.com")),
+        ("joⓐmail.example.com", ("email", "joⓐmail.example.com")),
+        ("5️⃣5️⃣00 0055 5555 5559", ("card", "5️⃣5️⃣00 0055 5555 5559")),
+        ("+1 (zero one seven) five five five seven seven one three", ("phone", "+1 (zero one seven) five five five seven seven one three")),
         ("an x＠y．com", ("email", "x＠y．com")),
         ("see ivan@exаmple.com", ("email", "ivan@exаmple.com")),
         ("a​nn@exam­ple.com", ("email", "a​nn@exam­ple.com")),
@@ -119,7 +126,8 @@ def test_disguises(text, expected):
 @pytest.mark.parametrize(
     "text",
     [
-        "meet me at example.com tomorrow", "she was at polka dot dress night", "look at this.com",
+        "meet me at example.com tomorrow", "MEET US AT EXAMPLE.COM", "in room 12 at example.com",
+        "was here. at example.com", "at 10 at example.com", "she was at polka dot dress night", "look at this.com",
         "one or two or three", "un deux trois", "seis siete ocho nueve", "plus 20 points",
         "version 1.2.3 (at) least", "the dot is at the point", "5|6 and 7l and O2", "e-mail @ noon",
         "Он сказал: три, четыре", "3 point 5 point 6", "", "   ",

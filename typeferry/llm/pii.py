@@ -14,8 +14,10 @@ writes another, with the first and last source character of every character it w
 3. spelled digits, three or more in a row, among digits or as parts of an address, become
    digits (English, German, French, Spanish; double and triple too), and ``plus`` before a
    number becomes +;
-4. at and dot become @ and ``.`` where an address results: in brackets; as words if the
-   dots are words as well and the last part is a common top-level domain; or set apart by blanks.
+4. at and dot become @ and ``.`` where an address results: in brackets; set apart by blanks; or as
+   words, if the last part is a common top-level domain and something else speaks for an address
+   too: a dot that is a word, a word that only means the sign, AT in capitals, or a local part
+   with a letter and a digit or a point in it (*jo.34 at mail.example.com*, not *look at x.com*).
 
 The same four forms are then told in what comes out, and what is found is mapped back: from the
 first source character of its first to the last of its last. It is added unless a base span
@@ -74,6 +76,7 @@ LOOKS_LIKE = {
     "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u",
     "χ": "x", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M",
     "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ı": "i", "ɡ": "g", "ɑ": "a",
+    "ⓐ": "@", "Ⓐ": "@",
 }
 DASHES = "‐‑‒–—―−⁃﹘"
 DOTS = "。｡·•∙⋅․۔"
@@ -179,7 +182,7 @@ class Tape:
 def _characters() -> tuple[frozenset[str], dict[int, str], frozenset[str]]:
     """What is invisible; what looks like what; and all that does."""
     table: dict[int, str] = {}
-    unseen = [*range(0xFE00, 0xFE10), 0x034F, 0x115F, 0x3164]
+    unseen = [*range(0xFE00, 0xFE10), 0x034F, 0x115F, 0x20E3, 0x3164]
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
         kind = unicodedata.category(char)
@@ -334,6 +337,7 @@ _ANY_DOT = rf"(?:\.|{_HIDDEN_DOT}|{_DOT_APART})"
 _PART = re.compile(r"[a-z0-9-]++")
 _NEXT_PART = re.compile(rf"(?P<dot>{_ANY_DOT})(?P<part>[a-z0-9-]++)")
 _DOT_AT_END = re.compile(rf"{_HIDDEN_DOT}$")
+_NAMED = re.compile(r"[0-9]|[A-Za-z0-9][._+][A-Za-z0-9]")  # what makes a word a name
 _REACH = 24  # characters that a dot in words can take
 
 
@@ -389,7 +393,9 @@ def hidden_addresses(tape: Tape) -> Tape:
         if how == "inside":
             good = ending.isalpha() and len(ending) >= 2
         else:
-            good = ending in ENDINGS and (how != "bare" or len(hidden) == len(dots))
+            good = ending in ENDINGS
+            if how == "bare" and not hidden:
+                good = good and _speaks_for_itself(tape.text, at, after, upto)
         if not good:
             continue
         before = list(_dots_before(low, at, upto))
@@ -398,6 +404,20 @@ def hidden_addresses(tape: Tape) -> Tape:
     return tape.edited(edits)
 
 
+def _speaks_for_itself(text: str, at: int, after: int, upto: int) -> bool:
+    """Whether a word before a plain domain is more than a preposition."""
+    word = text[at:after].strip().strip("_")
+    if word.lower() != "at":
+        return True
+    start = at
+    while start > upto and text[start - 1] in _LOCAL:
+        start -= 1
+    local = text[start:at]
+    if word == "AT" and local != local.upper():
+        return True
+    return bool(_NAMED.search(local)) and bool(re.search("[A-Za-z]", local))
+
+
 def _dots_before(low: str, at: int, upto: int) -> list[Edit]:
     """Dots in words among the parts before an @."""
     found: list[Edit] = []
