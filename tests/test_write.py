@@ -22,6 +22,7 @@ from typeferry import (
     row_count,
     write_table,
 )
+from typeferry.operators.exchange import AT_ONCE
 from typeferry.operators.scratch import SCRATCH_DATABASE, landed
 from typeferry.operators import write as writing
 from typeferry.operators.write import (
@@ -678,11 +679,11 @@ def test_merge_of_partitions_with_nulls(spark, fresh, partition_by, all_keys):
     assert rows(spark, t, "k", "v", "p", "q") == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("touched", [1, 1000, 1001])
+@pytest.mark.parametrize("touched", [1, AT_ONCE, AT_ONCE + 1, 2 * AT_ONCE])
 def test_merge_is_in_place_for_any_number_of_partitions(spark, fresh, touched):
     """Properties, comment and the other files stay, a null partition emptied or not."""
     t = fresh()
-    n = 1010
+    n = 2 * AT_ONCE + 10
     p = F.when(F.col("id") < n, F.col("id"))
     write_table(spark.range(n + 1).select(F.col("id").alias("k"), F.lit("o").alias("v"), p.alias("p")),
                 t, partition_by=["p"])
