@@ -7,6 +7,10 @@ are deleted unread. What is committed is moved, file by file, to where the table
 are; a move that has been done finds nothing to move, so any run can go on where another
 was cut off, and every write of this library begins with that.
 
+That a file can be made only once is for the store to keep: HDFS, ABFS and GCS do. Where a look
+and the making are two steps (a local disk, older S3 connectors), two writers that commit one
+batch in the same instant may both think they have; one writer at a time is safe anywhere.
+
 A reader may see a part of a batch while its files are moved. An overwrite by the user forgets
 the batches with the rows; merges and schema changes that rewrite a table keep them.
 
