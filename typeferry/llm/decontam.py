@@ -3,9 +3,9 @@
 Texts are read in half passages of ``HALF`` words; two that follow one another are a passage,
 so passages overlap by half. Passages and benchmark items become TF-IDF vectors, and those a
 latent space: the leading right singular vectors of the matrix of passages over the terms of
-the benchmark, by a randomised method. Each task multiplies its passages with a random matrix
-and back, the sums over tasks are a sketch of the Gram matrix, and the sketch's own
-decomposition, a small one, gives the basis. The items are rows of the matrix too, weighted so
+the benchmark, by a randomised method. Each task sums its part of the Gram matrix, pair by pair
+of terms, times a random matrix; the sums over tasks are a sketch of the Gram matrix, and the
+sketch's own decomposition, a small one, gives the basis. The items are rows of the matrix too, weighted so
 that the basis keeps them apart. The search then asks, for every passage of every text, which
 items have a cosine of ``least_cosine`` or more: projections are compared, under the norms of
 the whole vectors. A passage whose benchmark terms are too small a part of it to reach that
@@ -23,8 +23,8 @@ order; or, paraphrased, if ``rephrased`` are and the answer, too, is there. The
 ``answer`` column of the benchmark, or else the last sentence of the item.
 
 All document frequencies come from all texts, over half passages, in ``BUCKETS`` hashed
-buckets. The basis is fitted on the passages of at most ``fit_docs`` documents in expectation,
-by the hash of their id, with frequencies from all. The benchmark is the stated query set: it
+buckets. The basis is fitted on the passages of all documents; ``fit_docs``, if it is asked for,
+holds it to so many in expectation, by the hash of their id. The benchmark is the stated query set: it
 is taken in blocks of ``block_items`` vectors in expectation (an item of up to ``WHOLE`` words
 is one vector), of whatever number, one pass over the texts each.
 
@@ -56,6 +56,7 @@ BUCKETS = 1 << 18
 CHARS = 1 << 19  # of texts worked on at once
 FEW_FINDS = 1_000_000
 ROWS = 2048  # halves or passages in latent space at once
+OFTEN = 2896  # terms of the benchmark whose pairs a task has a table for, of 34 MB
 
 
 def bucket_of(hashes: np.ndarray) -> np.ndarray:
@@ -304,8 +305,8 @@ def item_matrix(asked: list[np.ndarray], terms: Terms, weights: np.ndarray) -> n
 
 
 def fit(
-    docs: DataFrame, items: list[Item], weights: np.ndarray, rank: int, fit_docs: int, n_docs: int,
-    least_cosine: float, least_shared: float,
+    docs: DataFrame, items: list[Item], weights: np.ndarray, rank: int, fit_docs: int | None,
+    n_docs: int, least_cosine: float, least_shared: float,
 ) -> Latent:
     """The latent space: a randomised decomposition of passages and items over their terms.
 
@@ -320,38 +321,52 @@ def fit(
     own = weights[bucket_of(terms.sorted)]
     omega = np.random.default_rng(5).standard_normal((n, width)).astype(np.float32)
 
+    # The terms by how often they occur: the first ``near`` of them have a table of pairs.
+    by_use = np.argsort(own, kind="stable")
+    use = np.empty(n, np.int64)
+    use[by_use] = np.arange(n)
+    near, used = min(n, OFTEN), omega[by_use]
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("decontamination")
         total = np.zeros((n, width))
+        table = np.zeros(near * (near + 1) // 2)
         energy = 0.0
         for batch in batches:
             for _, halves in halves_of(batch.column(0).to_pylist()):
                 numbers, word = terms.numbers(halves.hashes), halves.weights(weights)
                 norms = np.sqrt(np.maximum(halves.total(word**2), 1e-30))
                 known = np.flatnonzero((numbers >= 0) & (word > 0))
-                halves_known = np.searchsorted(halves.starts, known, side="right") - 1
-                for i in range(0, len(halves.starts), ROWS):
-                    a, b = np.searchsorted(halves_known, [i, i + ROWS])
-                    if a == b:
-                        continue
-                    half, number = halves_known[a:b] - i, numbers[known[a:b]]
-                    scale = (word[known[a:b]] / norms[half + i]).astype(np.float32)
-                    rows = np.zeros((ROWS, width), np.float32)
-                    first = np.flatnonzero(np.append(True, half[1:] != half[:-1]))
-                    parts = omega[number] * scale[:, None]
-                    rows[half[first]] = np.add.reduceat(parts, first, axis=0)
-                    order = np.argsort(number, kind="stable")
-                    by = number[order]
-                    first = np.flatnonzero(np.append(True, by[1:] != by[:-1]))
-                    parts = rows[half[order]] * scale[order, None]
-                    total[by[first]] += np.add.reduceat(parts, first, axis=0)
-                    energy += float((scale**2).sum())
+                half = np.searchsorted(halves.starts, known, side="right") - 1
+                term, scale = use[numbers[known]], word[known] / norms[half]
+                energy += float((scale**2).sum())
+                for step in range(HALF):  # each word with the one so many known words on
+                    at = np.flatnonzero(half[step:] == half[: len(half) - step])
+                    if not len(at):
+                        break
+                    low = np.minimum(term[at], term[at + step])
+                    high = np.maximum(term[at], term[at + step])
+                    value = scale[at] * scale[at + step]
+                    often = high < near
+                    cell = high[often] * (high[often] + 1) // 2 + low[often]
+                    np.add.at(table, cell, value[often])
+                    rare = ~often
+                    if rare.any():
+                        add_pairs(total, used, low[rare], high[rare], value[rare])
+                        if step:
+                            add_pairs(total, used, high[rare], low[rare], value[rare])
         if energy:
-            yield parts_of(np.append(total.ravel(), energy))
-
-    upto = int(PLACES * min(1, fit_docs / max(n_docs, 1)))
-    low = docs.where(place(F.col("doc_id")) < upto)
-    some = thinned(low, fit_docs).select("text").repartition(8)  # a bounded sample
+            add_table(total, used, table, near)
+            out = np.empty_like(total)
+            out[by_use] = total
+            yield parts_of(np.append(out.ravel(), energy))
+
+    bound = n_docs if fit_docs is None else fit_docs
+    low = docs.where(place(F.col("doc_id")) < int(PLACES * min(1, bound / max(n_docs, 1))))
+    some = thinned(low, bound).select("text")
+    if fit_docs is not None:
+        some = some.repartition(8)  # a bounded sample
+    some = some.coalesce(_tasks(docs))
     found = summed(some.mapInArrow(sketch, PARTS), n * width + 1)
     rows = item_matrix(asked, terms, weights)
     share = max(found[-1], 1.0) / len(asked)  # the items weigh as much as the passages
@@ -364,6 +379,31 @@ def fit(
     )
 
 
+def add_pairs(
+    total: np.ndarray, omega: np.ndarray, terms: np.ndarray, others: np.ndarray, values: np.ndarray
+) -> None:
+    """Adds each value times the row of ``omega`` of the other term to the row of a term."""
+    order = np.argsort(terms, kind="stable")
+    for i in range(0, len(order), ROWS):
+        some = order[i : i + ROWS]
+        own = terms[some]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        parts = omega[others[some]] * values[some, None]
+        total[own[first]] += np.add.reduceat(parts, first, axis=0)
+
+
+def add_table(total: np.ndarray, omega: np.ndarray, table: np.ndarray, size: int) -> None:
+    """Adds the product of a symmetric matrix, given by its lower half, with ``omega``."""
+    for i in range(0, size, ROWS // 4):
+        j = min(size, i + ROWS // 4)
+        rows = np.zeros((j - i, j), np.float32)
+        for k in range(i, j):
+            rows[k - i, : k + 1] = table[k * (k + 1) // 2 : (k + 1) * (k + 2) // 2]
+        total[i:j] += rows @ omega[:j]
+        rows[np.arange(j - i), np.arange(i, j)] = 0  # the diagonal counts once
+        total[:j] += rows.T @ omega[i:j]
+
+
 def leading(sketch: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:
     """Leading eigenvectors of a positive matrix G from ``sketch`` = G ``omega``."""
     shift = 1e-9 * np.linalg.norm(sketch) / np.sqrt(len(sketch))
@@ -431,7 +471,7 @@ def finds(
     copied: float = 0.75,
     rephrased: float = 0.55,
     answered: float = 0.75,
-    fit_docs: int = 10_000,
+    fit_docs: int | None = None,
     block_items: int = 384,
 ) -> DataFrame:
     """A row for each item found in a text: columns ``FIND``.
@@ -449,7 +489,7 @@ def finds(
 
 def _spaces(
     docs: DataFrame, benchmark: DataFrame, rank: int, least_cosine: float, copied: float,
-    rephrased: float, fit_docs: int, block_items: int,
+    rephrased: float, fit_docs: int | None, block_items: int,
 ) -> Iterator[Latent]:
     """The latent space of each block of the benchmark."""
     ship(docs.sparkSession)
@@ -471,6 +511,11 @@ def _spaces(
             )
 
 
+def _tasks(docs: DataFrame) -> int:
+    """Tasks that give sums of a few megabytes: some for each core, whatever the partitions."""
+    return 4 * docs.sparkSession.sparkContext.defaultParallelism
+
+
 def corpus_weights(docs: DataFrame) -> tuple[int, np.ndarray]:
     """The number of documents, and the inverse document frequency of each bucket, over the
     half passages of all texts."""
@@ -485,7 +530,8 @@ def corpus_weights(docs: DataFrame) -> tuple[int, np.ndarray]:
                 total[-2] += len(halves.starts)
         yield parts_of(total)
 
-    found = summed(docs.select("text").mapInArrow(count, PARTS), BUCKETS + 2)
+    rows = docs.select("text").coalesce(_tasks(docs))
+    found = summed(rows.mapInArrow(count, PARTS), BUCKETS + 2)
     weights = np.log((found[-2] + 1) / (found[:BUCKETS] + 1)) + 1e-3
     return int(found[-1]), weights
 
@@ -573,7 +619,7 @@ def decontaminated(
     copied: float = 0.75,
     rephrased: float = 0.55,
     answered: float = 0.75,
-    fit_docs: int = 10_000,
+    fit_docs: int | None = None,
     block_items: int = 384,
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, each row by itself, whatever its id.
