@@ -20,7 +20,7 @@ import numpy as np
 from typeferry.llm.common import kept_by_worker
 from typeferry.llm.words import span_sums
 
-CACHE_WORDS = 1_000_000  # some 30 bytes each
+CACHE_WORDS = 500_000  # some 30 bytes each
 BATCH_BYTES = 450_000  # of texts whose words are looked up together
 JOINED = 2_000  # new words encoded in one call
 
