@@ -4,7 +4,42 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from typeferry.llm import decontam
+from typeferry.llm import decontam, language, quality
+
+
+def test_language_counts_every_labelled_text(spark):
+    docs = spark.range(9_000).select(
+        F.col("id").alias("doc_id"), F.lit("abc").alias("text"),
+        F.when(F.col("id") < 8_900, "a").otherwise("b").alias("lang"),
+    )
+    model = language.learn(docs, F.lit(True))
+    each = len(language.trigrams("abc"))
+    expected = [0.3 / (n * each + 0.3 * language.BUCKETS) for n in (8_900, 100)]
+    assert model.languages == ("a", "b") and np.allclose(model.base[:2], expected, rtol=1e-12)
+
+
+def test_more_languages_than_a_task_holds(spark, monkeypatch):
+    monkeypatch.setattr(language, "HELD", 2)
+    rows = [(i, f"text number {'xyzuvw'[i % 5]}", f"l{i % 5}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = language.learn(docs, F.lit(True))
+    each = [sum(len(language.trigrams(t)) for _, t, n in rows if n == m) for m in model.languages]
+    assert np.allclose(model.base[:5], [0.3 / (n + 0.3 * language.BUCKETS) for n in each])
+
+
+def test_quality_is_fitted_on_every_label(spark):
+    word = F.when(F.col("id") % 3 == 0, "Good words here, and more.").otherwise("| x | * !! 12")
+    text = F.concat_ws(" ", word, F.hash("id").cast("string"))
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    own = ((F.col("doc_id") % 3 == 0) != (F.hash("doc_id") % 9 == 0)).cast("int")
+    labels = docs.select("doc_id", own.alias("quality")).repartition(3)
+    rows = docs.join(labels, "doc_id").collect()
+    plain = quality.Classifier.fit(
+        np.array([quality.measure(r.text) for r in rows]), np.array([r.quality for r in rows], float)
+    )
+    got = quality.learn(docs, labels, F.lit(True))
+    for name in ("mean", "scale", "weights", "bias"):
+        assert np.allclose(getattr(got, name), getattr(plain, name), rtol=1e-6, atol=1e-8)
 
 
 @pytest.mark.parametrize("often", [2896, 7, 0])

@@ -7,9 +7,9 @@ language. The likelihood is concave in the shares, so the fit does not hang on i
 Sets of the largest components, nested, are then compared by likelihood less a penalty for
 each further language, and the best set's shares are the result.
 
-Fitting: trigram counts by language, over at most ``docs_per_language`` labelled rows of each
-language, taken by the hash of their id (so many in expectation). Every language that a usable
-row names is learned. Trigrams are hashed to ``BUCKETS``, and a model holds those that a
+Fitting: trigram counts by language, over all labelled rows; ``docs_per_language``, if it is
+asked for, holds them to so many of each language in expectation, by the hash of their id.
+Every language that a usable row names is learned. Trigrams are hashed to ``BUCKETS``, and a model holds those that a
 language has been seen with, so it grows with the languages alone. Every text is scored whole.
 
 Nulls and the like: a null text, or one without letters, has no language: ``lang`` null,
@@ -36,6 +36,7 @@ from typeferry.llm.common import begin, kept_by_worker, ship
 BUCKETS = 1 << 16
 CELLS = 1 << 22  # of likelihoods that a text has as a plain matrix
 SPAN = 1 << 20  # characters hashed at once
+HELD = 64  # languages a task counts at once
 PLACES = 1 << 52  # of an id's hash, of which the sample takes the lowest
 
 RESULT = "struct<lang:string,share:double,other:double,mix:array<struct<lang:string,share:double>>>"
@@ -205,11 +206,11 @@ def fit(likelihood: np.ndarray, counts: np.ndarray, rounds: int = 40) -> tuple[n
 def learn(
     docs: DataFrame,
     usable: Column,
-    docs_per_language: int = 4_000,
+    docs_per_language: int | None = None,
     penalty: float = 6.0,
     smoothing: float = 0.3,
 ) -> LanguageModel:
-    """A model from the rows of ``docs`` where ``usable`` holds: columns doc_id, text, lang."""
+    """A model from all rows of ``docs`` where ``usable`` holds: columns doc_id, text, lang."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.where(usable & F.expr("doc_id is not null and lang is not null")).select(
@@ -220,34 +221,34 @@ def learn(
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return LanguageModel.of({}, smoothing, penalty)
-    upto = [(n, math.ceil(PLACES * min(1, docs_per_language / x))) for n, x in sizes.items()]
-    upto = F.broadcast(spark.createDataFrame(sorted(upto), "name string, upto long"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of a language come one after another."""
         begin("language")
-        last, total = None, np.zeros(BUCKETS, np.int64)
+        held: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if lang != last and last is not None:
-                    yield _seen(last, total)
-                    total[:] = 0
-                last = lang
-                total += np.bincount(trigrams(text), minlength=BUCKETS)
-        if last is not None:
-            yield _seen(last, total)
-
-    def add(parts: pa.Table) -> pa.Table:
-        total = np.zeros(BUCKETS, np.int64)
-        for found, counts in zip(parts["buckets"].to_pylist(), parts["counts"].to_pylist()):
-            total[np.frombuffer(found, np.int64)] += np.frombuffer(counts, np.int64)
-        return pa.Table.from_batches([_seen(parts["lang"][0].as_py(), total)])
-
-    # The sample is bounded, and so is what comes back: a row for each language.
-    known = F.col("lang") == F.col("name")
-    sample = rows.join(upto, known & (F.col("place") < F.col("upto"))).select("lang", "text")
-    sample = sample.repartition(max(8, len(sizes) // 8)).sortWithinPartitions("lang")
-    found = sample.mapInArrow(count, SEEN).groupBy("lang").applyInArrow(add, SEEN)
+                if lang not in held:
+                    if len(held) == HELD:
+                        yield from map(_counts, held.keys(), held.values())
+                        held.clear()
+                    held[lang] = np.zeros(BUCKETS, np.int64)
+                np.add.at(held[lang], trigrams(text), 1)
+        yield from map(_counts, held.keys(), held.values())
+
+    def pack(rows: pa.Table) -> pa.Table:
+        found, counts = (rows[c].to_numpy().astype(np.int64) for c in ("bucket", "n"))
+        order = np.argsort(found)
+        values = [pa.array([x[order].tobytes()], pa.binary()) for x in (found, counts)]
+        return pa.table([rows["lang"].slice(0, 1), *values], names=["lang", "buckets", "counts"])
+
+    if docs_per_language is not None:
+        upto = [(n, math.ceil(PLACES * min(1, docs_per_language / x))) for n, x in sizes.items()]
+        upto = F.broadcast(spark.createDataFrame(sorted(upto), "name string, upto long"))
+        known = F.col("lang") == F.col("name")
+        rows = rows.join(upto, known & (F.col("place") < F.col("upto")))
+    parts = rows.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
+    sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    found = sums.groupBy("lang").applyInArrow(pack, SEEN)  # no more than BUCKETS rows each
     none = np.empty(0, np.int64)
     seen = {name: (none, none) for name in sizes}
     for r in found.collect():
@@ -258,13 +259,12 @@ def learn(
 SEEN = "lang string, buckets binary, counts binary"
 
 
-def _seen(lang: str, total: np.ndarray) -> pa.RecordBatch:
+def _counts(lang: str, total: np.ndarray) -> pa.RecordBatch:
     """The buckets that a language has been seen with, and how often."""
     found = np.flatnonzero(total)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]), *(pa.array([x.tobytes()], pa.binary()) for x in (found, total[found]))],
-        names=["lang", "buckets", "counts"],
-    )
+    langs = pa.array([lang] * len(found), pa.string())
+    columns = [langs, pa.array(found.astype(np.int32)), pa.array(total[found])]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
 
 
 def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:

@@ -9,8 +9,9 @@ sites stay near their parent, large ones speak for themselves. A document's own
 taken out of its sites before they speak about it, and its score is the classifier's log-odds
 plus what its path's rate adds to the rate of all.
 
-The classifier is fitted on at most ``SAMPLE`` labelled rows in expectation, by the hash of
-their id; sums, rates and spreads are those of all documents. Sites are joined by host and
+The classifier is fitted on all labelled rows, the sums of each round made where they are; a
+``sample``, if it is asked for, holds them to so many in expectation, by the hash of their id.
+Sums, rates and spreads are those of all documents. Sites are joined by host and
 path: up to ``FEW_SITES`` are broadcast, beyond that Spark splits heavy ones.
 
 Nulls and the like: a null or empty text has score 0 and is no evidence about its site; null
@@ -22,7 +23,7 @@ half; an empty table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 from itertools import pairwise
@@ -32,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from typeferry.llm.common import begin, checkpointed, kept_by_worker, ship, thinned, thinned
+from typeferry.llm.common import begin, checkpointed, kept_by_worker, ship, thinned
+from typeferry.llm.sums import PARTS, parts_of, summed
 
-SAMPLE = 20_000  # labelled rows the classifier is fitted on
 SPAN = 1 << 20  # characters measured at once
 LEAST = 0.5  # score of an accepted document
 FEW_SITES = 100_000  # up to which the table of sites is broadcast
@@ -93,6 +94,9 @@ def measure(text: str | None) -> list[float]:
     ]
 
 
+Total = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray], int], np.ndarray]
+
+
 @dataclass(frozen=True)
 class Classifier:
     """Log-odds of a good text from its measures."""
@@ -111,22 +115,37 @@ class Classifier:
     @classmethod
     def fit(cls, rows: np.ndarray, labels: np.ndarray, ridge: float = 3.0) -> Classifier:
         """Logistic regression by Newton's method."""
-        width = expand(np.zeros((1, len(MEASURES)))).shape[1]
-        rate = (labels.sum() + 0.5) / (len(labels) + 1)
-        empty = cls(np.zeros(len(MEASURES)), np.ones(len(MEASURES)), np.zeros(width), 0.0)
-        if len(set(labels.tolist())) < 2:
-            return cls(empty.mean, empty.scale, empty.weights, float(np.log(rate / (1 - rate))))
-        mean, scale = rows.mean(0), rows.std(0) + 1e-6
-        x = np.hstack([expand((rows - mean) / scale), np.ones((len(rows), 1))])
+        return cls.fitted(lambda of, size: of(rows, labels), ridge)
+
+    @classmethod
+    def fitted(cls, total: Total, ridge: float = 3.0) -> Classifier:
+        """The same of rows wherever they are: ``total`` gives the sum over all of them of a
+        function of measures and labels, a vector of some size."""
+        k = len(MEASURES)
+        width = expand(np.zeros((1, k))).shape[1]
+        n, good, squares, *sums = total(
+            lambda x, y: np.append([len(y), y.sum(), (y**2).sum()], x.sum(0)), k + 3
+        )
+        if n * squares == good**2:  # one label, or none
+            rate = (good + 0.5) / (n + 1)
+            return cls(np.zeros(k), np.ones(k), np.zeros(width), float(np.log(rate / (1 - rate))))
+        mean = np.array(sums) / n
+        scale = np.sqrt(total(lambda x, y: ((x - mean) ** 2).sum(0), k) / n) + 1e-6
         w = np.zeros(width + 1)
         penalty = np.full(width + 1, ridge)
         penalty[-1] = 0
         for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            slope = x.T @ (labels - p) - penalty * w
-            curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+
+            def newton(x: np.ndarray, y: np.ndarray, w: np.ndarray = w) -> np.ndarray:
+                x = np.hstack([expand((x - mean) / scale), np.ones((len(x), 1))])
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                return np.append(x.T @ (y - p), (x * (p * (1 - p))[:, None]).T @ x)
+
+            found = total(newton, (width + 1) * (width + 2))
+            slope = found[: width + 1] - penalty * w
+            curve = found[width + 1 :].reshape(width + 1, -1) + np.diag(penalty + 1e-9)
             step = np.linalg.solve(curve, slope)
-            w += step / max(1.0, np.abs(step).max())
+            w = w + step / max(1.0, np.abs(step).max())
             if np.abs(step).max() < 1e-6:
                 break
         return cls(mean, scale, w[:-1], float(w[-1]))
@@ -138,33 +157,58 @@ def expand(rows: np.ndarray) -> np.ndarray:
     return np.hstack([rows, rows**2])
 
 
-def learn(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE) -> Classifier:
-    """A classifier from the rows of ``docs`` where ``usable`` holds and ``labels`` has a
+def learn(
+    docs: DataFrame, labels: DataFrame, usable: Column, sample: int | None = None
+) -> Classifier:
+    """A classifier from all rows of ``docs`` where ``usable`` holds and ``labels`` has a
     ``quality``."""
     ship(docs.sparkSession)
     known = labels.select(
         F.col("doc_id").cast("long").alias("own_id"), F.col("quality").cast("int").alias("own")
     ).where("own is not null and own_id is not null").distinct()
+    rows = docs.where(usable).select(
+        F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")
+    )
+    match = F.col("doc") == F.col("own_id")
+    if sample is None:
+        # Measures are joined, not texts, and stored for the rounds that read them.
+        measured = rows.where("doc is not null").mapInArrow(_measured, "doc long, x array<double>")
+        stored = checkpointed(measured.join(known, match).select("x", "own"))
+        return Classifier.fitted(lambda of, size: _total(stored, of, size))
     n = known.count()
     place = F.pmod(F.xxhash64("own_id"), F.lit(1 << 52))
     known = known.where(place < int((1 << 52) * min(1, sample / max(n, 1))))
-    rows = docs.where(usable).select(F.col("doc_id").alias("doc"), F.col("text").cast("string"))
     # The sample is bounded; the texts of others are not shuffled.
-    rows = rows.join(F.broadcast(known), F.col("doc") == F.col("own_id")).select("text", "own")
-    rows = thinned(rows, sample)  # copies of an id may be any number
+    rows = rows.join(F.broadcast(known), match).select(F.col("own").cast("long").alias("doc"), "text")
+    rows = thinned(rows, sample).repartition(16)  # copies of an id may be any number
+    got = rows.mapInArrow(_measured, "doc long, x array<double>").toArrow()
+    return Classifier.fit(_matrix(got["x"].combine_chunks()), got["doc"].to_numpy().astype(float))
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The measures of texts beside another column."""
+    begin("quality")
+    for batch in batches:
+        found = [measure(t) for t in batch.column(1).to_pylist()]
+        arrays = [batch.column(0), pa.array(found, pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc", "x"])
+
+
+def _matrix(rows: pa.Array) -> np.ndarray:
+    return rows.flatten().to_numpy().reshape(-1, len(MEASURES))
+
+
+def _total(rows: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """The sum over measures ``x`` and labels ``own`` of a function of them."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("quality")
+        total = np.zeros(size)
         for batch in batches:
-            found = [measure(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["x", "y"]
-            )
-
-    rows = rows.repartition(16)
-    got = rows.mapInArrow(measured, "x array<double>, y int").toArrow()  # the bounded sample
-    x = np.array(got["x"].to_pylist(), float).reshape(-1, len(MEASURES))
-    return Classifier.fit(x, got["y"].to_numpy().astype(float))
+            total += of(_matrix(batch.column(0)), batch.column(1).to_numpy().astype(float))
+        yield parts_of(total)
+
+    return summed(rows.mapInArrow(add, PARTS), size)
 
 
 def evidence(docs: DataFrame, classifier: Classifier) -> Column:
