@@ -106,3 +106,15 @@ def test_refusals(spark):
         diff_rows(a, a.withColumn("k", F.col("k").cast("long")), ["k"])
     with pytest.raises(ValueError, match="no columns"):
         diff_rows(a, a, ["z"])
+
+
+def test_many_differences_are_compared_at_once(spark, monkeypatch):
+    """Where nearly all buckets differ, dividing them again would exchange more than the rows."""
+    source = spark.range(5_000).select("id", (F.col("id") % 7).alias("v"))
+    target = source.withColumn("v", F.when(F.col("id") % 2 == 0, 9).otherwise(F.col("v")))
+    levels, real = [], diff._descend
+    monkeypatch.setattr(diff, "_descend", lambda *a: levels.append(a[3]) or real(*a))
+    monkeypatch.setattr(diff, "BROADCAST", 1_000)
+    got = diff_rows(source, target, ["id"], bits=4, rows_at_once=10)
+    assert got.count() == 2 * 2_500 and levels == [1, 2]
+    assert got.where("kind = 'changed'").count() == 5_000

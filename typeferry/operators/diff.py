@@ -4,7 +4,8 @@ Rows go into buckets by the hash of their key. A bucket's checksum is the number
 and two sums of their hashes: it does not depend on order, counts repeated rows, and adds up over
 tasks, so both sides are summed in one aggregate and only a line per bucket is shuffled. Equal
 buckets are done with. Those that differ are divided again, by further bits of the same hash,
-until they hold few enough rows; these rows alone are then compared, as a multiset.
+until they hold few enough rows, or differences are so many that dividing tells little; these
+rows alone are then compared, as a multiset.
 
 Two tables with a difference that no checksum shows would need two 64-bit sums to agree by
 chance. Rows with a null in the key are put into buckets by the hash of the whole row, so
@@ -112,8 +113,8 @@ def diff_rows(
     here, else ``missing`` (from the target) or ``extra`` (in it). Without ``keys``, and for
     keys with a null, nothing is ever ``changed``.
 
-    Both tables are read once for each level, and a last time for the rows of the buckets
-    that are left. They must not change meanwhile.
+    Both tables are read once for each level, once to see whether another pays, and a last
+    time for the rows of the buckets that are left. They must not change meanwhile.
     """
     same = same_name(source.sparkSession)
     order = _same_columns(source, target)
@@ -142,17 +143,29 @@ def _descend(
         if size <= BROADCAST:
             wanted = F.broadcast(wanted)
         left = both.join(wanted, _bucket(level, bits) == F.col("at"), "left_semi")
-        if rows > rows_at_once and level < levels:
+        if rows > rows_at_once and level < levels and _pays(both, buckets, size, level, bits):
             return _descend(left, names, keys, level + 1, bits, levels, rows_at_once)
         out = scratch_table(both.sparkSession, "diff")
-        _surplus(left, names, keys).write.saveAsTable(out)
+        with landed(_surplus(left, names), "surplus") as surplus:  # it is used twice
+            _kinds(surplus, names, keys).write.saveAsTable(out)
     return both.sparkSession.table(out)
 
 
-def _surplus(rows: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def _pays(both: DataFrame, buckets: DataFrame, size: int, level: int, bits: int) -> bool:
+    """Whether the next level leaves so few buckets that they can be broadcast.
+
+    Else a line for nearly each row would be exchanged to find them, and all rows to pick
+    theirs: more than the rows themselves. One bucket, divided, stands for the others.
+    """
+    one = buckets.agg(F.min("at")).first()[0]
+    part = both.where(_bucket(level, bits) == one)
+    return differing_buckets(part, level + 1, bits).count() * size <= BROADCAST
+
+
+def _surplus(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Multiset difference, both ways: the copies of each row that one side has more."""
     row = [F.col(quoted(c)) for c in names]
-    surplus = (
+    return (
         rows.groupBy(*row)
         .agg(F.sum(F.col(SIGN).cast("long")).alias("diff_n_"))
         .where("diff_n_ <> 0")
@@ -162,6 +175,11 @@ def _surplus(rows: DataFrame, names: Sequence[str], keys: Sequence[str]) -> Data
             F.abs("diff_n_").alias("copies"),
         )
     )
+
+
+def _kinds(surplus: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The surplus with the ``kind`` of each row."""
+    row = [F.col(quoted(c)) for c in names]
     alone = F.when(F.col("side") == "source", "missing").otherwise("extra")
     if not keys:
         return surplus.withColumn("kind", alone)
