@@ -4,7 +4,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from typeferry.operators.infer import Evidence, evidence, infer_types, narrowed
+from pyspark.sql import functions as F
+
+from typeferry.operators.infer import Evidence, _summary, evidence, infer_types, narrowed
 
 CASES = {
     "boolean": ["true", "false", None],
@@ -88,3 +90,26 @@ def test_known_evidence(spark):
     before = evidence(frame(spark, ["70000"]))
     found = infer_types(frame(spark, ["1", "2"]), before).first()
     assert (found.spark_type, found.n_set) == ("int", 3)
+
+
+def test_each_test_of_a_value_is_made_once(spark):
+    plan = _summary(frame(spark, ["1"]), ["c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\A(0|-?[1-9][0-9]{0,18})\z") == plan.count(r"\A-?(0|[1-9][0-9]*)\.[0-9]+\z") == 1
+
+
+def test_texts_that_could_pass_for_others(spark):
+    """Casts are tried only where they could succeed; held against trying them all."""
+    texts = [
+        "+10000-01-01", "-0001-01-01", "0000-01-01", "+10000-01-01 00:00:00", "-5-01-01", "1.0E-5", "-1.5",
+        "-Infinity", "Infinity", "NaN", "-NaN", "inf", "+1.5", ".5", "-.5", "1e5", "12:30", "a:b", "{\"a\": 1}",
+        "2024-01-01 1:00:00", "2024-01-01 01:00:00.5", "2024-01-01T01:00:00", "-", ":", "today", "1.", "0.0",
+        "-0.0", "-0.00", "0.5", "-0.05",
+    ]
+    for text in texts:
+        df = frame(spark, [text])
+        tried = [
+            df.select(F.col("c").try_cast(k).cast("string").eqNullSafe(F.col("c"))).first()[0]
+            for k in ("double", "date", "timestamp_ntz")
+        ]
+        got = evidence(df)["c"]
+        assert [got.double, got.date, got.timestamp] == tried, text

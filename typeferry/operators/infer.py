@@ -97,30 +97,49 @@ def _all(fits: Column, value: Column) -> Column:
     return F.coalesce(F.min(F.when(value.isNotNull(), fits)), F.lit(True))
 
 
-def _number(value: Column, pattern: str, of: Column) -> Column:
-    return F.when(value.rlike(pattern), of)
+def _any_of(value: Column, first: str) -> Column:
+    return F.substring(value, 1, 1).isin(list(first))
+
+
+def _shown(value: Column) -> Column:
+    """What a value shows, each test made once; casts there and back only of texts that could
+    come out of them: numbers, dates and times of day have their first letters and marks."""
+    timed, signed = F.contains(value, F.lit(":")), _any_of(value, "+-0123456789")
+    integer = F.when(value.rlike(_INTEGER), value.try_cast("bigint"))
+    point = F.when(F.contains(value, F.lit(".")), value.rlike(_DECIMAL)).otherwise(False)
+    return F.struct(
+        value.alias("value"),
+        integer.alias("integer"),
+        point.alias("point"),
+        _tried(_any_of(value, "-0123456789NI") & ~timed, value, "double").alias("double"),
+        _tried(signed & ~timed & (F.locate("-", value, 2) > 0), value, "date").alias("date"),
+        _tried(signed & timed, value, "timestamp_ntz").alias("timestamp"),
+    )
 
 
-def _aggregates(value: Column) -> list[Column]:
-    """One for each field of the evidence, in its order."""
-    is_integer = value.rlike(_INTEGER) & value.try_cast("bigint").isNotNull()
-    # -0.00 would come back as 0.00.
-    is_decimal = value.rlike(_DECIMAL) & ~value.rlike(r"\A-0\.0+\z")
-    number = F.when(is_integer, value.try_cast("bigint"))
+def _tried(could: Column, value: Column, kind: str) -> Column:
+    return F.when(could, _round_trip(value, kind)).otherwise(False)
+
+
+def _aggregates(shown: Column) -> list[Column]:
+    """One for each field of the evidence, in its order, of what values have shown."""
+    value, number, decimal = shown["value"], shown["integer"], shown["point"]
     point = F.instr(value, ".")
-    whole = _number(value, _DECIMAL, point - 1 - value.startswith("-").cast("int"))
-    scale = _number(value, _DECIMAL, F.length(value) - point)
+    whole = F.when(decimal, point - 1 - value.startswith("-").cast("int"))
+    scale = F.when(decimal, F.length(value) - point)
     zero = F.lit(0)
     # A whole part of 0 needs no digit of a decimal's precision.
-    whole = F.when(value.rlike(r"\A-?0\."), zero).otherwise(whole)
+    whole = F.when(value.startswith("0.") | value.startswith("-0."), zero).otherwise(whole)
+    # -0.00 would come back as 0.00.
+    is_decimal = decimal & ~(value.startswith("-0.") & value.rlike(r"\A-0\.0+\z"))
     return [
         F.count(value),
         _all(value.isin("true", "false"), value),
-        _all(is_integer, value),
+        _all(number.isNotNull(), value),
         _all(is_decimal, value),
-        _all(_round_trip(value, "double"), value),
-        _all(_round_trip(value, "date"), value),
-        _all(_round_trip(value, "timestamp_ntz"), value),
+        _all(shown["double"], value),
+        _all(shown["date"], value),
+        _all(shown["timestamp"], value),
         F.least(F.min(number), F.lit(0).cast("bigint")),
         F.greatest(F.max(number), F.lit(0).cast("bigint")),
         F.coalesce(F.max(whole), zero),
@@ -137,11 +156,15 @@ def evidence(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, E
     ]
     if not names:
         return {}
-    packed = [F.struct(*_aggregates(F.col(quoted(c)))) for c in names]
-    row = df.agg(*packed).first()
+    row = _summary(df, names).first()
     return {name: Evidence(*found) for name, found in zip(names, row)}
 
 
+def _summary(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    shown = df.select(*[_shown(F.col(quoted(c))).alias(f"c{i}") for i, c in enumerate(names)])
+    return shown.agg(*[F.struct(*_aggregates(F.col(f"c{i}"))) for i in range(len(names))])
+
+
 def infer_types(df: DataFrame, known: dict[str, Evidence] | None = None) -> DataFrame:
     """``column_name``, ``spark_type``, ``n_set`` for each column of ``df``; columns that are no
     text keep their type. ``known`` is evidence of rows seen before."""
